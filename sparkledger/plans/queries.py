@@ -27,17 +27,37 @@ from sparkledger.operators import (
     add_constants,
     append,
     apply_schema,
+    asset_map,
     blank_to_null,
     common_columns,
+    keep_last,
+    key_subset,
+    lookup_scalar,
+    map_values,
     new_rows,
+    nth_latest,
     reattach_key,
+    require_status,
+    split_null_keys,
     stack,
     stack_diagonal,
+    to_period_id,
+    top_k_per_key,
     update_non_null,
     updated_rows,
     upsert,
+    with_row_index,
+)
+from sparkledger.schemas import PAYLOAD_OK_STATUS, PRICE_DAYS, SCREEN_MIN_MKT_CAP
+from sparkledger.sources import (
+    describe_columns,
+    explode_series,
+    fan_out,
+    parse_payload_column,
+    read_table,
+    screen,
+    since,
 )
-from sparkledger.sources import describe_columns, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -363,3 +383,287 @@ def q_update_join(spark, d):
     stored = stored_orders(spark, d)
     right = apply_schema(incoming_orders(spark, d), stored).select("o_orderkey", "o_orderstatus", "o_totalprice")
     return update_non_null(stored, right, "o_orderkey")
+
+
+# ---------------------------------------------------------------------------
+# Key translation
+# ---------------------------------------------------------------------------
+def customer_assets(spark: SparkSession, d: str) -> DataFrame:
+    """Customers as assets: symbol = name, category = nation, two flags."""
+    return table(spark, d, "customer").select(
+        F.col("c_custkey").alias("id"),
+        F.col("c_name").alias("symbol"),
+        F.col("c_nationkey").cast("bigint").alias("asset_cat_id"),
+        (F.col("c_acctbal") > 0).alias("has_financials"),
+        (F.col("c_mktsegment") != "AUTOMOBILE").alias("has_chart"),
+    )
+
+
+def nation_categories(spark: SparkSession, d: str) -> DataFrame:
+    """Nations as asset categories: cat = region name, sub_cat = nation name."""
+    n, r = table(spark, d, "nation"), table(spark, d, "region")
+    return n.join(r, n.n_regionkey == r.r_regionkey).select(
+        F.col("n_nationkey").cast("bigint").alias("id"), F.col("r_name").alias("cat"), F.col("n_name").alias("sub_cat")
+    )
+
+
+SQL_CATS = """cats AS (SELECT CAST(n_nationkey AS BIGINT) AS id, r_name AS cat, n_name AS sub_cat
+             FROM nation JOIN region ON n_regionkey = r_regionkey)"""
+
+
+@register("value_map", """
+WITH m AS (SELECT n_name, n_nationkey FROM nation JOIN region ON n_regionkey = r_regionkey
+           WHERE r_name <> 'MIDDLE EAST')
+SELECT c_custkey, n.n_name AS symbol, c_acctbal, CAST(m.n_nationkey AS BIGINT) AS nation_id
+FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey LEFT JOIN m ON m.n_name = n.n_name""")
+def q_value_map(spark, d):
+    c, n = table(spark, d, "customer"), table(spark, d, "nation")
+    payload = c.join(n, c.c_nationkey == n.n_nationkey).select("c_custkey", F.col("n_name").alias("symbol"), "c_acctbal")
+    mapping = nation_categories(spark, d).filter(F.col("cat") != "MIDDLE EAST")
+    return map_values(payload, "symbol", mapping, key="sub_cat", value="id", out="nation_id")
+
+
+SQL_URGENT_2001 = """SELECT o_custkey FROM orders
+  WHERE o_orderpriority = '1-URGENT' AND o_orderdate >= TIMESTAMP '2001-01-01'"""
+
+
+@register("key_subset", f"""
+SELECT c_name AS symbol, c_custkey AS id FROM customer WHERE c_custkey IN ({SQL_URGENT_2001})""")
+def q_key_subset(spark, d):
+    o, c = table(spark, d, "orders"), table(spark, d, "customer")
+    wanted = (
+        o.filter((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderdate") >= ntz("2001-01-01 00:00:00")))
+        .join(c, o.o_custkey == c.c_custkey)
+        .select(F.col("c_name").alias("symbol"))
+    )
+    return key_subset(customer_assets(spark, d).select("symbol", "id"), wanted, "symbol")
+
+
+@register("fk_filtered_map", """
+SELECT c_name AS symbol, c_custkey AS id
+FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+WHERE r_name = 'AMERICA' AND c_acctbal > 0""")
+def q_fk_filtered_map(spark, d):
+    return asset_map(customer_assets(spark, d), nation_categories(spark, d), "has_financials", cat="AMERICA")
+
+
+@register("lookup_scalar", f"""
+WITH {SQL_CATS},
+cat AS (SELECT id FROM cats WHERE cat = 'AMERICA' AND sub_cat = 'NATION_1' LIMIT 1)
+SELECT c_custkey, c_name, (SELECT id FROM cat) AS asset_cat_id
+FROM customer WHERE c_nationkey = (SELECT id FROM cat)""")
+def q_lookup_scalar(spark, d):
+    cats = nation_categories(spark, d)
+    cat_id = lookup_scalar(cats.filter((F.col("cat") == "AMERICA") & (F.col("sub_cat") == "NATION_1")), "id")
+    c = table(spark, d, "customer").filter(F.col("c_nationkey") == F.lit(cat_id))
+    return add_constants(c.select("c_custkey", "c_name"), {"asset_cat_id": (cat_id, "bigint")})
+
+
+def order_periods(o: DataFrame) -> DataFrame:
+    """Orders keyed like statements: asset, fiscal year, quarter label."""
+    return o.withColumns({
+        "asset_id": F.col("o_custkey"),
+        "fiscal_year": F.year("o_orderdate").cast("bigint"),
+        "period": F.concat(F.lit("Q"), F.quarter("o_orderdate").cast("string")),
+    })
+
+
+@register("composite_key_map", """
+WITH p AS (SELECT min(o_orderkey) AS id, o_custkey AS asset_id, year(o_orderdate) AS fiscal_year,
+                  'Q' || quarter(o_orderdate) AS period
+           FROM orders WHERE o_orderstatus IN ('F', 'O') GROUP BY 2, 3, 4)
+SELECT o.o_orderkey, o.o_totalprice AS revenue, p.id AS reporting_period_id
+FROM orders o JOIN p ON p.asset_id = o.o_custkey AND p.fiscal_year = year(o.o_orderdate)
+                    AND p.period = 'Q' || quarter(o.o_orderdate)""")
+def q_composite_key_map(spark, d):
+    o = order_periods(table(spark, d, "orders"))
+    periods = (
+        o.filter(F.col("o_orderstatus").isin("F", "O"))
+        .groupBy("asset_id", "fiscal_year", "period")
+        .agg(F.min("o_orderkey").alias("id"))
+    )
+    payload = o.select("o_orderkey", "asset_id", "fiscal_year", "period", F.col("o_totalprice").alias("revenue"))
+    return to_period_id(payload, periods)
+
+
+# ---------------------------------------------------------------------------
+# A1, A2, A3/D3
+# ---------------------------------------------------------------------------
+@register("distinct_keys", "SELECT DISTINCT o_custkey FROM orders")
+def q_distinct_keys(spark, d):
+    return table(spark, d, "orders").select("o_custkey").distinct()
+
+
+@register("load_metrics", """
+SELECT count(*) AS rows, count(l.doc_id) AS labelled, count(*) FILTER (WHERE l.quality IS NULL) AS unlabelled,
+       count(*) FILTER (WHERE l.toxic = 1) AS toxic
+FROM documents d LEFT JOIN labels l USING (doc_id)""")
+def q_load_metrics(spark, d):
+    docs, labels = table(spark, d, "documents").select("doc_id"), table(spark, d, "labels")
+    joined = docs.join(labels.withColumn("_l", F.col("doc_id")), "doc_id", "left")
+    return joined.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count("_l").alias("labelled"),
+        F.count_if(F.col("quality").isNull()).alias("unlabelled"),
+        F.count_if(F.col("toxic") == 1).alias("toxic"),
+    )
+
+
+@register("reject_nulls", """
+SELECT d.doc_id, d.lang, d.source, l.quality
+FROM documents d LEFT JOIN labels l USING (doc_id) WHERE l.quality IS NULL""")
+def q_reject_nulls(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "lang", "source")
+    joined = docs.join(table(spark, d, "labels").select("doc_id", "quality"), "doc_id", "left")
+    _, rejects = split_null_keys(joined, "quality")
+    return rejects
+
+
+# ---------------------------------------------------------------------------
+# ordering
+# ---------------------------------------------------------------------------
+AS_OF_TEXT = "2002-01-01 00:00:00"
+
+
+@register("nth_latest", f"""
+WITH r AS (SELECT o_custkey, o_orderdate,
+                  row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC NULLS FIRST, o_orderkey DESC) AS rn
+           FROM orders),
+s AS (SELECT o_custkey, max(CASE WHEN rn = 2 THEN o_orderdate END) AS d, count(*) AS n
+      FROM r WHERE rn <= 2 GROUP BY o_custkey)
+SELECT c.c_custkey AS o_custkey, CASE WHEN s.n >= 2 THEN s.d ELSE TIMESTAMP '{AS_OF_TEXT}' END AS latest_report
+FROM customer c LEFT JOIN s ON s.o_custkey = c.c_custkey""")
+def q_nth_latest(spark, d):
+    o = table(spark, d, "orders")
+    second = nth_latest(o, "o_custkey", [("o_orderdate", "desc_nulls_first"), ("o_orderkey", "desc")], 2,
+                        "o_orderdate", out="second")
+    assets = table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"))
+    return assets.join(second, "o_custkey", "left").select(
+        "o_custkey",
+        F.when(F.col("_have") >= 2, F.col("second")).otherwise(ntz(AS_OF_TEXT)).alias("latest_report"),
+    )
+
+
+@register("topk_per_key", """
+SELECT o_custkey, o_orderkey, o_orderdate, rank FROM (
+  SELECT o_custkey, o_orderkey, o_orderdate,
+         row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) AS rank
+  FROM orders) WHERE rank <= 3""")
+def q_topk_per_key(spark, d):
+    o = table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
+    return top_k_per_key(o, "o_custkey", [("o_orderdate", "desc"), ("o_orderkey", "asc")], 3, rank_col="rank")
+
+
+@register("keep_last", """
+SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate ASC NULLS LAST, o_orderkey DESC) AS rn
+  FROM orders) WHERE rn = 1""")
+def q_keep_last(spark, d):
+    o = table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
+    return keep_last(o, "o_custkey", [("o_orderdate", "desc_nulls_first"), ("o_orderkey", "asc")])
+
+
+@register("row_index", """
+SELECT o_orderkey, o_orderdate,
+       row_number() OVER (ORDER BY o_orderdate DESC NULLS FIRST, o_orderkey) - 1 AS row_idx
+FROM orders""")
+def q_row_index(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey", "o_orderdate")
+    return with_row_index(o, [("o_orderdate", "desc_nulls_first"), ("o_orderkey", "asc")], "row_idx")
+
+
+@register("screener", """
+SELECT c_name AS symbol, c_acctbal * 1000000.0 AS market_cap,
+       CASE WHEN r_name = 'AMERICA' THEN 'US' ELSE 'XX' END AS country,
+       c_mktsegment = 'AUTOMOBILE' AS is_etf, c_mktsegment = 'FURNITURE' AS is_fund,
+       c_mktsegment <> 'HOUSEHOLD' AS is_actively_trading
+FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+WHERE c_acctbal * 1000000.0 > 1000000000 AND r_name = 'AMERICA'
+  AND c_mktsegment NOT IN ('AUTOMOBILE', 'FURNITURE', 'HOUSEHOLD')
+ORDER BY market_cap DESC, symbol LIMIT 100""")
+def q_screener(spark, d):
+    c, n, r = table(spark, d, "customer"), table(spark, d, "nation"), table(spark, d, "region")
+    rows = c.join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey).select(
+        F.col("c_name").alias("symbol"),
+        (F.col("c_acctbal") * 1000000.0).alias("market_cap"),
+        F.when(F.col("r_name") == "AMERICA", "US").otherwise("XX").alias("country"),
+        (F.col("c_mktsegment") == "AUTOMOBILE").alias("is_etf"),
+        (F.col("c_mktsegment") == "FURNITURE").alias("is_fund"),
+        (F.col("c_mktsegment") != "HOUSEHOLD").alias("is_actively_trading"),
+    )
+    return screen(rows, SCREEN_MIN_MKT_CAP, 100, country="US")
+
+
+RANGE_AS_OF = dt.date(2001, 8, 1)
+
+
+@register("recent_range", f"""
+SELECT o_orderkey, o_custkey, o_orderdate FROM orders
+WHERE o_orderdate >= TIMESTAMP '{RANGE_AS_OF - dt.timedelta(days=PRICE_DAYS)}'""")
+def q_recent_range(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    return since(o, "o_orderdate", RANGE_AS_OF, PRICE_DAYS)
+
+
+# ---------------------------------------------------------------------------
+# Nested series; S3/F10 JSON; S4 fan-out
+# ---------------------------------------------------------------------------
+def series_documents(spark: SparkSession, d: str) -> DataFrame:
+    """Series payload documents built from orders: one series per priority,
+    monthly totals as text, ``-`` for December (not yet published) and an
+    ``S`` period code for the low-priority series.  One document per
+    (series, year); each holds at most 12 observations."""
+    o = table(spark, d, "orders")
+    monthly = o.groupBy(
+        F.col("o_orderpriority").alias("sid"), F.year("o_orderdate").alias("y"), F.month("o_orderdate").alias("m")
+    ).agg(F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint")).alias("cents"))
+    obs = F.struct(
+        F.col("y").cast("string").alias("year"),
+        F.concat(F.when(F.col("sid") == "5-LOW", "S").otherwise("M"), F.lpad(F.col("m").cast("string"), 2, "0")).alias("period"),
+        F.date_format(F.make_date("y", "m", F.lit(1)), "MMMM").alias("periodName"),
+        F.when(F.col("m") == 12, "-").otherwise((F.col("cents") / F.lit(100.0)).cast("string")).alias("value"),
+    )
+    per_doc = monthly.groupBy("sid", "y").agg(F.collect_list(obs).alias("data"))
+    return per_doc.select(
+        F.lit(PAYLOAD_OK_STATUS).alias("status"),
+        F.struct(F.array(F.struct(F.col("sid").alias("seriesID"), F.col("data"))).alias("series")).alias("Results"),
+    )
+
+
+SQL_SERIES = """
+m AS (SELECT o_orderpriority AS sid, year(o_orderdate) AS y, month(o_orderdate) AS mo,
+             sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS cents
+      FROM orders GROUP BY 1, 2, 3),
+t AS (SELECT sid, y, mo,
+             CASE WHEN sid = '5-LOW' THEN 'S' ELSE 'M' END || lpad(CAST(mo AS VARCHAR), 2, '0') AS period,
+             strftime(make_date(y, mo, 1), '%B') AS pname,
+             CASE WHEN mo = 12 THEN '-' ELSE CAST(CAST(cents AS DOUBLE) / 100.0 AS VARCHAR) END AS vtext
+      FROM m),
+series AS (
+  SELECT sid AS series_id, CAST(y AS BIGINT) AS year, TRY_CAST(trim(period, 'M') AS BIGINT) AS month,
+         pname AS period_name, TRY_CAST(vtext AS DOUBLE) AS series_value
+  FROM t WHERE TRY_CAST(vtext AS DOUBLE) IS NOT NULL)"""
+
+
+@register("series_parse", f"""
+WITH {SQL_SERIES}
+SELECT *, CAST(year AS VARCHAR) || '-' || CAST(month AS VARCHAR) || '-14' AS ref_date FROM series""")
+def q_series_parse(spark, d):
+    docs = series_documents(spark, d)
+    require_status(docs, PAYLOAD_OK_STATUS)
+    return explode_series(docs)
+
+
+@register("json_payload", """
+SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events""")
+def q_json_payload(spark, d):
+    return parse_payload_column(table(spark, d, "events"), "props", "k bigint", keep=["event_id"])
+
+
+@register("fanout_keys", """
+SELECT event_id, user_id, event_type, value FROM events
+WHERE user_id IN (SELECT user_id FROM events WHERE event_type = 'purchase' AND value > 200)""")
+def q_fanout_keys(spark, d):
+    e = table(spark, d, "events").select("event_id", "user_id", "event_type", "value")
+    buyers = e.filter((F.col("event_type") == "purchase") & (F.col("value") > 200)).select("user_id")
+    return fan_out(e, "user_id", buyers)

@@ -120,7 +120,12 @@ def since(payload: DataFrame, date_col: str, as_of: dt.date | dt.datetime, days:
     """Rows dated within ``days`` before ``as_of`` (the price look-back)."""
     day = as_of.date() if isinstance(as_of, dt.datetime) else as_of
     start = day - dt.timedelta(days=days)
-    return payload.filter(F.col(date_col).try_cast("date") >= F.lit(start))
+    col = F.col(date_col)
+    if isinstance(payload.schema[date_col].dataType, T.StringType):
+        col = col.try_cast("date")
+    # On a typed date/timestamp column the comparison reaches the parquet scan
+    # as a pushed filter (and prunes date partitions).
+    return payload.filter(col >= F.lit(start))
 
 
 def restrict_symbols(payload: DataFrame, symbols: Sequence[str] | DataFrame | None, key: str = "symbol") -> DataFrame:
