@@ -25,6 +25,7 @@ from sparkledger.functions import (
 )
 from sparkledger.operators import (
     add_constants,
+    align_events,
     append,
     apply_schema,
     asset_map,
@@ -48,7 +49,15 @@ from sparkledger.operators import (
     upsert,
     with_row_index,
 )
-from sparkledger.schemas import PAYLOAD_OK_STATUS, PRICE_DAYS, SCREEN_MIN_MKT_CAP
+from sparkledger.plans.pipelines import future_placeholders
+from sparkledger.schemas import (
+    PAYLOAD_OK_STATUS,
+    PRICE_DAYS,
+    SCREEN_MIN_MKT_CAP,
+    SENTINEL_DATE,
+    SENTINEL_PERIOD,
+    SENTINEL_YEAR,
+)
 from sparkledger.sources import (
     describe_columns,
     explode_series,
@@ -667,3 +676,156 @@ def q_fanout_keys(spark, d):
     e = table(spark, d, "events").select("event_id", "user_id", "event_type", "value")
     buyers = e.filter((F.col("event_type") == "purchase") & (F.col("value") > 200)).select("user_id")
     return fan_out(e, "user_id", buyers)
+
+
+# ---------------------------------------------------------------------------
+# SQL builders for the oracle side of the pipelines
+# ---------------------------------------------------------------------------
+def sql_first_load(rows: str, keys: list[str], cols: list[str], pk: str = "id") -> str:
+    """Rows loaded into an empty table: ids 1.. in key order."""
+    return f"SELECT row_number() OVER (ORDER BY {', '.join(keys)}) AS {pk}, {', '.join(cols)} FROM {rows}"
+
+
+def sql_upsert(stored: str, incoming: str, keys: list[str], cols: list[str], inc_cols: list[str],
+               pk: str | None = None) -> str:
+    """Next snapshot: incoming wins on shared columns, absent columns kept,
+    new keys get ids after the stored maximum in key order."""
+    on = " AND ".join(f"s.{k} = i.{k}" for k in keys)
+    sel = []
+    for c in cols:
+        if c in keys:
+            sel.append(f"coalesce(s.{c}, i.{c}) AS {c}")
+        elif c in inc_cols:
+            sel.append(f"CASE WHEN i._in THEN i.{c} ELSE s.{c} END AS {c}")
+        else:
+            sel.append(f"s.{c} AS {c}")
+    pk_sel = f", s.{pk} AS _pk" if pk else ""
+    merged = (f"SELECT {', '.join(sel)}{pk_sel} FROM {stored} s FULL OUTER JOIN "
+              f"(SELECT {', '.join(inc_cols)}, TRUE AS _in FROM {incoming}) i ON {on}")
+    if not pk:
+        return merged
+    return (f"SELECT coalesce(_pk, (SELECT coalesce(max({pk}), 0) FROM {stored}) + row_number() OVER "
+            f"(PARTITION BY _pk IS NULL ORDER BY {', '.join(keys)})) AS {pk}, {', '.join(cols)} FROM ({merged})")
+
+
+def sql_align(ev: str, periods: str, as_of: str, tiebreak: list[str], payload_cols: list[str], tag: str) -> str:
+    """CTEs (suffix ``tag``) aligning ``ev`` (asset_id, accepted_date, payload)
+    with ``periods`` (id, asset_id, accepted_date); result CTE ``aligned_{tag}``."""
+    tb_asc = ", ".join(tiebreak)
+    tb_desc = ", ".join(f"{c} DESC" for c in tiebreak)
+    pc = ", ".join(payload_cols)
+    return f"""
+pr_{tag} AS (SELECT asset_id, accepted_date,
+             row_number() OVER (PARTITION BY asset_id ORDER BY accepted_date DESC NULLS FIRST, id DESC) AS rn
+             FROM {periods}),
+cut_{tag} AS (SELECT asset_id,
+              CASE WHEN count(*) FILTER (WHERE rn <= 2) >= 2 THEN max(CASE WHEN rn = 2 THEN accepted_date END)
+                   ELSE TIMESTAMP '{as_of}' END + INTERVAL 14 DAY AS cut
+              FROM pr_{tag} GROUP BY asset_id),
+e_{tag} AS (SELECT ev.*, asset_id IS NOT NULL AND coalesce(ev.accepted_date <= coalesce(c.cut,
+                 TIMESTAMP '{as_of}' + INTERVAL 14 DAY), FALSE) AS elig
+            FROM {ev} ev LEFT JOIN cut_{tag} c USING (asset_id)),
+er_{tag} AS (SELECT *, row_number() OVER (PARTITION BY asset_id ORDER BY accepted_date DESC NULLS FIRST, {tb_asc}) AS seq
+             FROM e_{tag} WHERE elig),
+pe_{tag} AS (SELECT p.id, p.asset_id,
+                    row_number() OVER (PARTITION BY p.asset_id ORDER BY p.accepted_date DESC NULLS FIRST, p.id DESC) AS seq
+             FROM {periods} p JOIN cut_{tag} c USING (asset_id) WHERE p.accepted_date <= c.cut),
+st_{tag} AS (SELECT er.asset_id, er.accepted_date, {", ".join("er." + c for c in payload_cols)}, pe.id AS matched
+             FROM er_{tag} er JOIN pe_{tag} pe USING (asset_id, seq)
+             UNION ALL
+             SELECT asset_id, accepted_date, {pc}, CAST(NULL AS BIGINT) FROM e_{tag} WHERE NOT elig),
+ph_{tag} AS (SELECT asset_id, max(id) AS ph_id FROM {periods}
+             WHERE accepted_date = TIMESTAMP '{SENTINEL_DATE}' GROUP BY asset_id),
+res_{tag} AS (SELECT st.*, coalesce(CASE WHEN matched IS NULL OR st.accepted_date = TIMESTAMP '{SENTINEL_DATE}'
+                                         THEN ph.ph_id END, matched) AS reporting_period_id
+              FROM st_{tag} st LEFT JOIN ph_{tag} ph USING (asset_id)),
+aligned_{tag} AS (SELECT reporting_period_id, {pc} FROM (
+    SELECT *, row_number() OVER (PARTITION BY reporting_period_id
+                                 ORDER BY accepted_date ASC NULLS LAST, {tb_desc}) AS k
+    FROM res_{tag} WHERE reporting_period_id IS NOT NULL) WHERE k = 1)"""
+
+
+# ---------------------------------------------------------------------------
+# T4 placeholders (U2) and J8 alignment on orders / lineitem
+# ---------------------------------------------------------------------------
+ALIGN_AS_OF = dt.datetime(2002, 1, 1)
+ALIGN_AS_OF_TEXT = "2002-01-01 00:00:00"
+
+
+def order_period_map(spark: SparkSession, d: str) -> DataFrame:
+    """Periods: one per order (id = order key, asset = customer, dated by the
+    order), plus a placeholder for each customer outside HOUSEHOLD."""
+    o = table(spark, d, "orders").select(
+        F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("asset_id"), F.col("o_orderdate").alias("accepted_date")
+    )
+    c = table(spark, d, "customer").filter(F.col("c_mktsegment") != "HOUSEHOLD")
+    ph = c.select((F.lit(-1) - F.col("c_custkey")).alias("id"), F.col("c_custkey").alias("asset_id"),
+                  ntz(f"{SENTINEL_DATE} 00:00:00").alias("accepted_date"))
+    return o.unionByName(ph)
+
+
+SQL_ORDER_PERIODS = f"""
+periods AS (SELECT o_orderkey AS id, o_custkey AS asset_id, o_orderdate AS accepted_date FROM orders
+            UNION ALL
+            SELECT -1 - c_custkey, c_custkey, TIMESTAMP '{SENTINEL_DATE}' FROM customer
+            WHERE c_mktsegment <> 'HOUSEHOLD')"""
+
+SHIP_NULL_FROM = "2001-08-01 00:00:00"
+
+
+def line_events(spark: SparkSession, d: str) -> DataFrame:
+    """Events: one per (order, line), dated by the ship date (null for lines
+    shipped from August 2001 on), owned by the order's customer."""
+    li = table(spark, d, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(
+        F.max("l_shipdate").alias("ship"), F.sum("l_quantity").alias("eps_actual"))
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    ev = li.join(o, li.l_orderkey == o.o_orderkey)
+    date = F.when(F.col("ship") >= ntz(SHIP_NULL_FROM), F.lit(None)).otherwise(F.col("ship"))
+    return ev.select(
+        F.col("o_custkey").alias("asset_id"), "l_orderkey", "l_linenumber",
+        date.alias("accepted_date"), date.cast("date").alias("ref_date"), "eps_actual",
+    )
+
+
+SQL_LINE_EVENTS = f"""
+li AS (SELECT l_orderkey, l_linenumber, max(l_shipdate) AS ship, sum(l_quantity) AS eps_actual
+       FROM lineitem GROUP BY 1, 2),
+ev AS (SELECT o.o_custkey AS asset_id, li.l_orderkey, li.l_linenumber,
+              CASE WHEN ship >= TIMESTAMP '{SHIP_NULL_FROM}' THEN NULL ELSE ship END AS accepted_date,
+              CAST(CASE WHEN ship >= TIMESTAMP '{SHIP_NULL_FROM}' THEN NULL ELSE ship END AS DATE) AS ref_date,
+              eps_actual
+       FROM li JOIN orders o ON o.o_orderkey = li.l_orderkey)"""
+
+
+@register("align_events", f"""
+WITH {SQL_ORDER_PERIODS}, {SQL_LINE_EVENTS},
+{sql_align("ev", "periods", ALIGN_AS_OF_TEXT, ["l_orderkey", "l_linenumber"],
+           ["l_orderkey", "l_linenumber", "ref_date", "eps_actual"], "a")}
+SELECT * FROM aligned_a""")
+def q_align_events(spark, d):
+    aligned, _ = align_events(
+        line_events(spark, d), order_period_map(spark, d), as_of=ALIGN_AS_OF,
+        tiebreak=["l_orderkey", "l_linenumber"],
+    )
+    return aligned
+
+
+@register("future_placeholder", f"""
+SELECT o_custkey AS asset_id, year(o_orderdate) AS fiscal_year, 'Q' || quarter(o_orderdate) AS period,
+       CAST(max(o_orderdate) AS DATE) AS end_date, CAST(max(o_orderdate) AS DATE) AS filing_date,
+       max(o_orderdate) AS accepted_date
+FROM orders GROUP BY 1, 2, 3
+UNION ALL
+SELECT c_custkey, {SENTINEL_YEAR}, '{SENTINEL_PERIOD}', NULL, DATE '{SENTINEL_DATE}', TIMESTAMP '{SENTINEL_DATE}'
+FROM customer WHERE c_mktsegment <> 'HOUSEHOLD'""")
+def q_future_placeholder(spark, d):
+    o = order_periods(table(spark, d, "orders"))
+    rows = o.groupBy("asset_id", "fiscal_year", "period").agg(F.max("o_orderdate").alias("accepted_date")).select(
+        "asset_id", "fiscal_year", "period",
+        F.col("accepted_date").cast("date").alias("end_date"),
+        F.col("accepted_date").cast("date").alias("filing_date"),
+        "accepted_date",
+    )
+    assets = table(spark, d, "customer").filter(F.col("c_mktsegment") != "HOUSEHOLD")
+    ph = future_placeholders(assets.select(F.col("c_custkey").alias("asset_id")), ts_type="timestamp_ntz")
+    return stack_diagonal([rows, ph])
