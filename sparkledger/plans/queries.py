@@ -49,11 +49,25 @@ from sparkledger.operators import (
     upsert,
     with_row_index,
 )
-from sparkledger.plans.pipelines import future_placeholders
+from sparkledger.plans.pipelines import (
+    apply_update,
+    asset_payload,
+    cpi_payload,
+    earning_payload,
+    future_placeholders,
+    period_payload,
+    price_payload,
+    profile_payload,
+    statement_payload,
+)
 from sparkledger.schemas import (
+    EARNING_ROWS,
     PAYLOAD_OK_STATUS,
     PRICE_DAYS,
+    SCREEN_LIMIT,
     SCREEN_MIN_MKT_CAP,
+    STATEMENT_PERIODS,
+    TABLE_SCHEMAS,
     SENTINEL_DATE,
     SENTINEL_PERIOD,
     SENTINEL_YEAR,
@@ -829,3 +843,329 @@ def q_future_placeholder(spark, d):
     assets = table(spark, d, "customer").filter(F.col("c_mktsegment") != "HOUSEHOLD")
     ph = future_placeholders(assets.select(F.col("c_custkey").alias("asset_id")), ts_type="timestamp_ntz")
     return stack_diagonal([rows, ph])
+
+
+# ---------------------------------------------------------------------------
+# T1-T9 on the test tables.  Each pipeline runs twice: an earlier fetch (data
+# dated before 1999, some values different) into an empty table, then the
+# current fetch; the query returns the snapshot after the second run.
+# ---------------------------------------------------------------------------
+EARLIER = "1999-01-01"
+PRICE_AS_OF = dt.date(2001, 8, 1)
+
+
+def empty_table(spark: SparkSession, name: str) -> DataFrame:
+    return spark.createDataFrame([], TABLE_SCHEMAS[name])
+
+
+def fin_map(spark: SparkSession, d: str, flag: str = "has_financials") -> DataFrame:
+    return asset_map(customer_assets(spark, d), nation_categories(spark, d), flag, cat="AMERICA")
+
+
+def sql_amap(name: str, flag_sql: str) -> str:
+    return f"""{name} AS (SELECT c_name AS symbol, c_custkey AS id
+  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+  WHERE r_name = 'AMERICA' AND {flag_sql})"""
+
+
+SQL_AMAP_FIN = sql_amap("amap", "c_acctbal > 0")
+SQL_AMAP_CHART = sql_amap("amapc", "c_mktsegment <> 'AUTOMOBILE'")
+
+CPI_COLS = ["year", "month", "series_id", "series_name", "series_value", "period_name", "ref_date"]
+CPI_KEYS = ["series_id", "year", "month"]
+
+
+@register("pipe_series", f"""
+WITH {SQL_SERIES},
+pay AS (SELECT year, month, series_id, 'cpi-u' AS series_name, series_value, period_name,
+               CAST(CAST(year AS VARCHAR) || '-' || CAST(month AS VARCHAR) || '-14' AS DATE) AS ref_date
+        FROM series WHERE month IS NOT NULL),
+r1 AS (SELECT year, month, series_id, series_name, series_value + 1.0 AS series_value, period_name, ref_date
+       FROM pay WHERE year < 1999),
+s1 AS ({sql_first_load("r1", CPI_KEYS, CPI_COLS)})
+{sql_upsert("s1", "pay", CPI_KEYS, CPI_COLS, CPI_COLS, pk="id")}""")
+def q_pipe_series(spark, d):
+    rows = explode_series(series_documents(spark, d))
+    first = cpi_payload(rows.filter(F.col("year") < 1999).withColumn("series_value", F.col("series_value") + 1.0))
+    s1 = apply_update(empty_table(spark, "cpi"), first, CPI_KEYS, pk="id").snapshot
+    return apply_update(s1, cpi_payload(rows), CPI_KEYS, pk="id").snapshot
+
+
+def screener_rows(spark: SparkSession, d: str) -> DataFrame:
+    c, n, r = table(spark, d, "customer"), table(spark, d, "nation"), table(spark, d, "region")
+    return c.join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey).select(
+        F.col("c_name").alias("symbol"),
+        (F.col("c_acctbal") * 1000000.0).alias("market_cap"),
+        F.when(F.col("r_name") == "AMERICA", "US").otherwise("XX").alias("country"),
+        (F.col("c_mktsegment") == "AUTOMOBILE").alias("is_etf"),
+        (F.col("c_mktsegment") == "FURNITURE").alias("is_fund"),
+        (F.col("c_mktsegment") != "HOUSEHOLD").alias("is_actively_trading"),
+    )
+
+
+def search_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Search results: per queried name the exact hit first, then a look-alike."""
+    c = table(spark, d, "customer")
+    hit = c.select(
+        F.col("c_name").alias("query"), F.col("c_name").alias("symbol"),
+        F.when(F.col("c_mktsegment") == "MACHINERY", "").otherwise(F.concat("c_name", F.lit(" Inc"))).alias("name"),
+        F.lit(1).alias("position"),
+    )
+    alt = c.select(F.col("c_name").alias("query"), F.concat("c_name", F.lit(".W")).alias("symbol"),
+                   F.lit("").alias("name"), F.lit(2).alias("position"))
+    return hit.unionByName(alt)
+
+
+ASSET_COLS = ["symbol", "description", "asset_cat_id", "has_financials", "has_chart"]
+
+
+@register("pipe_asset", f"""
+WITH {SQL_CATS},
+catid AS (SELECT id FROM cats WHERE cat = 'AMERICA' AND sub_cat = 'NATION_1'),
+search AS (SELECT c_name AS query, c_name AS symbol,
+                  CASE WHEN c_mktsegment = 'MACHINERY' THEN '' ELSE c_name || ' Inc' END AS name, 1 AS position
+           FROM customer
+           UNION ALL SELECT c_name, c_name || '.W', '', 2 FROM customer),
+hits AS (SELECT query, symbol, NULLIF(name, '') AS description FROM (
+           SELECT *, row_number() OVER (PARTITION BY query ORDER BY position) AS rn FROM search) WHERE rn = 1),
+screened AS (SELECT c_name AS symbol
+  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+  WHERE c_acctbal * 1000000.0 > 1000000000 AND r_name = 'AMERICA'
+    AND c_mktsegment NOT IN ('AUTOMOBILE', 'FURNITURE', 'HOUSEHOLD')
+  ORDER BY c_acctbal * 1000000.0 DESC, c_name LIMIT {SCREEN_LIMIT}),
+r1 AS (SELECT symbol, description, (SELECT id FROM catid) AS asset_cat_id, TRUE AS has_financials, TRUE AS has_chart
+       FROM hits WHERE query IN (SELECT c_name FROM customer WHERE c_mktsegment = 'BUILDING')),
+s1 AS ({sql_first_load("r1", ["symbol"], ASSET_COLS)}),
+r2 AS (SELECT symbol, description, (SELECT id FROM catid) AS asset_cat_id, TRUE AS has_financials, TRUE AS has_chart
+       FROM hits WHERE query IN (SELECT symbol FROM screened)),
+ins AS (SELECT * FROM r2 WHERE symbol NOT IN (SELECT symbol FROM s1))
+SELECT * FROM s1
+UNION ALL
+SELECT (SELECT coalesce(max(id), 0) FROM s1) + row_number() OVER (ORDER BY symbol), {", ".join(ASSET_COLS)} FROM ins""")
+def q_pipe_asset(spark, d):
+    cats = nation_categories(spark, d)
+    cat_id = lookup_scalar(cats.filter((F.col("cat") == "AMERICA") & (F.col("sub_cat") == "NATION_1")), "id")
+    search = search_rows(spark, d)
+    building = table(spark, d, "customer").filter(F.col("c_mktsegment") == "BUILDING").select(F.col("c_name").alias("symbol"))
+    s1 = apply_update(empty_table(spark, "asset"), asset_payload(search, building, cat_id), ["symbol"],
+                      pk="id", insert_only=True).snapshot
+    screened = screen(screener_rows(spark, d), SCREEN_MIN_MKT_CAP, SCREEN_LIMIT, "US").select("symbol")
+    return apply_update(s1, asset_payload(search, screened, cat_id), ["symbol"], pk="id", insert_only=True).snapshot
+
+
+PROFILE_COLS = ["asset_id", "company_name", "currency", "exchange", "industry", "sector", "country", "mkt_cap",
+                "price", "beta"]
+PROFILE_IN = ["asset_id", "company_name", "currency", "sector", "mkt_cap", "price"]
+
+
+def profile_rows(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "customer").select(
+        F.col("c_name").alias("symbol"), F.col("c_name").alias("company_name"),
+        F.when(F.col("c_mktsegment") == "MACHINERY", "").otherwise("USD").alias("currency"),
+        F.col("c_mktsegment").alias("sector"),
+        F.round(F.col("c_acctbal") * 100).cast("bigint").alias("mkt_cap"),
+        F.col("c_acctbal").alias("price"),
+    )
+
+
+@register("pipe_profile", f"""
+WITH {SQL_AMAP_FIN},
+pr AS (SELECT a.id AS asset_id, c_name AS company_name,
+              CASE WHEN c_mktsegment = 'MACHINERY' THEN NULL ELSE 'USD' END AS currency,
+              c_mktsegment AS sector, CAST(round(c_acctbal * 100) AS BIGINT) AS mkt_cap, c_acctbal AS price
+       FROM customer JOIN amap a ON a.symbol = c_name),
+s1 AS (SELECT asset_id, company_name, currency, CAST(NULL AS VARCHAR) AS exchange, CAST(NULL AS VARCHAR) AS industry,
+              sector, CAST(NULL AS VARCHAR) AS country, mkt_cap, price - 1.0 AS price, CAST(NULL AS DOUBLE) AS beta
+       FROM pr WHERE sector = 'BUILDING')
+{sql_upsert("s1", "pr", ["asset_id"], PROFILE_COLS, PROFILE_IN)}""")
+def q_pipe_profile(spark, d):
+    amap = fin_map(spark, d)
+    rows = profile_rows(spark, d)
+    first = profile_payload(rows.filter(F.col("sector") == "BUILDING").withColumn("price", F.col("price") - 1.0), amap)
+    s1 = apply_update(empty_table(spark, "equity_profile"), first, ["asset_id"]).snapshot
+    return apply_update(s1, profile_payload(rows, amap), ["asset_id"]).snapshot
+
+
+def statement_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Quarterly statements per customer built from its orders."""
+    o, c = table(spark, d, "orders"), table(spark, d, "customer")
+    g = o.join(c, o.o_custkey == c.c_custkey).groupBy(
+        F.col("c_name").alias("symbol"), "c_mktsegment",
+        F.year("o_orderdate").alias("y"), F.quarter("o_orderdate").alias("q"),
+    ).agg(
+        F.max("o_orderdate").alias("d"),
+        F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint")).alias("revenue"),
+        (F.count(F.lit(1)) * 1000).alias("net_income"),
+        (F.count(F.lit(1)) * 0.25).alias("eps"),
+    )
+    return g.select(
+        "symbol",
+        F.date_format("d", "yyyy-MM-dd").alias("date"),
+        F.col("y").cast("string").alias("fiscal_year"),
+        F.concat(F.lit("Q"), F.col("q").cast("string")).alias("period"),
+        F.date_format("d", "yyyy-MM-dd").alias("filing_date"),
+        F.date_format("d", "yyyy-MM-dd HH:mm:ss").alias("accepted_date"),
+        F.when(F.col("c_mktsegment") == "MACHINERY", "").otherwise("USD").alias("reported_currency"),
+        "revenue", "net_income", "eps",
+    )
+
+
+PERIOD_KEYS = ["asset_id", "fiscal_year", "period"]
+PERIOD_COLS = ["asset_id", "fiscal_year", "period", "end_date", "filing_date", "accepted_date"]
+
+
+def period_snapshot(spark: SparkSession, d: str) -> DataFrame:
+    amap = fin_map(spark, d)
+    rows = statement_rows(spark, d)
+    s1 = apply_update(empty_table(spark, "reporting_period"), period_payload(rows.filter(F.col("date") < EARLIER), amap),
+                      PERIOD_KEYS, pk="id").snapshot
+    return apply_update(s1, period_payload(rows, amap), PERIOD_KEYS, pk="id").snapshot
+
+
+def sql_top(rows: str, part: str, order: str, k: int, where: str = "TRUE") -> str:
+    return (f"(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {part} ORDER BY {order}) AS _rn "
+            f"FROM {rows} WHERE {where}) WHERE _rn <= {k})")
+
+
+SQL_PERIOD_CTES = f"""{SQL_AMAP_FIN},
+st AS (SELECT c.c_name AS symbol, year(o.o_orderdate) AS fiscal_year, 'Q' || quarter(o.o_orderdate) AS period,
+              max(o.o_orderdate) AS d, CAST(sum(CAST(round(o.o_totalprice * 100) AS BIGINT)) AS BIGINT) AS revenue,
+              count(*) * 1000 AS net_income, CAST(count(*) AS DOUBLE) * 0.25 AS eps
+       FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey GROUP BY 1, 2, 3),
+p_all AS (SELECT a.id AS asset_id, st.* FROM st JOIN amap a USING (symbol)),
+r1 AS (SELECT asset_id, fiscal_year, period, CAST(d AS DATE) AS end_date, CAST(d AS DATE) AS filing_date,
+              d AS accepted_date
+       FROM {sql_top("p_all", "asset_id", "d DESC, period", STATEMENT_PERIODS, f"d < TIMESTAMP '{EARLIER}'")}
+       UNION ALL
+       SELECT id, {SENTINEL_YEAR}, '{SENTINEL_PERIOD}', NULL, DATE '{SENTINEL_DATE}', TIMESTAMP '{SENTINEL_DATE}'
+       FROM amap),
+s1 AS ({sql_first_load("r1", PERIOD_KEYS, PERIOD_COLS)}),
+r2 AS (SELECT asset_id, fiscal_year, period, CAST(d AS DATE) AS end_date, CAST(d AS DATE) AS filing_date,
+              d AS accepted_date
+       FROM {sql_top("p_all", "asset_id", "d DESC, period", STATEMENT_PERIODS)}
+       UNION ALL
+       SELECT id, {SENTINEL_YEAR}, '{SENTINEL_PERIOD}', NULL, DATE '{SENTINEL_DATE}', TIMESTAMP '{SENTINEL_DATE}'
+       FROM amap),
+rp AS ({sql_upsert("s1", "r2", PERIOD_KEYS, PERIOD_COLS, PERIOD_COLS, pk="id")})"""
+
+
+@register("pipe_period", f"WITH {SQL_PERIOD_CTES}\nSELECT * FROM rp")
+def q_pipe_period(spark, d):
+    snap = period_snapshot(spark, d)
+    return snap.withColumn("accepted_date", F.col("accepted_date").cast("timestamp_ntz"))
+
+
+STATEMENT_COLS = ["reporting_period_id", "revenue", "cost_of_revenue", "gross_profit", "operating_income",
+                  "net_income", "eps", "eps_diluted"]
+STATEMENT_IN = ["reporting_period_id", "revenue", "net_income", "eps"]
+
+
+@register("pipe_statement", f"""
+WITH {SQL_PERIOD_CTES},
+q1 AS (SELECT rp.id AS reporting_period_id, t.revenue + 1 AS revenue, t.net_income, t.eps
+       FROM {sql_top("p_all", "asset_id", "d DESC, period", STATEMENT_PERIODS, f"d < TIMESTAMP '{EARLIER}'")} t
+       JOIN rp USING (asset_id, fiscal_year, period)),
+t1 AS (SELECT reporting_period_id, revenue, CAST(NULL AS BIGINT) AS cost_of_revenue,
+              CAST(NULL AS BIGINT) AS gross_profit, CAST(NULL AS BIGINT) AS operating_income, net_income, eps,
+              CAST(NULL AS DOUBLE) AS eps_diluted FROM q1),
+q2 AS (SELECT rp.id AS reporting_period_id, t.revenue, t.net_income, t.eps
+       FROM {sql_top("p_all", "asset_id", "d DESC, period", STATEMENT_PERIODS)} t
+       JOIN rp USING (asset_id, fiscal_year, period))
+{sql_upsert("t1", "q2", ["reporting_period_id"], STATEMENT_COLS, STATEMENT_IN)}""")
+def q_pipe_statement(spark, d):
+    amap, periods = fin_map(spark, d), period_snapshot(spark, d)
+    rows = statement_rows(spark, d)
+    early = rows.filter(F.col("date") < EARLIER).withColumn("revenue", F.col("revenue") + 1)
+    s1 = apply_update(empty_table(spark, "income_statement"), statement_payload(early, amap, periods),
+                      ["reporting_period_id"]).snapshot
+    return apply_update(s1, statement_payload(rows, amap, periods), ["reporting_period_id"]).snapshot
+
+
+def price_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Daily rows per customer: order totals as the close, order count as volume."""
+    o, c = table(spark, d, "orders"), table(spark, d, "customer")
+    g = o.join(c, o.o_custkey == c.c_custkey).groupBy(F.col("c_name").alias("symbol"), F.col("o_orderdate").alias("day")).agg(
+        F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint")).alias("cents"), F.count(F.lit(1)).alias("volume"))
+    return g.select("symbol", F.date_format("day", "yyyy-MM-dd").alias("date"),
+                    (F.col("cents") / 100.0).alias("close"), "volume")
+
+
+PRICE_KEYS = ["asset_id", "end_date"]
+PRICE_COLS = ["asset_id", "end_date", "open", "high", "low", "close", "volume"]
+PRICE_IN = ["asset_id", "end_date", "close", "volume"]
+
+
+@register("pipe_price", f"""
+WITH {SQL_AMAP_CHART},
+pdays AS (SELECT c_name AS symbol, o_orderdate AS day, sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS cents,
+                 count(*) AS volume
+          FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY 1, 2),
+pp AS (SELECT a.id AS asset_id, CAST(day AS DATE) AS end_date, CAST(cents AS DOUBLE) / 100.0 AS close, volume, day
+       FROM pdays JOIN amapc a USING (symbol)
+       WHERE day >= TIMESTAMP '{PRICE_AS_OF - dt.timedelta(days=PRICE_DAYS)}'),
+r1 AS (SELECT asset_id, end_date, CAST(NULL AS DOUBLE) AS open, CAST(NULL AS DOUBLE) AS high,
+              CAST(NULL AS DOUBLE) AS low, close + 1.0 AS close, volume
+       FROM pp WHERE day < TIMESTAMP '{EARLIER}'),
+s1 AS ({sql_first_load("r1", PRICE_KEYS, PRICE_COLS)})
+{sql_upsert("s1", "pp", PRICE_KEYS, PRICE_COLS, PRICE_IN, pk="id")}""")
+def q_pipe_price(spark, d):
+    amap = fin_map(spark, d, "has_chart")
+    rows = price_rows(spark, d)
+    early = rows.filter(F.col("date") < EARLIER).withColumn("close", F.col("close") + 1.0)
+    s1 = apply_update(empty_table(spark, "eod_price"), price_payload(early, amap, PRICE_AS_OF), PRICE_KEYS,
+                      pk="id").snapshot
+    return apply_update(s1, price_payload(rows, amap, PRICE_AS_OF), PRICE_KEYS, pk="id").snapshot
+
+
+def earning_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Earnings reports: one per (order, line), dated by the ship date (blank
+    from August 2001 on), quantity as EPS and extended price as revenue."""
+    li = table(spark, d, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(
+        F.max("l_shipdate").alias("ship"), F.sum("l_quantity").alias("eps_actual"),
+        F.sum(F.round(F.col("l_extendedprice") * 100).cast("bigint")).alias("revenue_actual"))
+    o, c = table(spark, d, "orders"), table(spark, d, "customer")
+    ev = li.join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey)
+    return ev.select(
+        F.col("c_name").alias("symbol"),
+        F.when(F.col("ship") >= ntz(SHIP_NULL_FROM), "").otherwise(F.date_format("ship", "yyyy-MM-dd")).alias("date"),
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("report_id"),
+        "eps_actual", "revenue_actual",
+    )
+
+
+EARNING_COLS = ["reporting_period_id", "ref_date", "eps_actual", "eps_estimated", "revenue_actual",
+                "revenue_estimated"]
+EARNING_IN = ["reporting_period_id", "ref_date", "eps_actual", "revenue_actual"]
+EARNING_TB = ["eps_actual", "report_id", "revenue_actual"]
+
+
+def sql_earning_run(tag: str, where: str) -> str:
+    top = sql_top("er", "symbol", "NULLIF(date_text, '') DESC NULLS LAST, " + ", ".join(EARNING_TB), EARNING_ROWS, where)
+    return f"""
+ein_{tag} AS (SELECT a.id AS asset_id, CAST(NULLIF(date_text, '') AS TIMESTAMP) AS accepted_date,
+                     CAST(NULLIF(date_text, '') AS DATE) AS ref_date, eps_actual, report_id, revenue_actual
+              FROM {top} x JOIN amap a USING (symbol)),
+{sql_align(f"ein_{tag}", "rp", ALIGN_AS_OF_TEXT, EARNING_TB, EARNING_TB + ["ref_date"], tag)}"""
+
+
+@register("pipe_earning", f"""
+WITH {SQL_PERIOD_CTES},
+eli AS (SELECT l_orderkey, l_linenumber, max(l_shipdate) AS ship, sum(l_quantity) AS qty,
+               CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS cents
+        FROM lineitem GROUP BY 1, 2),
+er AS (SELECT c.c_name AS symbol,
+              CASE WHEN ship >= TIMESTAMP '{SHIP_NULL_FROM}' THEN '' ELSE strftime(ship, '%Y-%m-%d') END AS date_text,
+              l_orderkey * 8 + l_linenumber AS report_id, qty AS eps_actual, cents AS revenue_actual
+       FROM eli JOIN orders o ON o.o_orderkey = eli.l_orderkey JOIN customer c ON c.c_custkey = o.o_custkey),
+{sql_earning_run("r1", f"date_text < '{EARLIER}'")},
+{sql_earning_run("r2", "TRUE")},
+t1 AS (SELECT reporting_period_id, ref_date, eps_actual, CAST(NULL AS DOUBLE) AS eps_estimated, revenue_actual,
+              CAST(NULL AS BIGINT) AS revenue_estimated FROM aligned_r1)
+{sql_upsert("t1", "aligned_r2", ["reporting_period_id"], EARNING_COLS, EARNING_IN)}""")
+def q_pipe_earning(spark, d):
+    amap, periods = fin_map(spark, d), period_snapshot(spark, d)
+    rows = earning_rows(spark, d)
+    a1, _ = earning_payload(rows.filter(F.col("date") < EARLIER), amap, periods, ALIGN_AS_OF)
+    s1 = apply_update(empty_table(spark, "earning"), a1, ["reporting_period_id"]).snapshot
+    a2, _ = earning_payload(rows, amap, periods, ALIGN_AS_OF)
+    return apply_update(s1, a2, ["reporting_period_id"]).snapshot
