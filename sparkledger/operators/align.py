@@ -74,10 +74,14 @@ def align_events(
     # Assets without periods fall back to as_of; null keys never qualify.
     default_cut = plus_interval(F.lit(as_of).cast("timestamp"), grace)
 
-    ev = events.join(cuts, on=key, how="left").withColumn(
+    # A null cut (second-newest period undated) makes nothing eligible; only an
+    # asset with no period row at all falls back to as_of.
+    marked = cuts.withColumn("_has_cut", F.lit(True))
+    cut = F.when(F.col("_has_cut"), F.col("_cut")).otherwise(default_cut)
+    ev = events.join(marked, on=key, how="left").withColumn(
         "_elig",
-        F.col(key).isNotNull() & F.coalesce(F.col(date) <= F.coalesce("_cut", default_cut), F.lit(False)),
-    ).drop("_cut")
+        F.col(key).isNotNull() & F.coalesce(F.col(date) <= cut, F.lit(False)),
+    ).drop("_cut", "_has_cut")
     per = p.join(cuts, on=key, how="inner").filter(F.col(date) <= F.col("_cut")).drop("_cut")
 
     newest_first = [(date, "desc_nulls_first")]

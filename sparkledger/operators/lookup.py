@@ -19,14 +19,23 @@ from sparkledger.operators.ranking import keep_first
 BROADCAST_MAX_ROWS = 1_000_000
 
 
+_BOUND_CHECKS: dict[tuple[int, int], bool] = {}
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Hint a broadcast only if ``df`` provably has at most ``max_rows`` rows.
 
     The check reads at most ``max_rows + 1`` rows (the limit stops early).
+    Its outcome is remembered per analysed plan: inputs are immutable
+    snapshots (the store never rewrites a version), so the same plan cannot
+    grow within a session.  Above the bound the join is left to the planner
+    (sort-merge, or a runtime broadcast chosen by AQE from measured sizes).
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    key = (df.semanticHash(), max_rows)
+    small = _BOUND_CHECKS.get(key)
+    if small is None:
+        small = _BOUND_CHECKS[key] = df.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if small else df
 
 
 def map_values(

@@ -53,12 +53,21 @@ def upsert(
 
     ``pk`` names a surrogate id column the payload does not carry; new rows get
     ids after the stored maximum (or from ``first_id`` when the table is empty).
+    Ids are numbered on the new *keys* only (a keys-only anti-join), joined to
+    the payload side, and the snapshot is then one full outer join -- the
+    large merge runs once.
     """
     k = _keys(keys)
     shared = [c for c in incoming.columns if c in stored.columns and c != pk]
-    inc = apply_schema(incoming.select(*shared), stored).withColumn("_in", F.lit(True))
-    cur = stored.withColumn("_st", F.lit(True))
-    s, i = cur.alias("s"), inc.alias("i")
+    inc = apply_schema(incoming.select(*shared), stored)
+    if pk is not None:
+        top = stored.agg(F.max(pk)).collect()[0][0]
+        start = (top + 1) if top is not None else (first_id if first_id is not None else 1)
+        fresh = inc.select(*k).join(stored.select(*k), on=k, how="left_anti").distinct()
+        ids = with_row_index(fresh, [(c, "asc") for c in k], name="_new_id", start=start)
+        inc = inc.join(ids, on=k, how="left")
+    inc = inc.withColumn("_in", F.lit(True))
+    s, i = stored.alias("s"), inc.alias("i")
     cond = None
     for c in k:
         e = F.col(f"s.{c}") == F.col(f"i.{c}")
@@ -68,15 +77,10 @@ def upsert(
     for c in stored.columns:
         if c in k:
             cols.append(F.coalesce(F.col(f"s.{c}"), F.col(f"i.{c}")).alias(c))
+        elif c == pk:
+            cols.append(F.coalesce(F.col(f"s.{c}"), F.col("i._new_id")).alias(c))
         elif c in shared:
             cols.append(F.when(F.col("i._in").isNotNull(), F.col(f"i.{c}")).otherwise(F.col(f"s.{c}")).alias(c))
         else:
             cols.append(F.col(f"s.{c}").alias(c))
-    merged = joined.select(*cols, F.col("s._st").isNull().alias("_new"))
-    if pk is None:
-        return merged.drop("_new")
-    top = stored.agg(F.max(pk)).collect()[0][0]
-    start = (top + 1) if top is not None else (first_id if first_id is not None else 1)
-    old = merged.filter(~F.col("_new")).drop("_new")
-    new = with_row_index(merged.filter(F.col("_new")).drop("_new", pk), [(c, "asc") for c in k], name=pk, start=start)
-    return old.unionByName(new.select(*stored.columns))
+    return joined.select(*cols)

@@ -72,6 +72,7 @@ from sparkledger.schemas import (
     SENTINEL_PERIOD,
     SENTINEL_YEAR,
 )
+from sparkledger.session import cut_lineage
 from sparkledger.sources import (
     describe_columns,
     explode_series,
@@ -736,8 +737,8 @@ cut_{tag} AS (SELECT asset_id,
               CASE WHEN count(*) FILTER (WHERE rn <= 2) >= 2 THEN max(CASE WHEN rn = 2 THEN accepted_date END)
                    ELSE TIMESTAMP '{as_of}' END + INTERVAL 14 DAY AS cut
               FROM pr_{tag} GROUP BY asset_id),
-e_{tag} AS (SELECT ev.*, asset_id IS NOT NULL AND coalesce(ev.accepted_date <= coalesce(c.cut,
-                 TIMESTAMP '{as_of}' + INTERVAL 14 DAY), FALSE) AS elig
+e_{tag} AS (SELECT ev.*, asset_id IS NOT NULL AND coalesce(ev.accepted_date <= CASE WHEN c.asset_id IS NOT NULL
+                 THEN c.cut ELSE TIMESTAMP '{as_of}' + INTERVAL 14 DAY END, FALSE) AS elig
             FROM {ev} ev LEFT JOIN cut_{tag} c USING (asset_id)),
 er_{tag} AS (SELECT *, row_number() OVER (PARTITION BY asset_id ORDER BY accepted_date DESC NULLS FIRST, {tb_asc}) AS seq
              FROM e_{tag} WHERE elig),
@@ -858,6 +859,12 @@ def empty_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.createDataFrame([], TABLE_SCHEMAS[name])
 
 
+def as_stored(df: DataFrame) -> DataFrame:
+    """Stands in for a table written by an earlier run: materialised once in
+    the checkpoint folder, so later steps read it instead of re-deriving it."""
+    return cut_lineage(df)
+
+
 def fin_map(spark: SparkSession, d: str, flag: str = "has_financials") -> DataFrame:
     return asset_map(customer_assets(spark, d), nation_categories(spark, d), flag, cat="AMERICA")
 
@@ -887,7 +894,7 @@ s1 AS ({sql_first_load("r1", CPI_KEYS, CPI_COLS)})
 def q_pipe_series(spark, d):
     rows = explode_series(series_documents(spark, d))
     first = cpi_payload(rows.filter(F.col("year") < 1999).withColumn("series_value", F.col("series_value") + 1.0))
-    s1 = apply_update(empty_table(spark, "cpi"), first, CPI_KEYS, pk="id").snapshot
+    s1 = as_stored(apply_update(empty_table(spark, "cpi"), first, CPI_KEYS, pk="id").snapshot)
     return apply_update(s1, cpi_payload(rows), CPI_KEYS, pk="id").snapshot
 
 
@@ -947,8 +954,8 @@ def q_pipe_asset(spark, d):
     cat_id = lookup_scalar(cats.filter((F.col("cat") == "AMERICA") & (F.col("sub_cat") == "NATION_1")), "id")
     search = search_rows(spark, d)
     building = table(spark, d, "customer").filter(F.col("c_mktsegment") == "BUILDING").select(F.col("c_name").alias("symbol"))
-    s1 = apply_update(empty_table(spark, "asset"), asset_payload(search, building, cat_id), ["symbol"],
-                      pk="id", insert_only=True).snapshot
+    s1 = as_stored(apply_update(empty_table(spark, "asset"), asset_payload(search, building, cat_id), ["symbol"],
+                                pk="id", insert_only=True).snapshot)
     screened = screen(screener_rows(spark, d), SCREEN_MIN_MKT_CAP, SCREEN_LIMIT, "US").select("symbol")
     return apply_update(s1, asset_payload(search, screened, cat_id), ["symbol"], pk="id", insert_only=True).snapshot
 
@@ -982,7 +989,7 @@ def q_pipe_profile(spark, d):
     amap = fin_map(spark, d)
     rows = profile_rows(spark, d)
     first = profile_payload(rows.filter(F.col("sector") == "BUILDING").withColumn("price", F.col("price") - 1.0), amap)
-    s1 = apply_update(empty_table(spark, "equity_profile"), first, ["asset_id"]).snapshot
+    s1 = as_stored(apply_update(empty_table(spark, "equity_profile"), first, ["asset_id"]).snapshot)
     return apply_update(s1, profile_payload(rows, amap), ["asset_id"]).snapshot
 
 
@@ -1017,8 +1024,8 @@ PERIOD_COLS = ["asset_id", "fiscal_year", "period", "end_date", "filing_date", "
 def period_snapshot(spark: SparkSession, d: str) -> DataFrame:
     amap = fin_map(spark, d)
     rows = statement_rows(spark, d)
-    s1 = apply_update(empty_table(spark, "reporting_period"), period_payload(rows.filter(F.col("date") < EARLIER), amap),
-                      PERIOD_KEYS, pk="id").snapshot
+    s1 = as_stored(apply_update(empty_table(spark, "reporting_period"),
+                                period_payload(rows.filter(F.col("date") < EARLIER), amap), PERIOD_KEYS, pk="id").snapshot)
     return apply_update(s1, period_payload(rows, amap), PERIOD_KEYS, pk="id").snapshot
 
 
@@ -1073,11 +1080,11 @@ q2 AS (SELECT rp.id AS reporting_period_id, t.revenue, t.net_income, t.eps
        JOIN rp USING (asset_id, fiscal_year, period))
 {sql_upsert("t1", "q2", ["reporting_period_id"], STATEMENT_COLS, STATEMENT_IN)}""")
 def q_pipe_statement(spark, d):
-    amap, periods = fin_map(spark, d), period_snapshot(spark, d)
+    amap, periods = fin_map(spark, d), as_stored(period_snapshot(spark, d))
     rows = statement_rows(spark, d)
     early = rows.filter(F.col("date") < EARLIER).withColumn("revenue", F.col("revenue") + 1)
-    s1 = apply_update(empty_table(spark, "income_statement"), statement_payload(early, amap, periods),
-                      ["reporting_period_id"]).snapshot
+    s1 = as_stored(apply_update(empty_table(spark, "income_statement"), statement_payload(early, amap, periods),
+                                ["reporting_period_id"]).snapshot)
     return apply_update(s1, statement_payload(rows, amap, periods), ["reporting_period_id"]).snapshot
 
 
@@ -1112,8 +1119,8 @@ def q_pipe_price(spark, d):
     amap = fin_map(spark, d, "has_chart")
     rows = price_rows(spark, d)
     early = rows.filter(F.col("date") < EARLIER).withColumn("close", F.col("close") + 1.0)
-    s1 = apply_update(empty_table(spark, "eod_price"), price_payload(early, amap, PRICE_AS_OF), PRICE_KEYS,
-                      pk="id").snapshot
+    s1 = as_stored(apply_update(empty_table(spark, "eod_price"), price_payload(early, amap, PRICE_AS_OF), PRICE_KEYS,
+                                pk="id").snapshot)
     return apply_update(s1, price_payload(rows, amap, PRICE_AS_OF), PRICE_KEYS, pk="id").snapshot
 
 
@@ -1163,9 +1170,9 @@ t1 AS (SELECT reporting_period_id, ref_date, eps_actual, CAST(NULL AS DOUBLE) AS
               CAST(NULL AS BIGINT) AS revenue_estimated FROM aligned_r1)
 {sql_upsert("t1", "aligned_r2", ["reporting_period_id"], EARNING_COLS, EARNING_IN)}""")
 def q_pipe_earning(spark, d):
-    amap, periods = fin_map(spark, d), period_snapshot(spark, d)
+    amap, periods = fin_map(spark, d), as_stored(period_snapshot(spark, d))
     rows = earning_rows(spark, d)
     a1, _ = earning_payload(rows.filter(F.col("date") < EARLIER), amap, periods, ALIGN_AS_OF)
-    s1 = apply_update(empty_table(spark, "earning"), a1, ["reporting_period_id"]).snapshot
+    s1 = as_stored(apply_update(empty_table(spark, "earning"), a1, ["reporting_period_id"]).snapshot)
     a2, _ = earning_payload(rows, amap, periods, ALIGN_AS_OF)
     return apply_update(s1, a2, ["reporting_period_id"]).snapshot

@@ -24,6 +24,9 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # MIN/MAX/COUNT over a parquet scan (e.g. the stored max id) are answered
+    # from file footers instead of reading the column.
+    "spark.sql.parquet.aggregatePushdown": "true",
 }
 
 
