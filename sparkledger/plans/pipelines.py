@@ -246,8 +246,10 @@ class Ledger:
         self.landing = landing.rstrip("/")
         self.as_of = as_of
 
-    def _payload(self, endpoint: str, schema: T.StructType | None = None) -> DataFrame:
-        return read_payload(self.spark, f"{self.landing}/{endpoint}", schema)
+    def _payload(self, endpoint: str, given: DataFrame | None = None) -> DataFrame:
+        """The landed rows of ``endpoint``, or ``given`` rows (e.g. one
+        micro-batch of new files from the streaming runner)."""
+        return given if given is not None else read_payload(self.spark, f"{self.landing}/{endpoint}")
 
     def _commit(self, table: str, result: UpdateResult) -> dict[str, int]:
         version = self.store.commit(table, result.snapshot)
@@ -269,40 +271,44 @@ class Ledger:
         result = apply_update(stored, rows, list(keys or TABLE_KEYS["cpi"]), pk="id")
         return self._commit("cpi", result)
 
-    def update_asset(self, symbols: Sequence[str] | None = None) -> dict[str, int]:
+    def update_asset(self, symbols: Sequence[str] | None = None, payload: DataFrame | None = None) -> dict[str, int]:
         cats = self.store.read("asset_cat")
         cat_id = lookup_scalar(cats.filter((F.col("cat") == ASSET_CAT) & (F.col("sub_cat") == ASSET_SUB_CAT)), "id")
         if not symbols:
-            screened = screen(self._payload("screener"), SCREEN_MIN_MKT_CAP, SCREEN_LIMIT, SCREEN_COUNTRY)
+            screened = screen(read_payload(self.spark, f"{self.landing}/screener"), SCREEN_MIN_MKT_CAP,
+                              SCREEN_LIMIT, SCREEN_COUNTRY)
             wanted: DataFrame | Sequence[str] = screened.select("symbol")
         else:
             wanted = list(symbols)
-        rows = asset_payload(self._payload("search"), wanted, cat_id)
+        rows = asset_payload(self._payload("search", payload), wanted, cat_id)
         return self._update("asset", rows, insert_only=True)
 
-    def update_equity_profile(self, symbols: Sequence[str] | None = None) -> dict[str, int]:
-        rows = profile_payload(self._payload("profile"), self._amap("has_financials", symbols))
+    def update_equity_profile(self, symbols: Sequence[str] | None = None,
+                              payload: DataFrame | None = None) -> dict[str, int]:
+        rows = profile_payload(self._payload("profile", payload), self._amap("has_financials", symbols))
         return self._update("equity_profile", rows)
 
-    def update_reporting_period(self, symbols: Sequence[str] | None = None) -> dict[str, int]:
-        rows = period_payload(self._payload("income_statement"), self._amap("has_financials", symbols))
+    def update_reporting_period(self, symbols: Sequence[str] | None = None,
+                                payload: DataFrame | None = None) -> dict[str, int]:
+        rows = period_payload(self._payload("income_statement", payload), self._amap("has_financials", symbols))
         return self._update("reporting_period", rows)
 
-    def update_statement(self, table: str, symbols: Sequence[str] | None = None) -> dict[str, int]:
-        rows = statement_payload(self._payload(STATEMENT_TABLES[table]), self._amap("has_financials", symbols),
+    def update_statement(self, table: str, symbols: Sequence[str] | None = None,
+                         payload: DataFrame | None = None) -> dict[str, int]:
+        rows = statement_payload(self._payload(STATEMENT_TABLES[table], payload), self._amap("has_financials", symbols),
                                  self.store.read("reporting_period"))
         return self._update(table, rows)
 
-    def update_earning(self, symbols: Sequence[str] | None = None) -> dict[str, int]:
-        aligned, rejects = earning_payload(self._payload("earnings"), self._amap("has_financials", symbols),
+    def update_earning(self, symbols: Sequence[str] | None = None, payload: DataFrame | None = None) -> dict[str, int]:
+        aligned, rejects = earning_payload(self._payload("earnings", payload), self._amap("has_financials", symbols),
                                            self.store.read("reporting_period"), self.as_of)
         result = apply_update(self.store.read("earning"), aligned, TABLE_KEYS["earning"])
         out = self._commit("earning", result)
         out["unaligned"] = rejects.count()
         return out
 
-    def update_eod_price(self, symbols: Sequence[str] | None = None) -> dict[str, int]:
-        rows = price_payload(self._payload("historical_price"), self._amap("has_chart", symbols), self.as_of)
+    def update_eod_price(self, symbols: Sequence[str] | None = None, payload: DataFrame | None = None) -> dict[str, int]:
+        rows = price_payload(self._payload("historical_price", payload), self._amap("has_chart", symbols), self.as_of)
         return self._update("eod_price", rows)
 
     def update_all(self, symbols: Sequence[str] | None = None) -> dict[str, dict[str, int]]:
