@@ -117,14 +117,6 @@ def with_row_index(df: DataFrame, order: Order, name: str = "row_idx", start: in
     )
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
-    cond = None
-    for c in cols:
-        e = left[c].eqNullSafe(right[c])
-        cond = e if cond is None else cond & e
-    return cond
-
-
 def sequence_within(
     df: DataFrame,
     keys: Sequence[str] | str,
@@ -149,14 +141,16 @@ def sequence_within(
         F.row_number().over(Window.partitionBy("_sl_part", *k).orderBy("_sl_pos")).cast("bigint"),
     )
     counts = placed.groupBy("_sl_part", *k).agg(F.count(F.lit(1)).alias("_sl_n"))
-    spanning = counts.groupBy(*k).agg(F.count(F.lit(1)).alias("_sl_tasks")).filter(F.col("_sl_tasks") > 1)
-    span_counts = counts.join(spanning.select(*k), _null_safe_on(counts, spanning, k), "left_semi")
-    before = Window.partitionBy(*k).orderBy("_sl_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = span_counts.select(
+    per_key = Window.partitionBy(*k)
+    before = per_key.orderBy("_sl_part").rowsBetween(Window.unboundedPreceding, -1)
+    # Keys spread over several tasks; each task holds at most two of them (its
+    # first and last key), so this table has at most 2 x tasks rows.
+    offsets = counts.select(
         F.col("_sl_part").alias("_o_part"),
         *[F.col(c).alias(f"_o_{c}") for c in k],
         F.coalesce(F.sum("_sl_n").over(before), F.lit(0)).alias("_sl_off"),
-    )
+        F.count(F.lit(1)).over(per_key).alias("_sl_tasks"),
+    ).filter(F.col("_sl_tasks") > 1).drop("_sl_tasks")
     cond = local["_sl_part"] == offsets["_o_part"]
     for c in k:
         cond = cond & local[c].eqNullSafe(offsets[f"_o_{c}"])
