@@ -48,6 +48,7 @@ def upsert(
     keys: Iterable[str] | str,
     pk: str | None = None,
     first_id: int | None = None,
+    scope: str | None = None,
 ) -> DataFrame:
     """Next snapshot of ``stored`` after applying ``incoming`` on ``keys``.
 
@@ -56,13 +57,35 @@ def upsert(
     Ids are numbered on the new *keys* only (a keys-only anti-join), joined to
     the payload side, and the snapshot is then one full outer join -- the
     large merge runs once.
+
+    ``scope`` names a key column the payload covers as a range (a date, a
+    year, a period id).  Stored rows outside the payload's ``[min, max]`` of
+    it cannot match a payload key, so they bypass the join and are passed
+    through without a shuffle; the range filter reaches the parquet scan and
+    skips row groups of snapshots written clustered by that column.
     """
     k = _keys(keys)
+    if scope is not None and scope not in k:
+        raise ValueError(f"scope column {scope!r} must be one of the keys {k}")
     shared = [c for c in incoming.columns if c in stored.columns and c != pk]
     inc = apply_schema(incoming.select(*shared), stored)
+    start = None
     if pk is not None:
         top = stored.agg(F.max(pk)).collect()[0][0]
         start = (top + 1) if top is not None else (first_id if first_id is not None else 1)
+    if scope is not None:
+        lo, hi = inc.agg(F.min(scope), F.max(scope)).first()
+        if lo is None:
+            return stored
+        inside = F.col(scope).between(F.lit(lo), F.lit(hi))
+        passed = stored.filter(~inside | F.col(scope).isNull())
+        return _merge(stored.filter(inside), inc, k, shared, pk, start).unionByName(passed)
+    return _merge(stored, inc, k, shared, pk, start)
+
+
+def _merge(stored: DataFrame, inc: DataFrame, k: list[str], shared: list[str], pk: str | None,
+           start: int | None) -> DataFrame:
+    if pk is not None:
         fresh = inc.select(*k).join(stored.select(*k), on=k, how="left_anti").distinct()
         ids = with_row_index(fresh, [(c, "asc") for c in k], name="_new_id", start=start)
         inc = inc.join(ids, on=k, how="left")

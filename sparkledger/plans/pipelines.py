@@ -59,6 +59,7 @@ from sparkledger.schemas import (
     SENTINEL_YEAR,
     STATEMENT_PERIODS,
     TABLE_KEYS,
+    TABLE_SCOPE,
     TABLES_WITH_ID,
 )
 from sparkledger.sources import (
@@ -89,6 +90,7 @@ def apply_update(
     keys: Sequence[str],
     pk: str | None = None,
     insert_only: bool = False,
+    scope: str | None = None,
 ) -> UpdateResult:
     """Diff ``payload`` against ``stored`` on ``keys`` and build the next snapshot.
 
@@ -96,7 +98,8 @@ def apply_update(
     table's types (strict).  Rows with a null key are rejected, duplicate keys
     in the payload collapse to one row (a deterministic choice over the other
     columns; the window shares the join's hash partitioning, so it adds no
-    shuffle).  New keys get ``pk`` ids after the stored maximum.
+    shuffle).  New keys get ``pk`` ids after the stored maximum.  ``scope``
+    (a key column) limits the merge to the payload's range of it.
     """
     keys = list(keys)
     cols, _, incoming = common_columns(stored.schema, stored, payload, keys)
@@ -114,7 +117,7 @@ def apply_update(
         snapshot = append(stored, inserts)
         updates = updates.limit(0)
     else:
-        snapshot = upsert(stored, good, keys, pk=pk)
+        snapshot = upsert(stored, good, keys, pk=pk, scope=scope)
     return UpdateResult(snapshot, inserts, updates, rejects)
 
 
@@ -252,7 +255,7 @@ class Ledger:
         return given if given is not None else read_payload(self.spark, f"{self.landing}/{endpoint}")
 
     def _commit(self, table: str, result: UpdateResult) -> dict[str, int]:
-        version = self.store.commit(table, result.snapshot)
+        version = self.store.commit(table, result.snapshot, cluster_by=TABLE_SCOPE.get(table))
         return {"version": version, "rejects": result.rejects.count()}
 
     def _amap(self, flag: str, symbols: Sequence[str] | None) -> DataFrame:
@@ -260,7 +263,8 @@ class Ledger:
 
     def _update(self, table: str, payload: DataFrame, insert_only: bool = False) -> dict[str, int]:
         pk = "id" if table in TABLES_WITH_ID else None
-        result = apply_update(self.store.read(table), payload, TABLE_KEYS[table], pk=pk, insert_only=insert_only)
+        result = apply_update(self.store.read(table), payload, TABLE_KEYS[table], pk=pk, insert_only=insert_only,
+                              scope=TABLE_SCOPE.get(table))
         return self._commit(table, result)
 
     def update_cpi(self, num_years: int = CPI_YEARS, series_ids: Sequence[str] = (CPI_SERIES_ID,),
@@ -268,7 +272,7 @@ class Ledger:
         first = self.as_of.year - num_years + 1
         rows = cpi_payload(read_series(self.spark, f"{self.landing}/cpi"), (first, self.as_of.year), series_ids)
         stored = self.store.read("cpi")
-        result = apply_update(stored, rows, list(keys or TABLE_KEYS["cpi"]), pk="id")
+        result = apply_update(stored, rows, list(keys or TABLE_KEYS["cpi"]), pk="id", scope="year")
         return self._commit("cpi", result)
 
     def update_asset(self, symbols: Sequence[str] | None = None, payload: DataFrame | None = None) -> dict[str, int]:
@@ -302,7 +306,8 @@ class Ledger:
     def update_earning(self, symbols: Sequence[str] | None = None, payload: DataFrame | None = None) -> dict[str, int]:
         aligned, rejects = earning_payload(self._payload("earnings", payload), self._amap("has_financials", symbols),
                                            self.store.read("reporting_period"), self.as_of)
-        result = apply_update(self.store.read("earning"), aligned, TABLE_KEYS["earning"])
+        result = apply_update(self.store.read("earning"), aligned, TABLE_KEYS["earning"],
+                              scope=TABLE_SCOPE["earning"])
         out = self._commit("earning", result)
         out["unaligned"] = rejects.count()
         return out

@@ -895,7 +895,7 @@ def q_pipe_series(spark, d):
     rows = explode_series(series_documents(spark, d))
     first = cpi_payload(rows.filter(F.col("year") < 1999).withColumn("series_value", F.col("series_value") + 1.0))
     s1 = as_stored(apply_update(empty_table(spark, "cpi"), first, CPI_KEYS, pk="id").snapshot)
-    return apply_update(s1, cpi_payload(rows), CPI_KEYS, pk="id").snapshot
+    return apply_update(s1, cpi_payload(rows), CPI_KEYS, pk="id", scope="year").snapshot
 
 
 def screener_rows(spark: SparkSession, d: str) -> DataFrame:
@@ -1026,7 +1026,7 @@ def period_snapshot(spark: SparkSession, d: str) -> DataFrame:
     rows = statement_rows(spark, d)
     s1 = as_stored(apply_update(empty_table(spark, "reporting_period"),
                                 period_payload(rows.filter(F.col("date") < EARLIER), amap), PERIOD_KEYS, pk="id").snapshot)
-    return apply_update(s1, period_payload(rows, amap), PERIOD_KEYS, pk="id").snapshot
+    return apply_update(s1, period_payload(rows, amap), PERIOD_KEYS, pk="id", scope="fiscal_year").snapshot
 
 
 def sql_top(rows: str, part: str, order: str, k: int, where: str = "TRUE") -> str:
@@ -1085,7 +1085,8 @@ def q_pipe_statement(spark, d):
     early = rows.filter(F.col("date") < EARLIER).withColumn("revenue", F.col("revenue") + 1)
     s1 = as_stored(apply_update(empty_table(spark, "income_statement"), statement_payload(early, amap, periods),
                                 ["reporting_period_id"]).snapshot)
-    return apply_update(s1, statement_payload(rows, amap, periods), ["reporting_period_id"]).snapshot
+    return apply_update(s1, statement_payload(rows, amap, periods), ["reporting_period_id"],
+                        scope="reporting_period_id").snapshot
 
 
 def price_rows(spark: SparkSession, d: str) -> DataFrame:
@@ -1121,7 +1122,7 @@ def q_pipe_price(spark, d):
     early = rows.filter(F.col("date") < EARLIER).withColumn("close", F.col("close") + 1.0)
     s1 = as_stored(apply_update(empty_table(spark, "eod_price"), price_payload(early, amap, PRICE_AS_OF), PRICE_KEYS,
                                 pk="id").snapshot)
-    return apply_update(s1, price_payload(rows, amap, PRICE_AS_OF), PRICE_KEYS, pk="id").snapshot
+    return apply_update(s1, price_payload(rows, amap, PRICE_AS_OF), PRICE_KEYS, pk="id", scope="end_date").snapshot
 
 
 def earning_rows(spark: SparkSession, d: str) -> DataFrame:
@@ -1175,4 +1176,4 @@ def q_pipe_earning(spark, d):
     a1, _ = earning_payload(rows.filter(F.col("date") < EARLIER), amap, periods, ALIGN_AS_OF)
     s1 = as_stored(apply_update(empty_table(spark, "earning"), a1, ["reporting_period_id"]).snapshot)
     a2, _ = earning_payload(rows, amap, periods, ALIGN_AS_OF)
-    return apply_update(s1, a2, ["reporting_period_id"]).snapshot
+    return apply_update(s1, a2, ["reporting_period_id"], scope="reporting_period_id").snapshot

@@ -48,6 +48,18 @@ TABLE_KEYS = {
     "earning": ["reporting_period_id"],
     "eod_price": ["asset_id", "end_date"],
 }
+# Key column each payload covers as a range (a look-back window, recent
+# years, recent periods): upserts merge only that range and snapshots are
+# written clustered by it so the range filter skips the rest.
+TABLE_SCOPE = {
+    "cpi": "year",
+    "reporting_period": "fiscal_year",
+    "income_statement": "reporting_period_id",
+    "balance_sheet_statement": "reporting_period_id",
+    "cash_flow_statement": "reporting_period_id",
+    "earning": "reporting_period_id",
+    "eod_price": "end_date",
+}
 # Tables whose rows carry their own surrogate ``id`` (assigned on insert).
 TABLES_WITH_ID = {"cpi", "asset", "reporting_period", "eod_price"}
 

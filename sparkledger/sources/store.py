@@ -48,9 +48,17 @@ class SnapshotStore:
             return self.spark.createDataFrame([], self.schemas[table])
         return self.spark.read.parquet(self._path(table, v))
 
-    def commit(self, table: str, df: DataFrame, partition_by: list[str] | None = None) -> int:
-        """Write ``df`` as the next version and mark it committed."""
+    def commit(self, table: str, df: DataFrame, partition_by: list[str] | None = None,
+               cluster_by: str | None = None) -> int:
+        """Write ``df`` as the next version and mark it committed.
+
+        ``cluster_by`` sorts rows inside each write task (no shuffle), so every
+        parquet row group covers a narrow range of that column and range
+        filters on later reads skip the others.
+        """
         v = self.version(table) + 1
+        if cluster_by:
+            df = df.sortWithinPartitions(cluster_by)
         writer = df.write.mode("errorifexists")
         if partition_by:
             writer = writer.partitionBy(*partition_by)

@@ -73,3 +73,16 @@ def test_append_and_update_non_null(spark):
     right = spark.createDataFrame([("AAPL", None), ("NVDA", "NVIDIA Corp")], "symbol string, description string")
     upd = update_non_null(old, right, "symbol")
     assert rows(upd, "symbol", "description") == [("AAPL", "Apple"), ("GOOGL", "Alphabet"), ("NVDA", "NVIDIA Corp")]
+
+
+def test_scoped_upsert_equals_full_merge(spark):
+    stored = spark.createDataFrame(
+        [(i, 1 + i % 3, 2000 + i % 10, f"v{i}") for i in range(60)], "id long, asset long, year long, val string"
+    ).dropDuplicates(["asset", "year"])
+    incoming = spark.createDataFrame(
+        [(a, y, f"n{a}{y}") for a in (1, 2, 4) for y in (2007, 2008, 2009, 2010)], "asset long, year long, val string")
+    full = upsert(stored, incoming, ["asset", "year"], pk="id")
+    scoped = upsert(stored, incoming, ["asset", "year"], pk="id", scope="year")
+    assert rows(scoped) == rows(full)
+    empty = spark.createDataFrame([], "asset long, year long, val string")
+    assert rows(upsert(stored, empty, ["asset", "year"], pk="id", scope="year")) == rows(stored)
