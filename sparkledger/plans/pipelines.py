@@ -71,6 +71,7 @@ from sparkledger.sources import (
     screen,
     since,
 )
+from sparkledger.session import cut_lineage
 from sparkledger.sources.landing import fan_out
 
 
@@ -107,6 +108,10 @@ def apply_update(
     good, rejects = split_null_keys(incoming, keys)
     others = [c for c in cols if c not in keys]
     good = keep_first(good, keys, [(c, "asc_nulls_last") for c in others]) if others else good.dropDuplicates(keys)
+    # The prepared payload (parsed JSON, mapped keys, casts) feeds the range
+    # probe, the new-key numbering and the merge: materialise it once rather
+    # than re-deriving it from the landing files for each.
+    good = cut_lineage(good)
     inserts = new_rows(stored, good, keys)
     updates = updated_rows(stored, good, keys)
     if insert_only:

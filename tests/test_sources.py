@@ -102,3 +102,15 @@ def test_snapshot_store_versions(spark, scratch):
     more = store.read("asset_cat").unionByName(spark.createDataFrame([(2, "Equity", "Tech")], store.schemas["asset_cat"]))
     assert store.commit("asset_cat", more) == 2
     assert store.read("asset_cat").count() == 2
+
+
+def test_table_handle_and_observed_metrics(spark):
+    from sparkledger.operators import key_metrics
+    from sparkledger.sources import table_handle
+
+    df = spark.createDataFrame([(1, "a"), (None, "b"), (3, None)], "k long, v string")
+    df.createOrReplaceGlobalTempView("ledger_handle")
+    assert table_handle(spark, "global_temp", "ledger_handle").count() == 3
+    observed, obs = key_metrics(df, "k")
+    assert observed.count() == 3          # the metrics ride on this action
+    assert obs.get == {"rows": 3, "null_keys": 1}
