@@ -21,7 +21,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkledger.functions.dates import plus_interval
@@ -29,6 +29,12 @@ from sparkledger.operators.ranking import keep_first, nth_latest, sequence_withi
 from sparkledger.schemas import ALIGN_GRACE, SENTINEL_DATE
 
 
+def instant(value: dt.datetime) -> Column:
+    """A wall-clock instant as a timestamp literal read in the session zone
+    (not converted through the Python process's local zone)."""
+    return F.lit(value.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp")
+
+
 def period_cutoffs(
     periods: DataFrame,
     key: str,
@@ -42,7 +48,7 @@ def period_cutoffs(
     second = nth_latest(
         periods, key, [(date, "desc_nulls_first"), (period_id, "desc")], 2, date, out="_second"
     )
-    base = F.when(F.col("_have") >= 2, F.col("_second")).otherwise(F.lit(as_of).cast("timestamp"))
+    base = F.when(F.col("_have") >= 2, F.col("_second")).otherwise(instant(as_of))
     return second.select(key, plus_interval(base, grace).alias("_cut"))
 
 
@@ -72,7 +78,7 @@ def align_events(
     p = periods.select(period_id, key, date)
     cuts = period_cutoffs(p, key, date, period_id, as_of, grace)
     # Assets without periods fall back to as_of; null keys never qualify.
-    default_cut = plus_interval(F.lit(as_of).cast("timestamp"), grace)
+    default_cut = plus_interval(instant(as_of), grace)
 
     # A null cut (second-newest period undated) makes nothing eligible; only an
     # asset with no period row at all falls back to as_of.
