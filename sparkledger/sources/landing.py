@@ -23,13 +23,17 @@ from sparkledger.operators.ranking import top_k_per_key
 from sparkledger.schemas import CPI_DAY_OF_MONTH, PAYLOAD_OK_STATUS, SERIES_PAYLOAD_SCHEMA
 
 
-def read_payload(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_payload(spark: SparkSession, path: str, schema: T.StructType | None = None,
+                 json_lines: bool = False) -> DataFrame:
     """JSON arrays of objects (one file per response) -> rows, snake_case names.
 
     Give ``schema`` (payload field names) in production to skip inference; an
-    empty folder with a schema yields zero rows with those columns.
+    empty folder with a schema yields zero rows with those columns.  A file
+    holding one JSON array cannot be split between tasks, so large landings
+    should be many files, or JSON Lines (``json_lines=True``), which Spark
+    splits by byte range.
     """
-    reader = spark.read.option("multiLine", "true")
+    reader = spark.read.option("multiLine", "false" if json_lines else "true")
     if schema is not None:
         reader = reader.schema(schema)
     return snake_columns(reader.json(path))

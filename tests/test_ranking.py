@@ -60,3 +60,20 @@ def test_nth_latest_with_default(spark):
     assert out[1] == (20, 2)
     assert out[2] == (None, 1)      # fewer than two rows: caller substitutes a default
     assert out[3] == (7, 2)         # a null date sorts newest
+
+
+def test_hot_key_is_spread_over_tasks(spark):
+    """A key holding a third of the rows lands in several range partitions,
+    so no single task numbers the whole group."""
+    from pyspark.sql import functions as F
+
+    from sparkledger.operators.ranking import _range_placed
+
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"), F.col("id").alias("d"))
+    placed = _range_placed(df, [F.col("k").asc(), F.col("d").desc()], 8)
+    tasks = placed.filter("k = 0").select("_sl_part").distinct().count()
+    assert tasks >= 3
+    seq = {r.d: r.seq for r in sequence_within(df, "k", [("d", "desc")], parts=8).filter("k = 0").collect()}
+    assert sorted(seq.values()) == list(range(1, 1001))
+    assert seq[2997] == 1 and seq[0] == 1000

@@ -114,3 +114,11 @@ def test_table_handle_and_observed_metrics(spark):
     observed, obs = key_metrics(df, "k")
     assert observed.count() == 3          # the metrics ride on this action
     assert obs.get == {"rows": 3, "null_keys": 1}
+
+
+def test_read_payload_json_lines(spark, scratch):
+    os.makedirs(f"{scratch}/jl")
+    with open(f"{scratch}/jl/a.json", "w") as f:
+        f.write('{"symbol": "AAPL", "netIncome": 1}\n{"symbol": "MSFT", "netIncome": 2}\n')
+    df = read_payload(spark, f"{scratch}/jl", json_lines=True)
+    assert rows(df, "symbol", "net_income") == [("AAPL", 1), ("MSFT", 2)]
