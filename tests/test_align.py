@@ -117,3 +117,34 @@ def test_align_without_placeholder_rejects_future(spark):
     kept, rejects = run(spark, events, periods)
     assert (kept, rejects) == brute_force(events, periods)
     assert rejects == [2]
+
+
+def dts(*days):
+    return [D0 + dt.timedelta(days=d) for d in days]
+
+
+@pytest.mark.parametrize("n_events", [2, 3, 4])
+def test_align_event_list_shorter_equal_longer(spark, n_events):
+    # Three reported periods plus a placeholder; cut-off = newest report + 2 weeks.
+    periods = [(10 + i, 1, d) for i, d in enumerate(dts(0, 90, 180))] + [(99, 1, SENT)]
+    events = [(i + 1, 1, d) for i, d in enumerate(dts(185, 95, 5, -85)[:n_events])]
+    kept, rejects = run(spark, events, periods)
+    assert (kept, rejects) == brute_force(events, periods)
+    # newest event pairs with the newest period, and so on down the list
+    assert kept[12] == 1 and kept[11] == 2
+    assert (10 in kept) == (n_events >= 3)
+    assert 99 not in kept            # no estimates: the placeholder stays unused
+
+
+def test_align_single_period_and_two_estimates(spark):
+    periods = [(10, 1, dts(0)[0]), (99, 1, SENT)]
+    events = [(1, 1, dts(3)[0]), (2, 1, dts(200)[0]), (3, 1, dts(100)[0])]
+    kept, rejects = run(spark, events, periods)
+    assert kept == {10: 1, 99: 3}    # the nearer of the two estimates survives
+    assert (kept, rejects) == brute_force(events, periods)
+
+
+def test_align_tied_dates(spark):
+    periods = [(10, 1, dts(0)[0]), (11, 1, dts(0)[0]), (99, 1, SENT)]
+    events = [(1, 1, dts(1)[0]), (2, 1, dts(1)[0])]
+    assert run(spark, events, periods) == brute_force(events, periods)
