@@ -21,7 +21,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from sparkledger.functions.dates import plus_interval
@@ -64,6 +64,7 @@ def align_events(
     tiebreak: Sequence[str],
     grace: str = ALIGN_GRACE,
     sentinel: str = SENTINEL_DATE,
+    observation: Observation | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Return ``(aligned, rejects)``.
 
@@ -72,6 +73,9 @@ def align_events(
     carry ``period_id``, ``key`` and ``date``; placeholders are dated at the
     sentinel.  ``aligned`` has ``out`` plus the payload columns; ``key`` and
     ``date`` are dropped.  ``rejects`` keep every column and ``out`` (null).
+    With ``observation``, the counts of resolved rows and of rows left without
+    an id (``resolved``, ``unaligned``) are collected by whichever action runs
+    ``aligned`` -- no separate pass.
     """
     tb = list(tiebreak)
     sentinel_ts = F.lit(sentinel).cast("timestamp")
@@ -116,6 +120,9 @@ def align_events(
         "left",
     )
     resolved = with_ph.withColumn(out, F.coalesce("_ph_id", "_matched")).drop("_ph_key", "_ph_id", "_matched")
+    if observation is not None:
+        resolved = resolved.observe(
+            observation, F.count(F.lit(1)).alias("resolved"), F.count_if(F.col(out).isNull()).alias("unaligned"))
 
     rejects = resolved.filter(F.col(out).isNull()).withColumn(date, F.col("_orig_date")).drop("_orig_date")
     good = resolved.filter(F.col(out).isNotNull())

@@ -19,7 +19,7 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -83,6 +83,7 @@ class UpdateResult:
     inserts: DataFrame
     updates: DataFrame
     rejects: DataFrame
+    metrics: Observation  # payload rows and null-key rejects, filled without an extra pass
 
 
 def apply_update(
@@ -105,6 +106,11 @@ def apply_update(
     keys = list(keys)
     cols, _, incoming = common_columns(stored.schema, stored, payload, keys)
     incoming = apply_schema(incoming, stored)
+    metrics = Observation("payload")
+    any_null = F.lit(False)
+    for k in keys:
+        any_null = any_null | F.col(k).isNull()
+    incoming = incoming.observe(metrics, F.count(F.lit(1)).alias("rows"), F.count_if(any_null).alias("rejects"))
     good, rejects = split_null_keys(incoming, keys)
     others = [c for c in cols if c not in keys]
     good = keep_first(good, keys, [(c, "asc_nulls_last") for c in others]) if others else good.dropDuplicates(keys)
@@ -123,7 +129,7 @@ def apply_update(
         updates = updates.limit(0)
     else:
         snapshot = upsert(stored, good, keys, pk=pk, scope=scope)
-    return UpdateResult(snapshot, inserts, updates, rejects)
+    return UpdateResult(snapshot, inserts, updates, rejects, metrics)
 
 
 def attach_asset_id(rows: DataFrame, amap: DataFrame, symbol: str = "symbol", out: str = "asset_id") -> DataFrame:
@@ -212,7 +218,7 @@ def statement_payload(statement_rows: DataFrame, amap: DataFrame, periods: DataF
 # Earnings aligned with reporting periods
 # ---------------------------------------------------------------------------
 def earning_payload(earning_rows: DataFrame, amap: DataFrame, periods: DataFrame,
-                    as_of: dt.datetime) -> tuple[DataFrame, DataFrame]:
+                    as_of: dt.datetime, observation: Observation | None = None) -> tuple[DataFrame, DataFrame]:
     """Newest 22 earnings per symbol, aligned to periods; ``(aligned, rejects)``."""
     # Payload fields other than symbol and date break ties between same-day rows.
     tiebreak = sorted(c for c in earning_rows.columns if c not in ("symbol", "date"))
@@ -222,7 +228,8 @@ def earning_payload(earning_rows: DataFrame, amap: DataFrame, periods: DataFrame
         "ref_date": lenient_date("date"),
         "accepted_date": lenient_utc_timestamp("date"),
     }).drop("date")
-    return align_events(rows, periods.select("id", "asset_id", "accepted_date"), as_of=as_of, tiebreak=tiebreak)
+    return align_events(rows, periods.select("id", "asset_id", "accepted_date"), as_of=as_of, tiebreak=tiebreak,
+                        observation=observation)
 
 
 # ---------------------------------------------------------------------------
@@ -261,7 +268,7 @@ class Ledger:
 
     def _commit(self, table: str, result: UpdateResult) -> dict[str, int]:
         version = self.store.commit(table, result.snapshot, cluster_by=TABLE_SCOPE.get(table))
-        return {"version": version, "rejects": result.rejects.count()}
+        return {"version": version, **result.metrics.get}
 
     def _amap(self, flag: str, symbols: Sequence[str] | None) -> DataFrame:
         return asset_map(self.store.read("asset"), self.store.read("asset_cat"), flag, ASSET_CAT, symbols)
@@ -309,12 +316,13 @@ class Ledger:
         return self._update(table, rows)
 
     def update_earning(self, symbols: Sequence[str] | None = None, payload: DataFrame | None = None) -> dict[str, int]:
-        aligned, rejects = earning_payload(self._payload("earnings", payload), self._amap("has_financials", symbols),
-                                           self.store.read("reporting_period"), self.as_of)
+        seen = Observation("alignment")
+        aligned, _ = earning_payload(self._payload("earnings", payload), self._amap("has_financials", symbols),
+                                     self.store.read("reporting_period"), self.as_of, observation=seen)
         result = apply_update(self.store.read("earning"), aligned, TABLE_KEYS["earning"],
                               scope=TABLE_SCOPE["earning"])
         out = self._commit("earning", result)
-        out["unaligned"] = rejects.count()
+        out["unaligned"] = seen.get["unaligned"]
         return out
 
     def update_eod_price(self, symbols: Sequence[str] | None = None, payload: DataFrame | None = None) -> dict[str, int]:

@@ -95,3 +95,11 @@ def test_symbol_subset_and_unknown(spark, ledger):
     assert ledger.store.read("reporting_period").select("asset_id").distinct().count() == 1
     with pytest.raises(ValueError):
         ledger.update_equity_profile(["AAPL", "ZZZZ"])
+
+
+def test_update_reports_counts_without_extra_pass(spark, ledger):
+    ledger.update_asset()
+    ledger.update_reporting_period()
+    out = ledger.update_earning()
+    assert out["rows"] == 3 * 5 and out["rejects"] == 0
+    assert out["unaligned"] == 0
