@@ -20,11 +20,12 @@ from sparkledger.sources.tables import (
     read_jdbc,
     read_table,
     records_to_df,
+    small_rows,
     table_handle,
 )
 
 __all__ = [
     "SnapshotStore", "column_types", "describe_columns", "explode_series", "fan_out", "first_match",
     "list_tables", "newest_per_symbol", "parse_payload_column", "read_jdbc", "read_payload",
-    "read_series", "read_table", "records_to_df", "restrict_symbols", "screen", "since", "table_handle",
+    "read_series", "read_table", "records_to_df", "restrict_symbols", "screen", "since", "small_rows", "table_handle",
 ]

@@ -48,6 +48,18 @@ def records_to_df(spark: SparkSession, records: Iterable[Mapping[str, object]] |
     return spark.createDataFrame(rows, schema)
 
 
+def small_rows(df: DataFrame, max_rows: int = 10_000) -> list[dict[str, object]]:
+    """A small lookup's rows as dicts on the driver.
+
+    Guarded: at most ``max_rows + 1`` rows are fetched, and a larger result
+    raises instead of pulling an unbounded table through the driver.
+    """
+    got = df.limit(max_rows + 1).collect()
+    if len(got) > max_rows:
+        raise ValueError(f"lookup returned more than {max_rows} rows; join instead of collecting")
+    return [r.asDict() for r in got]
+
+
 def list_tables(spark: SparkSession) -> list[tuple[str, str]]:
     """``(database, table)`` pairs known to the catalog."""
     out = []

@@ -122,3 +122,12 @@ def test_read_payload_json_lines(spark, scratch):
         f.write('{"symbol": "AAPL", "netIncome": 1}\n{"symbol": "MSFT", "netIncome": 2}\n')
     df = read_payload(spark, f"{scratch}/jl", json_lines=True)
     assert rows(df, "symbol", "net_income") == [("AAPL", 1), ("MSFT", 2)]
+
+
+def test_small_rows_guard(spark):
+    from sparkledger.sources import small_rows
+
+    df = spark.range(5).withColumnRenamed("id", "k")
+    assert small_rows(df) == [{"k": i} for i in range(5)]
+    with pytest.raises(ValueError):
+        small_rows(df, max_rows=3)
