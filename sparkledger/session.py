@@ -65,8 +65,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
-    else:
+    elif sc.master.startswith("local"):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="sparkledger-ckpt-", dir=os.environ.get("TMPDIR", "/tmp")))
+    else:
+        # A machine-local folder is invisible to other executors.
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster")
     return sc.getCheckpointDir()
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
@@ -59,11 +59,12 @@ class SnapshotStore:
         v = self.version(table) + 1
         if cluster_by:
             df = df.sortWithinPartitions(cluster_by)
-        writer = df.write.mode("errorifexists")
+        written = Observation(f"{table}_v{v}")
+        writer = df.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(self._path(table, v))
-        rows = self.spark.read.parquet(self._path(table, v)).count()
+        rows = written.get["rows"]  # counted by the write itself
         marker = self.spark.createDataFrame([(v, rows, dt.datetime.now(dt.timezone.utc))], _MARKER)
         marker.coalesce(1).write.mode("append").parquet(f"{self.root}/{table}/_commits")
         return v
