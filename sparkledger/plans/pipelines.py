@@ -36,6 +36,7 @@ from sparkledger.operators import (
     keep_first,
     lookup_scalar,
     new_rows,
+    require_status,
     split_null_keys,
     stack_diagonal,
     to_period_id,
@@ -50,6 +51,7 @@ from sparkledger.schemas import (
     CPI_SERIES_NAME,
     CPI_YEARS,
     EARNING_ROWS,
+    PAYLOAD_OK_STATUS,
     PRICE_DAYS,
     SCREEN_COUNTRY,
     SCREEN_LIMIT,
@@ -64,6 +66,7 @@ from sparkledger.schemas import (
 )
 from sparkledger.sources import (
     SnapshotStore,
+    explode_series,
     first_match,
     newest_per_symbol,
     read_payload,
@@ -280,9 +283,15 @@ class Ledger:
         return self._commit(table, result)
 
     def update_cpi(self, num_years: int = CPI_YEARS, series_ids: Sequence[str] = (CPI_SERIES_ID,),
-                   keys: Sequence[str] | None = None) -> dict[str, int]:
+                   keys: Sequence[str] | None = None, documents: DataFrame | None = None) -> dict[str, int]:
+        """``documents``: nested series documents to use instead of the landing folder."""
         first = self.as_of.year - num_years + 1
-        rows = cpi_payload(read_series(self.spark, f"{self.landing}/cpi"), (first, self.as_of.year), series_ids)
+        if documents is None:
+            series = read_series(self.spark, f"{self.landing}/cpi")
+        else:
+            require_status(documents, PAYLOAD_OK_STATUS)
+            series = explode_series(documents)
+        rows = cpi_payload(series, (first, self.as_of.year), series_ids)
         stored = self.store.read("cpi")
         result = apply_update(stored, rows, list(keys or TABLE_KEYS["cpi"]), pk="id", scope="year")
         return self._commit("cpi", result)

@@ -19,13 +19,16 @@ from sparkledger.functions.names import snake_columns
 from sparkledger.plans.pipelines import Ledger
 
 ENDPOINT_UPDATES: dict[str, Callable[[Ledger, DataFrame], dict]] = {
-    "search": lambda ledger, rows: ledger.update_asset(payload=rows),
-    "profile": lambda ledger, rows: ledger.update_equity_profile(payload=rows),
-    "income_statement": lambda ledger, rows: ledger.update_reporting_period(payload=rows),
-    "balance_sheet_statement": lambda ledger, rows: ledger.update_statement("balance_sheet_statement", payload=rows),
-    "cash_flow_statement": lambda ledger, rows: ledger.update_statement("cash_flow_statement", payload=rows),
-    "earnings": lambda ledger, rows: ledger.update_earning(payload=rows),
-    "historical_price": lambda ledger, rows: ledger.update_eod_price(payload=rows),
+    "cpi": lambda ledger, docs: ledger.update_cpi(documents=docs),
+    "search": lambda ledger, rows: ledger.update_asset(payload=snake_columns(rows)),
+    "profile": lambda ledger, rows: ledger.update_equity_profile(payload=snake_columns(rows)),
+    "income_statement": lambda ledger, rows: ledger.update_reporting_period(payload=snake_columns(rows)),
+    "balance_sheet_statement": lambda ledger, rows: ledger.update_statement(
+        "balance_sheet_statement", payload=snake_columns(rows)),
+    "cash_flow_statement": lambda ledger, rows: ledger.update_statement(
+        "cash_flow_statement", payload=snake_columns(rows)),
+    "earnings": lambda ledger, rows: ledger.update_earning(payload=snake_columns(rows)),
+    "historical_price": lambda ledger, rows: ledger.update_eod_price(payload=snake_columns(rows)),
 }
 
 
@@ -40,7 +43,9 @@ def run_new_files(
     """Apply the endpoint's not-yet-seen landing files; return per-batch results.
 
     ``schema`` lists the payload fields as landed (camelCase); streams need it
-    up front.  The stream's progress lives under ``<store root>/_streams``.
+    up front (``SERIES_PAYLOAD_SCHEMA`` for ``cpi``).  ``update`` receives the
+    micro-batch as landed.  The stream's progress lives under
+    ``<store root>/_streams``.
     """
     update = update or ENDPOINT_UPDATES[endpoint]
     reader = ledger.spark.readStream.schema(schema).option("multiLine", "true")
@@ -50,7 +55,7 @@ def run_new_files(
     results: list[dict] = []
 
     def apply_batch(batch: DataFrame, batch_id: int) -> None:
-        results.append({"batch": batch_id, **update(ledger, snake_columns(batch))})
+        results.append({"batch": batch_id, **update(ledger, batch)})
 
     query = (
         source.writeStream.foreachBatch(apply_batch)

@@ -35,3 +35,15 @@ def test_only_new_files_are_applied(spark, scratch):
     assert rows(store.read("eod_price"), "id", "end_date", "close") == [
         (1, dt.date(2024, 11, 1), 1.0), (2, dt.date(2024, 11, 2), 2.5), (3, dt.date(2024, 11, 3), 3.0)]
     assert run_new_files(ledger, "historical_price", PRICE_SCHEMA) == []
+
+
+def test_series_documents_stream(spark, scratch):
+    from sparkledger.schemas import SERIES_PAYLOAD_SCHEMA
+    from tests.test_sources import SERIES_DOC
+
+    store = SnapshotStore(spark, f"{scratch}/store")
+    landing = f"{scratch}/landing"
+    ledger = Ledger(spark, store, landing, as_of=dt.datetime(2025, 1, 15))
+    write(f"{landing}/cpi/a.json", SERIES_DOC)
+    assert len(run_new_files(ledger, "cpi", SERIES_PAYLOAD_SCHEMA)) == 1
+    assert rows(store.read("cpi"), "id", "year", "month") == [(1, 2024, 11), (2, 2024, 12)]
