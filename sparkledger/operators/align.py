@@ -12,8 +12,10 @@ Per asset, with ``cut = (second-newest period date, or as_of) + grace``:
 * rows left without an id (unmapped asset, no placeholder) are rejects.
 
 Spark form: no loops and no global sort.  The k-th/k-th pairing is an
-equi-join on ``(asset, seq)`` where ``seq`` is a skew-safe per-asset sequence
-(``sequence_within``), so a hot asset is spread over many tasks.
+equi-join on ``(asset, seq)`` where ``seq`` is a per-asset sequence
+(``sequence_within``): a plain window while every asset is provably small,
+the range-partitioned form that spreads a hot asset over many tasks
+otherwise.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from sparkledger.functions.dates import plus_interval
-from sparkledger.operators.ranking import keep_first, nth_latest, sequence_within
+from sparkledger.operators.ranking import MAX_GROUP_ROWS, keep_first, nth_latest, sequence_within
 from sparkledger.schemas import ALIGN_GRACE, SENTINEL_DATE
 
 
@@ -65,6 +67,7 @@ def align_events(
     grace: str = ALIGN_GRACE,
     sentinel: str = SENTINEL_DATE,
     observation: Observation | None = None,
+    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> tuple[DataFrame, DataFrame]:
     """Return ``(aligned, rejects)``.
 
@@ -96,9 +99,10 @@ def align_events(
 
     newest_first = [(date, "desc_nulls_first")]
     ev_seq = sequence_within(
-        ev.filter("_elig"), key, newest_first + [(c, "asc") for c in tb], name="_seq"
+        ev.filter("_elig"), key, newest_first + [(c, "asc") for c in tb], name="_seq", max_group_rows=max_group_rows
     )
-    per_seq = sequence_within(per, key, newest_first + [(period_id, "desc")], name="_seq").select(
+    per_seq = sequence_within(per, key, newest_first + [(period_id, "desc")], name="_seq",
+                              max_group_rows=max_group_rows).select(
         key, "_seq", F.col(period_id).alias("_matched")
     )
     # Eligible events pair with the same-rank period; surplus events drop out.

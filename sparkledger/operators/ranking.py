@@ -117,16 +117,26 @@ def with_row_index(df: DataFrame, order: Order, name: str = "row_idx", start: in
     )
 
 
+# A per-key window may hand one task at most this many rows.
+MAX_GROUP_ROWS = 1_000_000
+
+
 def sequence_within(
     df: DataFrame,
     keys: Sequence[str] | str,
     order: Order,
     name: str = "seq",
     parts: int | None = None,
+    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """1-based ``row_number()`` per key in ``order`` that stays balanced when one
     key holds a large share of the rows.
 
+    First one aggregate (partial counts per key, then the maximum) proves the
+    largest group's size.  If every group fits ``max_group_rows`` a plain
+    per-key window is used: one shuffle, no task gets more than the bound.
+    Otherwise:
+
     1. range-partition on ``(keys, order)``: sampling splits a hot key over
        many tasks; rows are sorted inside each task;
     2. number rows per (task, key) -- groups are bounded by a task's share;
@@ -134,6 +144,14 @@ def sequence_within(
        offsets form a table of at most two rows per task; it is broadcast.
     """
     k = _keys(keys)
+    largest = df.groupBy(*k).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+    if largest is None or largest <= max_group_rows:
+        w = Window.partitionBy(*k).orderBy(*sort_cols(order))
+        return df.withColumn(name, F.row_number().over(w).cast("bigint"))
+    return _sequence_by_range(df, k, order, name, parts)
+
+
+def _sequence_by_range(df: DataFrame, k: list[str], order: Order, name: str, parts: int | None) -> DataFrame:
     order_cols = [F.col(c).asc_nulls_first() for c in k] + sort_cols(order)
     placed = _range_placed(df, order_cols, _parts(df, parts))
     local = placed.withColumn(

@@ -84,10 +84,10 @@ def random_case(seed):
     return events, periods
 
 
-def run(spark, events, periods):
+def run(spark, events, periods, max_group_rows=1_000_000):
     ev = spark.createDataFrame(events, "eid long, asset_id long, accepted_date timestamp")
     pr = spark.createDataFrame(periods, "id long, asset_id long, accepted_date timestamp")
-    aligned, rejects = align_events(ev, pr, as_of=AS_OF, tiebreak=["eid"])
+    aligned, rejects = align_events(ev, pr, as_of=AS_OF, tiebreak=["eid"], max_group_rows=max_group_rows)
     kept = {r.reporting_period_id: r.eid for r in aligned.collect()}
     return kept, sorted(r.eid for r in rejects.collect())
 
@@ -98,6 +98,13 @@ def test_align_matches_brute_force(spark, seed):
     assert run(spark, events, periods) == brute_force(events, periods)
 
 
+@pytest.mark.parametrize("seed", [1, 3])
+def test_align_range_path_matches_brute_force(spark, seed):
+    """Force the hot-asset path (every group counts as large)."""
+    events, periods = random_case(seed)
+    assert run(spark, events, periods, max_group_rows=2) == brute_force(events, periods)
+
+
 def test_align_basic_story(spark):
     # Asset 1: periods Jan, Apr, placeholder; earnings Jan 5, Apr 3, Jul 1 (estimate), Oct 1 (estimate).
     periods = [(10, 1, dt.datetime(2024, 1, 2)), (11, 1, dt.datetime(2024, 4, 1)), (99, 1, SENT)]

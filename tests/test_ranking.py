@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from sparkledger.operators import keep_last, nth_latest, sequence_within, top_k_per_key, with_row_index
 from tests.conftest import rows
 
@@ -19,9 +21,11 @@ def key_of(v):
     return (v is not None, v)
 
 
-def test_sequence_within_matches_brute_force(spark):
+@pytest.mark.parametrize("max_group_rows", [10, 1_000_000])
+def test_sequence_within_matches_brute_force(spark, max_group_rows):
     data, df = sample(spark)
-    got = {r.id: r.seq for r in sequence_within(df, "k", [("d", "desc_nulls_first"), ("id", "asc")], parts=6).collect()}
+    out = sequence_within(df, "k", [("d", "desc_nulls_first"), ("id", "asc")], parts=6, max_group_rows=max_group_rows)
+    got = {r.id: r.seq for r in out.collect()}
     want = {}
     for k in {r[1] for r in data}:
         grp = [r for r in data if r[1] == k]
@@ -74,6 +78,7 @@ def test_hot_key_is_spread_over_tasks(spark):
     placed = _range_placed(df, [F.col("k").asc(), F.col("d").desc()], 8)
     tasks = placed.filter("k = 0").select("_sl_part").distinct().count()
     assert tasks >= 3
-    seq = {r.d: r.seq for r in sequence_within(df, "k", [("d", "desc")], parts=8).filter("k = 0").collect()}
+    seq = {r.d: r.seq for r in sequence_within(df, "k", [("d", "desc")], parts=8, max_group_rows=100)
+           .filter("k = 0").collect()}
     assert sorted(seq.values()) == list(range(1, 1001))
     assert seq[2997] == 1 and seq[0] == 1000
