@@ -23,6 +23,9 @@ from sparkledger.session import cut_lineage
 
 Order = Sequence[tuple[str, str]]
 
+# A window may hand one task at most this many rows.
+MAX_GROUP_ROWS = 1_000_000
+
 _REVERSED = {
     "asc": "desc",
     "desc": "asc",
@@ -99,12 +102,19 @@ def _parts(df: DataFrame, parts: int | None) -> int:
     return parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def with_row_index(df: DataFrame, order: Order, name: str = "row_idx", start: int = 0, parts: int | None = None) -> DataFrame:
+def with_row_index(df: DataFrame, order: Order, name: str = "row_idx", start: int = 0, parts: int | None = None,
+                   max_single_task_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Global dense index in ``order`` (unique order required), from ``start``.
 
-    Range-partitioned, numbered per task, shifted by the row counts of the
-    preceding tasks (a table with one row per task).
+    When a bounded count proves at most ``max_single_task_rows`` rows (e.g.
+    the few new keys of a nightly run), one ordered window numbers them in a
+    single task.  Otherwise the rows are range-partitioned, numbered per task
+    and shifted by the row counts of the preceding tasks (a table with one row
+    per task).
     """
+    if df.limit(max_single_task_rows + 1).count() <= max_single_task_rows:
+        w = Window.orderBy(*sort_cols(order))
+        return df.withColumn(name, (F.row_number().over(w) - 1 + F.lit(start)).cast("bigint"))
     placed = _range_placed(df, sort_cols(order), _parts(df, parts))
     counts = placed.groupBy("_sl_part").agg(F.count(F.lit(1)).alias("_sl_n"))
     before = Window.orderBy("_sl_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -117,10 +127,6 @@ def with_row_index(df: DataFrame, order: Order, name: str = "row_idx", start: in
     )
 
 
-# A per-key window may hand one task at most this many rows.
-MAX_GROUP_ROWS = 1_000_000
-
-
 def sequence_within(
     df: DataFrame,
     keys: Sequence[str] | str,

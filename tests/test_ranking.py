@@ -34,9 +34,11 @@ def test_sequence_within_matches_brute_force(spark, max_group_rows):
     assert got == want
 
 
-def test_with_row_index_matches_sort(spark):
+@pytest.mark.parametrize("single_task_rows", [10, 1_000_000])
+def test_with_row_index_matches_sort(spark, single_task_rows):
     data, df = sample(spark)
-    got = {r.id: r.row_idx for r in with_row_index(df, [("d", "desc_nulls_first"), ("id", "asc")], parts=5).collect()}
+    out = with_row_index(df, [("d", "desc_nulls_first"), ("id", "asc")], parts=5, max_single_task_rows=single_task_rows)
+    got = {r.id: r.row_idx for r in out.collect()}
     order = sorted(data, key=lambda r: (r[2] is not None, -(r[2] or 0), r[0]))
     assert got == {r[0]: i for i, r in enumerate(order)}
 
