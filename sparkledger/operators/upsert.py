@@ -18,6 +18,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkledger.operators.ranking import with_row_index
 from sparkledger.operators.shape import apply_schema
@@ -67,6 +68,10 @@ def upsert(
     k = _keys(keys)
     if scope is not None and scope not in k:
         raise ValueError(f"scope column {scope!r} must be one of the keys {k}")
+    if scope is not None and isinstance(stored.schema[scope].dataType, (T.TimestampType, T.TimestampNTZType)):
+        # The range bounds travel through the driver as Python values; numbers
+        # and dates do so exactly, zone-dependent timestamps might not.
+        raise TypeError(f"scope column {scope!r} must be numeric, text or a date")
     shared = [c for c in incoming.columns if c in stored.columns and c != pk]
     inc = apply_schema(incoming.select(*shared), stored)
     start = None
