@@ -21,7 +21,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sparkledger.functions import lenient_date, lenient_long, lenient_utc_timestamp
 from sparkledger.operators import (
