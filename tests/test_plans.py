@@ -54,9 +54,11 @@ def test_upsert_is_one_full_outer_join_and_scope_bypasses_it(spark):
     assert full.count("FullOuter") == 1
     scoped = plan(upsert(stored, incoming, ["k", "y"], pk="id", scope="y"))
     assert scoped.count("FullOuter") == 1 and "Union" in scoped
-    # the stored table is scanned twice: once inside the range for the join,
-    # once for the rows outside it, which reach the union without a join
-    assert scoped.count("Range (0, 1000") == 2
+    # the stored table is scanned inside the range for the merge, inside the
+    # range (keys only) to find new keys, and once for the rows outside it,
+    # which reach the union without a join
+    assert scoped.count("Range (0, 1000") == 3
+    assert scoped.count("LeftAnti") == 1
 
 
 @needs_data
