@@ -596,6 +596,15 @@ def q_row_index(spark, d):
     return with_row_index(o, [("o_orderdate", "desc_nulls_first"), ("o_orderkey", "asc")], "row_idx")
 
 
+@register("row_index_spread", ORACLE["row_index"])
+def q_row_index_spread(spark, d):
+    """``row_index`` through the range-partitioned path (the one taken above
+    the single-task bound), over the whole table."""
+    o = table(spark, d, "orders").select("o_orderkey", "o_orderdate")
+    return with_row_index(o, [("o_orderdate", "desc_nulls_first"), ("o_orderkey", "asc")], "row_idx",
+                          max_single_task_rows=64)
+
+
 @register("screener", """
 SELECT c_name AS symbol, c_acctbal * 1000000.0 AS market_cap,
        CASE WHEN r_name = 'AMERICA' THEN 'US' ELSE 'XX' END AS country,
@@ -825,6 +834,17 @@ def q_align_events(spark, d):
     return aligned
 
 
+@register("align_events_spread", ORACLE["align_events"])
+def q_align_events_spread(spark, d):
+    """``align_events`` with the per-asset sequences on the hot-key path
+    (range-partitioned, per-task numbering plus offsets), over whole tables."""
+    aligned, _ = align_events(
+        line_events(spark, d), order_period_map(spark, d), as_of=ALIGN_AS_OF,
+        tiebreak=["l_orderkey", "l_linenumber"], max_group_rows=16,
+    )
+    return aligned
+
+
 @register("future_placeholder", f"""
 SELECT o_custkey AS asset_id, year(o_orderdate) AS fiscal_year, 'Q' || quarter(o_orderdate) AS period,
        CAST(max(o_orderdate) AS DATE) AS end_date, CAST(max(o_orderdate) AS DATE) AS filing_date,
