@@ -11,7 +11,7 @@ from sparkledger.operators.lookup import (
     reattach_key,
     to_period_id,
 )
-from sparkledger.operators.quality import PayloadStatusError, key_metrics, require_status, split_null_keys
+from sparkledger.operators.quality import PayloadStatusError, key_metrics, observed, require_status, split_null_keys
 from sparkledger.operators.ranking import (
     keep_first,
     keep_last,
@@ -27,7 +27,7 @@ from sparkledger.operators.upsert import append, update_non_null, upsert
 __all__ = [
     "PayloadStatusError", "add_constants", "align_events", "append", "apply_schema", "asset_map", "blank_to_null",
     "bounded_broadcast", "common_columns", "drop_null_rows", "keep_first", "keep_last",
-    "key_metrics", "key_subset", "lookup_scalar", "map_values", "new_rows", "nth_latest",
+    "key_metrics", "key_subset", "observed", "lookup_scalar", "map_values", "new_rows", "nth_latest",
     "period_cutoffs", "reattach_key", "require_status", "sequence_within", "split_null_keys",
     "stack", "stack_diagonal", "supertype", "to_period_id", "top_k_per_key", "update_non_null",
     "updated_rows", "upsert", "with_row_index",

@@ -38,3 +38,17 @@ def key_metrics(df: DataFrame, key: str, name: str = "metrics") -> tuple[DataFra
         F.count_if(F.col(key).isNull()).alias("null_keys"),
     )
     return observed, obs
+
+
+def observed(obs: Observation, names: Iterable[str]) -> dict[str, int]:
+    """Metrics of an observation whose plan has run.
+
+    When the optimizer removed the observed subplan (an empty input folds to
+    an empty relation), no metrics are produced: nothing was seen, so every
+    count is zero.
+    """
+    try:
+        got = obs.get
+    except Exception:  # noqa: BLE001 -- Spark reports the missing metrics row as an internal error
+        got = {}
+    return {n: int(got.get(n) or 0) for n in names}

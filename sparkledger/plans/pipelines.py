@@ -35,6 +35,7 @@ from sparkledger.operators import (
     keep_first,
     lookup_scalar,
     new_rows,
+    observed,
     require_status,
     split_null_keys,
     stack_diagonal,
@@ -270,7 +271,7 @@ class Ledger:
 
     def _commit(self, table: str, result: UpdateResult) -> dict[str, int]:
         version = self.store.commit(table, result.snapshot, cluster_by=TABLE_SCOPE.get(table))
-        return {"version": version, **result.metrics.get}
+        return {"version": version, **observed(result.metrics, ["rows", "rejects"])}
 
     def _amap(self, flag: str, symbols: Sequence[str] | None) -> DataFrame:
         return asset_map(self.store.read("asset"), self.store.read("asset_cat"), flag, ASSET_CAT, symbols)
@@ -330,7 +331,7 @@ class Ledger:
         result = apply_update(self.store.read("earning"), aligned, TABLE_KEYS["earning"],
                               scope=TABLE_SCOPE["earning"])
         out = self._commit("earning", result)
-        out["unaligned"] = seen.get["unaligned"]
+        out["unaligned"] = observed(seen, ["unaligned"])["unaligned"]
         return out
 
     def update_eod_price(self, symbols: Sequence[str] | None = None, payload: DataFrame | None = None) -> dict[str, int]:

@@ -103,3 +103,13 @@ def test_update_reports_counts_without_extra_pass(spark, ledger):
     out = ledger.update_earning()
     assert out["rows"] == 3 * 5 and out["rejects"] == 0
     assert out["unaligned"] == 0
+
+
+def test_empty_payload_changes_nothing(spark, ledger):
+    ledger.update_asset()
+    ledger.update_eod_price()
+    before = rows(ledger.store.read("eod_price"))
+    empty = spark.createDataFrame([], "symbol string, date string, close double, volume long")
+    out = ledger.update_eod_price(payload=empty)
+    assert out["rows"] == 0 and out["rejects"] == 0
+    assert rows(ledger.store.read("eod_price")) == before
