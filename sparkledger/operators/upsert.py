@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,6 +50,7 @@ def upsert(
     pk: str | None = None,
     first_id: int | None = None,
     scope: str | None = None,
+    observation: Observation | None = None,
 ) -> DataFrame:
     """Next snapshot of ``stored`` after applying ``incoming`` on ``keys``.
 
@@ -64,6 +65,9 @@ def upsert(
     it cannot match a payload key, so they bypass the join and are passed
     through without a shuffle; the range filter reaches the parquet scan and
     skips row groups of snapshots written clustered by that column.
+
+    With ``observation``, the numbers of ``inserted`` and ``updated`` rows are
+    collected by whichever action writes the snapshot (no separate pass).
     """
     k = _keys(keys)
     if scope is not None and scope not in k:
@@ -84,23 +88,29 @@ def upsert(
             return stored
         inside = F.col(scope).between(F.lit(lo), F.lit(hi))
         passed = stored.filter(~inside | F.col(scope).isNull())
-        return _merge(stored.filter(inside), inc, k, shared, pk, start).unionByName(passed)
-    return _merge(stored, inc, k, shared, pk, start)
+        return _merge(stored.filter(inside), inc, k, shared, pk, start, observation).unionByName(passed)
+    return _merge(stored, inc, k, shared, pk, start, observation)
 
 
 def _merge(stored: DataFrame, inc: DataFrame, k: list[str], shared: list[str], pk: str | None,
-           start: int | None) -> DataFrame:
+           start: int | None, observation: Observation | None = None) -> DataFrame:
     if pk is not None:
         fresh = inc.select(*k).join(stored.select(*k), on=k, how="left_anti").distinct()
         ids = with_row_index(fresh, [(c, "asc") for c in k], name="_new_id", start=start)
         inc = inc.join(ids, on=k, how="left")
     inc = inc.withColumn("_in", F.lit(True))
-    s, i = stored.alias("s"), inc.alias("i")
+    s, i = stored.withColumn("_st", F.lit(True)).alias("s"), inc.alias("i")
     cond = None
     for c in k:
         e = F.col(f"s.{c}") == F.col(f"i.{c}")
         cond = e if cond is None else cond & e
     joined = s.join(i, cond, "full_outer")
+    if observation is not None:
+        joined = joined.observe(
+            observation,
+            F.count_if(F.col("s._st").isNull()).alias("inserted"),
+            F.count_if(F.col("s._st").isNotNull() & F.col("i._in").isNotNull()).alias("updated"),
+        )
     cols = []
     for c in stored.columns:
         if c in k:

@@ -87,6 +87,7 @@ class UpdateResult:
     updates: DataFrame
     rejects: DataFrame
     metrics: Observation  # payload rows and null-key rejects, filled without an extra pass
+    writes: Observation  # inserted and updated rows, filled by the snapshot write
 
 
 def apply_update(
@@ -123,16 +124,18 @@ def apply_update(
     good = cut_lineage(good)
     inserts = new_rows(stored, good, keys)
     updates = updated_rows(stored, good, keys)
+    writes = Observation("writes")
     if insert_only:
         if pk:
             top = stored.agg(F.max(pk)).collect()[0][0]
             start = 1 if top is None else top + 1
             inserts = with_row_index(inserts, [(k, "asc") for k in keys], name=pk, start=start)
-        snapshot = append(stored, inserts)
+        snapshot = append(stored, inserts.observe(writes, F.count(F.lit(1)).alias("inserted"),
+                                                  F.lit(0).alias("updated")))
         updates = updates.limit(0)
     else:
-        snapshot = upsert(stored, good, keys, pk=pk, scope=scope)
-    return UpdateResult(snapshot, inserts, updates, rejects, metrics)
+        snapshot = upsert(stored, good, keys, pk=pk, scope=scope, observation=writes)
+    return UpdateResult(snapshot, inserts, updates, rejects, metrics, writes)
 
 
 def attach_asset_id(rows: DataFrame, amap: DataFrame, symbol: str = "symbol", out: str = "asset_id") -> DataFrame:
@@ -271,7 +274,8 @@ class Ledger:
 
     def _commit(self, table: str, result: UpdateResult) -> dict[str, int]:
         version = self.store.commit(table, result.snapshot, cluster_by=TABLE_SCOPE.get(table))
-        return {"version": version, **observed(result.metrics, ["rows", "rejects"])}
+        return {"version": version, **observed(result.metrics, ["rows", "rejects"]),
+                **observed(result.writes, ["inserted", "updated"])}
 
     def _amap(self, flag: str, symbols: Sequence[str] | None) -> DataFrame:
         return asset_map(self.store.read("asset"), self.store.read("asset_cat"), flag, ASSET_CAT, symbols)

@@ -98,11 +98,15 @@ def test_symbol_subset_and_unknown(spark, ledger):
 
 
 def test_update_reports_counts_without_extra_pass(spark, ledger):
-    ledger.update_asset()
-    ledger.update_reporting_period()
+    assert ledger.update_asset()["inserted"] == 3
+    assert ledger.update_asset()["inserted"] == 0
+    first = ledger.update_reporting_period()
+    assert (first["inserted"], first["updated"]) == (3 * 5, 0)
+    again = ledger.update_reporting_period()
+    assert (again["inserted"], again["updated"]) == (0, 3 * 5)
     out = ledger.update_earning()
     assert out["rows"] == 3 * 5 and out["rejects"] == 0
-    assert out["unaligned"] == 0
+    assert out["unaligned"] == 0 and out["inserted"] == 3 * 5
 
 
 def test_empty_payload_changes_nothing(spark, ledger):
