@@ -27,6 +27,8 @@ BASE_CONF = {
     # MIN/MAX/COUNT over a parquet scan (e.g. the stored max id) are answered
     # from file footers instead of reading the column.
     "spark.sql.parquet.aggregatePushdown": "true",
+    # Checkpoint files of frames that are no longer referenced are deleted.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
