@@ -21,6 +21,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkledger.operators.ranking import with_row_index
+
+# A payload with at most this many distinct keys has its key set broadcast.
+KEY_SET_MAX = 1_000_000
 from sparkledger.operators.shape import apply_schema
 
 
@@ -51,6 +54,7 @@ def upsert(
     first_id: int | None = None,
     scope: str | None = None,
     observation: Observation | None = None,
+    key_set_max: int | None = KEY_SET_MAX,
 ) -> DataFrame:
     """Next snapshot of ``stored`` after applying ``incoming`` on ``keys``.
 
@@ -68,6 +72,11 @@ def upsert(
 
     With ``observation``, the numbers of ``inserted`` and ``updated`` rows are
     collected by whichever action writes the snapshot (no separate pass).
+
+    When the payload provably holds at most ``key_set_max`` distinct keys (a
+    nightly delta), its key set is broadcast: the stored table is split by
+    map-side semi/anti joins, only the stored rows the payload touches are
+    shuffled into the merge, and the stored table itself is never shuffled.
     """
     k = _keys(keys)
     if scope is not None and scope not in k:
@@ -82,14 +91,22 @@ def upsert(
     if pk is not None:
         top = stored.agg(F.max(pk)).collect()[0][0]
         start = (top + 1) if top is not None else (first_id if first_id is not None else 1)
+    candidates, passed = stored, None
     if scope is not None:
         lo, hi = inc.agg(F.min(scope), F.max(scope)).first()
         if lo is None:
             return stored
         inside = F.col(scope).between(F.lit(lo), F.lit(hi))
-        passed = stored.filter(~inside | F.col(scope).isNull())
-        return _merge(stored.filter(inside), inc, k, shared, pk, start, observation).unionByName(passed)
-    return _merge(stored, inc, k, shared, pk, start, observation)
+        candidates, passed = stored.filter(inside), stored.filter(~inside | F.col(scope).isNull())
+    if key_set_max is not None:
+        key_set = inc.select(*k).distinct()
+        if key_set.limit(key_set_max + 1).count() <= key_set_max:
+            touched = F.broadcast(key_set)
+            untouched = candidates.join(touched, on=k, how="left_anti").select(*stored.columns)
+            passed = untouched if passed is None else passed.unionByName(untouched)
+            candidates = candidates.join(touched, on=k, how="left_semi").select(*stored.columns)
+    merged = _merge(candidates, inc, k, shared, pk, start, observation)
+    return merged if passed is None else merged.unionByName(passed)
 
 
 def _merge(stored: DataFrame, inc: DataFrame, k: list[str], shared: list[str], pk: str | None,

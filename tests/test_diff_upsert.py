@@ -81,8 +81,10 @@ def test_scoped_upsert_equals_full_merge(spark):
     ).dropDuplicates(["asset", "year"])
     incoming = spark.createDataFrame(
         [(a, y, f"n{a}{y}") for a in (1, 2, 4) for y in (2007, 2008, 2009, 2010)], "asset long, year long, val string")
-    full = upsert(stored, incoming, ["asset", "year"], pk="id")
-    scoped = upsert(stored, incoming, ["asset", "year"], pk="id", scope="year")
-    assert rows(scoped) == rows(full)
+    full = upsert(stored, incoming, ["asset", "year"], pk="id", key_set_max=None)
+    scoped = upsert(stored, incoming, ["asset", "year"], pk="id", scope="year", key_set_max=None)
+    split = upsert(stored, incoming, ["asset", "year"], pk="id")
+    both = upsert(stored, incoming, ["asset", "year"], pk="id", scope="year")
+    assert rows(scoped) == rows(full) == rows(split) == rows(both)
     empty = spark.createDataFrame([], "asset long, year long, val string")
     assert rows(upsert(stored, empty, ["asset", "year"], pk="id", scope="year")) == rows(stored)
