@@ -41,9 +41,14 @@ class SnapshotStore:
             return 0
         return int(row[0]) if row and row[0] is not None else 0
 
-    def read(self, table: str) -> DataFrame:
-        """Current snapshot; an empty frame with the table schema before the first commit."""
-        v = self.version(table)
+    def read(self, table: str, version: int | None = None) -> DataFrame:
+        """Current snapshot, or a given committed ``version`` (e.g. to compare
+        or roll back after a bad landing); an empty frame with the table
+        schema before the first commit."""
+        current = self.version(table)
+        if version is not None and not 0 <= version <= current:
+            raise ValueError(f"{table} has versions 0..{current}, not {version}")
+        v = current if version is None else version
         if v == 0:
             return self.spark.createDataFrame([], self.schemas[table])
         return self.spark.read.parquet(self._path(table, v))

@@ -102,6 +102,9 @@ def test_snapshot_store_versions(spark, scratch):
     more = store.read("asset_cat").unionByName(spark.createDataFrame([(2, "Equity", "Tech")], store.schemas["asset_cat"]))
     assert store.commit("asset_cat", more) == 2
     assert store.read("asset_cat").count() == 2
+    assert store.read("asset_cat", version=1).count() == 1
+    with pytest.raises(ValueError):
+        store.read("asset_cat", version=3)
 
 
 def test_table_handle_and_observed_metrics(spark):
