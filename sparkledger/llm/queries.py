@@ -5,10 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, rans
+from . import bpe, rans, repeats, toxicity
 from .common import table
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
@@ -17,9 +21,15 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans.file_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeat_digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op2_toxicity": op2_toxicity,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_token_files": op7_token_files,
+    "op9_repeats": op9_repeats,
 }
 
 #: DuckDB SQL for the queries that SQL can express.

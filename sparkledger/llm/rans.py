@@ -1,7 +1,7 @@
 """Operator 7: token ids in files coded by a static range asymmetric numeral system.
 
 One frequency table, counted over all ids, is shared by every block.  A block
-holds up to BLOCK ids dealt over LANES interleaved coder states and stands
+holds whole documents of up to BLOCK ids together, or a piece of a longer one, dealt over LANES interleaved coder states and stands
 alone: it carries its final states (the checkpoint a decoder starts from), its
 32-bit words, the documents in it and a checksum of its ids, so blocks decode in
 parallel and in any order.  Ids follow each other in ascending doc_id order,
@@ -199,34 +199,32 @@ def write_ids(docs: DataFrame, tokenizer_path: str, out_path: str, vocabulary: i
         def close() -> None:
             nonlocal held, held_n, held_docs
             if held_n:
-                waiting.append((start, np.concatenate(held), held_docs))
+                waiting.append((start, np.concatenate(held), held_docs, held_docs[0]["size"] > BLOCK))
             held, held_n, held_docs = [], 0, []
 
         def flush() -> pa.RecordBatch:
             rows = []
-            for (first, ids, pieces), (state, words) in zip(waiting, coder.encode([w[1] for w in waiting]), strict=True):
-                rows.append({"start": first, "n": len(ids), "states": state.astype("<u8").tobytes(), "words": words.astype("<u4").tobytes(), "crc": zlib.crc32(ids.astype("<u2").tobytes()), "docs": pieces})
+            for (first, ids, pieces, long), (state, words) in zip(waiting, coder.encode([w[1] for w in waiting]), strict=True):
+                rows.append({"long": long, "start": first, "n": len(ids), "states": state.astype("<u8").tobytes(), "words": words.astype("<u4").tobytes(), "crc": zlib.crc32(ids.astype("<u2").tobytes()), "docs": pieces})
             waiting.clear()
             return pa.RecordBatch.from_pylist(rows, BLOCK_ARROW)
 
         for b in batches:
             for part, at, doc, n, raw in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 first, ids = base[part] + at, np.frombuffer(raw, "<u2")
-                if held_n and start + held_n != first:
+                if held_n and (start + held_n != first or held_n + n > BLOCK):
                     close()
-                done = 0
-                while done < n:
+                for off in range(0, n, BLOCK):
                     if not held_n:
-                        start = first + done
-                    take = min(n - done, BLOCK - held_n)
-                    held.append(ids[done:done + take])
-                    held_docs.append({"doc": doc, "first": first, "size": n, "off": done, "len": take})
+                        start = first + off
+                    take = min(n - off, BLOCK)
+                    held.append(ids[off:off + take])
+                    held_docs.append({"doc": doc, "first": first, "size": n, "off": off, "len": take})
                     held_n += take
-                    done += take
-                    if held_n == BLOCK:
+                    if n > BLOCK:
                         close()
-                        if len(waiting) == TOGETHER:
-                            yield flush()
+                    if len(waiting) == TOGETHER:
+                        yield flush()
         close()
         if waiting:
             yield flush()
@@ -236,15 +234,15 @@ def write_ids(docs: DataFrame, tokenizer_path: str, out_path: str, vocabulary: i
 
 
 PIECE = "struct<doc: bigint, first: bigint, size: bigint, off: bigint, len: bigint>"
-BLOCK_SCHEMA = f"start long, n long, states binary, words binary, crc long, docs array<{PIECE}>"
-BLOCK_ARROW = pa.schema([("start", pa.int64()), ("n", pa.int64()), ("states", pa.binary()), ("words", pa.binary()), ("crc", pa.int64()), ("docs", pa.list_(pa.struct([(k, pa.int64()) for k in ("doc", "first", "size", "off", "len")])))])
+BLOCK_SCHEMA = f"long boolean, start long, n long, states binary, words binary, crc long, docs array<{PIECE}>"
+BLOCK_ARROW = pa.schema([("long", pa.bool_()), ("start", pa.int64()), ("n", pa.int64()), ("states", pa.binary()), ("words", pa.binary()), ("crc", pa.int64()), ("docs", pa.list_(pa.struct([(k, pa.int64()) for k in ("doc", "first", "size", "off", "len")])))])
 
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
     """(doc, first, size, ids): every document of the files, ids as little-endian unsigned 32-bit integers.
 
-    Raises where a block's ids do not match its checksum.  Only documents that
-    lie in several blocks are put together by a shuffle, of their pieces alone.
+    Raises where a block's ids do not match its checksum.  Only documents longer
+    than a block are put together by a shuffle, of their pieces alone.
     """
     table_rows = spark.read.schema("id int, freq long").parquet(f"{path}/table").collect()  # at most the vocabulary
     freq = np.zeros(1 + max((r.id for r in table_rows), default=0), np.int64)
@@ -270,10 +268,10 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
                 cells = split_binary(np.concatenate(ids).astype("<u4"), ends)
                 yield pa.RecordBatch.from_arrays([fields["doc"], fields["first"], fields["size"], fields["off"], fields["len"], cells], names=["doc", "first", "size", "off", "len", "ids"])
 
-    got = spark.read.schema(BLOCK_SCHEMA).parquet(f"{path}/blocks").mapInArrow(pieces, "doc long, first long, size long, off long, len long, ids binary")
-    # A whole document is a group of its own; only pieces of a split one meet.
-    whole = got.where("len = size").select("doc", "first", "size", "ids")
-    split = got.where("len < size").groupBy("first").agg(
+    blocks = spark.read.schema(BLOCK_SCHEMA).parquet(f"{path}/blocks")
+    got = [blocks.where(x).drop("long").mapInArrow(pieces, "doc long, first long, size long, off long, len long, ids binary") for x in ("not long", "long")]
+    whole = got[0].select("doc", "first", "size", "ids")
+    split = got[1].groupBy("first").agg(
         F.max("doc").alias("doc"), F.max("size").alias("size"),
         F.expr("aggregate(array_sort(collect_list(struct(off, ids))), cast('' as binary), (a, x) -> concat(a, x.ids))").alias("ids"))
     return whole.unionAll(split.select("doc", "first", "size", "ids"))
