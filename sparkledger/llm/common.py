@@ -7,8 +7,12 @@ and cannot clash with what an operator adds.
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +27,23 @@ from sparkledger.session import ensure_checkpoint_dir
 STEP_CHARS = 1_000_000
 
 
+@lru_cache(maxsize=4)
+def _shipped(app_id: str) -> None:
+    """Send this package to the executors of a session, as --py-files would."""
+    root = Path(__file__).resolve().parents[2]
+    archive = Path(tempfile.mkdtemp(prefix="package-")) / "training_data_package.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for path in sorted((root / "sparkledger").rglob("*.py")):
+            z.write(path, path.relative_to(root))
+    SparkSession.active().sparkContext.addPyFile(str(archive))
+
+
+def ship_package(spark: SparkSession) -> None:
+    _shipped(spark.sparkContext.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
