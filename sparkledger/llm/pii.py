@@ -24,6 +24,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -360,8 +361,6 @@ def pii_spans(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: s
 
 def redactor(docs: DataFrame, field: Field):
     """Column function: a text with every span replaced by its kind in angle brackets."""
-    import pandas as pd
-
     shared = docs.sparkSession.sparkContext.broadcast(field.weights)
 
     @F.pandas_udf("string")
