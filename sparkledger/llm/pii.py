@@ -384,6 +384,10 @@ def redactor(docs: DataFrame, field: Field):
     return run
 
 
+def of_kind(kind: int):
+    return lambda span: span["kind"] == kind
+
+
 def pii_rows(docs: DataFrame) -> DataFrame:
     """The query: counts and digest of the base spans, and all spans."""
     names = F.array(*(F.lit(k) for k in KINDS))
@@ -391,7 +395,7 @@ def pii_rows(docs: DataFrame) -> DataFrame:
     found = pii_spans(docs, fit(docs))
     return found.select(
         "doc_id",
-        *(F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)),
+        *(F.size(F.filter("base", of_kind(k))).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)),
         F.sha2(text("base").cast("binary"), 256).alias("base_sha256"),
         text("spans").alias("spans"),
     )

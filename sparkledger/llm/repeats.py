@@ -40,6 +40,8 @@ WINDOW = 35
 GRAM = 12
 #: Closing grams a task gathers before it looks for copies among them.
 FLUSH = 500_000
+#: Rows that a group has at least before it takes the whole window as prefix.
+LEAST_HOT = 1000
 #: Bytes of suffix groups that a task sorts at a time; a larger group is sorted whole.
 CHUNK = 4_000_000
 
@@ -281,7 +283,7 @@ def maximal_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_
     # Groups above the mean of a task: fewer than there are partitions.
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sizes = counted.where("not known").groupBy("h").agg(F.max("total").alias("n"))
-    mean = max(1000, (counted.where("pos >= 0").count()) // tasks)
+    mean = max(LEAST_HOT, (counted.where("pos >= 0").count()) // tasks)
     hot = np.array([r.h for r in sizes.where(F.col("n") > mean).select("h").collect()], np.int64).view(np.uint64)
     places = counted.where("pos >= 0").groupBy("dk", "th").agg(F.collect_list("pos").alias("places"))
     dealt = texts.join(places, ["dk", "th"]).select("dk", "th", "body", "places").mapInArrow(
