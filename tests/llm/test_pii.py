@@ -35,13 +35,13 @@ def corpus(spark):
     rng = random.Random(2)
     rows = []
     for i in range(300):
-        parts = [f"word{'abc'[i % 3]}" for _ in range(12)]
-        parts.insert(rng.randrange(12), f"{rng.choice(['anna', 'bo', 'cy'])}.{rng.randint(1, 99)}@mail{i % 7}.example.com")
-        parts.insert(rng.randrange(12), f"{rng.randint(1, 255)}.{rng.randint(0, 255)}.{rng.randint(0, 255)}.{rng.randint(0, 255)}")
-        parts.insert(rng.randrange(12), f"+1 ({rng.randint(200, 999)}) 555-{rng.randint(1000, 9999)}")
+        parts = [f"word{'abc'[i % 3]}" for _ in range(80)]
+        parts.insert(rng.randrange(len(parts)), f"{rng.choice(['anna', 'bo', 'cy'])}.{rng.randint(1, 99)}@mail{i % 7}.example.com")
+        parts.insert(rng.randrange(len(parts)), f"{rng.randint(1, 255)}.{rng.randint(0, 255)}.{rng.randint(0, 255)}.{rng.randint(0, 255)}")
+        parts.insert(rng.randrange(len(parts)), f"+1 ({rng.randint(200, 999)}) 555-{rng.randint(1000, 9999)}")
         card = f"4{rng.randint(10 ** 13, 10 ** 14 - 1)}"
-        parts.insert(rng.randrange(12), next(card + str(c) for c in range(10) if pii.luhn(card + str(c))))
-        parts.insert(rng.randrange(12), f"since {1900 + i % 120} {rng.randint(0, 10 ** 15)}")
+        parts.insert(rng.randrange(len(parts)), next(card + str(c) for c in range(10) if pii.luhn(card + str(c))))
+        parts.insert(rng.randrange(len(parts)), f"since {1900 + i % 120} {rng.randint(0, 10 ** 15)}")
         rows.append((i, " ".join(parts)))
     rows += [(900, None), (901, ""), (None, "x@y.zz"), (902, "plain"), (902, "plain")]
     return rows, spark.createDataFrame([(*r, "e") for r in rows], "doc_id long, text string, spans string").repartition(3)
