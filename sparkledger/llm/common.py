@@ -159,7 +159,9 @@ def connected_components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     state = None
     for _ in range(max_rounds):
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        # Materialised, so that both sides of the join below come straight from an
+        # exchange and Spark can split the rows of a node with very many neighbours.
+        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")).checkpoint()
         # Large star: neighbours above a node are linked to its smallest neighbour.
         large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = large.where("a <> b").distinct()
