@@ -38,7 +38,7 @@ LEAST_WORDS = 5
 #: Window hashes of the benchmark that one pass over the documents holds.
 BLOCK_HASHES = 2_000_000
 #: Tokens that a worker keeps the template of.
-CACHE = 300_000
+CACHE = 100_000
 
 NUMBER = re.compile(r"[+-]?\d[\d.,]*(?<![.,])%?$|[+-]?\d%?$")
 MEASURE = re.compile(r"([+-]?\d[\d.,]*)([a-z%$€£°]+)$")

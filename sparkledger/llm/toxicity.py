@@ -47,8 +47,8 @@ SMOOTH = 2.0
 PREFIXES = range(3, 9)
 #: What the absence of any feature makes of the share of toxic rows.
 NO_HIT = 0.1
-#: Words that a worker keeps scores of.
-CACHE = 300_000
+#: Words that a worker keeps scores of, and that it gathers before it passes their counts on.
+CACHE, GATHER = 100_000, 200_000
 
 #: Letters that a digit or symbol resembles.
 LOOKS_LIKE = {
@@ -108,7 +108,7 @@ def character_model(docs: DataFrame, text_col: str = "text") -> np.ndarray:
             for text in piece.column(0).to_pylist():
                 if text:
                     seen.update(text.lower().split())
-            if len(seen) > CACHE:
+            if len(seen) > GATHER:
                 yield out()
                 seen.clear()
         if seen:
@@ -293,7 +293,7 @@ def fit(docs: DataFrame, labels: DataFrame, model: np.ndarray, train_rows: int =
                     v = seen.setdefault(f, [0, 0])
                     v[0] += y * n
                     v[1] += n
-            if len(seen) > CACHE:
+            if len(seen) > GATHER:
                 yield out()
                 seen.clear()
         if seen:
