@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_steps
+from .common import arrow_steps, spread_sample
 
 ROLES = ("system", "user", "assistant")
 STATES = [(r, b) for r in range(3) for b in (1, 0)]  # role, first line of a turn
@@ -147,8 +147,9 @@ class Model:
 
 
 def fit(known: DataFrame, train_parts: int = TRAIN_PARTS) -> Model:
-    """Counted on at most ``train_parts`` transcripts, those whose checksum mod 3 is not 1 and with the least hashes."""
-    sample = known.where(F.coalesce(F.crc32(F.col("conv_id").cast("string")) % 3 != 1, F.lit(True))).orderBy(F.xxhash64("conv_id", "part"), "conv_id", "part").limit(train_parts).select("text", "truth")
+    """Counted on at most ``train_parts`` transcripts, of those whose checksum mod 3 is not 1."""
+    learnt = known.where(F.coalesce(F.crc32(F.col("conv_id").cast("string")) % 3 != 1, F.lit(True)))
+    sample = spread_sample(learnt.select("conv_id", "part", "text", "truth"), F.struct("conv_id", "part"), train_parts).select("text", "truth")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()

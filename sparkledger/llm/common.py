@@ -17,7 +17,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkledger.session import ensure_checkpoint_dir
@@ -103,6 +103,15 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def spread_sample(df: DataFrame, key: Column, rows: int) -> DataFrame:
+    """At most ``rows`` rows, one for each slot of a hash of ``key`` (that of the least hash):
+    a uniform sample that is reduced inside every task, so neither the driver nor one task
+    gathers more than the sample."""
+    hashed = df.select(F.pmod(F.xxhash64(key), F.lit(rows)).alias("__slot"), F.struct(F.xxhash64(key, F.lit(1)).alias("__order"), *df.columns).alias("__row"))
+    picked = hashed.groupBy("__slot").agg(F.min("__row").alias("__row"))
+    return picked.select(*[F.col("__row")[c].alias(c) for c in df.columns])
+
+
 class HashIndex:
     """Open-addressing map from uint64 keys to non-negative int32, vectorised."""
 

@@ -9,8 +9,8 @@ inner product on the original vectors in double precision.
 For the inner product, vectors of unequal norm get one component more so that
 all have the largest norm; nearest by distance then is largest by product.
 
-The codebooks are trained on a bounded sample (TRAIN_ROWS rows with the least
-hash of their id); every entry is indexed.  The counts of the cells, bounded by
+The codebooks are trained on a bounded sample (at most TRAIN_ROWS rows,
+spread by the hash of their id); every entry is indexed.  The counts of the cells, bounded by
 the square of the codebook, go to the tasks that walk them.  Entries and queries
 meet by a shuffle on the first half's centroid, a query bringing the set of its cells
 there; centroids with many entries are dealt in slices to several tasks.
@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import written
+from .common import spread_sample, written
 
 TRAIN_ROWS = 20_000
 #: Centroids of a half.
@@ -117,7 +117,7 @@ def search(vectors: DataFrame, queries: DataFrame, neighbours: int = NEIGHBOURS,
         return empty
     dim, n, top = facts[0].dim, facts[0].n, facts[0].top
     entries = entries.where(F.size("vec") == dim)
-    sample = entries.orderBy(F.xxhash64("id"), "id", "vec").limit(TRAIN_ROWS).select("vec").toPandas()
+    sample = spread_sample(entries.select("id", "vec"), F.struct("id", "vec"), TRAIN_ROWS).orderBy("id", "vec").toPandas()
     books = Codebooks(np.array(sample["vec"].tolist(), np.float64), top, CENTROIDS)
     second = len(books.halves[1])
     shared = spark.sparkContext.broadcast(books)

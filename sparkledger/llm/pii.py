@@ -301,7 +301,7 @@ def _interesting(piece: pa.RecordBatch, column: int) -> np.ndarray:
 
 
 def fit(docs: DataFrame, text_col: str = "text", train_windows: int = TRAIN_WINDOWS) -> Field:
-    """The field, from ``train_windows`` surroundings with the least hashes over all documents."""
+    """The field, from at most ``train_windows`` surroundings, those of least checksum in each of so many slots."""
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in arrow_steps(batches, "body"):
@@ -318,10 +318,10 @@ def fit(docs: DataFrame, text_col: str = "text", train_windows: int = TRAIN_WIND
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(parts, pa.string()), pa.array(marks, pa.list_(pa.int64()))], names=["key", "part", "marks"])
 
     found = docs.select(F.col(text_col).alias("body")).mapInArrow(windows, "key long, part string, marks array<long>")
-    # Surroundings without a span are as many as those with one, at most.
-    rows = []
-    for some in (True, False):
-        rows += found.where((F.size("marks") > 0) == some).orderBy("key", "part").limit(train_windows // 2).collect()
+    # Surroundings without a span are about as many as those with one.
+    slots = max(1, train_windows // 2)
+    slot = [(F.size("marks") > 0).alias("some"), (F.col("key") % slots).alias("slot")]
+    rows = found.groupBy(*slot).agg(F.min(F.struct("key", "part", "marks")).alias("w")).select("w.*").orderBy("key", "part").collect()
     return train([(r.part, [(r.marks[i], r.marks[i + 1], r.marks[i + 2]) for i in range(0, len(r.marks), 3)]) for r in rows])
 
 

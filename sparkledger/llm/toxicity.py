@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_steps, written
+from .common import arrow_steps, spread_sample, written
 
 #: Labelled rows that the classifier is fitted on, at most.
 TRAIN_ROWS = 30_000
@@ -262,12 +262,12 @@ def fit(docs: DataFrame, labels: DataFrame, model: np.ndarray, train_rows: int =
     Of near copies with one label a single one counts.
     """
     spark = docs.sparkSession
-    sample = (
+    known = (
         labels.where("doc_id is not null and toxic is not null")
         .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
         .where(F.crc32(F.col("doc_id").cast("string")) % 3 != 1)
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows)
     )
+    sample = spread_sample(known, F.col("doc_id"), train_rows).checkpoint()
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("body"))
 
     @F.pandas_udf("long")
