@@ -11,11 +11,12 @@ Per asset, with ``cut = (second-newest period date, or as_of) + grace``:
   oldest (so the nearest future estimate), null dates counting as newest;
 * rows left without an id (unmapped asset, no placeholder) are rejects.
 
-Spark form: no loops and no global sort.  The k-th/k-th pairing is an
-equi-join on ``(asset, seq)`` where ``seq`` is a per-asset sequence
-(``sequence_within``): a plain window while every asset is provably small,
-the range-partitioned form that spreads a hot asset over many tasks
-otherwise.
+Spark form: no loops and no global sort.  Events are ranked once per (asset,
+eligible) and left-joined with the ranked periods on (asset, eligible, seq), so
+future events, which no period matches, need no branch of their own.  The ranks
+come from ``sequence_within``, which spreads a hot asset over many tasks, or from a
+plain window where the caller vouches for bounded groups.  Events without an asset can
+never match: they go to the rejects before any join.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from sparkledger.functions.dates import plus_interval
-from sparkledger.operators.ranking import MAX_GROUP_ROWS, keep_first, nth_latest, sequence_within
+from sparkledger.operators.ranking import keep_first, nth_latest, sequence_in_small_groups, sequence_within
 from sparkledger.schemas import ALIGN_GRACE, SENTINEL_DATE
 
 
@@ -67,7 +68,7 @@ def align_events(
     grace: str = ALIGN_GRACE,
     sentinel: str = SENTINEL_DATE,
     observation: Observation | None = None,
-    max_group_rows: int = MAX_GROUP_ROWS,
+    small_groups: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Return ``(aligned, rejects)``.
 
@@ -78,37 +79,30 @@ def align_events(
     ``date`` are dropped.  ``rejects`` keep every column and ``out`` (null).
     With ``observation``, the counts of resolved rows and of rows left without
     an id (``resolved``, ``unaligned``) are collected by whichever action runs
-    ``aligned`` -- no separate pass.
+    ``aligned`` -- no separate pass; rows without a key are not among them.
+    ``small_groups``: the caller knows that no key has many events or periods.
     """
     tb = list(tiebreak)
     sentinel_ts = F.lit(sentinel).cast("timestamp")
-    p = periods.select(period_id, key, date)
+    p = periods.select(period_id, key, date).filter(F.col(key).isNotNull())
     cuts = period_cutoffs(p, key, date, period_id, as_of, grace)
-    # Assets without periods fall back to as_of; null keys never qualify.
+    # Assets without periods fall back to as_of; a null cut (second-newest
+    # period undated) makes nothing eligible.
     default_cut = plus_interval(instant(as_of), grace)
+    rank = sequence_in_small_groups if small_groups else sequence_within
+    newest_first = [(date, "desc_nulls_first")]
 
-    # A null cut (second-newest period undated) makes nothing eligible; only an
-    # asset with no period row at all falls back to as_of.
     marked = cuts.withColumn("_has_cut", F.lit(True))
     cut = F.when(F.col("_has_cut"), F.col("_cut")).otherwise(default_cut)
-    ev = events.join(marked, on=key, how="left").withColumn(
-        "_elig",
-        F.col(key).isNotNull() & F.coalesce(F.col(date) <= cut, F.lit(False)),
-    ).drop("_cut", "_has_cut")
+    keyed = events.filter(F.col(key).isNotNull()).join(marked, on=key, how="left")
+    ev = keyed.withColumn("_elig", F.coalesce(F.col(date) <= cut, F.lit(False))).drop("_cut", "_has_cut")
+    ev = rank(ev, [key, "_elig"], newest_first + [(c, "asc") for c in tb], name="_seq")
     per = p.join(cuts, on=key, how="inner").filter(F.col(date) <= F.col("_cut")).drop("_cut")
-
-    newest_first = [(date, "desc_nulls_first")]
-    ev_seq = sequence_within(
-        ev.filter("_elig"), key, newest_first + [(c, "asc") for c in tb], name="_seq", max_group_rows=max_group_rows
-    )
-    per_seq = sequence_within(per, key, newest_first + [(period_id, "desc")], name="_seq",
-                              max_group_rows=max_group_rows).select(
-        key, "_seq", F.col(period_id).alias("_matched")
-    )
-    # Eligible events pair with the same-rank period; surplus events drop out.
-    paired = ev_seq.join(per_seq, on=[key, "_seq"], how="inner").drop("_seq")
-    future = ev.filter(~F.col("_elig")).withColumn("_matched", F.lit(None).cast(periods.schema[period_id].dataType))
-    stacked = paired.unionByName(future).drop("_elig")
+    per = rank(per, key, newest_first + [(period_id, "desc")], name="_seq").select(
+        key, F.lit(True).alias("_elig"), "_seq", F.col(period_id).alias("_matched"))
+    # Eligible events pair with the same-rank period; surplus ones drop out.
+    stacked = ev.join(per, on=[key, "_elig", "_seq"], how="left").filter(~F.col("_elig") | F.col("_matched").isNotNull())
+    stacked = stacked.drop("_elig", "_seq")
 
     # Unmatched rows move to the sentinel date and take the placeholder id.
     placeholders = periods.filter(F.col(date) == sentinel_ts).select(
@@ -128,7 +122,9 @@ def align_events(
         resolved = resolved.observe(
             observation, F.count(F.lit(1)).alias("resolved"), F.count_if(F.col(out).isNull()).alias("unaligned"))
 
-    rejects = resolved.filter(F.col(out).isNull()).withColumn(date, F.col("_orig_date")).drop("_orig_date")
+    lost = resolved.filter(F.col(out).isNull()).withColumn(date, F.col("_orig_date")).drop("_orig_date")
+    keyless = events.filter(F.col(key).isNull()).withColumn(out, F.lit(None).cast(periods.schema[period_id].dataType))
+    rejects = lost.unionByName(keyless)
     good = resolved.filter(F.col(out).isNotNull())
     # Keep the last row per id in newest-first order: oldest date, nulls last.
     kept = keep_first(good, out, [("_orig_date", "asc_nulls_last")] + [(c, "desc") for c in tb])

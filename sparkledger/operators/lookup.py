@@ -1,8 +1,7 @@
 """Key translation: natural keys to surrogate ids, key subsets, scalar lookups.
 
-Broadcast is used only behind a proven size bound (``bounded_broadcast``);
-beyond the bound the join is left to the planner, and AQE can still switch
-it to a broadcast after measuring the real size or split skewed partitions.
+No join carries a hint: the planner, and AQE from measured bytes at runtime,
+turn a small side into a broadcast or split skewed partitions.
 """
 
 from __future__ import annotations
@@ -15,29 +14,6 @@ from pyspark.sql import types as T
 
 from sparkledger.operators.ranking import keep_first
 
-# A lookup with at most this many rows may be broadcast to every task.
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-_BOUND_CHECKS: dict[tuple[int, int], bool] = {}
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Hint a broadcast only if ``df`` provably has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (the limit stops early).
-    Its outcome is remembered per analysed plan: inputs are immutable
-    snapshots (the store never rewrites a version), so the same plan cannot
-    grow within a session.  Above the bound the join is left to the planner
-    (sort-merge, or a runtime broadcast chosen by AQE from measured sizes).
-    """
-    key = (df.semanticHash(), max_rows)
-    small = _BOUND_CHECKS.get(key)
-    if small is None:
-        small = _BOUND_CHECKS[key] = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if small else df
-
-
 def map_values(
     df: DataFrame,
     col: str,
@@ -54,7 +30,7 @@ def map_values(
     """
     out = out or col
     m = mapping.select(F.col(key).alias("_map_key"), F.col(value).cast(value_type).alias("_map_val"))
-    joined = df.join(bounded_broadcast(m), df[col] == F.col("_map_key"), "left").drop("_map_key")
+    joined = df.join(m, df[col] == F.col("_map_key"), "left").drop("_map_key")
     if out == col:
         return joined.withColumn(col, F.col("_map_val")).drop("_map_val")
     return joined.withColumnRenamed("_map_val", out)
@@ -94,7 +70,7 @@ def asset_map(
     """
     c = cats.filter(F.col("cat") == cat).select(F.col("id").alias("_cat_id"))
     a = assets if flag is None else assets.filter(F.col(flag))
-    m = a.join(bounded_broadcast(c), a["asset_cat_id"] == F.col("_cat_id"), "inner").select("symbol", "id")
+    m = a.join(c, a["asset_cat_id"] == F.col("_cat_id"), "inner").select("symbol", "id")
     m = keep_first(m, ["symbol"], [("id", "desc")])
     if symbols is not None:
         m = key_subset(m, symbols, "symbol")

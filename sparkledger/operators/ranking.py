@@ -19,13 +19,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkledger.session import cut_lineage
+from sparkledger.session import staged
 
 Order = Sequence[tuple[str, str]]
 
-# A window may hand one task at most this many rows.
-MAX_GROUP_ROWS = 1_000_000
-
 _REVERSED = {
     "asc": "desc",
     "desc": "asc",
@@ -85,37 +82,26 @@ def nth_latest(
     )
 
 
-def _range_placed(df: DataFrame, order_cols: list[Column], parts: int) -> DataFrame:
-    """Range-partition and sort; tag each row with its task and position."""
-    placed = (
-        df.repartitionByRange(parts, *order_cols)
-        .sortWithinPartitions(*order_cols)
-        .withColumn("_sl_part", F.spark_partition_id())
-        .withColumn("_sl_pos", F.monotonically_increasing_id())
-    )
-    # Both passes below must see the same placement, also after a lost
-    # executor re-runs tasks: materialise it in the reliable checkpoint folder.
-    return cut_lineage(placed)
-
+def _range_placed(df: DataFrame, order_cols: list[Column], parts: int | None) -> DataFrame:
+    """Range-partition and sort; tag each row with its task and position.
 
-def _parts(df: DataFrame, parts: int | None) -> int:
-    return parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    Without ``parts`` the number of tasks is left to the session
+    (``spark.sql.shuffle.partitions``, coalesced by AQE where tasks are small).
+    """
+    placed = df.repartitionByRange(*([parts] if parts else []), *order_cols).sortWithinPartitions(*order_cols)
+    placed = placed.withColumn("_sl_part", F.spark_partition_id()).withColumn("_sl_pos", F.monotonically_increasing_id())
+    # Both passes below must see the same placement, also after a lost
+    # executor re-runs tasks: materialise it in the shared folder.
+    return staged(placed)
 
 
-def with_row_index(df: DataFrame, order: Order, name: str = "row_idx", start: int = 0, parts: int | None = None,
-                   max_single_task_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def with_row_index(df: DataFrame, order: Order, name: str = "row_idx", start: int = 0, parts: int | None = None) -> DataFrame:
     """Global dense index in ``order`` (unique order required), from ``start``.
 
-    When a bounded count proves at most ``max_single_task_rows`` rows (e.g.
-    the few new keys of a nightly run), one ordered window numbers them in a
-    single task.  Otherwise the rows are range-partitioned, numbered per task
-    and shifted by the row counts of the preceding tasks (a table with one row
-    per task).
+    The rows are range-partitioned, numbered per task and shifted by the row
+    counts of the preceding tasks (a table with one row per task).
     """
-    if df.limit(max_single_task_rows + 1).count() <= max_single_task_rows:
-        w = Window.orderBy(*sort_cols(order))
-        return df.withColumn(name, (F.row_number().over(w) - 1 + F.lit(start)).cast("bigint"))
-    placed = _range_placed(df, sort_cols(order), _parts(df, parts))
+    placed = _range_placed(df, sort_cols(order), parts)
     counts = placed.groupBy("_sl_part").agg(F.count(F.lit(1)).alias("_sl_n"))
     before = Window.orderBy("_sl_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_sl_part", F.coalesce(F.sum("_sl_n").over(before), F.lit(0)).alias("_sl_off"))
@@ -127,22 +113,17 @@ def with_row_index(df: DataFrame, order: Order, name: str = "row_idx", start: in
     )
 
 
-def sequence_within(
-    df: DataFrame,
-    keys: Sequence[str] | str,
-    order: Order,
-    name: str = "seq",
-    parts: int | None = None,
-    max_group_rows: int = MAX_GROUP_ROWS,
-) -> DataFrame:
+def sequence_in_small_groups(df: DataFrame, keys: Sequence[str] | str, order: Order, name: str = "seq") -> DataFrame:
+    """1-based ``row_number()`` per key by a plain window, for callers whose
+    groups are bounded by construction (e.g. after ``top_k_per_key``)."""
+    w = Window.partitionBy(*_keys(keys)).orderBy(*sort_cols(order))
+    return df.withColumn(name, F.row_number().over(w).cast("bigint"))
+
+
+def sequence_within(df: DataFrame, keys: Sequence[str] | str, order: Order, name: str = "seq", parts: int | None = None) -> DataFrame:
     """1-based ``row_number()`` per key in ``order`` that stays balanced when one
     key holds a large share of the rows.
 
-    First one aggregate (partial counts per key, then the maximum) proves the
-    largest group's size.  If every group fits ``max_group_rows`` a plain
-    per-key window is used: one shuffle, no task gets more than the bound.
-    Otherwise:
-
     1. range-partition on ``(keys, order)``: sampling splits a hot key over
        many tasks; rows are sorted inside each task;
     2. number rows per (task, key) -- groups are bounded by a task's share;
@@ -150,16 +131,8 @@ def sequence_within(
        offsets form a table of at most two rows per task; it is broadcast.
     """
     k = _keys(keys)
-    largest = df.groupBy(*k).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
-    if largest is None or largest <= max_group_rows:
-        w = Window.partitionBy(*k).orderBy(*sort_cols(order))
-        return df.withColumn(name, F.row_number().over(w).cast("bigint"))
-    return _sequence_by_range(df, k, order, name, parts)
-
-
-def _sequence_by_range(df: DataFrame, k: list[str], order: Order, name: str, parts: int | None) -> DataFrame:
     order_cols = [F.col(c).asc_nulls_first() for c in k] + sort_cols(order)
-    placed = _range_placed(df, order_cols, _parts(df, parts))
+    placed = _range_placed(df, order_cols, parts)
     local = placed.withColumn(
         "_sl_local",
         F.row_number().over(Window.partitionBy("_sl_part", *k).orderBy("_sl_pos")).cast("bigint"),

@@ -18,15 +18,12 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sparkledger.operators.ranking import with_row_index
-
-# A payload with at most this many distinct keys has its key set broadcast.
-KEY_SET_MAX = 1_000_000
 from sparkledger.operators.shape import apply_schema
 
 
+
 def _keys(keys: Iterable[str] | str) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
@@ -52,61 +49,31 @@ def upsert(
     keys: Iterable[str] | str,
     pk: str | None = None,
     first_id: int | None = None,
-    scope: str | None = None,
     observation: Observation | None = None,
-    key_set_max: int | None = KEY_SET_MAX,
 ) -> DataFrame:
-    """Next snapshot of ``stored`` after applying ``incoming`` on ``keys``.
+    """Next rows of ``stored`` after applying ``incoming`` on ``keys``.
 
     ``pk`` names a surrogate id column the payload does not carry; new rows get
-    ids after the stored maximum (or from ``first_id`` when the table is empty).
-    Ids are numbered on the new *keys* only (a keys-only anti-join), joined to
-    the payload side, and the snapshot is then one full outer join -- the
-    large merge runs once.
-
-    ``scope`` names a key column the payload covers as a range (a date, a
-    year, a period id).  Stored rows outside the payload's ``[min, max]`` of
-    it cannot match a payload key, so they bypass the join and are passed
-    through without a shuffle; the range filter reaches the parquet scan and
-    skips row groups of snapshots written clustered by that column.
+    ids from ``first_id``, or after the stored maximum.  Ids are numbered on the
+    new *keys* only (a keys-only anti-join), joined to the payload side, and the
+    result is then one full outer join.  Callers that store their table in
+    partitions pass only those the payload touches (and ``first_id``).
 
     With ``observation``, the numbers of ``inserted`` and ``updated`` rows are
-    collected by whichever action writes the snapshot (no separate pass).
-
-    When the payload provably holds at most ``key_set_max`` distinct keys (a
-    nightly delta), its key set is broadcast: the stored table is split by
-    map-side semi/anti joins, only the stored rows the payload touches are
-    shuffled into the merge, and the stored table itself is never shuffled.
+    collected by whichever action writes the result (no separate pass).
     """
     k = _keys(keys)
-    if scope is not None and scope not in k:
-        raise ValueError(f"scope column {scope!r} must be one of the keys {k}")
-    if scope is not None and isinstance(stored.schema[scope].dataType, (T.TimestampType, T.TimestampNTZType)):
-        # The range bounds travel through the driver as Python values; numbers
-        # and dates do so exactly, zone-dependent timestamps might not.
-        raise TypeError(f"scope column {scope!r} must be numeric, text or a date")
     shared = [c for c in incoming.columns if c in stored.columns and c != pk]
     inc = apply_schema(incoming.select(*shared), stored)
-    start = None
-    if pk is not None:
-        top = stored.agg(F.max(pk)).collect()[0][0]
-        start = (top + 1) if top is not None else (first_id if first_id is not None else 1)
-    candidates, passed = stored, None
-    if scope is not None:
-        lo, hi = inc.agg(F.min(scope), F.max(scope)).first()
-        if lo is None:
-            return stored
-        inside = F.col(scope).between(F.lit(lo), F.lit(hi))
-        candidates, passed = stored.filter(inside), stored.filter(~inside | F.col(scope).isNull())
-    if key_set_max is not None:
-        key_set = inc.select(*k).distinct()
-        if key_set.limit(key_set_max + 1).count() <= key_set_max:
-            touched = F.broadcast(key_set)
-            untouched = candidates.join(touched, on=k, how="left_anti").select(*stored.columns)
-            passed = untouched if passed is None else passed.unionByName(untouched)
-            candidates = candidates.join(touched, on=k, how="left_semi").select(*stored.columns)
-    merged = _merge(candidates, inc, k, shared, pk, start, observation)
-    return merged if passed is None else merged.unionByName(passed)
+    if pk is not None and first_id is None:
+        first_id = next_id(stored, pk)
+    return _merge(stored, inc, k, shared, pk, first_id, observation)
+
+
+def next_id(stored: DataFrame, pk: str) -> int:
+    """One after the stored maximum (from Parquet footers where the scan allows), 1 in an empty table."""
+    top = stored.agg(F.max(pk)).collect()[0][0]
+    return 1 if top is None else top + 1
 
 
 def _merge(stored: DataFrame, inc: DataFrame, k: list[str], shared: list[str], pk: str | None,

@@ -30,7 +30,6 @@ from sparkledger.operators import (
     apply_schema,
     asset_map,
     blank_to_null,
-    bounded_broadcast,
     common_columns,
     keep_first,
     lookup_scalar,
@@ -42,6 +41,7 @@ from sparkledger.operators import (
     to_period_id,
     updated_rows,
     upsert,
+    next_id,
     with_row_index,
 )
 from sparkledger.schemas import (
@@ -59,23 +59,26 @@ from sparkledger.schemas import (
     SENTINEL_DATE,
     SENTINEL_PERIOD,
     SENTINEL_YEAR,
+    PAYLOAD_SCHEMAS,
     STATEMENT_PERIODS,
     TABLE_KEYS,
-    TABLE_SCOPE,
     TABLES_WITH_ID,
 )
 from sparkledger.sources import (
     SnapshotStore,
+    FETCHED,
     explode_series,
     first_match,
+    newest_fetch,
     newest_per_symbol,
     read_payload,
     read_series,
     screen,
     since,
 )
-from sparkledger.session import cut_lineage
+from sparkledger.session import staged
 from sparkledger.sources.landing import fan_out
+from sparkledger.sources.store import part_of
 
 
 @dataclass
@@ -90,25 +93,14 @@ class UpdateResult:
     writes: Observation  # inserted and updated rows, filled by the snapshot write
 
 
-def apply_update(
-    stored: DataFrame,
-    payload: DataFrame,
-    keys: Sequence[str],
-    pk: str | None = None,
-    insert_only: bool = False,
-    scope: str | None = None,
-) -> UpdateResult:
-    """Diff ``payload`` against ``stored`` on ``keys`` and build the next snapshot.
-
-    Columns shared by table and payload are kept (table order) and cast to the
-    table's types (strict).  Rows with a null key are rejected, duplicate keys
-    in the payload collapse to one row (a deterministic choice over the other
-    columns; the window shares the join's hash partitioning, so it adds no
-    shuffle).  New keys get ``pk`` ids after the stored maximum.  ``scope``
-    (a key column) limits the merge to the payload's range of it.
-    """
+def prepare(schema, payload: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame, Observation]:
+    """``(rows, rejects, metrics)``: the payload in the table's columns and types
+    (strict), one row per key, and its rows with a null key.  Duplicate keys
+    collapse to one row (a deterministic choice over the other columns; payload
+    functions have taken the newest fetch before)."""
     keys = list(keys)
-    cols, _, incoming = common_columns(stored.schema, stored, payload, keys)
+    stored = payload.sparkSession.createDataFrame([], schema)
+    cols, _, incoming = common_columns(schema, stored, payload, keys)
     incoming = apply_schema(incoming, stored)
     metrics = Observation("payload")
     any_null = F.lit(False)
@@ -118,34 +110,55 @@ def apply_update(
     good, rejects = split_null_keys(incoming, keys)
     others = [c for c in cols if c not in keys]
     good = keep_first(good, keys, [(c, "asc_nulls_last") for c in others]) if others else good.dropDuplicates(keys)
-    # The prepared payload (parsed JSON, mapped keys, casts) feeds the range
-    # probe, the new-key numbering and the merge: materialise it once rather
-    # than re-deriving it from the landing files for each.
-    good = cut_lineage(good)
+    return good, rejects, metrics
+
+
+def apply_update(
+    stored: DataFrame,
+    payload: DataFrame,
+    keys: Sequence[str],
+    pk: str | None = None,
+    insert_only: bool = False,
+    first_id: int | None = None,
+) -> UpdateResult:
+    """Diff ``payload`` against ``stored`` on ``keys`` and build the next rows.
+
+    New keys get ``pk`` ids from ``first_id``, or after the stored maximum.  With
+    ``insert_only`` stored rows stay as they are and only new keys are added.
+    """
+    keys = list(keys)
+    good, rejects, metrics = prepare(stored.schema, payload, keys)
+    # The prepared payload (parsed JSON, mapped keys, casts) feeds the new-key
+    # numbering and the merge: written once rather than derived for each.
+    good = staged(good)
     inserts = new_rows(stored, good, keys)
     updates = updated_rows(stored, good, keys)
     writes = Observation("writes")
     if insert_only:
         if pk:
-            top = stored.agg(F.max(pk)).collect()[0][0]
-            start = 1 if top is None else top + 1
-            inserts = with_row_index(inserts, [(k, "asc") for k in keys], name=pk, start=start)
-        snapshot = append(stored, inserts.observe(writes, F.count(F.lit(1)).alias("inserted"),
-                                                  F.lit(0).alias("updated")))
+            inserts = with_row_index(inserts, [(k, "asc") for k in keys], name=pk,
+                                     start=first_id if first_id is not None else next_id(stored, pk))
+        inserts = inserts.observe(writes, F.count(F.lit(1)).alias("inserted"), F.lit(0).alias("updated"))
+        snapshot = append(stored, inserts)
         updates = updates.limit(0)
     else:
-        snapshot = upsert(stored, good, keys, pk=pk, scope=scope, observation=writes)
+        snapshot = upsert(stored, good, keys, pk=pk, first_id=first_id, observation=writes)
     return UpdateResult(snapshot, inserts, updates, rejects, metrics, writes)
 
 
 def attach_asset_id(rows: DataFrame, amap: DataFrame, symbol: str = "symbol", out: str = "asset_id") -> DataFrame:
-    """Keep rows of mapped symbols and replace the symbol by the asset id.
+    """Rows of mapped symbols with the asset id in place of the symbol.
 
-    One inner join on the symbol (never by position); the map has one row per
-    asset and is broadcast only below a proven row bound.
+    One join on the symbol (never by position); the map has one row per asset.
+    ``unmapped`` gives the rows that are not here.
     """
     m = amap.select(F.col("symbol").alias(symbol), F.col("id").cast("bigint").alias(out))
-    return rows.join(bounded_broadcast(m), on=symbol, how="inner").drop(symbol)
+    return rows.join(m, on=symbol, how="inner").drop(symbol)
+
+
+def unmapped(rows: DataFrame, amap: DataFrame, symbol: str = "symbol") -> DataFrame:
+    """Rows whose symbol (null included) the map does not have: rejects."""
+    return rows.join(amap.select(F.col("symbol").alias(symbol)), on=symbol, how="left_anti")
 
 
 # ---------------------------------------------------------------------------
@@ -166,9 +179,17 @@ def cpi_payload(series_rows: DataFrame, years: tuple[int, int] | None = None,
 # ---------------------------------------------------------------------------
 def asset_payload(search_rows: DataFrame, symbols: DataFrame | Sequence[str] | None, cat_id: int,
                   query: str = "query", order: Sequence[tuple[str, str]] = (("position", "asc"),)) -> DataFrame:
-    """First search hit per queried symbol, as asset rows of category ``cat_id``."""
+    """First search hit per queried symbol, as asset rows of category ``cat_id``.
+
+    Payloads without a ``query`` column (symbol and name alone) are the hits of
+    the symbol they name; of several fetches the newest counts.
+    """
+    if query not in search_rows.columns:
+        search_rows, order = search_rows.withColumn(query, F.col("symbol")), (("symbol", "asc"), ("name", "asc_nulls_last"))
     rows = search_rows if symbols is None else fan_out(search_rows, query, symbols)
-    rows = first_match(rows, query, list(order)).withColumnRenamed("name", "description")
+    if FETCHED in rows.columns:
+        order = ((FETCHED, "desc_nulls_last"), *order)
+    rows = first_match(rows, query, list(order)).withColumnRenamed("name", "description").drop(FETCHED)
     rows = add_constants(rows, {"asset_cat_id": (cat_id, "bigint"), "has_financials": True, "has_chart": True})
     return blank_to_null(rows)
 
@@ -177,7 +198,10 @@ def asset_payload(search_rows: DataFrame, symbols: DataFrame | Sequence[str] | N
 # Equity profiles
 # ---------------------------------------------------------------------------
 def profile_payload(profile_rows: DataFrame, amap: DataFrame) -> DataFrame:
-    return blank_to_null(attach_asset_id(profile_rows, amap))
+    rows = newest_fetch(blank_to_null(profile_rows), ["symbol"])
+    if "ipo_date" in rows.columns:
+        rows = rows.withColumn("ipo_date", lenient_date("ipo_date"))
+    return attach_asset_id(rows, amap)
 
 
 # ---------------------------------------------------------------------------
@@ -195,9 +219,10 @@ def future_placeholders(asset_ids: DataFrame, key: str = "asset_id", ts_type: st
 
 
 def typed_statement_rows(statement_rows: DataFrame, amap: DataFrame, limit: int = STATEMENT_PERIODS) -> DataFrame:
-    """Statement payload -> newest ``limit`` quarters per symbol, asset id,
+    """Statement payload -> newest fetch of each quarter, newest ``limit`` quarters per symbol, asset id,
     lenient year/date/timestamp parsing, ``date`` renamed ``end_date``."""
-    rows = newest_per_symbol(blank_to_null(statement_rows), limit, "date", tiebreak=["period"])
+    rows = newest_fetch(blank_to_null(statement_rows), ["symbol", "fiscal_year", "period"])
+    rows = newest_per_symbol(rows, limit, "date", tiebreak=["period"])
     rows = attach_asset_id(rows, amap)
     return rows.withColumns({
         "fiscal_year": lenient_long("fiscal_year"),
@@ -207,35 +232,41 @@ def typed_statement_rows(statement_rows: DataFrame, amap: DataFrame, limit: int
     }).drop("date")
 
 
-def period_payload(statement_rows: DataFrame, amap: DataFrame) -> DataFrame:
-    rows = typed_statement_rows(statement_rows, amap)
+def period_payload(statement_rows: DataFrame, amap: DataFrame, limit: int = STATEMENT_PERIODS) -> DataFrame:
+    rows = typed_statement_rows(statement_rows, amap, limit)
     return stack_diagonal([rows, future_placeholders(amap.select(F.col("id").alias("asset_id")))])
 
 
 # ---------------------------------------------------------------------------
 # Statements keyed by reporting period
 # ---------------------------------------------------------------------------
-def statement_payload(statement_rows: DataFrame, amap: DataFrame, periods: DataFrame) -> DataFrame:
-    rows = typed_statement_rows(statement_rows, amap)
+def statement_payload(statement_rows: DataFrame, amap: DataFrame, periods: DataFrame,
+                      limit: int = STATEMENT_PERIODS) -> DataFrame:
+    rows = typed_statement_rows(statement_rows, amap, limit)
     return to_period_id(rows, periods.select("id", "asset_id", "fiscal_year", "period"))
 
 
 # ---------------------------------------------------------------------------
 # Earnings aligned with reporting periods
 # ---------------------------------------------------------------------------
-def earning_payload(earning_rows: DataFrame, amap: DataFrame, periods: DataFrame,
-                    as_of: dt.datetime, observation: Observation | None = None) -> tuple[DataFrame, DataFrame]:
-    """Newest 22 earnings per symbol, aligned to periods; ``(aligned, rejects)``."""
+def earning_payload(earning_rows: DataFrame, amap: DataFrame, periods: DataFrame, as_of: dt.datetime,
+                    observation: Observation | None = None, limit: int = EARNING_ROWS,
+                    report: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """Newest fetch of each report, newest ``limit`` reports per symbol, aligned to
+    periods; ``(aligned, rejects)``.  A report is a symbol and date, and the columns
+    ``report`` where a payload has several a day."""
     # Payload fields other than symbol and date break ties between same-day rows.
-    tiebreak = sorted(c for c in earning_rows.columns if c not in ("symbol", "date"))
-    rows = newest_per_symbol(blank_to_null(earning_rows), EARNING_ROWS, "date", tiebreak=tiebreak)
+    tiebreak = sorted(c for c in earning_rows.columns if c not in ("symbol", "date", FETCHED))
+    rows = newest_fetch(blank_to_null(earning_rows), ["symbol", "date", *report])
+    rows = newest_per_symbol(rows, limit, "date", tiebreak=tiebreak)
     rows = attach_asset_id(rows, amap)
     rows = rows.withColumns({
         "ref_date": lenient_date("date"),
         "accepted_date": lenient_utc_timestamp("date"),
     }).drop("date")
+    # At most ``limit`` events and one period a quarter for each asset.
     return align_events(rows, periods.select("id", "asset_id", "accepted_date"), as_of=as_of, tiebreak=tiebreak,
-                        observation=observation)
+                        observation=observation, small_groups=True)
 
 
 # ---------------------------------------------------------------------------
@@ -243,7 +274,7 @@ def earning_payload(earning_rows: DataFrame, amap: DataFrame, periods: DataFrame
 # ---------------------------------------------------------------------------
 def price_payload(price_rows: DataFrame, amap: DataFrame, as_of: dt.date | dt.datetime,
                   days: int = PRICE_DAYS) -> DataFrame:
-    rows = since(blank_to_null(price_rows), "date", as_of, days)
+    rows = newest_fetch(since(blank_to_null(price_rows), "date", as_of, days), ["symbol", "date"])
     rows = attach_asset_id(rows, amap)
     return rows.withColumn("end_date", lenient_date("date")).drop("date")
 
@@ -259,53 +290,88 @@ STATEMENT_TABLES = {
 
 
 class Ledger:
-    """Runs the table updates: landing JSON in, versioned snapshots out."""
+    """Runs the table updates: landing JSON in, versioned snapshots out.
+
+    Landing folders may hold any number of fetches: of each natural key the
+    newest counts, before any limit, ranking or merge.  Rows that cannot be
+    stored (null key, unmapped symbol, no period) go to ``rejects(table)``.
+    """
 
-    def __init__(self, spark: SparkSession, store: SnapshotStore, landing: str, as_of: dt.datetime):
+    def __init__(self, spark: SparkSession, store: SnapshotStore, landing: str, as_of: dt.datetime,
+                 json_lines: bool = False):
         self.spark = spark
         self.store = store
         self.landing = landing.rstrip("/")
         self.as_of = as_of
+        self.json_lines = json_lines
 
     def _payload(self, endpoint: str, given: DataFrame | None = None) -> DataFrame:
         """The landed rows of ``endpoint``, or ``given`` rows (e.g. one
         micro-batch of new files from the streaming runner)."""
-        return given if given is not None else read_payload(self.spark, f"{self.landing}/{endpoint}")
+        return given if given is not None else read_payload(self.spark, f"{self.landing}/{endpoint}", PAYLOAD_SCHEMAS[endpoint],
+                                                                       self.json_lines)
 
-    def _commit(self, table: str, result: UpdateResult) -> dict[str, int]:
-        version = self.store.commit(table, result.snapshot, cluster_by=TABLE_SCOPE.get(table))
-        return {"version": version, **observed(result.metrics, ["rows", "rejects"]),
-                **observed(result.writes, ["inserted", "updated"])}
+    def _rejects_path(self, table: str) -> str:
+        return f"{self.store.root}/_rejects/{table}"
+
+    def rejects(self, table: str) -> DataFrame:
+        """(as_of, reason, row): everything an update of ``table`` could not store, rows as JSON."""
+        return self.spark.read.schema("as_of timestamp, reason string, row string").parquet(self._rejects_path(table))
+
+    def _keep_rejects(self, table: str, **lost: DataFrame) -> int:
+        rows = None
+        for reason, df in lost.items():
+            cells = [F.lit(self.as_of).alias("as_of"), F.lit(reason).alias("reason"), F.to_json(F.struct(*[c for c in df.columns if c != FETCHED])).alias("row")]
+            rows = df.select(*cells) if rows is None else rows.unionByName(df.select(*cells))
+        seen = Observation("rejects")
+        rows.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(self._rejects_path(table))
+        return observed(seen, ["n"])["n"]
 
     def _amap(self, flag: str, symbols: Sequence[str] | None) -> DataFrame:
         return asset_map(self.store.read("asset"), self.store.read("asset_cat"), flag, ASSET_CAT, symbols)
 
-    def _update(self, table: str, payload: DataFrame, insert_only: bool = False) -> dict[str, int]:
-        pk = "id" if table in TABLES_WITH_ID else None
-        result = apply_update(self.store.read(table), payload, TABLE_KEYS[table], pk=pk, insert_only=insert_only,
-                              scope=TABLE_SCOPE.get(table))
-        return self._commit(table, result)
+    def _update(self, table: str, payload: DataFrame, insert_only: bool = False, keys: Sequence[str] | None = None,
+                **lost: DataFrame) -> dict[str, int]:
+        """Merge a payload into the storage partitions it touches."""
+        keys, pk = list(keys or TABLE_KEYS[table]), "id" if table in TABLES_WITH_ID else None
+        schema = self.store.schemas[table]
+        good, null_keys, metrics = prepare(schema, payload, keys)
+        good = staged(good)
+        touched = [r[0] for r in good.select(part_of(table)).distinct().collect()]  # at most the partitions of a table
+        stored = self.store.read(table, parts=touched)
+        first_id = next_id(self.store.read(table), pk) if pk else None
+        result = apply_update(stored, good, keys, pk=pk, insert_only=insert_only, first_id=first_id)
+        if insert_only:
+            version = self.store.commit(table, append(self.spark.createDataFrame([], schema), result.inserts), appends=True)
+        else:
+            version = self.store.commit(table, result.snapshot, replaces=touched)
+        rejects = self._keep_rejects(table, null_key=null_keys, **lost)
+        return {"version": version, "rows": observed(metrics, ["rows"])["rows"], "rejects": rejects,
+                **observed(result.writes, ["inserted", "updated"])}
+
+    def _unmapped(self, rows: DataFrame, amap: DataFrame, symbols: Sequence[str] | None) -> dict[str, DataFrame]:
+        """Rows of symbols outside the map; with a list of symbols the others were not asked for."""
+        return {"unmapped": unmapped(rows, amap)} if symbols is None else {}
 
     def update_cpi(self, num_years: int = CPI_YEARS, series_ids: Sequence[str] = (CPI_SERIES_ID,),
                    keys: Sequence[str] | None = None, documents: DataFrame | None = None) -> dict[str, int]:
         """``documents``: nested series documents to use instead of the landing folder."""
         first = self.as_of.year - num_years + 1
         if documents is None:
-            series = read_series(self.spark, f"{self.landing}/cpi")
+            series = read_series(self.spark, f"{self.landing}/cpi", self.json_lines)
         else:
             require_status(documents, PAYLOAD_OK_STATUS)
-            series = explode_series(documents)
-        rows = cpi_payload(series, (first, self.as_of.year), series_ids)
-        stored = self.store.read("cpi")
-        result = apply_update(stored, rows, list(keys or TABLE_KEYS["cpi"]), pk="id", scope="year")
-        return self._commit("cpi", result)
+            series = newest_fetch(explode_series(documents), ["series_id", "year", "month"])
+        return self._update("cpi", cpi_payload(series, (first, self.as_of.year), series_ids), keys=keys)
 
-    def update_asset(self, symbols: Sequence[str] | None = None, payload: DataFrame | None = None) -> dict[str, int]:
+    def update_asset(self, symbols: Sequence[str] | None = None, payload: DataFrame | None = None,
+                     min_mkt_cap: float = SCREEN_MIN_MKT_CAP, limit: int = SCREEN_LIMIT,
+                     country: str = SCREEN_COUNTRY) -> dict[str, int]:
+        """New assets among ``symbols``, or among the ``limit`` largest of the newest screening."""
         cats = self.store.read("asset_cat")
         cat_id = lookup_scalar(cats.filter((F.col("cat") == ASSET_CAT) & (F.col("sub_cat") == ASSET_SUB_CAT)), "id")
         if not symbols:
-            screened = screen(read_payload(self.spark, f"{self.landing}/screener"), SCREEN_MIN_MKT_CAP,
-                              SCREEN_LIMIT, SCREEN_COUNTRY)
+            screened = screen(newest_fetch(self._payload("screener"), ["symbol"]), min_mkt_cap, limit, country)
             wanted: DataFrame | Sequence[str] = screened.select("symbol")
         else:
             wanted = list(symbols)
@@ -314,33 +380,34 @@ class Ledger:
 
     def update_equity_profile(self, symbols: Sequence[str] | None = None,
                               payload: DataFrame | None = None) -> dict[str, int]:
-        rows = profile_payload(self._payload("profile", payload), self._amap("has_financials", symbols))
-        return self._update("equity_profile", rows)
-
-    def update_reporting_period(self, symbols: Sequence[str] | None = None,
-                                payload: DataFrame | None = None) -> dict[str, int]:
-        rows = period_payload(self._payload("income_statement", payload), self._amap("has_financials", symbols))
-        return self._update("reporting_period", rows)
-
-    def update_statement(self, table: str, symbols: Sequence[str] | None = None,
-                         payload: DataFrame | None = None) -> dict[str, int]:
-        rows = statement_payload(self._payload(STATEMENT_TABLES[table], payload), self._amap("has_financials", symbols),
-                                 self.store.read("reporting_period"))
-        return self._update(table, rows)
-
-    def update_earning(self, symbols: Sequence[str] | None = None, payload: DataFrame | None = None) -> dict[str, int]:
+        rows, amap = self._payload("profile", payload), self._amap("has_financials", symbols)
+        return self._update("equity_profile", profile_payload(rows, amap), **self._unmapped(rows, amap, symbols))
+
+    def update_reporting_period(self, symbols: Sequence[str] | None = None, payload: DataFrame | None = None,
+                                limit: int = STATEMENT_PERIODS) -> dict[str, int]:
+        rows, amap = self._payload("income_statement", payload), self._amap("has_financials", symbols)
+        return self._update("reporting_period", period_payload(rows, amap, limit), **self._unmapped(rows, amap, symbols))
+
+    def update_statement(self, table: str, symbols: Sequence[str] | None = None, payload: DataFrame | None = None,
+                         limit: int = STATEMENT_PERIODS) -> dict[str, int]:
+        rows, amap = self._payload(STATEMENT_TABLES[table], payload), self._amap("has_financials", symbols)
+        typed = statement_payload(rows, amap, self.store.read("reporting_period"), limit)
+        return self._update(table, typed, **self._unmapped(rows, amap, symbols))
+
+    def update_earning(self, symbols: Sequence[str] | None = None, payload: DataFrame | None = None,
+                       limit: int = EARNING_ROWS) -> dict[str, int]:
+        """Alignment ranks an asset's reports among themselves, so a payload must hold all of them."""
         seen = Observation("alignment")
-        aligned, _ = earning_payload(self._payload("earnings", payload), self._amap("has_financials", symbols),
-                                     self.store.read("reporting_period"), self.as_of, observation=seen)
-        result = apply_update(self.store.read("earning"), aligned, TABLE_KEYS["earning"],
-                              scope=TABLE_SCOPE["earning"])
-        out = self._commit("earning", result)
+        rows, amap = self._payload("earnings", payload), self._amap("has_financials", symbols)
+        aligned, lost = earning_payload(rows, amap, self.store.read("reporting_period"), self.as_of, observation=seen, limit=limit)
+        out = self._update("earning", aligned, unaligned=lost, **self._unmapped(rows, amap, symbols))
         out["unaligned"] = observed(seen, ["unaligned"])["unaligned"]
         return out
 
-    def update_eod_price(self, symbols: Sequence[str] | None = None, payload: DataFrame | None = None) -> dict[str, int]:
-        rows = price_payload(self._payload("historical_price", payload), self._amap("has_chart", symbols), self.as_of)
-        return self._update("eod_price", rows)
+    def update_eod_price(self, symbols: Sequence[str] | None = None, payload: DataFrame | None = None,
+                         days: int = PRICE_DAYS) -> dict[str, int]:
+        rows, amap = self._payload("historical_price", payload), self._amap("has_chart", symbols)
+        return self._update("eod_price", price_payload(rows, amap, self.as_of, days), **self._unmapped(rows, amap, symbols))
 
     def update_all(self, symbols: Sequence[str] | None = None) -> dict[str, dict[str, int]]:
         """All updates in dependency order (assets before what keys on them)."""

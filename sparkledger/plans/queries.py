@@ -11,6 +11,7 @@ revised prices, so the two overlap for a year.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,9 +22,11 @@ from sparkledger.functions import (
     lenient_double,
     lenient_long,
     lenient_utc_timestamp,
+    snake_case,
     snake_columns,
 )
 from sparkledger.operators import (
+    PayloadStatusError,
     add_constants,
     align_events,
     append,
@@ -32,11 +35,13 @@ from sparkledger.operators import (
     blank_to_null,
     common_columns,
     keep_last,
+    key_metrics,
     key_subset,
     lookup_scalar,
     map_values,
     new_rows,
     nth_latest,
+    observed,
     reattach_key,
     require_status,
     split_null_keys,
@@ -50,6 +55,7 @@ from sparkledger.operators import (
     with_row_index,
 )
 from sparkledger.plans.pipelines import (
+    Ledger,
     apply_update,
     asset_payload,
     cpi_payload,
@@ -59,28 +65,42 @@ from sparkledger.plans.pipelines import (
     price_payload,
     profile_payload,
     statement_payload,
+    typed_statement_rows,
+    unmapped,
 )
 from sparkledger.schemas import (
+    ASSET_CAT,
+    ASSET_SUB_CAT,
+    CPI_SERIES_ID,
+    CPI_SERIES_NAME,
     EARNING_ROWS,
+    PAYLOAD_SCHEMAS,
     PAYLOAD_OK_STATUS,
     PRICE_DAYS,
     SCREEN_LIMIT,
     SCREEN_MIN_MKT_CAP,
     STATEMENT_PERIODS,
+    TABLE_KEYS,
     TABLE_SCHEMAS,
     SENTINEL_DATE,
     SENTINEL_PERIOD,
     SENTINEL_YEAR,
 )
-from sparkledger.session import cut_lineage
+from sparkledger.session import ensure_checkpoint_dir, staged
 from sparkledger.sources import (
+    FETCHED,
+    SnapshotStore,
     describe_columns,
     explode_series,
     fan_out,
+    list_tables,
     parse_payload_column,
     read_table,
+    records_to_df,
     screen,
     since,
+    small_rows,
+    table_handle,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -596,15 +616,6 @@ def q_row_index(spark, d):
     return with_row_index(o, [("o_orderdate", "desc_nulls_first"), ("o_orderkey", "asc")], "row_idx")
 
 
-@register("row_index_spread", ORACLE["row_index"])
-def q_row_index_spread(spark, d):
-    """``row_index`` through the range-partitioned path (the one taken above
-    the single-task bound), over the whole table."""
-    o = table(spark, d, "orders").select("o_orderkey", "o_orderdate")
-    return with_row_index(o, [("o_orderdate", "desc_nulls_first"), ("o_orderkey", "asc")], "row_idx",
-                          max_single_task_rows=64)
-
-
 @register("screener", """
 SELECT c_name AS symbol, c_acctbal * 1000000.0 AS market_cap,
        CASE WHEN r_name = 'AMERICA' THEN 'US' ELSE 'XX' END AS country,
@@ -834,17 +845,6 @@ def q_align_events(spark, d):
     return aligned
 
 
-@register("align_events_spread", ORACLE["align_events"])
-def q_align_events_spread(spark, d):
-    """``align_events`` with the per-asset sequences on the hot-key path
-    (range-partitioned, per-task numbering plus offsets), over whole tables."""
-    aligned, _ = align_events(
-        line_events(spark, d), order_period_map(spark, d), as_of=ALIGN_AS_OF,
-        tiebreak=["l_orderkey", "l_linenumber"], max_group_rows=16,
-    )
-    return aligned
-
-
 @register("future_placeholder", f"""
 SELECT o_custkey AS asset_id, year(o_orderdate) AS fiscal_year, 'Q' || quarter(o_orderdate) AS period,
        CAST(max(o_orderdate) AS DATE) AS end_date, CAST(max(o_orderdate) AS DATE) AS filing_date,
@@ -880,9 +880,9 @@ def empty_table(spark: SparkSession, name: str) -> DataFrame:
 
 
 def as_stored(df: DataFrame) -> DataFrame:
-    """Stands in for a table written by an earlier run: materialised once in
+    """Stands in for a table written by an earlier run: written once below
     the checkpoint folder, so later steps read it instead of re-deriving it."""
-    return cut_lineage(df)
+    return staged(df)
 
 
 def fin_map(spark: SparkSession, d: str, flag: str = "has_financials") -> DataFrame:
@@ -915,7 +915,7 @@ def q_pipe_series(spark, d):
     rows = explode_series(series_documents(spark, d))
     first = cpi_payload(rows.filter(F.col("year") < 1999).withColumn("series_value", F.col("series_value") + 1.0))
     s1 = as_stored(apply_update(empty_table(spark, "cpi"), first, CPI_KEYS, pk="id").snapshot)
-    return apply_update(s1, cpi_payload(rows), CPI_KEYS, pk="id", scope="year").snapshot
+    return apply_update(s1, cpi_payload(rows), CPI_KEYS, pk="id").snapshot
 
 
 def screener_rows(spark: SparkSession, d: str) -> DataFrame:
@@ -981,7 +981,7 @@ def q_pipe_asset(spark, d):
 
 
 PROFILE_COLS = ["asset_id", "company_name", "currency", "exchange", "industry", "sector", "country", "mkt_cap",
-                "price", "beta"]
+                "price", "beta", "exchange_short_name", "vol_avg", "last_div", "ipo_date", "description"]
 PROFILE_IN = ["asset_id", "company_name", "currency", "sector", "mkt_cap", "price"]
 
 
@@ -1002,7 +1002,9 @@ pr AS (SELECT a.id AS asset_id, c_name AS company_name,
               c_mktsegment AS sector, CAST(round(c_acctbal * 100) AS BIGINT) AS mkt_cap, c_acctbal AS price
        FROM customer JOIN amap a ON a.symbol = c_name),
 s1 AS (SELECT asset_id, company_name, currency, CAST(NULL AS VARCHAR) AS exchange, CAST(NULL AS VARCHAR) AS industry,
-              sector, CAST(NULL AS VARCHAR) AS country, mkt_cap, price - 1.0 AS price, CAST(NULL AS DOUBLE) AS beta
+              sector, CAST(NULL AS VARCHAR) AS country, mkt_cap, price - 1.0 AS price, CAST(NULL AS DOUBLE) AS beta, CAST(NULL AS VARCHAR) AS exchange_short_name,
+              CAST(NULL AS BIGINT) AS vol_avg, CAST(NULL AS DOUBLE) AS last_div, CAST(NULL AS DATE) AS ipo_date,
+              CAST(NULL AS VARCHAR) AS description
        FROM pr WHERE sector = 'BUILDING')
 {sql_upsert("s1", "pr", ["asset_id"], PROFILE_COLS, PROFILE_IN)}""")
 def q_pipe_profile(spark, d):
@@ -1046,7 +1048,7 @@ def period_snapshot(spark: SparkSession, d: str) -> DataFrame:
     rows = statement_rows(spark, d)
     s1 = as_stored(apply_update(empty_table(spark, "reporting_period"),
                                 period_payload(rows.filter(F.col("date") < EARLIER), amap), PERIOD_KEYS, pk="id").snapshot)
-    return apply_update(s1, period_payload(rows, amap), PERIOD_KEYS, pk="id", scope="fiscal_year").snapshot
+    return apply_update(s1, period_payload(rows, amap), PERIOD_KEYS, pk="id").snapshot
 
 
 def sql_top(rows: str, part: str, order: str, k: int, where: str = "TRUE") -> str:
@@ -1083,7 +1085,7 @@ def q_pipe_period(spark, d):
 
 
 STATEMENT_COLS = ["reporting_period_id", "revenue", "cost_of_revenue", "gross_profit", "operating_income",
-                  "net_income", "eps", "eps_diluted"]
+                  "net_income", "eps", "eps_diluted", "cik", "weighted_average_shs_out", "weighted_average_shs_out_dil"]
 STATEMENT_IN = ["reporting_period_id", "revenue", "net_income", "eps"]
 
 
@@ -1094,7 +1096,8 @@ q1 AS (SELECT rp.id AS reporting_period_id, t.revenue + 1 AS revenue, t.net_inco
        JOIN rp USING (asset_id, fiscal_year, period)),
 t1 AS (SELECT reporting_period_id, revenue, CAST(NULL AS BIGINT) AS cost_of_revenue,
               CAST(NULL AS BIGINT) AS gross_profit, CAST(NULL AS BIGINT) AS operating_income, net_income, eps,
-              CAST(NULL AS DOUBLE) AS eps_diluted FROM q1),
+              CAST(NULL AS DOUBLE) AS eps_diluted, CAST(NULL AS VARCHAR) AS cik,
+              CAST(NULL AS BIGINT) AS weighted_average_shs_out, CAST(NULL AS BIGINT) AS weighted_average_shs_out_dil FROM q1),
 q2 AS (SELECT rp.id AS reporting_period_id, t.revenue, t.net_income, t.eps
        FROM {sql_top("p_all", "asset_id", "d DESC, period", STATEMENT_PERIODS)} t
        JOIN rp USING (asset_id, fiscal_year, period))
@@ -1105,8 +1108,7 @@ def q_pipe_statement(spark, d):
     early = rows.filter(F.col("date") < EARLIER).withColumn("revenue", F.col("revenue") + 1)
     s1 = as_stored(apply_update(empty_table(spark, "income_statement"), statement_payload(early, amap, periods),
                                 ["reporting_period_id"]).snapshot)
-    return apply_update(s1, statement_payload(rows, amap, periods), ["reporting_period_id"],
-                        scope="reporting_period_id").snapshot
+    return apply_update(s1, statement_payload(rows, amap, periods), ["reporting_period_id"]).snapshot
 
 
 def price_rows(spark: SparkSession, d: str) -> DataFrame:
@@ -1142,7 +1144,7 @@ def q_pipe_price(spark, d):
     early = rows.filter(F.col("date") < EARLIER).withColumn("close", F.col("close") + 1.0)
     s1 = as_stored(apply_update(empty_table(spark, "eod_price"), price_payload(early, amap, PRICE_AS_OF), PRICE_KEYS,
                                 pk="id").snapshot)
-    return apply_update(s1, price_payload(rows, amap, PRICE_AS_OF), PRICE_KEYS, pk="id", scope="end_date").snapshot
+    return apply_update(s1, price_payload(rows, amap, PRICE_AS_OF), PRICE_KEYS, pk="id").snapshot
 
 
 def earning_rows(spark: SparkSession, d: str) -> DataFrame:
@@ -1193,7 +1195,243 @@ t1 AS (SELECT reporting_period_id, ref_date, eps_actual, CAST(NULL AS DOUBLE) AS
 def q_pipe_earning(spark, d):
     amap, periods = fin_map(spark, d), as_stored(period_snapshot(spark, d))
     rows = earning_rows(spark, d)
-    a1, _ = earning_payload(rows.filter(F.col("date") < EARLIER), amap, periods, ALIGN_AS_OF)
+    a1, _ = earning_payload(rows.filter(F.col("date") < EARLIER), amap, periods, ALIGN_AS_OF, report=["report_id"])
     s1 = as_stored(apply_update(empty_table(spark, "earning"), a1, ["reporting_period_id"]).snapshot)
-    a2, _ = earning_payload(rows, amap, periods, ALIGN_AS_OF)
-    return apply_update(s1, a2, ["reporting_period_id"], scope="reporting_period_id").snapshot
+    a2, _ = earning_payload(rows, amap, periods, ALIGN_AS_OF, report=["report_id"])
+    return apply_update(s1, a2, ["reporting_period_id"]).snapshot
+
+
+# ---------------------------------------------------------------------------
+# Two fetches in one landing: the newest one counts, before any limit
+# ---------------------------------------------------------------------------
+FETCH_1, FETCH_2 = "2024-01-01 00:00:00", "2024-02-01 00:00:00"
+
+
+def fetched(rows: DataFrame, when: str) -> DataFrame:
+    return rows.withColumn(FETCHED, F.lit(when).cast("timestamp"))
+
+
+@register("refetch_price", f"""
+WITH {SQL_AMAP_CHART},
+pdays AS (SELECT c_name AS symbol, o_orderdate AS day, sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS cents,
+                 count(*) AS volume
+          FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY 1, 2),
+landed AS (SELECT symbol, day, CAST(cents AS DOUBLE) / 100.0 + 1.0 AS close, volume, 1 AS landing_no FROM pdays
+           UNION ALL
+           SELECT symbol, day, CAST(cents AS DOUBLE) / 100.0, volume, 2 FROM pdays WHERE day >= TIMESTAMP '{EARLIER}'),
+pp AS (SELECT a.id AS asset_id, CAST(day AS DATE) AS end_date, close, volume FROM (
+         SELECT *, row_number() OVER (PARTITION BY symbol, day ORDER BY landing_no DESC) AS k FROM landed)
+       JOIN amapc a USING (symbol)
+       WHERE k = 1 AND day >= TIMESTAMP '{PRICE_AS_OF - dt.timedelta(days=PRICE_DAYS)}'),
+r1 AS (SELECT asset_id, end_date, CAST(NULL AS DOUBLE) AS open, CAST(NULL AS DOUBLE) AS high,
+              CAST(NULL AS DOUBLE) AS low, close, volume FROM pp)
+{sql_first_load("r1", PRICE_KEYS, PRICE_COLS)}""")
+def q_refetch_price(spark, d):
+    rows = price_rows(spark, d)
+    landed = fetched(rows.withColumn("close", F.col("close") + 1.0), FETCH_1).unionByName(
+        fetched(rows.filter(F.col("date") >= EARLIER), FETCH_2))
+    return apply_update(empty_table(spark, "eod_price"), price_payload(landed, fin_map(spark, d, "has_chart"), PRICE_AS_OF),
+                        PRICE_KEYS, pk="id").snapshot
+
+
+@register("refetch_statement", f"""
+WITH {SQL_AMAP_FIN},
+st AS (SELECT c.c_name AS symbol, year(o.o_orderdate) AS fiscal_year, 'Q' || quarter(o.o_orderdate) AS period,
+              max(o.o_orderdate) AS d, CAST(sum(CAST(round(o.o_totalprice * 100) AS BIGINT)) AS BIGINT) AS revenue
+       FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey GROUP BY 1, 2, 3),
+landed AS (SELECT *, 1 AS landing_no FROM st
+           UNION ALL SELECT symbol, fiscal_year, period, d, revenue + 7, 2 FROM st WHERE fiscal_year >= 1998),
+one AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY symbol, fiscal_year, period ORDER BY landing_no DESC) AS k
+                       FROM landed) WHERE k = 1)
+SELECT a.id AS asset_id, fiscal_year, period, CAST(d AS DATE) AS end_date, revenue
+FROM {sql_top("one", "symbol", "CAST(d AS DATE) DESC, period", STATEMENT_PERIODS)} JOIN amap a USING (symbol)""")
+def q_refetch_statement(spark, d):
+    rows = statement_rows(spark, d)
+    landed = fetched(rows, FETCH_1).unionByName(
+        fetched(rows.filter(F.col("fiscal_year") >= "1998").withColumn("revenue", F.col("revenue") + 7), FETCH_2))
+    return typed_statement_rows(landed, fin_map(spark, d)).select("asset_id", "fiscal_year", "period", "end_date", "revenue")
+
+
+SQL_EARNING_ROWS = f"""
+eli AS (SELECT l_orderkey, l_linenumber, max(l_shipdate) AS ship, sum(l_quantity) AS qty,
+               CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS cents
+        FROM lineitem GROUP BY 1, 2),
+er0 AS (SELECT c.c_name AS symbol,
+              CASE WHEN ship >= TIMESTAMP '{SHIP_NULL_FROM}' THEN '' ELSE strftime(ship, '%Y-%m-%d') END AS date_text,
+              l_orderkey * 8 + l_linenumber AS report_id, qty AS eps_actual, cents AS revenue_actual
+       FROM eli JOIN orders o ON o.o_orderkey = eli.l_orderkey JOIN customer c ON c.c_custkey = o.o_custkey)"""
+
+
+@register("refetch_earning", f"""
+WITH {SQL_PERIOD_CTES}, {SQL_EARNING_ROWS},
+landed AS (SELECT *, 1 AS landing_no FROM er0
+           UNION ALL SELECT symbol, date_text, report_id, eps_actual + 0.5, revenue_actual, 2 FROM er0 WHERE report_id % 2 = 0),
+er AS (SELECT symbol, date_text, report_id, eps_actual, revenue_actual FROM (
+         SELECT *, row_number() OVER (PARTITION BY symbol, date_text, report_id ORDER BY landing_no DESC) AS k FROM landed) WHERE k = 1),
+{sql_earning_run("r1", "TRUE")}
+SELECT reporting_period_id, ref_date, eps_actual, revenue_actual FROM aligned_r1""")
+def q_refetch_earning(spark, d):
+    rows = earning_rows(spark, d)
+    revised = rows.filter(F.col("report_id") % 2 == 0).withColumn("eps_actual", F.col("eps_actual") + 0.5)
+    landed = fetched(rows, FETCH_1).unionByName(fetched(revised, FETCH_2))
+    aligned, _ = earning_payload(landed, fin_map(spark, d), as_stored(period_snapshot(spark, d)), ALIGN_AS_OF, report=["report_id"])
+    return aligned.select("reporting_period_id", "ref_date", "eps_actual", "revenue_actual")
+
+
+# ---------------------------------------------------------------------------
+# D3: rows that cannot be stored
+# ---------------------------------------------------------------------------
+@register("reject_unmapped", f"""
+WITH {SQL_AMAP_FIN}
+SELECT c_name AS symbol, c_mktsegment AS sector, c_acctbal AS price
+FROM customer WHERE c_name NOT IN (SELECT symbol FROM amap)""")
+def q_reject_unmapped(spark, d):
+    return unmapped(profile_rows(spark, d), fin_map(spark, d)).select("symbol", "sector", "price")
+
+
+@register("reject_unaligned", f"""
+WITH {SQL_ORDER_PERIODS}, {SQL_LINE_EVENTS},
+{sql_align("ev", "periods", ALIGN_AS_OF_TEXT, ["l_orderkey", "l_linenumber"],
+           ["l_orderkey", "l_linenumber", "ref_date", "eps_actual"], "a")}
+SELECT asset_id, l_orderkey, l_linenumber, ref_date, eps_actual FROM res_a WHERE reporting_period_id IS NULL""")
+def q_reject_unaligned(spark, d):
+    _, rejects = align_events(line_events(spark, d), order_period_map(spark, d), as_of=ALIGN_AS_OF,
+                              tiebreak=["l_orderkey", "l_linenumber"])
+    return rejects.select("asset_id", "l_orderkey", "l_linenumber", "ref_date", "eps_actual")
+
+
+# ---------------------------------------------------------------------------
+# The other statements; T1 with its default keys and both filters
+# ---------------------------------------------------------------------------
+def sql_statement_first(cols: dict[str, str]) -> str:
+    out = ", ".join(f"{sql} AS {name}" for name, sql in cols.items())
+    return f"""
+WITH {SQL_PERIOD_CTES}
+SELECT rp.id AS reporting_period_id, {out}
+FROM {sql_top("p_all", "asset_id", "d DESC, period", STATEMENT_PERIODS)} t JOIN rp USING (asset_id, fiscal_year, period)"""
+
+
+def statement_first(spark: SparkSession, d: str, name: str, cols: dict[str, Column]) -> DataFrame:
+    amap, periods = fin_map(spark, d), as_stored(period_snapshot(spark, d))
+    rows = statement_rows(spark, d).withColumns(cols).drop("revenue", "net_income", "eps")
+    return apply_update(empty_table(spark, name), statement_payload(rows, amap, periods), ["reporting_period_id"]).snapshot
+
+
+@register("pipe_balance_sheet", sql_statement_first({
+    "total_assets": "t.revenue", "total_liabilities": "t.net_income", "total_equity": "t.revenue - t.net_income"}))
+def q_pipe_balance_sheet(spark, d):
+    return statement_first(spark, d, "balance_sheet_statement", {
+        "total_assets": F.col("revenue"), "total_liabilities": F.col("net_income"),
+        "total_equity": F.col("revenue") - F.col("net_income")})
+
+
+@register("pipe_cash_flow", sql_statement_first({
+    "operating_cash_flow": "t.net_income", "capital_expenditure": "-t.net_income", "free_cash_flow": "CAST(NULL AS BIGINT)"}))
+def q_pipe_cash_flow(spark, d):
+    return statement_first(spark, d, "cash_flow_statement", {
+        "operating_cash_flow": F.col("net_income"), "capital_expenditure": -F.col("net_income")})
+
+
+@register("series_default_keys", f"""
+WITH {SQL_SERIES},
+pay AS (SELECT year, month, series_id, '{CPI_SERIES_NAME}' AS series_name, series_value, period_name,
+               CAST(CAST(year AS VARCHAR) || '-' || CAST(month AS VARCHAR) || '-14' AS DATE) AS ref_date
+        FROM series WHERE month IS NOT NULL AND series_id = '2-HIGH' AND year BETWEEN 1997 AND 2000)
+{sql_first_load("pay", ["year", "month"], CPI_COLS)}""")
+def q_series_default_keys(spark, d):
+    rows = cpi_payload(explode_series(series_documents(spark, d)), (1997, 2000), ["2-HIGH"])
+    return apply_update(empty_table(spark, "cpi"), rows, TABLE_KEYS["cpi"], pk="id").snapshot
+
+
+# ---------------------------------------------------------------------------
+# A2, D1, S14-S16
+# ---------------------------------------------------------------------------
+@register("key_counts", """
+SELECT count(*) AS rows, count(*) FILTER (WHERE quality IS NULL) AS null_keys
+FROM documents LEFT JOIN labels USING (doc_id)""")
+def q_key_counts(spark, d):
+    docs = table(spark, d, "documents").select("doc_id")
+    seen, metrics = key_metrics(docs.join(table(spark, d, "labels"), "doc_id", "left"), "quality")
+    seen.write.format("noop").mode("overwrite").save()  # the counts ride on this action
+    got = observed(metrics, ["rows", "null_keys"])
+    return spark.createDataFrame([(got["rows"], got["null_keys"])], "rows long, null_keys long")
+
+
+@register("payload_status", f"""
+SELECT o_orderstatus AS part, bool_or(o_orderpriority = '5-LOW') AS raises FROM orders GROUP BY 1
+UNION ALL SELECT 'none', FALSE""")
+def q_payload_status(spark, d):
+    o = table(spark, d, "orders").select("o_orderstatus", F.when(F.col("o_orderpriority") == "5-LOW", "REQUEST_FAILED").otherwise(PAYLOAD_OK_STATUS).alias("status"))
+    out = []
+    for part in ("F", "O", "P", "none"):
+        rows = o.filter(F.col("o_orderstatus") == part)
+        if part != "none" and not rows.limit(1).count():
+            continue
+        try:
+            require_status(rows, PAYLOAD_OK_STATUS)
+            out.append((part, False))
+        except PayloadStatusError:
+            out.append((part, True))
+    return spark.createDataFrame(out, "part string, raises boolean")
+
+
+@register("records_frame", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+def q_records_frame(spark, d):
+    nation = table(spark, d, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    return records_to_df(spark, small_rows(nation), nation.schema)
+
+
+@register("catalog_listing", "SELECT 'listing_nation' AS table_name UNION ALL SELECT 'listing_region'")
+def q_catalog_listing(spark, d):
+    for name in ("region", "nation"):
+        table(spark, d, name).createOrReplaceTempView(f"listing_{name}")
+    names = sorted({t for _, t in list_tables(spark) if t.startswith("listing_")})
+    return spark.createDataFrame([(t,) for t in names], "table_name string")
+
+
+@register("table_handle", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'P'")
+def q_table_handle(spark, d):
+    table(spark, d, "orders").createOrReplaceGlobalTempView("handle_orders")
+    return table_handle(spark, "global_temp", "handle_orders").filter(F.col("o_orderstatus") == "P").select("o_orderkey", "o_totalprice")
+
+
+# ---------------------------------------------------------------------------
+# All updates from a landing folder, twice
+# ---------------------------------------------------------------------------
+LEDGER_AS_OF = dt.datetime(2002, 1, 1)
+
+
+def land(df: DataFrame, folder: str, endpoint: str) -> None:
+    """Write payload rows as JSON Lines under the payload's field names."""
+    named = {snake_case(f.name): f.name for f in PAYLOAD_SCHEMAS[endpoint].fields}
+    df.select(*[F.col(c).alias(named[c]) for c in df.columns if c in named]).write.json(f"{folder}/{endpoint}")
+
+
+@register("update_all", None)
+def q_update_all(spark, d):
+    """Every table of the ledger after two identical runs over a landing built from the tables."""
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ledger-{uuid.uuid4().hex}"
+    landing = f"{root}/landing"
+    land(screener_rows(spark, d), landing, "screener")
+    land(search_rows(spark, d).filter(F.col("position") == 1).select("symbol", "name"), landing, "search")
+    land(profile_rows(spark, d), landing, "profile")
+    statements = statement_rows(spark, d)
+    land(statements, landing, "income_statement")
+    land(statements.withColumn("total_assets", F.col("revenue")), landing, "balance_sheet_statement")
+    land(statements.withColumn("free_cash_flow", F.col("net_income")), landing, "cash_flow_statement")
+    land(earning_rows(spark, d).filter("date <> ''").groupBy("symbol", "date").agg(F.sum("eps_actual").alias("eps_actual")), landing, "earnings")
+    land(price_rows(spark, d), landing, "historical_price")
+    docs = series_documents(spark, d)
+    docs.withColumn("Results", F.struct(F.transform("Results.series", lambda s: F.struct(
+        F.when(s["seriesID"] == "1-URGENT", CPI_SERIES_ID).otherwise(s["seriesID"]).alias("seriesID"), s["data"].alias("data"))).alias("series"))).write.json(f"{landing}/cpi")
+    store = SnapshotStore(spark, f"{root}/store")
+    cats = spark.createDataFrame([(1, ASSET_CAT, ASSET_SUB_CAT)], TABLE_SCHEMAS["asset_cat"])
+    store.commit("asset_cat", cats)
+    ledger = Ledger(spark, store, landing, LEDGER_AS_OF, json_lines=True)
+    ledger.update_all()
+    ledger.update_all()
+    out = None
+    for name in TABLE_KEYS:
+        one = store.read(name).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table"), F.lit(store.version(name)).cast("long").alias("versions"), "rows")
+        out = one if out is None else out.unionByName(one)
+    return out

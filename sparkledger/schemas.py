@@ -48,17 +48,18 @@ TABLE_KEYS = {
     "earning": ["reporting_period_id"],
     "eod_price": ["asset_id", "end_date"],
 }
-# Key column each payload covers as a range (a look-back window, recent
-# years, recent periods): upserts merge only that range and snapshots are
-# written clustered by it so the range filter skips the rest.
-TABLE_SCOPE = {
-    "cpi": "year",
-    "reporting_period": "fiscal_year",
-    "income_statement": "reporting_period_id",
-    "balance_sheet_statement": "reporting_period_id",
-    "cash_flow_statement": "reporting_period_id",
-    "earning": "reporting_period_id",
-    "eod_price": "end_date",
+# Storage partition of a row, a function of its natural key: the column and the
+# width of a bucket (None: the year of a date).  A commit rewrites only the
+# partitions its payload touches; tables not listed are one partition.
+TABLE_PARTS = {
+    "cpi": ("year", 1),
+    "equity_profile": ("asset_id", 100_000),
+    "reporting_period": ("fiscal_year", 1),
+    "income_statement": ("reporting_period_id", 100_000),
+    "balance_sheet_statement": ("reporting_period_id", 100_000),
+    "cash_flow_statement": ("reporting_period_id", 100_000),
+    "earning": ("reporting_period_id", 100_000),
+    "eod_price": ("end_date", None),
 }
 # Tables whose rows carry their own surrogate ``id`` (assigned on insert).
 TABLES_WITH_ID = {"cpi", "asset", "reporting_period", "eod_price"}
@@ -84,13 +85,16 @@ TABLE_SCHEMAS: dict[str, T.StructType] = {
                      ("has_financials", B), ("has_chart", B)),
     "equity_profile": _schema(("asset_id", L), ("company_name", S), ("currency", S),
                               ("exchange", S), ("industry", S), ("sector", S),
-                              ("country", S), ("mkt_cap", L), ("price", D), ("beta", D)),
+                              ("country", S), ("mkt_cap", L), ("price", D), ("beta", D),
+                              ("exchange_short_name", S), ("vol_avg", L), ("last_div", D),
+                              ("ipo_date", DATE), ("description", S)),
     "reporting_period": _schema(("id", L), ("asset_id", L), ("fiscal_year", L), ("period", S),
                                 ("end_date", DATE), ("filing_date", DATE), ("accepted_date", TS)),
     "income_statement": _schema(("reporting_period_id", L), ("revenue", L),
                                 ("cost_of_revenue", L), ("gross_profit", L),
                                 ("operating_income", L), ("net_income", L), ("eps", D),
-                                ("eps_diluted", D)),
+                                ("eps_diluted", D), ("cik", S), ("weighted_average_shs_out", L),
+                                ("weighted_average_shs_out_dil", L)),
     "balance_sheet_statement": _schema(("reporting_period_id", L), ("total_assets", L),
                                        ("total_liabilities", L), ("total_equity", L)),
     "cash_flow_statement": _schema(("reporting_period_id", L), ("operating_cash_flow", L),
@@ -116,3 +120,26 @@ SERIES_PAYLOAD_SCHEMA = T.StructType([
         ]))),
     ])),
 ])
+
+
+# Payload rows of every endpoint, under the names of the payload.  A missing field reads
+# as null, an unlisted one is not read.
+_STATEMENT = [("date", S), ("symbol", S), ("reportedCurrency", S), ("cik", S), ("filingDate", S), ("acceptedDate", S),
+              ("fiscalYear", S), ("period", S)]
+PAYLOAD_SCHEMAS: dict[str, T.StructType] = {
+    "screener": _schema(("symbol", S), ("companyName", S), ("marketCap", D), ("country", S), ("isEtf", B), ("isFund", B),
+                        ("isActivelyTrading", B)),
+    "search": _schema(("symbol", S), ("name", S)),
+    "profile": _schema(("symbol", S), ("companyName", S), ("currency", S), ("exchange", S), ("exchangeShortName", S),
+                       ("industry", S), ("sector", S), ("country", S), ("ipoDate", S), ("description", S), ("mktCap", L),
+                       ("volAvg", L), ("price", D), ("beta", D), ("lastDiv", D)),
+    "income_statement": _schema(*_STATEMENT, ("revenue", L), ("costOfRevenue", L), ("grossProfit", L),
+                                ("operatingIncome", L), ("netIncome", L), ("eps", D), ("epsDiluted", D),
+                                ("weightedAverageShsOut", L), ("weightedAverageShsOutDil", L)),
+    "balance_sheet_statement": _schema(*_STATEMENT, ("totalAssets", L), ("totalLiabilities", L), ("totalEquity", L)),
+    "cash_flow_statement": _schema(*_STATEMENT, ("operatingCashFlow", L), ("capitalExpenditure", L), ("freeCashFlow", L)),
+    "earnings": _schema(("symbol", S), ("date", S), ("epsActual", D), ("epsEstimated", D), ("revenueActual", L),
+                        ("revenueEstimated", L)),
+    "historical_price": _schema(("symbol", S), ("date", S), ("open", D), ("high", D), ("low", D), ("close", D),
+                                ("volume", L)),
+}

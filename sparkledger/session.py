@@ -1,8 +1,7 @@
 """Spark session construction and the shared checkpoint folder.
 
 The library never creates its own scratch space on a cluster: lineage is cut
-with ``DataFrame.checkpoint()`` into the folder the cluster names in
-``spark.checkpoint.dir``.  Only when that setting is absent (local tests, the
+by tables written to the folder the cluster names in ``spark.checkpoint.dir``.  Only when that setting is absent (local tests, the
 bench) do we pick a fresh folder under ``/tmp``.
 """
 
@@ -10,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -63,7 +63,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 -- Spark Connect: the server's spark.checkpoint.dir applies
-        return spark.conf.get("spark.checkpoint.dir", None) or ""
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            raise RuntimeError("set spark.checkpoint.dir on the server") from None
+        return folder
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -78,12 +81,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def cut_lineage(df):
-    """Materialise ``df`` into the reliable checkpoint folder.
+def staged(df):
+    """Write ``df`` once as a Parquet table below the checkpoint folder and read it back.
 
-    Used where one physical placement (partition ids, positions) is read by
-    two branches of a plan: a reliable checkpoint keeps both branches on the
-    same rows even if executors are lost and tasks re-run.
+    Used where several branches of a plan read the same rows: the files keep
+    one physical placement (partition ids, positions) also after lost executors
+    re-run tasks, and later reads prune columns and push filters.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/staged-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,14 +1,15 @@
 """Sources and sinks: stored tables, landing payloads, the snapshot store."""
 
 from sparkledger.sources.landing import (
+    FETCHED,
     explode_series,
     fan_out,
     first_match,
+    newest_fetch,
     newest_per_symbol,
     parse_payload_column,
     read_payload,
     read_series,
-    restrict_symbols,
     screen,
     since,
 )
@@ -25,7 +26,7 @@ from sparkledger.sources.tables import (
 )
 
 __all__ = [
-    "SnapshotStore", "column_types", "describe_columns", "explode_series", "fan_out", "first_match",
-    "list_tables", "newest_per_symbol", "parse_payload_column", "read_jdbc", "read_payload",
-    "read_series", "read_table", "records_to_df", "restrict_symbols", "screen", "since", "small_rows", "table_handle",
+    "FETCHED", "SnapshotStore", "column_types", "describe_columns", "explode_series", "fan_out", "first_match",
+    "list_tables", "newest_fetch", "newest_per_symbol", "parse_payload_column", "read_jdbc", "read_payload",
+    "read_series", "read_table", "records_to_df", "screen", "since", "small_rows", "table_handle",
 ]

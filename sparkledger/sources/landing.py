@@ -17,26 +17,37 @@ from pyspark.sql import types as T
 
 from sparkledger.functions.casts import lenient_double, lenient_long, ref_date_text, strip_chars
 from sparkledger.functions.names import snake_columns
-from sparkledger.operators.lookup import key_subset, symbols_frame
+from sparkledger.operators.lookup import symbols_frame
 from sparkledger.operators.quality import require_status
-from sparkledger.operators.ranking import top_k_per_key
+from sparkledger.operators.ranking import keep_first, top_k_per_key
 from sparkledger.schemas import CPI_DAY_OF_MONTH, PAYLOAD_OK_STATUS, SERIES_PAYLOAD_SCHEMA
 
 
-def read_payload(spark: SparkSession, path: str, schema: T.StructType | None = None,
-                 json_lines: bool = False) -> DataFrame:
-    """JSON arrays of objects (one file per response) -> rows, snake_case names.
+#: When a payload row was fetched: the modification time of its landing file.
+FETCHED = "_fetched_at"
 
-    Give ``schema`` (payload field names) in production to skip inference; an
-    empty folder with a schema yields zero rows with those columns.  A file
-    holding one JSON array cannot be split between tasks, so large landings
-    should be many files, or JSON Lines (``json_lines=True``), which Spark
-    splits by byte range.
+
+def read_payload(spark: SparkSession, path: str, schema: T.StructType, json_lines: bool = False) -> DataFrame:
+    """JSON arrays of objects (one file per response) -> rows, snake_case names,
+    and the time of their fetch as ``FETCHED``.
+
+    The schema (payload field names) is always given: nothing is inferred, and
+    an empty folder yields zero rows with those columns.  A file holding one
+    JSON array cannot be split between tasks, so large landings should be many
+    files, or JSON Lines (``json_lines=True``), which Spark splits by byte range.
     """
-    reader = spark.read.option("multiLine", "false" if json_lines else "true")
-    if schema is not None:
-        reader = reader.schema(schema)
-    return snake_columns(reader.json(path))
+    reader = spark.read.option("multiLine", "false" if json_lines else "true").schema(schema)
+    raw = reader.json(path).select("*", F.col("_metadata.file_modification_time").alias("fetchedAt"))
+    return snake_columns(raw).withColumnRenamed("fetched_at", FETCHED)
+
+
+def newest_fetch(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per natural key: that of the newest fetch, whatever lies in older
+    files.  Of rows fetched at once the first in the order of their values stays
+    (nulls last).  Rows without a fetch time are of one fetch.  Drops ``FETCHED``."""
+    order = [(FETCHED, "desc_nulls_last")] if FETCHED in rows.columns else []
+    order += [(c, "asc_nulls_last") for c in sorted(rows.columns) if c not in keys and c != FETCHED]
+    return (keep_first(rows, keys, order) if order else rows.dropDuplicates(list(keys))).drop(FETCHED)
 
 
 def parse_payload_column(df: DataFrame, col: str, schema: T.StructType | str, keep: Sequence[str] = ()) -> DataFrame:
@@ -67,9 +78,11 @@ def explode_series(documents: DataFrame) -> DataFrame:
     and value are lenient numbers, rows without a value are dropped, and
     ``ref_date`` is the text ``year-month-14`` (unpadded).
     """
-    series = documents.select(F.explode("Results.series").alias("s"))
-    obs = series.select(F.col("s.seriesID").alias("series_id"), F.explode("s.data").alias("d"))
+    kept = [FETCHED] if FETCHED in documents.columns else []
+    series = documents.select(*kept, F.explode("Results.series").alias("s"))
+    obs = series.select(*kept, F.col("s.seriesID").alias("series_id"), F.explode("s.data").alias("d"))
     rows = obs.select(
+        *kept,
         "series_id",
         lenient_long(F.col("d.year")).alias("year"),
         lenient_long(strip_chars(F.col("d.period"), "M")).alias("month"),
@@ -79,11 +92,12 @@ def explode_series(documents: DataFrame) -> DataFrame:
     return rows.withColumn("ref_date", ref_date_text("year", "month", CPI_DAY_OF_MONTH))
 
 
-def read_series(spark: SparkSession, path: str) -> DataFrame:
-    """Series documents from the landing folder; a failed request raises."""
-    docs = spark.read.option("multiLine", "true").schema(SERIES_PAYLOAD_SCHEMA).json(path)
+def read_series(spark: SparkSession, path: str, json_lines: bool = False) -> DataFrame:
+    """Series rows from the landing folder, newest fetch of each observation; a failed request raises."""
+    docs = spark.read.option("multiLine", "false" if json_lines else "true").schema(SERIES_PAYLOAD_SCHEMA).json(path)
     require_status(docs, PAYLOAD_OK_STATUS)
-    return explode_series(docs)
+    return newest_fetch(explode_series(docs.select("*", F.col("_metadata.file_modification_time").alias(FETCHED))),
+                        ["series_id", "year", "month"])
 
 
 def screen(
@@ -130,10 +144,3 @@ def since(payload: DataFrame, date_col: str, as_of: dt.date | dt.datetime, days:
     # On a typed date/timestamp column the comparison reaches the parquet scan
     # as a pushed filter (and prunes date partitions).
     return payload.filter(col >= F.lit(start))
-
-
-def restrict_symbols(payload: DataFrame, symbols: Sequence[str] | DataFrame | None, key: str = "symbol") -> DataFrame:
-    """``symbols=None`` keeps all; otherwise a semi-join, unknown ones raise."""
-    if symbols is None:
-        return payload
-    return key_subset(payload, symbols, key)

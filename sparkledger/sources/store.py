@@ -1,28 +1,43 @@
-"""Versioned snapshot store for the stored tables.
+"""Versioned snapshots of the stored tables, as plain Parquet folders.
 
-Each commit writes a complete new snapshot to ``<root>/<table>/v<NNNNNN>``
-and then appends a one-row marker to ``<root>/<table>/_commits``.  Readers
-take the highest committed version, so a run that dies mid-write leaves the
-previous snapshot current, and no plan ever overwrites files it is reading.
-All I/O goes through Spark, so ``root`` may be any shared file system.
+A commit writes its rows to a fresh folder, split by the table's storage
+partition, and then appends one marker file that lists the folders making up the
+new version: partitions the commit did not touch keep the folders they had.
+Readers follow the newest marker, so a run that dies before its marker leaves
+the previous version current and a stray folder that nothing names; no plan
+overwrites files it is reading.  All I/O goes through Spark, so ``root`` may be
+any shared file system.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
-from sparkledger.schemas import TABLE_SCHEMAS
+from sparkledger.schemas import TABLE_PARTS, TABLE_SCHEMAS
 
 _MARKER = T.StructType([
     T.StructField("version", T.LongType()),
+    T.StructField("part", T.StringType()),
+    T.StructField("folder", T.StringType()),
     T.StructField("rows", T.LongType()),
     T.StructField("committed_at", T.TimestampType()),
 ])
+PART = "_part"
+
+
+def part_of(table: str) -> Column:
+    """Storage partition of a row of ``table``, as text."""
+    if table not in TABLE_PARTS:
+        return F.lit("all")
+    col, width = TABLE_PARTS[table]
+    value = F.year(col) if width is None else F.floor(F.col(col) / width)
+    return F.coalesce(value.cast("string"), F.lit("none"))
 
 
 class SnapshotStore:
@@ -31,45 +46,59 @@ class SnapshotStore:
         self.root = root.rstrip("/")
         self.schemas = dict(TABLE_SCHEMAS if schemas is None else schemas)
 
-    def _path(self, table: str, version: int) -> str:
-        return f"{self.root}/{table}/v{version:06d}"
+    def _markers(self, table: str) -> DataFrame | None:
+        """The table's markers; None before its first commit."""
+        try:
+            return self.spark.read.schema(_MARKER).parquet(f"{self.root}/{table}/_commits")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
 
     def version(self, table: str) -> int:
-        try:
-            row = self.spark.read.schema(_MARKER).parquet(f"{self.root}/{table}/_commits").agg(F.max("version")).first()
-        except AnalysisException:
-            return 0
-        return int(row[0]) if row and row[0] is not None else 0
+        markers = self._markers(table)
+        top = markers.agg(F.max("version")).first()[0] if markers is not None else None
+        return int(top or 0)
 
-    def read(self, table: str, version: int | None = None) -> DataFrame:
+    def entries(self, table: str, version: int) -> list[tuple[str, str]]:
+        """(partition, folder) pairs that make up a committed version."""
+        markers = self._markers(table)
+        if markers is None or not version:
+            return []
+        rows = markers.where((F.col("version") == version) & F.col("folder").isNotNull()).select("part", "folder").collect()
+        return sorted((r.part, r.folder) for r in rows)
+
+    def read(self, table: str, version: int | None = None, parts: list[str] | None = None) -> DataFrame:
         """Current snapshot, or a given committed ``version`` (e.g. to compare
-        or roll back after a bad landing); an empty frame with the table
-        schema before the first commit."""
+        or roll back after a bad landing), of all or the named partitions; an
+        empty frame with the table schema where there is nothing."""
         current = self.version(table)
         if version is not None and not 0 <= version <= current:
             raise ValueError(f"{table} has versions 0..{current}, not {version}")
-        v = current if version is None else version
-        if v == 0:
+        found = self.entries(table, current if version is None else version)
+        paths = [f"{self.root}/{table}/{folder}/{PART}={part}" for part, folder in found if parts is None or part in parts]
+        if not paths:
             return self.spark.createDataFrame([], self.schemas[table])
-        return self.spark.read.parquet(self._path(table, v))
+        return self.spark.read.schema(self.schemas[table]).parquet(*paths)
 
-    def commit(self, table: str, df: DataFrame, partition_by: list[str] | None = None,
-               cluster_by: str | None = None) -> int:
+    def commit(self, table: str, df: DataFrame, replaces: list[str] | None = None, appends: bool = False) -> int:
         """Write ``df`` as the next version and mark it committed.
 
-        ``cluster_by`` sorts rows inside each write task (no shuffle), so every
-        parquet row group covers a narrow range of that column and range
-        filters on later reads skip the others.
+        The new version is ``df`` in place of the partitions it ``replaces`` (all,
+        if not given), or next to everything stored (``appends``).
         """
-        v = self.version(table) + 1
-        if cluster_by:
-            df = df.sortWithinPartitions(cluster_by)
+        current = self.version(table)
+        v, folder = current + 1, f"data-{uuid.uuid4().hex}"
         written = Observation(f"{table}_v{v}")
-        writer = df.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(self._path(table, v))
-        rows = written.get["rows"]  # counted by the write itself
-        marker = self.spark.createDataFrame([(v, rows, dt.datetime.now(dt.timezone.utc))], _MARKER)
+        rows = df.select(*[f.name for f in self.schemas[table].fields if f.name in df.columns], part_of(table).alias(PART))
+        if table in TABLE_PARTS:  # one file for each partition and task, rows of a partition in key order
+            rows = rows.sortWithinPartitions(PART, TABLE_PARTS[table][0])
+        rows = rows.observe(written, F.count(F.lit(1)).alias("rows"), F.collect_set(PART).alias("parts"))
+        rows.write.partitionBy(PART).parquet(f"{self.root}/{table}/{folder}")
+        got = written.get  # counted by the write itself
+        kept = [(p, f) for p, f in self.entries(table, current) if appends or (replaces is not None and p not in replaces)]
+        now = dt.datetime.now(dt.timezone.utc)
+        listed = kept + [(p, folder) for p in got["parts"]] or [(None, None)]
+        marker = self.spark.createDataFrame([(v, p, f, int(got["rows"]), now) for p, f in listed], _MARKER)
         marker.coalesce(1).write.mode("append").parquet(f"{self.root}/{table}/_commits")
         return v

@@ -4,8 +4,12 @@ A nightly run normally re-reads every landed file of an endpoint.  Run as a
 stream with ``trigger(availableNow=True)``, the file source remembers (in its
 checkpoint, kept next to the store) which files were already applied, so each
 run feeds only the new files -- as one or more micro-batches -- to the same
-table update, then stops.  Upserts are idempotent, so a micro-batch replayed
-after a failure leaves the same snapshot.
+table update, then stops.
+
+A micro-batch replayed after a failure leaves the same rows: prices, profiles,
+statements and series are keyed rows of their own, and earnings, whose periods
+follow from the ranks of all reports of an asset, are aligned from every landed
+report of the symbols in the batch, not from the batch alone.
 """
 
 from __future__ import annotations
@@ -18,16 +22,27 @@ from pyspark.sql import types as T
 from sparkledger.functions.names import snake_columns
 from sparkledger.plans.pipelines import Ledger
 
+def _both_statement_tables(ledger: Ledger, rows: DataFrame) -> dict:
+    rows = snake_columns(rows)
+    periods = ledger.update_reporting_period(payload=rows)
+    return {"reporting_period": periods, **ledger.update_statement("income_statement", payload=rows)}
+
+
+def _all_reports_of_the_batch(ledger: Ledger, rows: DataFrame) -> dict:
+    symbols = rows.select("symbol").where("symbol is not null").distinct()
+    return ledger.update_earning(payload=ledger._payload("earnings").join(symbols, "symbol", "left_semi"))
+
+
 ENDPOINT_UPDATES: dict[str, Callable[[Ledger, DataFrame], dict]] = {
     "cpi": lambda ledger, docs: ledger.update_cpi(documents=docs),
     "search": lambda ledger, rows: ledger.update_asset(payload=snake_columns(rows)),
     "profile": lambda ledger, rows: ledger.update_equity_profile(payload=snake_columns(rows)),
-    "income_statement": lambda ledger, rows: ledger.update_reporting_period(payload=snake_columns(rows)),
+    "income_statement": _both_statement_tables,
     "balance_sheet_statement": lambda ledger, rows: ledger.update_statement(
         "balance_sheet_statement", payload=snake_columns(rows)),
     "cash_flow_statement": lambda ledger, rows: ledger.update_statement(
         "cash_flow_statement", payload=snake_columns(rows)),
-    "earnings": lambda ledger, rows: ledger.update_earning(payload=snake_columns(rows)),
+    "earnings": _all_reports_of_the_batch,
     "historical_price": lambda ledger, rows: ledger.update_eod_price(payload=snake_columns(rows)),
 }
 
@@ -48,7 +63,7 @@ def run_new_files(
     ``<store root>/_streams``.
     """
     update = update or ENDPOINT_UPDATES[endpoint]
-    reader = ledger.spark.readStream.schema(schema).option("multiLine", "true")
+    reader = ledger.spark.readStream.schema(schema).option("multiLine", "false" if ledger.json_lines else "true")
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_batch))
     source = reader.json(f"{ledger.landing}/{endpoint}")

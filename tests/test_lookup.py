@@ -1,6 +1,6 @@
 import pytest
 
-from sparkledger.operators import asset_map, bounded_broadcast, key_subset, lookup_scalar, map_values, to_period_id
+from sparkledger.operators import asset_map, key_subset, lookup_scalar, map_values, to_period_id
 from tests.conftest import rows
 
 
@@ -39,8 +39,3 @@ def test_key_subset_and_lookups(spark):
     assert lookup_scalar(m.filter("symbol = 'MSFT'"), "id") == 2
     with pytest.raises(LookupError):
         lookup_scalar(m.filter("symbol = 'NONE'"), "id")
-    from tests.test_plans import plan
-
-    frame = spark.range(50)
-    assert "strategy=broadcast" in plan(bounded_broadcast(frame, max_rows=100), "extended")
-    assert "strategy=broadcast" not in plan(bounded_broadcast(frame, max_rows=10), "extended")

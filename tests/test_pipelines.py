@@ -10,7 +10,7 @@ from tests.conftest import rows
 from tests.test_sources import SERIES_DOC
 
 SYMBOLS = ["AAPL", "MSFT", "NVDA"]
-QUARTERS = [("2024-09-28", "2024", "Q4", "2024-11-01 06:01:36"), ("2024-06-29", "2024", "Q3", "2024-08-02 06:01:00"),
+QUARTERS = [("2024-09-28", "2024", "Q4", "2024-11-02 07:15:00"), ("2024-06-29", "2024", "Q3", "2024-08-02 06:01:00"),
             ("2024-03-30", "2024", "Q2", "2024-05-03 06:01:00"), ("2023-12-30", "2024", "Q1", "2024-02-02 06:01:00")]
 
 
@@ -28,8 +28,7 @@ def build_landing(root):
         {"symbol": "SPY", "marketCap": 5e11, "country": "US", "isEtf": True, "isFund": False,
          "isActivelyTrading": True}])
     for s in SYMBOLS:
-        write(f"{root}/search/{s}.json", [{"query": s, "symbol": s, "name": f"{s} Inc.", "position": 1},
-                                          {"query": s, "symbol": f"{s}.X", "name": "", "position": 2}])
+        write(f"{root}/search/{s}.json", [{"symbol": s, "name": f"{s} Inc."}, {"symbol": f"{s}.X", "name": ""}])
         write(f"{root}/profile/{s}.json", [{"symbol": s, "companyName": f"{s} Inc.", "currency": "USD",
                                             "exchange": "NASDAQ", "industry": "", "sector": "Technology",
                                             "country": "US", "mktCap": 3000000, "price": 190.5, "beta": 1.2}])
@@ -69,7 +68,7 @@ def test_update_all_and_idempotent(spark, ledger):
     st = ledger.store
     assert rows(st.read("asset"), "id", "symbol", "description", "asset_cat_id") == [
         (1, "AAPL", "AAPL Inc.", 1), (2, "MSFT", "MSFT Inc.", 1), (3, "NVDA", "NVDA Inc.", 1)]
-    assert rows(st.read("cpi"), "year", "month", "series_value") == [(2024, 11, 315.493), (2024, 12, 315.605)]
+    assert rows(st.read("cpi"), "year", "month", "series_value") == [(2024, 11, 103.5), (2024, 12, 104.25)]
     periods = st.read("reporting_period")
     assert periods.count() == 3 * (len(QUARTERS) + 1)
     assert periods.filter("period = 'NA' AND fiscal_year = 4000").count() == 3
@@ -117,3 +116,53 @@ def test_empty_payload_changes_nothing(spark, ledger):
     out = ledger.update_eod_price(payload=empty)
     assert out["rows"] == 0 and out["rejects"] == 0
     assert rows(ledger.store.read("eod_price")) == before
+
+
+def test_two_fetches_in_every_folder(spark, ledger):
+    """A second fetch with the same and revised rows: limits and ranks see each key once, new values win."""
+    ledger.update_all()
+    before = {t: rows(ledger.store.read(t)) for t in ("income_statement", "earning", "eod_price", "equity_profile", "cpi")}
+    root = ledger.landing
+    late = 0
+    for folder, name in [(f, n) for f in os.listdir(root) for n in os.listdir(f"{root}/{f}")]:
+        path = f"{root}/{folder}/{name}"
+        with open(path) as f:
+            doc = json.load(f)
+        if folder == "historical_price" and name == "MSFT.json":
+            doc[0]["close"] = 2.5
+        if folder == "profile" and name == "NVDA.json":
+            doc[0]["price"] = 1.25
+        if folder == "income_statement" and name == "AAPL.json":
+            doc[0]["revenue"] = 9999
+        late = os.path.getmtime(path) + 60
+        write(f"{root}/{folder}/again-{name}", doc)
+        os.utime(f"{root}/{folder}/again-{name}", (late, late))
+    ledger.update_all()
+    after = {t: rows(ledger.store.read(t)) for t in before}
+    assert after["earning"] == before["earning"] and after["cpi"] == before["cpi"]
+    for table, old, new in (("eod_price", 1.5, 2.5), ("equity_profile", 190.5, 1.25), ("income_statement", 1000, 9999)):
+        changed = [(a, b) for a, b in zip(before[table], after[table]) if a != b]
+        assert len(before[table]) == len(after[table]) and len(changed) == 1
+        assert old in changed[0][0] and new in changed[0][1]
+
+
+def test_rejects_are_kept(spark, ledger):
+    ledger.update_asset()
+    write(f"{ledger.landing}/historical_price/other.json", [
+        {"symbol": "ZZZZ", "date": "2024-11-01", "close": 1.0}, {"symbol": "AAPL", "date": "2024-11-31", "close": 1.0}])
+    ledger.update_reporting_period()
+    out = ledger.update_eod_price()
+    assert out["rejects"] == 1  # the day that is none is outside the look-back as well
+    got = [(r.reason, json.loads(r.row)["symbol"]) for r in ledger.rejects("eod_price").collect()]
+    assert got == [("unmapped", "ZZZZ")]
+    write(f"{ledger.landing}/earnings/odd.json", [{"symbol": "ZZZZ", "date": "2024-11-01"}])
+    assert ledger.update_earning()["rejects"] == 1
+    assert ledger.update_eod_price(["AAPL"])["rejects"] == 0  # the others were not asked for
+
+
+def test_limits_are_arguments(spark, ledger):
+    ledger.update_asset()
+    ledger.update_reporting_period(limit=2)
+    assert ledger.store.read("reporting_period").count() == 3 * (2 + 1)
+    ledger.update_eod_price(days=20_000)
+    assert ledger.store.read("eod_price").count() == 3 * 6

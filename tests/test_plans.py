@@ -45,25 +45,34 @@ def test_diff_reads_only_stored_keys(spark):
     assert stored_scan, p
 
 
-def test_upsert_is_one_full_outer_join_and_scope_bypasses_it(spark):
-    stored = spark.range(1000).select(F.col("id").alias("id"), (F.col("id") % 50).alias("k"),
-                                      (F.col("id") / 50).cast("long").alias("y"), F.lit("v").alias("val"))
-    incoming = spark.range(100).select((F.col("id") % 50).alias("k"), (F.lit(19) + F.col("id") / 50).cast("long").alias("y"),
-                                       F.lit("n").alias("val"))
-    # without the key-set split: one merge over the (range-limited) stored rows
-    full = plan(upsert(stored, incoming, ["k", "y"], pk="id", key_set_max=None))
-    assert full.count("FullOuter") == 1
-    scoped = plan(upsert(stored, incoming, ["k", "y"], pk="id", scope="y", key_set_max=None))
-    assert scoped.count("FullOuter") == 1 and "Union" in scoped
-    assert scoped.count("Range (0, 1000") == 3   # in range (merge + new keys), out of range (pass-through)
-    # with a provably small payload key set: the stored rows meet it only in
-    # broadcast semi/anti joins; just the touched rows reach the merge
-    split = plan(upsert(stored, incoming, ["k", "y"], pk="id", scope="y"))
-    assert split.count("FullOuter") == 1
-    assert "BroadcastHashJoin" in split and "LeftSemi" in split and split.count("LeftAnti") >= 2
+def test_upsert_is_one_full_outer_join(spark):
+    stored = spark.range(1000).select(F.col("id").alias("id"), (F.col("id") % 50).alias("k"), F.lit("v").alias("val"))
+    incoming = spark.range(100).select((F.col("id") % 50).alias("k"), F.lit("n").alias("val"))
+    p = plan(upsert(stored, incoming, ["k"], pk="id"))
+    assert p.count("FullOuter") == 1 and "SinglePartition" not in p.split("BroadcastExchange")[0]
+
+
+def jobs_of(spark, build):
+    """Spark jobs that start while a plan is only being built."""
+    group = f"count-{id(build)}"
+    spark.sparkContext.setJobGroup(group, "count")
+    try:
+        build()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+@needs_data
+def test_no_job_is_started_by_a_size_check(spark):
+    q = queries()
+    assert jobs_of(spark, lambda: q["value_map"](spark, SF)) <= 4 * jobs_of(spark, lambda: q["scan_table"](spark, SF))  # four tables are opened
+    assert jobs_of(spark, lambda: q["fk_filtered_map"](spark, SF)) <= 4  # opening the four tables
+    # The one job that writes the numbered rows, its sampling, and opening the table.
+    assert jobs_of(spark, lambda: q["row_index"](spark, SF)) <= 4
 
 
 @needs_data
-def test_broadcasts_are_bounded_lookups(spark):
+def test_small_lookups_are_broadcast_by_the_planner(spark):
     p = plan(queries()["fk_filtered_map"](spark, SF))
-    assert "BroadcastExchange" in p          # the category lookup, after its row-bound check
+    assert "BroadcastExchange" in p          # the category lookup, by its measured size

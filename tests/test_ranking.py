@@ -21,10 +21,10 @@ def key_of(v):
     return (v is not None, v)
 
 
-@pytest.mark.parametrize("max_group_rows", [10, 1_000_000])
-def test_sequence_within_matches_brute_force(spark, max_group_rows):
+@pytest.mark.parametrize("parts", [6, None])
+def test_sequence_within_matches_brute_force(spark, parts):
     data, df = sample(spark)
-    out = sequence_within(df, "k", [("d", "desc_nulls_first"), ("id", "asc")], parts=6, max_group_rows=max_group_rows)
+    out = sequence_within(df, "k", [("d", "desc_nulls_first"), ("id", "asc")], parts=parts)
     got = {r.id: r.seq for r in out.collect()}
     want = {}
     for k in {r[1] for r in data}:
@@ -34,10 +34,10 @@ def test_sequence_within_matches_brute_force(spark, max_group_rows):
     assert got == want
 
 
-@pytest.mark.parametrize("single_task_rows", [10, 1_000_000])
-def test_with_row_index_matches_sort(spark, single_task_rows):
+@pytest.mark.parametrize("parts", [5, None])
+def test_with_row_index_matches_sort(spark, parts):
     data, df = sample(spark)
-    out = with_row_index(df, [("d", "desc_nulls_first"), ("id", "asc")], parts=5, max_single_task_rows=single_task_rows)
+    out = with_row_index(df, [("d", "desc_nulls_first"), ("id", "asc")], parts=parts)
     got = {r.id: r.row_idx for r in out.collect()}
     order = sorted(data, key=lambda r: (r[2] is not None, -(r[2] or 0), r[0]))
     assert got == {r[0]: i for i, r in enumerate(order)}
@@ -80,7 +80,7 @@ def test_hot_key_is_spread_over_tasks(spark):
     placed = _range_placed(df, [F.col("k").asc(), F.col("d").desc()], 8)
     tasks = placed.filter("k = 0").select("_sl_part").distinct().count()
     assert tasks >= 3
-    seq = {r.d: r.seq for r in sequence_within(df, "k", [("d", "desc")], parts=8, max_group_rows=100)
+    seq = {r.d: r.seq for r in sequence_within(df, "k", [("d", "desc")], parts=8)
            .filter("k = 0").collect()}
     assert sorted(seq.values()) == list(range(1, 1001))
     assert seq[2997] == 1 and seq[0] == 1000

@@ -1,6 +1,6 @@
 import pytest
 from pyspark.sql import types as T
-from pyspark.errors import ArithmeticException, NumberFormatException, SparkRuntimeException
+from pyspark.errors import NumberFormatException
 
 from sparkledger.operators import (
     add_constants,
@@ -15,11 +15,11 @@ from sparkledger.operators import (
 
 
 def test_blank_to_null_only_strings(spark):
-    df = spark.createDataFrame([("hello", "", 1), ("", "foo", 2), ("world", "", 3)], "a string, b string, n long")
+    df = spark.createDataFrame([("", "left", 7), ("mid", "", 8), ("", "", 9)], "a string, b string, n long")
     out = blank_to_null(df).collect()
-    assert [r.a for r in out] == ["hello", None, "world"]
-    assert [r.b for r in out] == [None, "foo", None]
-    assert [r.n for r in out] == [1, 2, 3]
+    assert [r.a for r in out] == [None, "mid", None]
+    assert [r.b for r in out] == ["left", None, None]
+    assert [r.n for r in out] == [7, 8, 9]
 
 
 def test_blank_to_null_keeps_spaces(spark):
@@ -28,10 +28,10 @@ def test_blank_to_null_keeps_spaces(spark):
 
 
 def test_apply_schema_casts_matching_columns(spark):
-    src = spark.createDataFrame([(1.0,)], "a double")
-    tgt = spark.createDataFrame([(1, "hello")], "a long, b string")
-    out = apply_schema(tgt, src)
-    assert dict(out.dtypes) == {"a": "double", "b": "string"}
+    template = spark.createDataFrame([(2.5, 4)], "price double, units int")
+    out = apply_schema(spark.createDataFrame([(9, "3", "kept")], "price long, units string, note string"), template)
+    assert dict(out.dtypes) == {"price": "double", "units": "int", "note": "string"}
+    assert tuple(out.first()) == (9.0, 3, "kept")
 
 
 def test_apply_schema_same_schema_noop(spark):
@@ -42,14 +42,14 @@ def test_apply_schema_same_schema_noop(spark):
 def test_apply_schema_strict_and_lenient(spark):
     df = spark.createDataFrame([("12",), ("x",)], "a string")
     schema = T.StructType([T.StructField("a", T.LongType())])
-    with pytest.raises((NumberFormatException, SparkRuntimeException, ArithmeticException, Exception)):
+    with pytest.raises(NumberFormatException):
         apply_schema(df, schema).collect()
     assert [r.a for r in apply_schema(df, schema, lenient=True).collect()] == [12, None]
 
 
 def test_common_columns_table_order(spark):
-    stored = spark.createDataFrame([(1, "AAPL", "Apple", None)], "id long, symbol string, description string, created_at string")
-    incoming = spark.createDataFrame([("Apple Inc", "AAPL", "x")], "description string, symbol string, extra_field string")
+    stored = spark.createDataFrame([(1, "K-10", "kettle", None)], "id long, symbol string, description string, created_at string")
+    incoming = spark.createDataFrame([("big kettle", "K-10", "x")], "description string, symbol string, extra_field string")
     cols, old, new = common_columns(stored.columns, stored, incoming, keys="symbol")
     assert cols == ["symbol", "description"]
     assert old.columns == new.columns == ["symbol", "description"]
