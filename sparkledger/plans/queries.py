@@ -1396,7 +1396,7 @@ def q_table_handle(spark, d):
 
 
 # ---------------------------------------------------------------------------
-# All updates from a landing folder, twice
+# All updates from a landing folder
 # ---------------------------------------------------------------------------
 LEDGER_AS_OF = dt.datetime(2002, 1, 1)
 
@@ -1409,7 +1409,7 @@ def land(df: DataFrame, folder: str, endpoint: str) -> None:
 
 @register("update_all", None)
 def q_update_all(spark, d):
-    """Every table of the ledger after two identical runs over a landing built from the tables."""
+    """Every table of the ledger after a run of all updates over a landing built from the tables."""
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ledger-{uuid.uuid4().hex}"
     landing = f"{root}/landing"
     land(screener_rows(spark, d), landing, "screener")
@@ -1429,7 +1429,6 @@ def q_update_all(spark, d):
     store.commit("asset_cat", cats)
     ledger = Ledger(spark, store, landing, LEDGER_AS_OF, json_lines=True)
     ledger.update_all()
-    ledger.update_all()
     out = None
     for name in TABLE_KEYS:
         one = store.read(name).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table"), F.lit(store.version(name)).cast("long").alias("versions"), "rows")
