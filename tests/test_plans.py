@@ -3,6 +3,7 @@
 import contextlib
 import io
 import os
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -54,7 +55,7 @@ def test_upsert_is_one_full_outer_join(spark):
 
 def jobs_of(spark, build):
     """Spark jobs that start while a plan is only being built."""
-    group = f"count-{id(build)}"
+    group = f"count-{uuid.uuid4().hex}"
     spark.sparkContext.setJobGroup(group, "count")
     try:
         build()
