@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from sparkledger.functions import lenient_date, lenient_long, lenient_utc_timestamp
+from sparkledger.functions import lenient_date, lenient_long, lenient_utc_timestamp, year_range
 from sparkledger.operators import (
     add_constants,
     align_events,
@@ -356,13 +356,12 @@ class Ledger:
     def update_cpi(self, num_years: int = CPI_YEARS, series_ids: Sequence[str] = (CPI_SERIES_ID,),
                    keys: Sequence[str] | None = None, documents: DataFrame | None = None) -> dict[str, int]:
         """``documents``: nested series documents to use instead of the landing folder."""
-        first = self.as_of.year - num_years + 1
         if documents is None:
             series = read_series(self.spark, f"{self.landing}/cpi", self.json_lines)
         else:
             require_status(documents, PAYLOAD_OK_STATUS)
             series = newest_fetch(explode_series(documents), ["series_id", "year", "month"])
-        return self._update("cpi", cpi_payload(series, (first, self.as_of.year), series_ids), keys=keys)
+        return self._update("cpi", cpi_payload(series, year_range(self.as_of, num_years), series_ids), keys=keys)
 
     def update_asset(self, symbols: Sequence[str] | None = None, payload: DataFrame | None = None,
                      min_mkt_cap: float = SCREEN_MIN_MKT_CAP, limit: int = SCREEN_LIMIT,

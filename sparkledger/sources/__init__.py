@@ -15,7 +15,6 @@ from sparkledger.sources.landing import (
 )
 from sparkledger.sources.store import SnapshotStore
 from sparkledger.sources.tables import (
-    column_types,
     describe_columns,
     list_tables,
     read_jdbc,
@@ -26,7 +25,7 @@ from sparkledger.sources.tables import (
 )
 
 __all__ = [
-    "FETCHED", "SnapshotStore", "column_types", "describe_columns", "explode_series", "fan_out", "first_match",
+    "FETCHED", "SnapshotStore", "describe_columns", "explode_series", "fan_out", "first_match",
     "list_tables", "newest_fetch", "newest_per_symbol", "parse_payload_column", "read_jdbc", "read_payload",
     "read_series", "read_table", "records_to_df", "screen", "since", "small_rows", "table_handle",
 ]

@@ -16,10 +16,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkledger.functions.casts import lenient_double, lenient_long, ref_date_text, strip_chars
+from sparkledger.functions.dates import days_before
 from sparkledger.functions.names import snake_columns
 from sparkledger.operators.lookup import symbols_frame
 from sparkledger.operators.quality import require_status
 from sparkledger.operators.ranking import keep_first, top_k_per_key
+from sparkledger.operators.shape import drop_null_rows
 from sparkledger.schemas import CPI_DAY_OF_MONTH, PAYLOAD_OK_STATUS, SERIES_PAYLOAD_SCHEMA
 
 
@@ -88,8 +90,8 @@ def explode_series(documents: DataFrame) -> DataFrame:
         lenient_long(strip_chars(F.col("d.period"), "M")).alias("month"),
         F.col("d.periodName").alias("period_name"),
         lenient_double(F.col("d.value")).alias("series_value"),
-    ).dropna(subset=["series_value"])
-    return rows.withColumn("ref_date", ref_date_text("year", "month", CPI_DAY_OF_MONTH))
+    )
+    return drop_null_rows(rows, "series_value").withColumn("ref_date", ref_date_text("year", "month", CPI_DAY_OF_MONTH))
 
 
 def read_series(spark: SparkSession, path: str, json_lines: bool = False) -> DataFrame:
@@ -136,8 +138,7 @@ def first_match(payload: DataFrame, key: str = "query", order: Sequence[tuple[st
 
 def since(payload: DataFrame, date_col: str, as_of: dt.date | dt.datetime, days: int) -> DataFrame:
     """Rows dated within ``days`` before ``as_of`` (the price look-back)."""
-    day = as_of.date() if isinstance(as_of, dt.datetime) else as_of
-    start = day - dt.timedelta(days=days)
+    start = days_before(as_of, days)
     col = F.col(date_col)
     if isinstance(payload.schema[date_col].dataType, T.StringType):
         col = col.try_cast("date")

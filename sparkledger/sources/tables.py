@@ -73,10 +73,6 @@ def table_handle(spark: SparkSession, database: str, table: str) -> DataFrame:
     return spark.table(f"{database}.{table}")
 
 
-def column_types(df: DataFrame) -> dict[str, T.DataType]:
-    return {f.name: f.dataType for f in df.schema.fields}
-
-
 def describe_columns(df: DataFrame) -> DataFrame:
     """One row per column: ordinal, name, Spark type and non-null count.
 
