@@ -64,7 +64,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, n_bytes): ids as little-endian unsigned 32-bit integers, and the bytes they decode to."""
     ship_package(spark)
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    done = bpe.bpe_decode(bpe.bpe_encode(docs, path), path)
+    done = bpe.bpe_round_trip(docs, path)
     return done.select("doc_id", F.expr("cast(octet_length(ids) div 4 as long)").alias("n_tokens"), "ids", F.octet_length("decoded").cast("long").alias("n_bytes"))
 
 

@@ -215,9 +215,24 @@ def bpe_decode(encoded: DataFrame, path: str, id_col: str = "doc_id") -> DataFra
     return map_arrow(src, decode, "id long, ids binary, decoded binary", "ids").withColumnRenamed("id", id_col)
 
 
+def bpe_round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``bpe_decode(bpe_encode(docs))`` in one pass of one worker: columns (id, ids, decoded)."""
+
+    def both(piece: pa.RecordBatch) -> pa.RecordBatch:
+        table = rank_table(path)
+        ids, counts = _encoder(path).encode_texts(*utf8_column(piece.column(1)))
+        ends = np.cumsum(counts)
+        lengths = np.concatenate([[0], np.cumsum(table.token_len[ids])])
+        cells = [split_binary(ids.astype("<u4"), ends), split_binary(table.decode(ids), lengths[ends])]
+        return pa.RecordBatch.from_arrays([piece.column(0), *cells], names=["id", "ids", "decoded"])
+
+    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("body"))
+    return map_arrow(src, both, "id long, ids binary, decoded binary", "body").withColumnRenamed("id", id_col)
+
+
 def bpe_digests(docs: DataFrame, path: str) -> DataFrame:
     """The query: one row per document with digests of its ids and decoded bytes."""
-    done = bpe_decode(bpe_encode(docs, path), path)
+    done = bpe_round_trip(docs, path)
     return done.select(
         "doc_id",
         F.expr("cast(octet_length(ids) div 4 as long)").alias("n_tokens"),

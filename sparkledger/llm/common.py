@@ -24,7 +24,7 @@ from sparkledger.session import ensure_checkpoint_dir
 
 #: Characters of text that one vectorised step inside a task handles at a time;
 #: a single longer text is a step of its own.
-STEP_CHARS = 1_000_000
+STEP_CHARS = 500_000
 
 
 @lru_cache(maxsize=4)
@@ -38,8 +38,13 @@ def _shipped(app_id: str) -> None:
     SparkSession.active().sparkContext.addPyFile(str(archive))
 
 
+#: Rows of an Arrow batch: texts may be long, and a task holds a batch several times over.
+BATCH_ROWS = 1000
+
+
 def ship_package(spark: SparkSession) -> None:
     _shipped(spark.sparkContext.applicationId)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
