@@ -157,7 +157,9 @@ def _tokenised(docs: DataFrame, path: str, id_col: str, text_col: str) -> DataFr
             at += int(ends[-1]) if len(ends) else 0
 
     src = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("body"))
-    src = src.repartitionByRange("doc", F.xxhash64("body")).sortWithinPartitions("doc", F.xxhash64("body"))
+    # The last key lets rows that are alike in all be dealt to several ranges.
+    order = ("doc", F.xxhash64("body"), "row")
+    src = src.withColumn("row", F.monotonically_increasing_id()).repartitionByRange(*order).sortWithinPartitions(*order)
     return src.select(F.spark_partition_id().alias("part"), "doc", "body").mapInArrow(run, "part int, at long, doc long, n long, ids binary")
 
 
