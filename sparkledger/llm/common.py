@@ -170,7 +170,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     ensure_checkpoint_dir(edges.sparkSession)
     edges = edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).where("a <> b")
     edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().checkpoint()
-    state = None
+    seen = lambda e: e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+    state = seen(edges)
     for _ in range(max_rounds):
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         # Materialised, so that both sides of the join below come straight from an
@@ -178,13 +179,13 @@ def connected_components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")).checkpoint()
         # Large star: neighbours above a node are linked to its smallest neighbour.
         large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.where("a <> b").distinct()
+        large = large.where("a <> b")
         # Small star: a node and its lower neighbours are linked to the smallest.
         low2 = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low2, "a").select(F.explode(F.array(
             F.struct(F.col("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
         edges = small.select("e.a", "e.b").where("a <> b").distinct().checkpoint()
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        now = seen(edges)
         if now == state:
             break
         state = now
