@@ -47,7 +47,7 @@ def one_per_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of the benchmark."""
-    found = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
+    found = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"), verbatim=True)
     found = found.select(F.col("dk").alias(KEYS[0]), F.col("th").alias(KEYS[1])).distinct()
     return _keyed(docs).join(found, list(KEYS), "left_anti").select(*docs.columns)
 

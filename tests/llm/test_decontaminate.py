@@ -79,6 +79,22 @@ def test_equals_plain_loop(spark, block):
     assert {tuple(r) for r in got.collect()} == plain(docs, items)
 
 
+def test_verbatim_copies_of_dense_items(spark):
+    items = [(1, "What is 2 + 2?"), (2, "Who wrote Hamlet?"), (3, "The Old Man And The Sea By Ernest Hemingway"), (4, "Compute 12 + 7 - 3 * 4 / 2 + 9"), (5, "a 5kg bag"),
+             (6, "Sum up 1 2 3 4 5 6 7 8 9 10 11 12 and then tell us what the total of them is today"), (7, "42")]
+    pad = "some words before it "
+    docs = [(i, pad + text + " and some behind") for i, text in items]
+    loose = ["What is 3 + 5?", "Who wrote Macbeth?", "The Old Cat And The Hat By Somebody Else", "Compute 12 + 7 - 3 * 4 * 2 + 9", "a 5lb bag", "Sum up 1 2 3 4 5 6 8 7 9 10", "43"]
+    docs += [(100 + n, pad + text) for n, text in enumerate(loose)]
+    got = {(r.doc_id, r.item_id) for r in dc.leaks(frame(spark, docs), frame(spark, items, "item_id")).collect()}
+    assert got == {(i, i) for i, _ in items}
+
+
+def test_one_verbatim_row_per_document_and_item(spark):
+    got = dc.leaks(frame(spark, [(1, "7 8 9 " * 1000)]), frame(spark, [(1, "7 8 9 " * 20)], "item_id")).collect()
+    assert [tuple(r) for r in got] == [(1, 1, 51, 0)]
+
+
 def test_empty_tables(spark):
     docs, items = frame(spark, [(1, ITEM)]), frame(spark, [(1, ITEM)], "item_id")
     assert dc.leaks(docs.limit(0), items).count() == 0
