@@ -76,7 +76,7 @@ class Templates:
     def _add(self, token: str) -> int:
         core = token.strip(MARKS)
         low = core.lower()
-        whole = _hash(low or token)  # tokens of marks alone, as in 3 * 4, differ by them
+        whole = low or token  # tokens of marks alone, as in 3 * 4, differ by them
         kind, unit = WORD, ""
         if NUMBER.match(low):
             kind = NUM
@@ -88,7 +88,8 @@ class Templates:
         tail = token.rstrip("\"')]}»”’*_")
         n = self.at[token] = len(self.rows)
         # The hash of the word itself, the same in every worker.
-        self.rows.append((_hash(low), kind, core[:1].isupper(), tail[-1:] in (".", "?", "!", ":"), low, unit, whole))
+        word = _hash(low)
+        self.rows.append((word, kind, core[:1].isupper(), tail[-1:] in (".", "?", "!", ":"), low, unit, word if whole == low else _hash(whole)))
         return n
 
     def codes(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -107,9 +108,12 @@ class Templates:
             ids += got
             counts.append(len(got))
         ids, counts = np.array(ids, np.int64), np.array(counts, np.int64)
-        if not self.tables or len(self.tables[0]) != len(self.rows):
-            self.tables = (np.array([r[0] for r in self.rows], np.uint64), np.array([r[1] for r in self.rows], np.int8), np.array([r[2] for r in self.rows], bool),
-                           np.array([r[3] for r in self.rows], bool), np.array([bool(r[5]) for r in self.rows], bool), np.array([r[6] for r in self.rows], np.uint64))
+        done = len(self.tables[0]) if self.tables else 0
+        if not self.tables or done != len(self.rows):
+            more = self.rows[done:]
+            new = (np.array([r[0] for r in more], np.uint64), np.array([r[1] for r in more], np.int8), np.array([r[2] for r in more], bool),
+                   np.array([r[3] for r in more], bool), np.array([bool(r[5]) for r in more], bool), np.array([r[6] for r in more], np.uint64))
+            self.tables = tuple(np.concatenate(x) for x in zip(self.tables, new, strict=True)) if self.tables else new
         word, kind, capital, ends, joined, whole = (t[ids] if len(ids) else t[:0] for t in self.tables)
         self.raw = whole, counts
         first = np.zeros(len(ids) + 1, bool)
