@@ -16,8 +16,8 @@ meet by a shuffle on the first half's centroid, a query bringing the set of its
 there; centroids with many entries are dealt in slices to several tasks.
 
 Vectors that are null, zero, of another length than the most frequent one, or hold null or
-non-finite components take no part.  Rows that repeat a vec_id are candidates and queries of
-their own for scoring, but a query returns each vec_id once, by its best score.
+non-finite components take no part.  Rows that repeat a vec_id and its vector count once everywhere; other
+rows of a vec_id are candidates and queries of their own for scoring, but a query returns each vec_id once, by its best score.
 """
 
 from __future__ import annotations
@@ -110,7 +110,9 @@ class Codebooks:
 def search(vectors: DataFrame, queries: DataFrame, neighbours: int = NEIGHBOURS, id_col: str = "vec_id", vec_col: str = "embedding", share: float = PROBE_SHARE, least: int = PROBE_LEAST) -> DataFrame:
     """(query_id, rank, vec_id, score): the nearest found of each row of ``queries``, itself left out."""
     spark = vectors.sparkSession
-    entries = usable(vectors, id_col, vec_col)
+    # Copies of a row would fill cells and places: they count once, from the facts on.
+    entries = written(usable(vectors, id_col, vec_col).select("id", "vec").distinct(), "vectors")
+    entries = entries.withColumn("norm", F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, v: a + v * v)))
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     facts = entries.groupBy(F.size("vec").alias("dim")).agg(F.count("*").alias("n"), F.max("norm").alias("top")).orderBy(F.desc("n"), "dim").limit(1).collect()
     if not facts:
@@ -173,14 +175,21 @@ def search(vectors: DataFrame, queries: DataFrame, neighbours: int = NEIGHBOURS,
                 drawn = np.unpackbits(np.frombuffer(b"".join(c for _, _, c in some), np.uint8).reshape(len(some), -1), axis=1)
                 score[drawn[:, cell] == 0] = -np.inf
                 score[np.array([i for i, _, _ in some])[:, None] == ids[None]] = -np.inf
-                keep = min(neighbours + 8, len(ids))
-                top = np.argpartition(-score, keep - 1, axis=1)[:, :keep]
+                first = min(neighbours + 8, len(ids))
+                top = np.argpartition(-score, first - 1, axis=1)[:, :first]
                 out = [], [], []
                 for row, ((q, v, _), at) in enumerate(zip(some, top, strict=True)):
-                    # All entries that tie with the last one kept, so that smaller ids win.
-                    floor = score[row, at].min()
-                    at = np.flatnonzero(score[row] >= floor) if np.isfinite(floor) else np.flatnonzero(np.isfinite(score[row]))
-                    at = at[np.isfinite(score[row, at])]
+                    keep = first
+                    while True:
+                        # All entries that tie with the last one kept, so that smaller ids win.
+                        floor = score[row, at].min()
+                        at = np.flatnonzero(score[row] >= floor) if np.isfinite(floor) else np.flatnonzero(np.isfinite(score[row]))
+                        at = at[np.isfinite(score[row, at])]
+                        # An id may have many vectors: more are kept until there are enough ids, or no more entries.
+                        if not np.isfinite(floor) or keep == len(ids) or len(set(ids[at].tolist())) >= neighbours:
+                            break
+                        keep = min(4 * keep, len(ids))
+                        at = np.argpartition(-score[row], keep - 1)[:keep]
                     # The same sum for the same vectors, whatever the block.
                     exact = (x[at] * v).sum(1)
                     order = np.lexsort((ids[at], -exact))

@@ -47,6 +47,28 @@ def test_few_and_none(spark):
     assert mi.every_twentieth(df.limit(0)).count() == 0
 
 
+def test_repeated_ids_take_no_places(spark):
+    rng = np.random.default_rng(4)
+    near = [[1.0, float(i) / 1000] for i in range(30)]
+    rows = [(0, [1.0, 0.0])] + [(i + 1, v) for i, v in enumerate(near)]
+    rows += [(77, [2.0, 0.0])] * 60  # one row many times
+    rows += [(78, [3.0, float(x) / 100]) for x in rng.normal(size=300)]  # one id with many vectors
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = [r.vec_id for r in mi.search(df, df.where("vec_id = 0"), least=10_000).orderBy("rank").collect()]
+    assert got == [78, 77, *range(1, 19)]
+
+
+def test_copies_do_not_spend_the_probe_share(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(300, 8)))]
+    seen = []
+    walk = mi.Codebooks.__init__
+    monkeypatch.setattr(mi.Codebooks, "__init__", lambda self, sample, *a: (seen.append(len({tuple(x) for x in sample.tolist()}) == len(sample)), walk(self, sample, *a))[1])
+    plain, copied = (spark.createDataFrame(r, "vec_id long, embedding array<double>") for r in (rows, rows + [rows[7]] * 400))
+    found = [sorted(map(tuple, mi.search(df, df.where("vec_id % 20 = 0"), least=21).collect())) for df in (plain, copied)]
+    assert found[0] == found[1] and seen == [True, True]
+
+
 def test_walk_draws_cells_in_order():
     rng = np.random.default_rng(1)
     books = mi.Codebooks(rng.normal(size=(300, 6)), 5.0, 8)
