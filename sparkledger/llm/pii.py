@@ -20,6 +20,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -44,10 +45,14 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 TRAIN_WINDOWS, EPOCHS = 1500, 4
 #: Tokens and characters of a segment, at most.
 MOST_TOKENS, MOST_CHARS = 24, 72
-#: Characters kept on each side of a digit or at sign.
-MARGIN = 24
+#: Characters kept on each side of a digit or at sign, at least: no segment reaches further.
+MARGIN = MOST_CHARS
+#: Characters of a surrounding that the field is trained on, below this.
+TRAIN_CHARS = 400 + 2 * (MARGIN - 24)
 TOKEN = re.compile(r"[^\W_]+|\s|.", re.S)
 TRIGGER = re.compile(r"[0-9@]")
+RUN = re.compile(r"[A-Za-z0-9._%+-]+")
+BLANK = re.compile(r"\s")
 
 Span = tuple[int, int, int]  # start, kind, end
 
@@ -87,14 +92,25 @@ def base_spans(text: str) -> list[Span]:
 
 
 def surroundings(text: str) -> list[tuple[int, int]]:
-    """Parts of a text around its digits and at signs, cut at blanks, overlapping ones joined."""
-    out: list[list[int]] = []
+    """Parts of a text around its digits and at signs: MARGIN characters on each side and on to the next blank,
+    overlapping ones joined."""
+    near: list[list[int]] = []
     for m in TRIGGER.finditer(text):
-        if out and m.start() < out[-1][1] - MARGIN // 2:
-            out[-1][1] = max(out[-1][1], min(len(text), m.end() + MARGIN))
-            continue
         a, b = max(0, m.start() - MARGIN), min(len(text), m.end() + MARGIN)
-        if out and a < out[-1][1]:
+        if near and a < near[-1][1]:
+            near[-1][1] = b
+        else:
+            near.append([a, b])
+    out: list[list[int]] = []
+    for a, b in near:
+        last = out[-1][1] if out else 0
+        if b <= last:
+            continue
+        while a > last and not text[a - 1].isspace():
+            a -= 1
+        m = BLANK.search(text, b)
+        b = b if text[b - 1].isspace() else m.start() if m else len(text)
+        if out and a <= last and (a < last or not text[a - 1].isspace()):
             out[-1][1] = b
         else:
             out.append([a, b])
@@ -173,9 +189,33 @@ def segments(text: str) -> tuple[list[int], list[tuple[int, int, tuple[str, ...]
             left = shape[ends[i] - 1] if i else "^"
             right = shape[ends[j]] if j < len(tokens) else "^"
             out.append((i, j, (*fixed, f"left={left}", f"right={right}"), can))
+    _whole_addresses(text, ends, out)
     return ends, out
 
 
+def _whole_addresses(text: str, ends: list[int], found: list[tuple[int, int, tuple[str, ...], np.ndarray]]) -> None:
+    """Of segments that begin in one run of address characters and end in one, only the longest can be an email."""
+    emails = [x for x, (_, _, _, can) in enumerate(found) if can[0] == 0]
+    if len(emails) < 2:
+        return
+    runs = [m.span() for m in RUN.finditer(text)]
+
+    def run(at: int) -> int:
+        k = bisect_right(runs, (at, len(text) + 1)) - 1
+        return k if k >= 0 and at < runs[k][1] else -1 - at
+
+    longest: dict[tuple[int, int], int] = {}
+    for x in emails:
+        i, j = found[x][:2]
+        key = run(ends[i]), run(ends[j] - 1)
+        y = longest.setdefault(key, x)
+        if y != x:
+            less = x if ends[j] - ends[i] <= ends[found[y][1]] - ends[found[y][0]] else y
+            found[less][3][0] = -np.inf
+            longest[key] = x + y - less
+    found[:] = [f for f in found if np.isfinite(f[3]).any()]
+
+
 class Field:
     """Weights of the field; scores, gradients and the best segmentation."""
 
@@ -311,7 +351,7 @@ def fit(docs: DataFrame, text_col: str = "text", train_windows: int = TRAIN_WIND
                 for a, b in surroundings(text):
                     inside = [s for s in spans if a <= s[0] and s[2] <= b]
                     part = text[a:b]
-                    if len(part) < 400 and all(s[2] <= a or s[0] >= b or s in inside for s in spans):
+                    if len(part) < TRAIN_CHARS and all(s[2] <= a or s[0] >= b or s in inside for s in spans):
                         keys.append(zlib.crc32(part.encode("utf-8", "surrogatepass")))
                         parts.append(part)
                         marks.append([x for s, k, e in inside for x in (s - a, k, e - a)])

@@ -66,6 +66,28 @@ def test_query_and_additions(spark):
     assert add("in 2024 we had 12 of 300, token 7695f98391c04c2f5d, number 2123465659789240") == []
 
 
+def test_long_addresses_are_whole(spark):
+    _, df = corpus(spark)
+    field = pii.fit(df)
+    pad = "worda " * 30
+    for address in ("firstname.middlename.lastname @ mail3.example.com", "anna.5 @ mail.department.university.example.com"):
+        text = f"{pad}mail {address} {pad}"
+        assert [(text[s:e], k) for s, k, e in pii.find_pii(text, field)[1]] == [(address, 0)]
+
+
+def test_surroundings_are_cut_at_blanks_beyond_any_segment():
+    rng = random.Random(3)
+    for _ in range(500):
+        text = "".join(rng.choice("abcdefgh" * 6 + "   \n@1.") for _ in range(rng.randint(0, 900)))
+        parts = pii.surroundings(text)
+        assert all(a < b <= c for (a, b), (c, _) in zip(parts, [*parts[1:], (len(text) + 1, 0)]))
+        for a, b in parts:
+            assert (a == 0 or text[a - 1].isspace()) and (b == len(text) or text[b].isspace() or text[b - 1].isspace())
+        for m in pii.TRIGGER.finditer(text):
+            a, b = next(p for p in parts if p[0] <= m.start() < p[1])
+            assert a <= max(0, m.end() - pii.MOST_CHARS) and b >= min(len(text), m.start() + pii.MOST_CHARS)
+
+
 def test_best_segmentation_is_the_best_of_all():
     field = pii.train([("call +1 (559) 555-3893 now", [(5, 3, 22)]), ("at 10.0.0.1 x", [(3, 1, 11)])] * 5)
     for text in ("a +1 (559) 555-3893 b 10.0.0.1", "10.0.0.1 10.0.0.2"):
