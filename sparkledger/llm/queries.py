@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, decontaminate, html_text, minhash_join, multi_index, pii, rans, repeats, toxicity
+from . import bpe, chat, decontaminate, html_text, merkle, minhash_join, multi_index, pii, rans, repeats, simhash, spelling, toxicity
 from .common import table
 
 
@@ -49,6 +49,18 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.component_rows(table(spark, sf_dir, "documents"))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.merkle_rows(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_html_text": op1_html_text,
     "op2_toxicity": op2_toxicity,
@@ -60,6 +72,9 @@ QUERIES = {
     "op8_neighbours": op8_neighbours,
     "op9_repeats": op9_repeats,
     "op10_decontaminate": op10_decontaminate,
+    "op11_spelling": op11_spelling,
+    "op12_simhash": op12_simhash,
+    "op13_merkle": op13_merkle,
 }
 
 #: DuckDB SQL for the queries that SQL can express.
