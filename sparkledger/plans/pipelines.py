@@ -8,14 +8,15 @@ Each update is split in two:
   builds the next snapshot in one join (``upsert``) or, for insert-only
   tables, an anti-join plus append.
 
-``Ledger`` wires them to a landing folder and a ``SnapshotStore``: every
-``update_<table>`` is one plan ending in one write.  ``as_of`` is explicit so
-a run can be repeated exactly.
+``Ledger`` wires them to a landing folder and a ``SnapshotStore``; its updates
+write only rows that are new or differ.  ``as_of`` is explicit so a run can be
+repeated exactly.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -59,26 +60,28 @@ from sparkledger.schemas import (
     SENTINEL_DATE,
     SENTINEL_PERIOD,
     SENTINEL_YEAR,
+    SERIES_PAYLOAD_SCHEMA,
     PAYLOAD_SCHEMAS,
     STATEMENT_PERIODS,
     TABLE_KEYS,
     TABLES_WITH_ID,
 )
+from sparkledger.session import staged
 from sparkledger.sources import (
-    SnapshotStore,
+    BROKEN,
     FETCHED,
+    SnapshotStore,
     explode_series,
+    fan_out,
     first_match,
     newest_fetch,
     newest_per_symbol,
-    read_payload,
-    read_series,
+    read_landed,
     screen,
     since,
+    undated,
 )
-from sparkledger.session import staged
-from sparkledger.sources.landing import fan_out
-from sparkledger.sources.store import part_of
+from sparkledger.sources.store import PART, PUBLISHED, ROW_HASH, hashed_columns, part_of, row_hash
 
 
 @dataclass
@@ -178,18 +181,20 @@ def cpi_payload(series_rows: DataFrame, years: tuple[int, int] | None = None,
 # Assets (insert only)
 # ---------------------------------------------------------------------------
 def asset_payload(search_rows: DataFrame, symbols: DataFrame | Sequence[str] | None, cat_id: int,
-                  query: str = "query", order: Sequence[tuple[str, str]] = (("position", "asc"),)) -> DataFrame:
+                  query: str = "query", position: str = "position") -> DataFrame:
     """First search hit per queried symbol, as asset rows of category ``cat_id``.
 
-    Payloads without a ``query`` column (symbol and name alone) are the hits of
-    the symbol they name; of several fetches the newest counts.
+    Of several fetches the newest counts, in it the least position.  Hits without a ``query`` are those of
+    the symbol they name, hits without a ``position`` come last, by symbol and name.
     """
-    if query not in search_rows.columns:
-        search_rows, order = search_rows.withColumn(query, F.col("symbol")), (("symbol", "asc"), ("name", "asc_nulls_last"))
-    rows = search_rows if symbols is None else fan_out(search_rows, query, symbols)
+    asked = F.coalesce(F.col(query), F.col("symbol")) if query in search_rows.columns else F.col("symbol")
+    place = F.col(position).cast("bigint") if position in search_rows.columns else F.lit(None).cast("bigint")
+    rows = search_rows.withColumns({query: asked, position: place})
+    rows = rows if symbols is None else fan_out(rows, query, symbols)
+    order = [(position, "asc_nulls_last"), ("symbol", "asc"), ("name", "asc_nulls_last")]
     if FETCHED in rows.columns:
-        order = ((FETCHED, "desc_nulls_last"), *order)
-    rows = first_match(rows, query, list(order)).withColumnRenamed("name", "description").drop(FETCHED)
+        order = [(FETCHED, "desc_nulls_last"), *order]
+    rows = first_match(rows, query, order).withColumnRenamed("name", "description").drop(FETCHED)
     rows = add_constants(rows, {"asset_cat_id": (cat_id, "bigint"), "has_financials": True, "has_chart": True})
     return blank_to_null(rows)
 
@@ -246,6 +251,11 @@ def statement_payload(statement_rows: DataFrame, amap: DataFrame, periods: DataF
     return to_period_id(rows, periods.select("id", "asset_id", "fiscal_year", "period"))
 
 
+def without_period(typed: DataFrame, periods: DataFrame) -> DataFrame:
+    """Typed statement rows whose (asset, year, period) has no reporting period (null parts included): rejects."""
+    return typed.join(periods.select("asset_id", "fiscal_year", "period"), ["asset_id", "fiscal_year", "period"], "left_anti")
+
+
 # ---------------------------------------------------------------------------
 # Earnings aligned with reporting periods
 # ---------------------------------------------------------------------------
@@ -269,6 +279,21 @@ def earning_payload(earning_rows: DataFrame, amap: DataFrame, periods: DataFrame
                         observation=observation, small_groups=True)
 
 
+def reports_after(state: DataFrame, delta: DataFrame, report: Sequence[str] = ("symbol", "date")) -> DataFrame:
+    """All known reports of the symbols in ``delta``, the newest fetch of each report.
+
+    Alignment ranks all reports of an asset, so a new report needs the older ones: ``state`` keeps them
+    (with their fetch time), and nothing but the touched symbols is read of it."""
+    touched = delta.select("symbol").where("symbol is not null").distinct()
+    known = state.join(touched, "symbol", "left_semi")
+    seen = delta if FETCHED in delta.columns else delta.withColumn(FETCHED, F.lit(None).cast("timestamp"))
+    # A batch without fetch times is newer than what is stored.
+    seen = seen.withColumn(FETCHED, F.coalesce(FETCHED, F.lit("9999-01-01 00:00:00").cast("timestamp")))
+    every = known.unionByName(seen, allowMissingColumns=True)
+    order = [(FETCHED, "desc_nulls_last")] + [(c, "asc_nulls_last") for c in sorted(every.columns) if c not in report and c != FETCHED]
+    return keep_first(every, list(report), order)
+
+
 # ---------------------------------------------------------------------------
 # End-of-day prices
 # ---------------------------------------------------------------------------
@@ -289,12 +314,32 @@ STATEMENT_TABLES = {
 }
 
 
+def merge_changed(stored: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Stored rows with the columns of ``updates`` (unique on ``keys``) in place of their own, nulls
+    included; no key is added."""
+    others = [c for c in updates.columns if c not in keys and c in stored.columns]
+    new = updates.select(*keys, F.struct(*[F.col(c) for c in others]).alias("_u")) if others else updates.select(*keys)
+    joined = stored.join(new, list(keys), "left")
+    return joined.select(*[F.when(F.col("_u").isNotNull(), F.col(f"_u.{c}")).otherwise(F.col(c)).alias(c) if c in others else F.col(c) for c in stored.columns])
+
+
 class Ledger:
     """Runs the table updates: landing JSON in, versioned snapshots out.
 
     Landing folders may hold any number of fetches: of each natural key the
-    newest counts, before any limit, ranking or merge.  Rows that cannot be
-    stored (null key, unmapped symbol, no period) go to ``rejects(table)``.
+    newest counts, before any limit, ranking or merge.  What cannot be stored goes to
+    ``rejects(table)`` with its reason:
+
+    * ``corrupt``: a text that is no record (a torn file, a value of another type);
+    * ``unmapped``: a symbol without a flagged asset;
+    * ``undated``: a price without a date;
+    * ``no_period``: a statement without a reporting period;
+    * ``unaligned``: a report without a period and a placeholder;
+    * ``null_key``: a null in the natural key.
+
+    An update compares row hashes and writes only what is new or differs: rows of
+    new keys are appended, partitions with a changed row are rewritten, and where
+    nothing differs there is no new version.
     """
 
     def __init__(self, spark: SparkSession, store: SnapshotStore, landing: str, as_of: dt.datetime,
@@ -304,50 +349,91 @@ class Ledger:
         self.landing = landing.rstrip("/")
         self.as_of = as_of
         self.json_lines = json_lines
+        self._read_once: dict[str, DataFrame] | None = None
+
+    def _landed(self, endpoint: str, given: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+        """(rows, broken texts) of ``endpoint``, or of ``given`` rows (e.g. one micro-batch of
+        new files from the streaming runner).  JSON is parsed once: what follows reads
+        the parsed rows, and a run of all updates reads each endpoint once."""
+        if given is not None:
+            landed = staged(given if BROKEN in given.columns else given.withColumn(BROKEN, F.lit(None).cast("string")))
+        elif self._read_once is not None and endpoint in self._read_once:
+            landed = self._read_once[endpoint]
+        else:
+            schema = SERIES_PAYLOAD_SCHEMA if endpoint == "cpi" else PAYLOAD_SCHEMAS[endpoint]
+            landed = staged(read_landed(self.spark, f"{self.landing}/{endpoint}", schema, self.json_lines))
+            if self._read_once is not None:
+                self._read_once[endpoint] = landed
+        return landed.where(F.col(BROKEN).isNull()).drop(BROKEN), landed.where(F.col(BROKEN).isNotNull()).select(F.col(BROKEN).alias("text"))
 
-    def _payload(self, endpoint: str, given: DataFrame | None = None) -> DataFrame:
-        """The landed rows of ``endpoint``, or ``given`` rows (e.g. one
-        micro-batch of new files from the streaming runner)."""
-        return given if given is not None else read_payload(self.spark, f"{self.landing}/{endpoint}", PAYLOAD_SCHEMAS[endpoint],
-                                                                       self.json_lines)
-
-    def _rejects_path(self, table: str) -> str:
-        return f"{self.store.root}/_rejects/{table}"
+    def table(self, name: str) -> DataFrame:
+        """A table as of the last finished run of all updates."""
+        return self.store.read_published(name)
 
     def rejects(self, table: str) -> DataFrame:
-        """(as_of, reason, row): everything an update of ``table`` could not store, rows as JSON."""
-        return self.spark.read.schema("as_of timestamp, reason string, row string").parquet(self._rejects_path(table))
+        """(version, as_of, reason, row, hash): everything updates of ``table`` could not store, rows as JSON,
+        each once, however often its fetch is read."""
+        return self.store.rejects(table)
 
-    def _keep_rejects(self, table: str, **lost: DataFrame) -> int:
+    def _rejected(self, lost: dict[str, DataFrame]) -> tuple[DataFrame, int]:
         rows = None
         for reason, df in lost.items():
-            cells = [F.lit(self.as_of).alias("as_of"), F.lit(reason).alias("reason"), F.to_json(F.struct(*[c for c in df.columns if c != FETCHED])).alias("row")]
-            rows = df.select(*cells) if rows is None else rows.unionByName(df.select(*cells))
+            row = F.to_json(F.struct(*[F.col(c) for c in df.columns if c != FETCHED]))
+            cells = df.select(F.lit(self.as_of.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp").alias("as_of"), F.lit(reason).alias("reason"), row.alias("row"))
+            rows = cells if rows is None else rows.unionByName(cells)
         seen = Observation("rejects")
-        rows.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(self._rejects_path(table))
-        return observed(seen, ["n"])["n"]
+        rows = staged(rows.withColumn("hash", F.xxhash64("reason", "row")).observe(seen, F.count(F.lit(1)).alias("n")))
+        return rows, observed(seen, ["n"])["n"]
 
     def _amap(self, flag: str, symbols: Sequence[str] | None) -> DataFrame:
         return asset_map(self.store.read("asset"), self.store.read("asset_cat"), flag, ASSET_CAT, symbols)
 
     def _update(self, table: str, payload: DataFrame, insert_only: bool = False, keys: Sequence[str] | None = None,
-                **lost: DataFrame) -> dict[str, int]:
-        """Merge a payload into the storage partitions it touches."""
+                lost: dict[str, DataFrame] | None = None) -> dict[str, int]:
+        """Bring new and differing rows of a payload into the table.
+
+        Of the stored side only keys and hashes of the partitions that the payload touches are read to find them."""
         keys, pk = list(keys or TABLE_KEYS[table]), "id" if table in TABLES_WITH_ID else None
-        schema = self.store.schemas[table]
+        schema, base = self.store.schemas[table], self.store.version(table)
         good, null_keys, metrics = prepare(schema, payload, keys)
-        good = staged(good)
-        touched = [r[0] for r in good.select(part_of(table)).distinct().collect()]  # at most the partitions of a table
-        stored = self.store.read(table, parts=touched)
-        first_id = next_id(self.store.read(table), pk) if pk else None
-        result = apply_update(stored, good, keys, pk=pk, insert_only=insert_only, first_id=first_id)
-        if insert_only:
-            version = self.store.commit(table, append(self.spark.createDataFrame([], schema), result.inserts), appends=True)
+        every = hashed_columns(table, schema)
+        # The stored hash covers all columns; it serves where the payload has them all.
+        whole = keys == TABLE_KEYS[table] and set(every) <= set(good.columns)
+        compared = every if whole else [c for c in good.columns if c not in keys and c != pk]
+        good = staged(good.withColumns({PART: part_of(table), ROW_HASH: row_hash(compared)}))
+        touched = [r[0] for r in good.select(PART).distinct().collect()]  # at most the partitions of a table
+        stored = self.store.scan(table, base, touched)
+        have = stored.select(*keys, (F.col(ROW_HASH) if whole else row_hash(compared)).alias("_have"))
+        new = F.col("_have").isNull()
+        differs = new if insert_only else new | (F.col("_have") != F.col(ROW_HASH))
+        changed = staged(good.join(have, keys, "left").where(differs).withColumn("_new", new).drop("_have", ROW_HASH))
+        counts = {r[PART]: (r.inserted, r.updated) for r in changed.groupBy(PART).agg(
+            F.count_if("_new").alias("inserted"), F.count_if(~F.col("_new")).alias("updated")).collect()}
+        lost = dict(lost or {})
+        if observed(metrics, ["rejects"])["rejects"]:
+            lost["null_key"] = null_keys
+        rejects, n_rejects = self._rejected(lost) if lost else (None, 0)
+        if n_rejects:
+            rejects = rejects.join(self.store.rejects(table).select("reason", "hash"), ["reason", "hash"], "left_anti").dropDuplicates(["reason", "hash"])
+            rejects = rejects.select("as_of", "reason", "row", "hash")
+            rejects = rejects if rejects.limit(1).count() else None
         else:
-            version = self.store.commit(table, result.snapshot, replaces=touched)
-        rejects = self._keep_rejects(table, null_key=null_keys, **lost)
-        return {"version": version, "rows": observed(metrics, ["rows"])["rows"], "rejects": rejects,
-                **observed(result.writes, ["inserted", "updated"])}
+            rejects = None
+        inserted, updated = (sum(c[i] for c in counts.values()) for i in (0, 1))
+        version = base
+        if counts:
+            rewritten = sorted(p for p, c in counts.items() if c[1])
+            out = changed.where("_new").drop("_new", PART)
+            if pk and inserted:
+                out = with_row_index(out, [(k, "asc") for k in keys], name=pk, start=next_id(self.store.read(table, base), pk))
+            out = append(self.spark.createDataFrame([], schema), out)
+            if rewritten:
+                changes = changed.where(~F.col("_new")).drop("_new", PART)
+                out = out.unionByName(merge_changed(self.store.read(table, base, rewritten), changes, keys))
+            version = self.store.commit(table, out, replaces=rewritten, base=base, rejects=rejects)
+        elif rejects is not None:
+            version = self.store.add_rejects(table, rejects, base)
+        return {"version": version, "rows": observed(metrics, ["rows"])["rows"], "rejects": n_rejects, "inserted": inserted, "updated": updated}
 
     def _unmapped(self, rows: DataFrame, amap: DataFrame, symbols: Sequence[str] | None) -> dict[str, DataFrame]:
         """Rows of symbols outside the map; with a list of symbols the others were not asked for."""
@@ -356,12 +442,10 @@ class Ledger:
     def update_cpi(self, num_years: int = CPI_YEARS, series_ids: Sequence[str] = (CPI_SERIES_ID,),
                    keys: Sequence[str] | None = None, documents: DataFrame | None = None) -> dict[str, int]:
         """``documents``: nested series documents to use instead of the landing folder."""
-        if documents is None:
-            series = read_series(self.spark, f"{self.landing}/cpi", self.json_lines)
-        else:
-            require_status(documents, PAYLOAD_OK_STATUS)
-            series = newest_fetch(explode_series(documents), ["series_id", "year", "month"])
-        return self._update("cpi", cpi_payload(series, year_range(self.as_of, num_years), series_ids), keys=keys)
+        docs, broken = self._landed("cpi", documents)
+        require_status(docs, PAYLOAD_OK_STATUS)
+        series = newest_fetch(explode_series(docs), ["series_id", "year", "month"])
+        return self._update("cpi", cpi_payload(series, year_range(self.as_of, num_years), series_ids), keys=keys, lost={"corrupt": broken})
 
     def update_asset(self, symbols: Sequence[str] | None = None, payload: DataFrame | None = None,
                      min_mkt_cap: float = SCREEN_MIN_MKT_CAP, limit: int = SCREEN_LIMIT,
@@ -369,52 +453,77 @@ class Ledger:
         """New assets among ``symbols``, or among the ``limit`` largest of the newest screening."""
         cats = self.store.read("asset_cat")
         cat_id = lookup_scalar(cats.filter((F.col("cat") == ASSET_CAT) & (F.col("sub_cat") == ASSET_SUB_CAT)), "id")
+        hits, broken = self._landed("search", payload)
         if not symbols:
-            screened = screen(newest_fetch(self._payload("screener"), ["symbol"]), min_mkt_cap, limit, country)
-            wanted: DataFrame | Sequence[str] = screened.select("symbol")
+            found, unread = self._landed("screener")
+            broken = broken.unionByName(unread)
+            wanted: DataFrame | Sequence[str] = screen(newest_fetch(found, ["symbol"]), min_mkt_cap, limit, country).select("symbol")
         else:
             wanted = list(symbols)
-        rows = asset_payload(self._payload("search", payload), wanted, cat_id)
-        return self._update("asset", rows, insert_only=True)
+        return self._update("asset", asset_payload(hits, wanted, cat_id), insert_only=True, lost={"corrupt": broken})
 
     def update_equity_profile(self, symbols: Sequence[str] | None = None,
                               payload: DataFrame | None = None) -> dict[str, int]:
-        rows, amap = self._payload("profile", payload), self._amap("has_financials", symbols)
-        return self._update("equity_profile", profile_payload(rows, amap), **self._unmapped(rows, amap, symbols))
+        (rows, broken), amap = self._landed("profile", payload), self._amap("has_financials", symbols)
+        return self._update("equity_profile", profile_payload(rows, amap), lost={"corrupt": broken, **self._unmapped(rows, amap, symbols)})
 
     def update_reporting_period(self, symbols: Sequence[str] | None = None, payload: DataFrame | None = None,
                                 limit: int = STATEMENT_PERIODS) -> dict[str, int]:
-        rows, amap = self._payload("income_statement", payload), self._amap("has_financials", symbols)
-        return self._update("reporting_period", period_payload(rows, amap, limit), **self._unmapped(rows, amap, symbols))
+        (rows, broken), amap = self._landed("income_statement", payload), self._amap("has_financials", symbols)
+        return self._update("reporting_period", period_payload(rows, amap, limit), lost={"corrupt": broken, **self._unmapped(rows, amap, symbols)})
 
     def update_statement(self, table: str, symbols: Sequence[str] | None = None, payload: DataFrame | None = None,
                          limit: int = STATEMENT_PERIODS) -> dict[str, int]:
-        rows, amap = self._payload(STATEMENT_TABLES[table], payload), self._amap("has_financials", symbols)
-        typed = statement_payload(rows, amap, self.store.read("reporting_period"), limit)
-        return self._update(table, typed, **self._unmapped(rows, amap, symbols))
+        (rows, broken), amap = self._landed(STATEMENT_TABLES[table], payload), self._amap("has_financials", symbols)
+        periods = self.store.read("reporting_period").select("id", "asset_id", "fiscal_year", "period")
+        typed = staged(typed_statement_rows(rows, amap, limit))
+        lost = {"corrupt": broken, "no_period": without_period(typed, periods), **self._unmapped(rows, amap, symbols)}
+        return self._update(table, to_period_id(typed, periods), lost=lost)
 
     def update_earning(self, symbols: Sequence[str] | None = None, payload: DataFrame | None = None,
                        limit: int = EARNING_ROWS) -> dict[str, int]:
-        """Alignment ranks an asset's reports among themselves, so a payload must hold all of them."""
+        """Alignment ranks an asset's reports among themselves.  The reports known so far are kept in the
+        store (``earning_report``), so a payload may hold new ones alone: of the symbols in it the others come from there."""
         seen = Observation("alignment")
-        rows, amap = self._payload("earnings", payload), self._amap("has_financials", symbols)
-        aligned, lost = earning_payload(rows, amap, self.store.read("reporting_period"), self.as_of, observation=seen, limit=limit)
-        out = self._update("earning", aligned, unaligned=lost, **self._unmapped(rows, amap, symbols))
+        (rows, broken), amap = self._landed("earnings", payload), self._amap("has_financials", symbols)
+        keyed = blank_to_null(rows).where("symbol is not null and date is not null")
+        touched = [r[0] for r in keyed.select(part_of("earning_report").alias(PART)).distinct().collect()]
+        known = self.store.read("earning_report", parts=touched).withColumnRenamed("fetched_at", FETCHED)
+        reports = staged(reports_after(known, keyed))
+        self._update("earning_report", reports.withColumnRenamed(FETCHED, "fetched_at"))
+        every = reports.unionByName(blank_to_null(rows).where("symbol is null or date is null"), allowMissingColumns=True)
+        aligned, unaligned = earning_payload(every, amap, self.store.read("reporting_period"), self.as_of, observation=seen, limit=limit)
+        out = self._update("earning", aligned, lost={"corrupt": broken, "unaligned": unaligned, **self._unmapped(rows, amap, symbols)})
         out["unaligned"] = observed(seen, ["unaligned"])["unaligned"]
         return out
 
     def update_eod_price(self, symbols: Sequence[str] | None = None, payload: DataFrame | None = None,
                          days: int = PRICE_DAYS) -> dict[str, int]:
-        rows, amap = self._payload("historical_price", payload), self._amap("has_chart", symbols)
-        return self._update("eod_price", price_payload(rows, amap, self.as_of, days), **self._unmapped(rows, amap, symbols))
+        (rows, broken), amap = self._landed("historical_price", payload), self._amap("has_chart", symbols)
+        lost = {"corrupt": broken, "undated": undated(rows, "date").join(amap, "symbol", "left_semi"), **self._unmapped(rows, amap, symbols)}
+        return self._update("eod_price", price_payload(rows, amap, self.as_of, days), lost=lost)
 
     def update_all(self, symbols: Sequence[str] | None = None) -> dict[str, dict[str, int]]:
-        """All updates in dependency order (assets before what keys on them)."""
-        out = {"cpi": self.update_cpi(), "asset": self.update_asset(symbols)}
-        out["equity_profile"] = self.update_equity_profile(symbols)
-        out["reporting_period"] = self.update_reporting_period(symbols)
-        for table in STATEMENT_TABLES:
-            out[table] = self.update_statement(table, symbols)
-        out["earning"] = self.update_earning(symbols)
-        out["eod_price"] = self.update_eod_price(symbols)
+        """All updates in dependency order (assets before what keys on them), published together.
+
+        Readers of ``table`` see the tables of the last finished run until the last update is done.  A run
+        that died is taken up where it stopped: finished updates are not repeated.
+        """
+        steps = {"cpi": self.update_cpi, "asset": lambda: self.update_asset(symbols), "equity_profile": lambda: self.update_equity_profile(symbols),
+                 "reporting_period": lambda: self.update_reporting_period(symbols)}
+        steps |= {t: lambda t=t: self.update_statement(t, symbols) for t in STATEMENT_TABLES}
+        steps |= {"earning": lambda: self.update_earning(symbols), "eod_price": lambda: self.update_eod_price(symbols)}
+        run, done = self.store.open_run(self.as_of, ",".join(sorted(symbols or ())))
+        out, self._read_once = {}, {}
+        try:
+            for name, step in steps.items():
+                if name in done:
+                    out[name] = json.loads(done[name])
+                    continue
+                out[name] = step()
+                self.store.finish_step(run, self.as_of, ",".join(sorted(symbols or ())), name, json.dumps(out[name]))
+        finally:
+            self._read_once = None
+        self.store.publish({name: out[name]["version"] for name in steps})
+        self.store.finish_step(run, self.as_of, ",".join(sorted(symbols or ())), PUBLISHED, "{}")
         return out

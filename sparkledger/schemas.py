@@ -47,6 +47,7 @@ TABLE_KEYS = {
     "cash_flow_statement": ["reporting_period_id"],
     "earning": ["reporting_period_id"],
     "eod_price": ["asset_id", "end_date"],
+    "earning_report": ["symbol", "date"],
 }
 # Storage partition of a row, a function of its natural key: the column and the
 # width of a bucket (None: the year of a date).  A commit rewrites only the
@@ -60,7 +61,10 @@ TABLE_PARTS = {
     "cash_flow_statement": ("reporting_period_id", 100_000),
     "earning": ("reporting_period_id", 100_000),
     "eod_price": ("end_date", None),
+    "earning_report": ("symbol", 64),
 }
+# Tables whose storage partition is a hash of the column, in that many buckets.
+HASHED_PARTS = {"earning_report"}
 # Tables whose rows carry their own surrogate ``id`` (assigned on insert).
 TABLES_WITH_ID = {"cpi", "asset", "reporting_period", "eod_price"}
 
@@ -103,6 +107,9 @@ TABLE_SCHEMAS: dict[str, T.StructType] = {
                        ("eps_estimated", D), ("revenue_actual", L), ("revenue_estimated", L)),
     "eod_price": _schema(("id", L), ("asset_id", L), ("end_date", DATE), ("open", D),
                          ("high", D), ("low", D), ("close", D), ("volume", L)),
+    # State of the earnings update: the newest fetch of every report.
+    "earning_report": _schema(("symbol", S), ("date", S), ("eps_actual", D), ("eps_estimated", D),
+                              ("revenue_actual", L), ("revenue_estimated", L), ("fetched_at", TS)),
 }
 
 # Nested consumer-price payload (one JSON document per request).
@@ -129,7 +136,7 @@ _STATEMENT = [("date", S), ("symbol", S), ("reportedCurrency", S), ("cik", S), (
 PAYLOAD_SCHEMAS: dict[str, T.StructType] = {
     "screener": _schema(("symbol", S), ("companyName", S), ("marketCap", D), ("country", S), ("isEtf", B), ("isFund", B),
                         ("isActivelyTrading", B)),
-    "search": _schema(("symbol", S), ("name", S)),
+    "search": _schema(("symbol", S), ("name", S), ("query", S), ("position", L)),
     "profile": _schema(("symbol", S), ("companyName", S), ("currency", S), ("exchange", S), ("exchangeShortName", S),
                        ("industry", S), ("sector", S), ("country", S), ("ipoDate", S), ("description", S), ("mktCap", L),
                        ("volAvg", L), ("price", D), ("beta", D), ("lastDiv", D)),

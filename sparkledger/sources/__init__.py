@@ -1,19 +1,25 @@
 """Sources and sinks: stored tables, landing payloads, the snapshot store."""
 
 from sparkledger.sources.landing import (
+    BROKEN,
     FETCHED,
     explode_series,
     fan_out,
     first_match,
+    landed_texts,
     newest_fetch,
     newest_per_symbol,
     parse_payload_column,
+    parse_records,
+    read_landed,
     read_payload,
     read_series,
     screen,
     since,
+    undated,
+    unlisted_fields,
 )
-from sparkledger.sources.store import SnapshotStore
+from sparkledger.sources.store import CommitConflict, SnapshotStore
 from sparkledger.sources.tables import (
     describe_columns,
     list_tables,
@@ -25,7 +31,8 @@ from sparkledger.sources.tables import (
 )
 
 __all__ = [
-    "FETCHED", "SnapshotStore", "describe_columns", "explode_series", "fan_out", "first_match",
-    "list_tables", "newest_fetch", "newest_per_symbol", "parse_payload_column", "read_jdbc", "read_payload",
-    "read_series", "read_table", "records_to_df", "screen", "since", "small_rows", "table_handle",
+    "BROKEN", "CommitConflict", "FETCHED", "SnapshotStore", "describe_columns", "explode_series", "fan_out", "first_match",
+    "landed_texts", "list_tables", "newest_fetch", "newest_per_symbol", "parse_payload_column", "parse_records", "read_jdbc",
+    "read_landed", "read_payload", "read_series", "read_table", "records_to_df", "screen", "since", "small_rows", "table_handle",
+    "undated", "unlisted_fields",
 ]

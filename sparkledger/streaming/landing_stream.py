@@ -6,10 +6,13 @@ checkpoint, kept next to the store) which files were already applied, so each
 run feeds only the new files -- as one or more micro-batches -- to the same
 table update, then stops.
 
+Every row keeps the fetch time of its file, so of two fetches in one micro-batch
+the newer counts, as in a batch run, and unreadable texts go to the rejects.
+
 A micro-batch replayed after a failure leaves the same rows: prices, profiles,
 statements and series are keyed rows of their own, and earnings, whose periods
-follow from the ranks of all reports of an asset, are aligned from every landed
-report of the symbols in the batch, not from the batch alone.
+follow from the ranks of all reports of an asset, are aligned from the batch and
+the reports that the store keeps of its symbols; earlier files are not read again.
 """
 
 from __future__ import annotations
@@ -19,31 +22,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from sparkledger.functions.names import snake_columns
 from sparkledger.plans.pipelines import Ledger
+from sparkledger.sources.landing import landed_texts, parse_records
+
 
 def _both_statement_tables(ledger: Ledger, rows: DataFrame) -> dict:
-    rows = snake_columns(rows)
     periods = ledger.update_reporting_period(payload=rows)
     return {"reporting_period": periods, **ledger.update_statement("income_statement", payload=rows)}
 
 
-def _all_reports_of_the_batch(ledger: Ledger, rows: DataFrame) -> dict:
-    symbols = rows.select("symbol").where("symbol is not null").distinct()
-    return ledger.update_earning(payload=ledger._payload("earnings").join(symbols, "symbol", "left_semi"))
-
-
 ENDPOINT_UPDATES: dict[str, Callable[[Ledger, DataFrame], dict]] = {
     "cpi": lambda ledger, docs: ledger.update_cpi(documents=docs),
-    "search": lambda ledger, rows: ledger.update_asset(payload=snake_columns(rows)),
-    "profile": lambda ledger, rows: ledger.update_equity_profile(payload=snake_columns(rows)),
+    "search": lambda ledger, rows: ledger.update_asset(payload=rows),
+    "profile": lambda ledger, rows: ledger.update_equity_profile(payload=rows),
     "income_statement": _both_statement_tables,
-    "balance_sheet_statement": lambda ledger, rows: ledger.update_statement(
-        "balance_sheet_statement", payload=snake_columns(rows)),
-    "cash_flow_statement": lambda ledger, rows: ledger.update_statement(
-        "cash_flow_statement", payload=snake_columns(rows)),
-    "earnings": _all_reports_of_the_batch,
-    "historical_price": lambda ledger, rows: ledger.update_eod_price(payload=snake_columns(rows)),
+    "balance_sheet_statement": lambda ledger, rows: ledger.update_statement("balance_sheet_statement", payload=rows),
+    "cash_flow_statement": lambda ledger, rows: ledger.update_statement("cash_flow_statement", payload=rows),
+    "earnings": lambda ledger, rows: ledger.update_earning(payload=rows),
+    "historical_price": lambda ledger, rows: ledger.update_eod_price(payload=rows),
 }
 
 
@@ -57,20 +53,20 @@ def run_new_files(
 ) -> list[dict]:
     """Apply the endpoint's not-yet-seen landing files; return per-batch results.
 
-    ``schema`` lists the payload fields as landed (camelCase); streams need it
-    up front (``SERIES_PAYLOAD_SCHEMA`` for ``cpi``).  ``update`` receives the
-    micro-batch as landed.  The stream's progress lives under
+    ``schema`` lists the payload fields as landed (camelCase; ``SERIES_PAYLOAD_SCHEMA`` for
+    ``cpi``).  ``update`` receives the parsed records of the micro-batch, with their
+    fetch times and broken texts.  The stream's progress lives under
     ``<store root>/_streams``.
     """
     update = update or ENDPOINT_UPDATES[endpoint]
-    reader = ledger.spark.readStream.schema(schema).option("multiLine", "false" if ledger.json_lines else "true")
+    reader = ledger.spark.readStream
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_batch))
-    source = reader.json(f"{ledger.landing}/{endpoint}")
+    source = landed_texts(reader, f"{ledger.landing}/{endpoint}", ledger.json_lines)
     results: list[dict] = []
 
     def apply_batch(batch: DataFrame, batch_id: int) -> None:
-        results.append({"batch": batch_id, **update(ledger, batch)})
+        results.append({"batch": batch_id, **update(ledger, parse_records(batch, schema, ledger.json_lines))})
 
     query = (
         source.writeStream.foreachBatch(apply_batch)

@@ -102,7 +102,7 @@ def test_update_reports_counts_without_extra_pass(spark, ledger):
     first = ledger.update_reporting_period()
     assert (first["inserted"], first["updated"]) == (3 * 5, 0)
     again = ledger.update_reporting_period()
-    assert (again["inserted"], again["updated"]) == (0, 3 * 5)
+    assert (again["inserted"], again["updated"], again["version"]) == (0, 0, first["version"])
     out = ledger.update_earning()
     assert out["rows"] == 3 * 5 and out["rejects"] == 0
     assert out["unaligned"] == 0 and out["inserted"] == 3 * 5
@@ -152,12 +152,12 @@ def test_rejects_are_kept(spark, ledger):
         {"symbol": "ZZZZ", "date": "2024-11-01", "close": 1.0}, {"symbol": "AAPL", "date": "2024-11-31", "close": 1.0}])
     ledger.update_reporting_period()
     out = ledger.update_eod_price()
-    assert out["rejects"] == 1  # the day that is none is outside the look-back as well
-    got = [(r.reason, json.loads(r.row)["symbol"]) for r in ledger.rejects("eod_price").collect()]
-    assert got == [("unmapped", "ZZZZ")]
+    assert out["rejects"] == 2
+    got = sorted((r.reason, json.loads(r.row)["symbol"]) for r in ledger.rejects("eod_price").collect())
+    assert got == [("undated", "AAPL"), ("unmapped", "ZZZZ")]
     write(f"{ledger.landing}/earnings/odd.json", [{"symbol": "ZZZZ", "date": "2024-11-01"}])
     assert ledger.update_earning()["rejects"] == 1
-    assert ledger.update_eod_price(["AAPL"])["rejects"] == 0  # the others were not asked for
+    assert ledger.update_eod_price(["AAPL"])["rejects"] == 1  # the others were not asked for
 
 
 def test_limits_are_arguments(spark, ledger):

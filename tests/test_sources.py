@@ -145,8 +145,8 @@ def test_commit_survives_a_dead_run_and_rewrites_only_touched_partitions(spark,
 
 def test_unreadable_markers_are_no_empty_table(spark, scratch):
     store = SnapshotStore(spark, f"{scratch}/store")
-    os.makedirs(f"{scratch}/store/asset_cat/_commits")
-    with open(f"{scratch}/store/asset_cat/_commits/part-0.parquet", "w") as f:
+    os.makedirs(f"{scratch}/store/asset_cat/_versions/v=1")
+    with open(f"{scratch}/store/asset_cat/_versions/v=1/part-0.parquet", "w") as f:
         f.write("not a parquet file")
     with pytest.raises(Exception, match="(?i)parquet|footer|magic|corrupt"):
         store.version("asset_cat")
