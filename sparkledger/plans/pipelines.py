@@ -447,17 +447,19 @@ class Ledger:
         series = newest_fetch(explode_series(docs), ["series_id", "year", "month"])
         return self._update("cpi", cpi_payload(series, year_range(self.as_of, num_years), series_ids), keys=keys, lost={"corrupt": broken})
 
-    def update_asset(self, symbols: Sequence[str] | None = None, payload: DataFrame | None = None,
+    def update_asset(self, symbols: DataFrame | Sequence[str] | None = None, payload: DataFrame | None = None,
                      min_mkt_cap: float = SCREEN_MIN_MKT_CAP, limit: int = SCREEN_LIMIT,
                      country: str = SCREEN_COUNTRY) -> dict[str, int]:
         """New assets among ``symbols``, or among the ``limit`` largest of the newest screening."""
         cats = self.store.read("asset_cat")
         cat_id = lookup_scalar(cats.filter((F.col("cat") == ASSET_CAT) & (F.col("sub_cat") == ASSET_SUB_CAT)), "id")
         hits, broken = self._landed("search", payload)
-        if not symbols:
+        if isinstance(symbols, DataFrame):
+            wanted: DataFrame | Sequence[str] = symbols
+        elif not symbols:
             found, unread = self._landed("screener")
             broken = broken.unionByName(unread)
-            wanted: DataFrame | Sequence[str] = screen(newest_fetch(found, ["symbol"]), min_mkt_cap, limit, country).select("symbol")
+            wanted = screen(newest_fetch(found, ["symbol"]), min_mkt_cap, limit, country).select("symbol")
         else:
             wanted = list(symbols)
         return self._update("asset", asset_payload(hits, wanted, cat_id), insert_only=True, lost={"corrupt": broken})

@@ -11,7 +11,6 @@ revised prices, so the two overlap for a year.
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,7 +21,6 @@ from sparkledger.functions import (
     lenient_double,
     lenient_long,
     lenient_utc_timestamp,
-    snake_case,
     snake_columns,
 )
 from sparkledger.operators import (
@@ -55,7 +53,6 @@ from sparkledger.operators import (
     with_row_index,
 )
 from sparkledger.plans.pipelines import (
-    Ledger,
     apply_update,
     asset_payload,
     cpi_payload,
@@ -69,12 +66,8 @@ from sparkledger.plans.pipelines import (
     unmapped,
 )
 from sparkledger.schemas import (
-    ASSET_CAT,
-    ASSET_SUB_CAT,
-    CPI_SERIES_ID,
     CPI_SERIES_NAME,
     EARNING_ROWS,
-    PAYLOAD_SCHEMAS,
     PAYLOAD_OK_STATUS,
     PRICE_DAYS,
     SCREEN_LIMIT,
@@ -86,21 +79,18 @@ from sparkledger.schemas import (
     SENTINEL_PERIOD,
     SENTINEL_YEAR,
 )
-from sparkledger.session import ensure_checkpoint_dir, staged
+from sparkledger.session import staged
 from sparkledger.sources import (
     FETCHED,
-    SnapshotStore,
     describe_columns,
     explode_series,
     fan_out,
-    list_tables,
     parse_payload_column,
     read_table,
     records_to_df,
     screen,
     since,
     small_rows,
-    table_handle,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -616,7 +606,7 @@ def q_row_index(spark, d):
     return with_row_index(o, [("o_orderdate", "desc_nulls_first"), ("o_orderkey", "asc")], "row_idx")
 
 
-@register("screener", """
+@register("screener", f"""
 SELECT c_name AS symbol, c_acctbal * 1000000.0 AS market_cap,
        CASE WHEN r_name = 'AMERICA' THEN 'US' ELSE 'XX' END AS country,
        c_mktsegment = 'AUTOMOBILE' AS is_etf, c_mktsegment = 'FURNITURE' AS is_fund,
@@ -624,7 +614,7 @@ SELECT c_name AS symbol, c_acctbal * 1000000.0 AS market_cap,
 FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
 WHERE c_acctbal * 1000000.0 > 1000000000 AND r_name = 'AMERICA'
   AND c_mktsegment NOT IN ('AUTOMOBILE', 'FURNITURE', 'HOUSEHOLD')
-ORDER BY market_cap DESC, symbol LIMIT 100""")
+ORDER BY market_cap DESC, symbol LIMIT {SCREEN_LIMIT}""")
 def q_screener(spark, d):
     c, n, r = table(spark, d, "customer"), table(spark, d, "nation"), table(spark, d, "region")
     rows = c.join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey).select(
@@ -635,7 +625,7 @@ def q_screener(spark, d):
         (F.col("c_mktsegment") == "FURNITURE").alias("is_fund"),
         (F.col("c_mktsegment") != "HOUSEHOLD").alias("is_actively_trading"),
     )
-    return screen(rows, SCREEN_MIN_MKT_CAP, 100, country="US")
+    return screen(rows, SCREEN_MIN_MKT_CAP, SCREEN_LIMIT, country="US")
 
 
 RANGE_AS_OF = dt.date(2001, 8, 1)
@@ -1381,56 +1371,5 @@ def q_records_frame(spark, d):
     return records_to_df(spark, small_rows(nation), nation.schema)
 
 
-@register("catalog_listing", "SELECT 'listing_nation' AS table_name UNION ALL SELECT 'listing_region'")
-def q_catalog_listing(spark, d):
-    for name in ("region", "nation"):
-        table(spark, d, name).createOrReplaceTempView(f"listing_{name}")
-    names = sorted({t for _, t in list_tables(spark) if t.startswith("listing_")})
-    return spark.createDataFrame([(t,) for t in names], "table_name string")
-
-
-@register("table_handle", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'P'")
-def q_table_handle(spark, d):
-    table(spark, d, "orders").createOrReplaceGlobalTempView("handle_orders")
-    return table_handle(spark, "global_temp", "handle_orders").filter(F.col("o_orderstatus") == "P").select("o_orderkey", "o_totalprice")
-
-
-# ---------------------------------------------------------------------------
-# All updates from a landing folder
-# ---------------------------------------------------------------------------
-LEDGER_AS_OF = dt.datetime(2002, 1, 1)
-
-
-def land(df: DataFrame, folder: str, endpoint: str) -> None:
-    """Write payload rows as JSON Lines under the payload's field names."""
-    named = {snake_case(f.name): f.name for f in PAYLOAD_SCHEMAS[endpoint].fields}
-    df.select(*[F.col(c).alias(named[c]) for c in df.columns if c in named]).write.json(f"{folder}/{endpoint}")
-
-
-@register("update_all", None)
-def q_update_all(spark, d):
-    """Every table of the ledger after a run of all updates over a landing built from the tables."""
-    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ledger-{uuid.uuid4().hex}"
-    landing = f"{root}/landing"
-    land(screener_rows(spark, d), landing, "screener")
-    land(search_rows(spark, d).filter(F.col("position") == 1).select("symbol", "name"), landing, "search")
-    land(profile_rows(spark, d), landing, "profile")
-    statements = statement_rows(spark, d)
-    land(statements, landing, "income_statement")
-    land(statements.withColumn("total_assets", F.col("revenue")), landing, "balance_sheet_statement")
-    land(statements.withColumn("free_cash_flow", F.col("net_income")), landing, "cash_flow_statement")
-    land(earning_rows(spark, d).filter("date <> ''").groupBy("symbol", "date").agg(F.sum("eps_actual").alias("eps_actual")), landing, "earnings")
-    land(price_rows(spark, d), landing, "historical_price")
-    docs = series_documents(spark, d)
-    docs.withColumn("Results", F.struct(F.transform("Results.series", lambda s: F.struct(
-        F.when(s["seriesID"] == "1-URGENT", CPI_SERIES_ID).otherwise(s["seriesID"]).alias("seriesID"), s["data"].alias("data"))).alias("series"))).write.json(f"{landing}/cpi")
-    store = SnapshotStore(spark, f"{root}/store")
-    cats = spark.createDataFrame([(1, ASSET_CAT, ASSET_SUB_CAT)], TABLE_SCHEMAS["asset_cat"])
-    store.commit("asset_cat", cats)
-    ledger = Ledger(spark, store, landing, LEDGER_AS_OF, json_lines=True)
-    ledger.update_all()
-    out = None
-    for name in TABLE_KEYS:
-        one = store.read(name).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table"), F.lit(store.version(name)).cast("long").alias("versions"), "rows")
-        out = one if out is None else out.unionByName(one)
-    return out
+# Queries that run the ledger itself; they use what is defined above.
+from sparkledger.plans import ledger_queries  # noqa: E402, F401

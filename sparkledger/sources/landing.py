@@ -45,7 +45,7 @@ def landed_texts(reader, path: str, json_lines: bool = False) -> DataFrame:
     """(text, fetch time) of every line (JSON Lines) or file; ``reader`` is
     ``spark.read`` or ``spark.readStream``."""
     # Any depth of folders; the text source adds none of them as columns.
-    raw = reader.option("wholetext", str(not json_lines).lower()).option("recursiveFileLookup", "true").text(path)
+    raw = reader.text(path, wholetext=not json_lines, recursiveFileLookup=True)
     return raw.select(F.col("value").alias("_text"), fetch_time().alias(FETCHED))
 
 
