@@ -20,7 +20,9 @@ import html
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Generator, Iterator
+from functools import lru_cache
+from hashlib import blake2b
 
 import pandas as pd
 import pyarrow as pa
@@ -60,15 +62,21 @@ CHROME = frozenset(
     "comment comments commentlist reply replies respond disqus discussion related recommended recommendations share sharing social popup modal overlay widget widgets "
     "toolbar login search skip copyright contentinfo complementary".split()
 )
+#: Words that say how such an element is built, not what it is about: "share-buttons" is chrome, "social-history" is not.
+PARTS = frozenset(
+    "area articles bar block body bottom box btn button buttons card cards cell center col column container content cta desktop div form frame global group head header holder "
+    "horizontal icon icons inline inner item items left level link links list local main message mobile module news outer page pages panel post posts primary right row "
+    "secondary section sections site slot sticky stories text this title top unit vertical wrap wrapper zone".split()
+)
 PAGE_HEADER = frozenset(("header", "topbar"))
 SPLIT = re.compile(r"[^a-z0-9]+")
 
 
 class Node:
-    __slots__ = ("tag", "names", "children", "parent")
+    __slots__ = ("tag", "names", "children", "parent", "holds_article")
 
     def __init__(self, tag: str, names: str, parent: Node | None):
-        self.tag, self.names, self.parent, self.children = tag, names, parent, []
+        self.tag, self.names, self.parent, self.children, self.holds_article = tag, names, parent, [], False
 
     @property
     def label(self) -> str:
@@ -126,6 +134,10 @@ def parse(source: str) -> Node:
             names += " ".join(v for k, v in found if k in ("class", "id", "role"))
         node = Node(name, names, here)
         here.children.append(node)
+        if name in ("article", "main"):
+            above = here
+            while above is not None and not above.holds_article:
+                above.holds_article, above = True, above.parent
         if name in RAW:
             stop = RAW[name].search(source, at)
             at = stop.end() if stop else end
@@ -134,45 +146,85 @@ def parse(source: str) -> Node:
     return root
 
 
-def holds_article(node: Node) -> bool:
-    return any(not isinstance(c, str) and (c.tag in ("article", "main") or holds_article(c)) for c in node.children)
+@lru_cache(maxsize=10_000)
+def chrome_names(names: str) -> tuple[bool, bool]:
+    """(some name tells of chrome, some word tells of a page header).  A name such as "cookie-notice" does
+    if its last word does, or if one does and the others only say how the element is built."""
+    chrome = header = False
+    for name in names.split():
+        words = [w for w in SPLIT.split(name) if w]
+        known = [w in CHROME for w in words]
+        chrome |= any(known) and (known[-1] or all(k or w in PARTS or len(w) < 3 or w[0].isdigit() for k, w in zip(known, words, strict=True)))
+        header |= not PAGE_HEADER.isdisjoint(words)
+    return chrome, header
 
 
 def is_chrome(node: Node, inside: bool) -> bool:
     """The element is no part of an article; ``inside``: it lies in one."""
     if node.tag in NEVER:
         return True
-    words = set(SPLIT.split(node.names)) if node.names else set()
-    if "hidden" in words or (words & CHROME) or (not inside and (node.tag == "header" or words & PAGE_HEADER)):
-        return not holds_article(node)
+    chrome, header = chrome_names(node.names) if node.names else (False, False)
+    if node.names.startswith("hidden ") or chrome or (not inside and (node.tag == "header" or header)):
+        return not node.holds_article
     return False
 
 
+def visit(node: Node, inside: bool) -> Iterator[tuple[Node | str, bool]]:
+    """(what lies below ``node``, whether its end is reached) in page order, without what is
+    chrome; elements come before and after what lies in them.  Pages may nest as deep as they like."""
+    stack: list[tuple[Node, Iterator]] = [(node, iter(node.children))]
+    while stack:
+        at, rest = stack[-1]
+        for c in rest:
+            if isinstance(c, str):
+                yield c, False
+            elif not is_chrome(c, inside):
+                yield c, False
+                stack.append((c, iter(c.children)))
+                break
+        else:
+            stack.pop()
+            if stack:
+                yield at, True
+
+
 def text_size(node: Node) -> int:
-    return sum(len(c) if isinstance(c, str) else text_size(c) if c.tag not in NEVER else 0 for c in node.children)
+    size, stack = 0, [node]
+    while stack:
+        for c in stack.pop().children:
+            if isinstance(c, str):
+                size += len(c)
+            elif c.tag not in NEVER:
+                stack.append(c)
+    return size
 
 
 def main_node(root: Node) -> Node:
-    """The largest article outside chrome, else the main element, else the whole page."""
-    articles, mains = [], []
-
-    def walk(node: Node) -> None:
-        for c in node.children:
-            if isinstance(c, str) or is_chrome(c, False):
-                continue
+    """The largest article outside chrome, else the main element (the outermost, where they nest), else the whole page."""
+    articles, mains, article, main = [], [], None, None
+    for c, done in visit(root, False):
+        if isinstance(c, str):
+            continue
+        if done:
+            article, main = None if c is article else article, None if c is main else main
+        elif article is None:
             if c.tag == "article":
                 articles.append(c)
-                continue
-            if c.tag == "main" or "main" in c.names.split():
+                article = c
+            elif main is None and (c.tag == "main" or "main" in c.names.split()):
                 mains.append(c)
-            walk(c)
-
-    walk(root)
+                main = c
     return max(articles or mains or [root], key=text_size)
 
 
+@lru_cache(maxsize=50_000)
+def step(path: str, label: str) -> str:
+    """Path of an element: a hash of the labels from the article down to it, so that deep pages have short paths."""
+    return blake2b(f"{path}/{label}".encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()
+
+
 def blocks(node: Node) -> list[tuple[str, str]]:
-    """(path of labels, text) of every block with text, in page order."""
+    """(path, text) of every block with text, in page order."""
     out: list[tuple[str, str]] = []
     held: list[str] = []
 
@@ -182,25 +234,22 @@ def blocks(node: Node) -> list[tuple[str, str]]:
         if text:
             out.append((path, text))
 
-    def walk(node: Node, path: str) -> None:
-        for c in node.children:
-            if isinstance(c, str):
-                held.append(c)
-            elif c.tag in ("br", "wbr", "hr"):
+    paths = [step("", node.label)]
+    for c, done in visit(node, True):
+        if isinstance(c, str):
+            held.append(c)
+        elif c.tag in ("br", "wbr", "hr"):
+            if not done:
                 held.append("" if c.tag == "wbr" else " ")
                 if c.tag == "hr":
-                    close(path)
-            elif not is_chrome(c, True):
-                if c.tag in BLOCKS:
-                    close(path)
-                    below = f"{path}/{c.label}"
-                    walk(c, below)
-                    close(below)
-                else:
-                    walk(c, path)
-
-    walk(node, node.label)
-    close(node.label)
+                    close(paths[-1])
+        elif c.tag in BLOCKS:
+            close(paths[-1])
+            if done:
+                paths.pop()
+            else:
+                paths.append(step(paths[-1], c.label))
+    close(paths[0])
     return out
 
 
@@ -216,36 +265,49 @@ class Tree:
         self.label, self.path, self.text, self.children, self.size = label, path, "", [], 1
 
 
-def block_tree(node: Node, path: str = "") -> Tree:
-    tree = Tree(node.label, f"{path}/{node.label}" if path else node.label)
-    held: list[str] = []
+def block_tree(node: Node) -> Tree:
+    root = Tree(node.label, step("", node.label))
+    open_trees: list[tuple[Tree, list[str]]] = [(root, [])]
 
-    def walk(n: Node) -> None:
-        for c in n.children:
-            if isinstance(c, str):
-                held.append(c)
-            elif c.tag == "br":
-                held.append(" ")
-            elif not is_chrome(c, True):
-                if c.tag in BLOCKS:
-                    held.append(" ")
-                    tree.children.append(block_tree(c, tree.path))
-                else:
-                    walk(c)
+    def close() -> Tree:
+        tree, held = open_trees.pop()
+        tree.text = " ".join("".join(held).split())
+        tree.size += sum(c.size for c in tree.children)
+        return tree
 
-    walk(node)
-    tree.text = " ".join("".join(held).split())
-    tree.size += sum(c.size for c in tree.children)
-    return tree
+    for c, done in visit(node, True):
+        tree, held = open_trees[-1]
+        if isinstance(c, str):
+            held.append(c)
+        elif c.tag == "br":
+            if not done:
+                held.append(" ")
+        elif c.tag in BLOCKS:
+            if done:
+                close()
+            else:
+                held.append(" ")
+                below = Tree(c.label, step(tree.path, c.label))
+                tree.children.append(below)
+                open_trees.append((below, []))
+    return close()
 
 
 def match(a: Tree, b: Tree) -> tuple[int, list[tuple[Tree, Tree]]]:
     """Simple tree matching: (matched nodes, pairs); equal texts break ties between matchings."""
-    score, pairs = _match(a, b)
-    return int(score), pairs
-
-
-def _match(a: Tree, b: Tree) -> tuple[float, list[tuple[Tree, Tree]]]:
+    result = None
+    stack = [_match(a, b)]
+    while stack:  # subtrees are matched as their parents ask for them
+        try:
+            asked, result = stack[-1].send(result), None
+            stack.append(_match(*asked))
+        except StopIteration as end:
+            stack.pop()
+            result = end.value
+    return int(result[0]), result[1]
+
+
+def _match(a: Tree, b: Tree) -> Generator[tuple[Tree, Tree], tuple[float, list], tuple[float, list]]:
     if a.label != b.label:
         return 0.0, []
     own = 1.0 + (1e-4 if a.text == b.text else 0.0)
@@ -262,7 +324,8 @@ def _match(a: Tree, b: Tree) -> tuple[float, list[tuple[Tree, Tree]]]:
                 if not x.children and not y.children:
                     w = 1.0001 if x.text == y.text else 1.0
                 else:
-                    w, _ = found[i, j] = _match(x, y)
+                    found[i, j] = yield x, y
+                    w = found[i, j][0]
                 v = max(v, above[j - 1] + w)
             row[j] = v
     pairs, i, j = [(a, b)], n, m
@@ -295,8 +358,10 @@ def induce(pages: list[str]) -> list[str]:
 
 
 def signature(page: str | None) -> int:
-    """Least checksum of the longer texts between tags: copies and near copies mostly share it."""
-    return min((zlib.crc32(x.encode("utf-8", "surrogatepass")) for x in re.findall(r">([^<]{30,})<", page or "")), default=0)
+    """Middle checksum of the longer texts between tags: copies and near copies mostly share it, pages that
+    share a notice do not."""
+    found = sorted({zlib.crc32(x.encode("utf-8", "surrogatepass")) for x in re.findall(r">([^<]{30,})<", page or "")})
+    return found[len(found) // 2] if found else 0
 
 
 def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -77,3 +77,29 @@ def test_copies_do_not_make_a_template(spark):
     df = spark.createDataFrame([(i, "http://copy.example.net/x", page) for i in range(30)], "page_id long, url string, html string")
     assert {r.text for r in ht.extract(df).collect()} == {"Same\nThe same long article text on every page of the host."}
     assert ht.extract(df.limit(0)).count() == 0
+
+
+def test_deep_pages():
+    for tag in ("div", "b", "section class=menu", "main", "article"):
+        name = tag.split()[0]
+        text = ht.main_text(f"<{tag}>" * 20000 + "<p>deep words</p>" + f"</{name}>" * 20000)
+        assert text == ("" if "menu" in tag else "deep words")
+    deep = "<article>" + "<div>" * 8000 + "<p>x"
+    trees = [ht.block_tree(ht.main_node(ht.parse(deep + end))) for end in (" one", " two")]
+    score, pairs = ht.match(*trees)
+    assert score == len(pairs) == 8002
+    assert ht.main_text("<article><p>a" + "<b>" * 20000 + "b<p>c") == "ab\nc"
+
+
+def test_names_that_only_share_a_word_with_chrome():
+    page = "<article><section class='social-history'><p>a</p></section><div class='recommended-reading'>b</div><div class='share-buttons'>c</div><div id='cookie-notice'>d</div><div class='ad-300x250'>e</div></article>"
+    assert ht.main_text(page) == "a\nb"
+
+
+def test_pages_that_share_a_notice_still_make_a_wrapper(spark):
+    rng = random.Random(9)
+    sentence = lambda: " ".join(rng.choice("house river stone garden walks under every morning".split()) for _ in range(12)) + "."
+    notices = sorted((sentence() for _ in range(300)), key=lambda t: ht.zlib.crc32(t.encode()))
+    rows = [(i, "http://n.example.org/", f"<article><div class=x>{notices[0]}</div>" + "".join(f"<p>{sentence()}</p>" for _ in range(4)) + "</article>") for i in range(500)]
+    got = ht.extract(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert got.where(got.text.contains(notices[0])).count() == 0
