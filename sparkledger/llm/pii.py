@@ -20,9 +20,10 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -37,7 +38,8 @@ KINDS = ("email", "ip", "card", "phone")
 #: The base patterns.
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+#: A match cannot begin inside a run of digits if none begins with it; without the look-behind long runs cost their square.
+IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
@@ -53,6 +55,11 @@ TOKEN = re.compile(r"[^\W_]+|\s|.", re.S)
 TRIGGER = re.compile(r"[0-9@]")
 RUN = re.compile(r"[A-Za-z0-9._%+-]+")
 BLANK = re.compile(r"\s")
+#: What no phone number holds: other characters, a date.
+NO_PHONE = re.compile(r"[^+0-9\x20().\-/]|(?<![0-9])(?:19|20)[0-9]{2}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12][0-9]|3[01])(?![0-9])")
+GROUPS = re.compile(r"[0-9]+")
+#: Thirteen digits that may be a book number; its check digit decides.
+BOOK = re.compile(r"(?<![0-9])97[89](?:[\x20-]?[0-9]){10}(?![0-9])")
 
 Span = tuple[int, int, int]  # start, kind, end
 
@@ -145,6 +152,20 @@ def _shape(part: str) -> str:
     return "".join("9" if "0" <= c <= "9" else "a" if c.isalnum() else c for c in part)
 
 
+def is_phone(part: str, digits: int) -> bool:
+    """Nine to fifteen digits in a phone's characters that are no date and no list of
+    small numbers (groups of two begin with a zero, a plus sign or a bracket where they are dialled)."""
+    if not 9 <= digits <= 15 or part.isdigit() or NO_PHONE.search(part):
+        return False
+    return part[0] in "+(0" or max(map(len, GROUPS.findall(part))) > 2
+
+
+def book_numbers(text: str) -> list[tuple[int, int]]:
+    """Places of ISBNs: no part of one is a phone number."""
+    valid = lambda m: sum((ord(c) - 48) * (3 if i % 2 else 1) for i, c in enumerate(filter(str.isdigit, m.group()))) % 10 == 0
+    return [m.span() for m in BOOK.finditer(text) if valid(m)]
+
+
 def admitted(part: str, digits: int, checksum: bool, ip_ok: bool) -> np.ndarray:
     """0 for each kind that a segment can be, -inf for the others: what a kind must be
     by definition (digits, checksum, parts up to 255, a domain) is not left to weights."""
@@ -153,7 +174,7 @@ def admitted(part: str, digits: int, checksum: bool, ip_ok: bool) -> np.ndarray:
         part.count("@") == 1 and left.strip() and "." in right.strip(". ") and not re.search(r"\s\S*\s", part.replace(" @ ", "@")),
         ip_ok,
         checksum and "@" not in part and not any(c.isalpha() for c in part),
-        9 <= digits <= 15 and "@" not in part and not part.isdigit() and not any(c.isalpha() for c in part) and not ip_ok,
+        not ip_ok and is_phone(part, digits),
     )
     return np.array([0.0 if c else -np.inf for c in can])
 
@@ -167,22 +188,27 @@ def segments(text: str) -> tuple[list[int], list[tuple[int, int, tuple[str, ...]
     shape = _shape(text)
     starts = [i for i, t in enumerate(tokens) if t[0] in "+(" or t[0].isalnum()]
     stops = [i + 1 for i, t in enumerate(tokens) if t[-1].isalnum()]
-    trigger = [0]
-    for t in tokens:
-        trigger.append(trigger[-1] + bool(TRIGGER.search(t)))
+    count = lambda chars: [0, *accumulate(sum(map(t.count, chars)) for t in tokens)]
+    books = book_numbers(text)
+    digit_count, at_count, dot_count = count("0123456789"), count("@"), count(".")
     out = []
     for i in starts:
-        for j in stops:
-            if j <= i or trigger[j] == trigger[i]:
-                continue
-            if j - i > MOST_TOKENS or ends[j] - ends[i] > MOST_CHARS:
+        for j in stops[bisect_right(stops, i):bisect_right(stops, i + MOST_TOKENS)]:
+            if ends[j] - ends[i] > MOST_CHARS:
                 break
+            # Without an at sign it takes nine digits, or four parts.
+            n = digit_count[j] - digit_count[i]
+            if at_count[j] == at_count[i] and not 9 <= n <= 19 and (n < 4 or dot_count[j] - dot_count[i] != 3):
+                continue
             part = text[ends[i]:ends[j]]
             digits = [c for c in part if "0" <= c <= "9"]
             pieces = part.split(".")
             ip_ok = len(pieces) == 4 and all(p.isdigit() and p.isascii() and len(p) < 4 and int(p) < 256 for p in pieces)
             checksum = 12 <= len(digits) <= 19 and luhn("".join(digits))
             can = admitted(part, len(digits), checksum, ip_ok)
+            if books and can[3] == 0:
+                k = bisect_left(books, (ends[j],)) - 1  # the last that begins before the segment ends
+                can[3] = -np.inf if k >= 0 and books[k][1] > ends[i] else 0
             if not np.isfinite(can).any():
                 continue
             fixed = _shape_features(shape[ends[i]:ends[j]], checksum, ip_ok)
@@ -368,11 +394,13 @@ def fit(docs: DataFrame, text_col: str = "text", train_windows: int = TRAIN_WIND
 def find_pii(text: str, field: Field) -> tuple[list[Span], list[Span]]:
     """(base spans, all spans), each by start, then kind."""
     base = base_spans(text)
+    starts, reach = [s for s, _, _ in base], list(accumulate((e for _, _, e in base), max))
     extra = []
     for a, b in surroundings(text):
         for s, k, e in field.best(text[a:b]):
             s, e = s + a, e + a
-            if all(e <= x[0] or s >= x[2] for x in base):
+            before = bisect_left(starts, e)
+            if not before or reach[before - 1] <= s:  # no base span that begins before its end goes on into it
                 extra.append((s, k, e))
     return base, sorted(base + extra)
 

@@ -105,6 +105,33 @@ def test_best_segmentation_is_the_best_of_all():
         assert abs(best(0) - value(field.best(text))) < 1e-9
 
 
+def test_near_misses_are_no_phones_and_variants_are(spark):
+    _, df = corpus(spark)
+    field = pii.fit(df)
+    found = lambda t: [(t[s:e], pii.KINDS[k]) for s, k, e in pii.find_pii(t, field)[1]]
+    rng = random.Random(4)
+    misses = ["logged 2024-11-05 10:22:33 and", "score 12 15 18 22 30 41 ok", "isbn 978-0-306-40615-7 book", "sizes 10 20 30 40 50 60 cm", "from 1999-12-31 to 2004-01-02 x", "at 10:15:20 11:30:45 pm"]
+    assert [m for m in misses if found(m)] == []
+    variants = [f"({rng.randint(200, 999)}) 555-{rng.randint(1000, 9999)}" for _ in range(50)]
+    hits = [v for v in variants if found(f"please call {v} today") == [(v, "phone")]]
+    assert len(hits) >= 45  # recall; precision is one above
+
+
+def test_long_texts_take_linear_time(spark):
+    import time
+
+    _, df = corpus(spark)
+    field = pii.fit(df)
+    for unit in ("7", "1234 ", "+1 (559) 555-3893 ", "a.b@c.de ", "1.2.", "a1"):
+        took = []
+        for size in (20_000, 80_000):
+            text = unit * (size // len(unit))
+            t = time.perf_counter()
+            pii.find_pii(text, field)
+            took.append(time.perf_counter() - t)
+        assert took[1] < 10 * took[0] + 0.5, (unit, took)
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert pii.pii_rows(df).count() == 0
