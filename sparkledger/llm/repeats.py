@@ -16,7 +16,8 @@ anywhere else too.  Suffixes are the positions at which windows start.
    the maximal repeats.
 
 Copies inside a task are found before the shuffles and one of them stands for
-all of them there, so rows of a group of copies do not meet in one task.
+all of them there, so rows of a group of copies do not meet in one task.  Rows alike in
+id and text are one row with a count before anything else: all their windows are repeated.
 
 Null and empty texts have no words.  Rows that repeat a doc_id are documents of
 their own, told apart by their text; a row that repeats another one whole is
@@ -269,15 +270,22 @@ def _subtrees(window: int):
 
 
 def maximal_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(dk, th, body, spans): every text with the word spans that lie in repeated windows.
+    """(dk, th, body, spans, several): every text with the word spans that lie in repeated windows.
 
     ``dk`` is the document's id and ``th`` the hash of its text; spans may
-    overlap, their union is what is repeated.
+    overlap, their union is what is repeated.  ``several``: the row repeats another one
+    in id and text, so every window of it is repeated and its spans are not listed.
     """
     spark = docs.sparkSession
-    texts = _texts(docs, id_col, text_col)
+    texts, key = _texts(docs, id_col, text_col), ["dk", "th"]
+    # Written, so that its size is known where it is joined; most tables have no such rows.
+    copies = written(texts.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1").select(*key), "copies")
+    alone = texts.join(copies, key, "left_anti")
+    many = texts.join(copies, key, "left_semi")
+    # One row stands for all that are alike, for the sake of the others' windows.
+    once = alone.unionAll(many.groupBy(*key).agg(F.first("body").alias("body")))
     schema = "g long, h long, dk long, th long, pos long, known boolean, n long"
-    counted = texts.mapInArrow(_grams(window, gram), schema)
+    counted = once.mapInArrow(_grams(window, gram), schema)
     counted = counted.withColumn("total", F.sum("n").over(Window.partitionBy("g")))
     counted = written(counted.where("known or total > 1").drop("g", "n"), "grams")
     # Groups above the mean of a task: fewer than there are partitions.
@@ -286,11 +294,12 @@ def maximal_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_
     mean = max(LEAST_HOT, (counted.where("pos >= 0").count()) // tasks)
     hot = np.array([r.h for r in sizes.where(F.col("n") > mean).select("h").collect()], np.int64).view(np.uint64)
     places = counted.where("pos >= 0").groupBy("dk", "th").agg(F.collect_list("pos").alias("places"))
-    dealt = texts.join(places, ["dk", "th"]).select("dk", "th", "body", "places").mapInArrow(
+    dealt = once.join(places, key).select("dk", "th", "body", "places").mapInArrow(
         _suffixes(window, gram, hot), "g long, dk long, th long, at long, size long, words binary")
     spans = dealt.repartition("g").sortWithinPartitions("g").mapInArrow(_subtrees(window), "dk long, th long, a long, b long")
     spans = spans.groupBy("dk", "th").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
-    return texts.join(spans, ["dk", "th"], "left")
+    none = F.lit(None).cast(spans.schema["spans"].dataType)
+    return alone.join(spans, key, "left").withColumn("several", F.lit(False)).unionByName(many.withColumns({"spans": none, "several": F.lit(True)}))
 
 
 def without_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -307,7 +316,8 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id
                 text = np.repeat(np.arange(len(spans)), np.asarray(spans.value_lengths().fill_null(0)))
                 np.add.at(delta, np.asarray(flat.field(0)) + first[text], 1)
                 np.add.at(delta, np.asarray(flat.field(1)) + first[text], -1)
-            keep = np.cumsum(delta[:-1]) == 0
+            whole = piece.column(3).to_numpy(zero_copy_only=False) & (counts >= window)
+            keep = (np.cumsum(delta[:-1]) == 0) & ~np.repeat(whole, counts)
             kept = np.bincount(np.repeat(np.arange(len(counts)), counts)[keep], minlength=len(counts))
             # Each kept word and a blank behind it; the last blank of a text goes.
             out = np.append(data, np.uint8(32))[_with_blank(start[keep], end[keep], len(data))]
@@ -320,7 +330,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id
             yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(counts), pa.array(counts - kept), pa.array(cells, pa.string())], names=["doc_id", "n_words", "n_removed", "kept"])
 
     rows = maximal_repeats(docs, window, min(GRAM, window), id_col, text_col)
-    rows = rows.select(F.when(F.col("dk") != NO_DOC, F.col("dk")).alias("doc_id"), "body", "spans")
+    rows = rows.select(F.when(F.col("dk") != NO_DOC, F.col("dk")).alias("doc_id"), "body", "spans", "several")
     return rows.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept string")
 
 

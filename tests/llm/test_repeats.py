@@ -58,3 +58,19 @@ def test_empty_table_and_digest(spark):
     assert repeats.repeat_digests(df).count() == 0
     one = spark.createDataFrame([(7, "a  b")], "doc_id long, text string")
     assert [tuple(r) for r in repeats.repeat_digests(one).collect()] == [(7, 2, 0, hashlib.sha256(b"a b").hexdigest())]
+
+
+def test_many_equal_rows_take_linear_time(spark):
+    import time
+
+    rng = random.Random(4)
+    text = " ".join(rng.choice("abcdef") + str(rng.randint(0, 99)) for _ in range(300))
+    other = "x " + " ".join(text.split()[100:150]) + " y"
+    took = []
+    for n in (2_000, 50_000):
+        df = spark.range(n).selectExpr("7L as doc_id", f"'{text}' as text").unionAll(spark.createDataFrame([(8, other), (9, "a b"), (9, "a b")], "doc_id long, text string"))
+        t = time.perf_counter()
+        got = {tuple(r): r["count"] for r in repeats.without_repeats(df).groupBy("doc_id", "n_words", "n_removed", "kept").count().collect()}
+        took.append(time.perf_counter() - t)
+        assert got == {(7, 300, 300, "", n): n, (8, 52, 50, "x y", 1): 1, (9, 2, 0, "a b", 2): 2}
+    assert took[1] < 15 * took[0] + 5
