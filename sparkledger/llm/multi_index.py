@@ -155,6 +155,10 @@ def search(vectors: DataFrame, queries: DataFrame, neighbours: int = NEIGHBOURS,
             yield pa.RecordBatch.from_arrays([pa.array(slots, pa.int64()), pa.array([True] * len(ids)), pa.array(ids, pa.int64()), pa.array(vecs, pa.list_(pa.float64())), pa.nulls(len(ids), pa.int32()), pa.array(sets, pa.binary())], names=["slot", "asks", "id", "vec", "cell", "cells"])
 
     asking = usable(queries, id_col, vec_col).where(F.size("vec") == dim).select("id", "vec").distinct()
+    # A walk costs far more than its row: every task takes a share, also where the queries are few bytes.
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    # By another hash than that of ``distinct``, whose few small partitions would be kept otherwise.
+    asking = asking.repartition(tasks, F.xxhash64("id", "vec"))
     asked = asking.mapInArrow(walk, "slot long, asks boolean, id long, vec array<double>, cell int, cells binary")
     parts = F.element_at(F.array(*(F.lit(int(x)) for x in slices)), (F.col("cell") / second).cast("int") + 1)
     held = listed.select(
