@@ -42,6 +42,8 @@ TRAIN_ROWS = 30_000
 THRESHOLD = 0.7
 #: Toxic documents and their share that a word or prefix needs to count at all.
 LEAST_DOCS, LEAST_SHARE = 6, 0.6
+#: Similarity from which labelled rows count as near copies.
+COPIES = 0.8
 #: Weight of the parent's share, in documents.
 SMOOTH = 2.0
 PREFIXES = range(3, 9)
@@ -249,17 +251,29 @@ def word_share(word: str, tree: dict[str, tuple[int, int]], share: float) -> flo
     return share
 
 
+def shingles(text: str) -> set[int]:
+    """Hashes of the runs of five words; of a shorter text that of all its words."""
+    words = text.lower().split()
+    return {zlib.crc32(" ".join(words[i:i + 5]).encode()) for i in range(max(1, len(words) - 4))}
+
+
 def signature(text: str) -> int:
     """Least hash of the runs of five words: near copies mostly share it."""
-    words = text.lower().split()
-    return min((zlib.crc32(" ".join(words[i:i + 5]).encode()) for i in range(max(1, len(words) - 4))), default=0)
+    return min(shingles(text))
+
+
+def alike(a: str, b: str) -> bool:
+    """Whether two texts are near copies: similarity of their runs of five words."""
+    x, y = shingles(a), shingles(b)
+    return len(x & y) >= COPIES * len(x | y)
 
 
 def fit(docs: DataFrame, labels: DataFrame, model: np.ndarray, train_rows: int = TRAIN_ROWS) -> tuple[float, float, dict[str, tuple[int, int]]]:
     """(share of toxic rows, mean words of a row, feature -> toxic and all documents with it),
     from at most ``train_rows`` labelled rows that are not held out.
 
-    Of near copies with one label a single one counts.
+    Of near copies with one label a single one counts, of several texts of a doc_id the longest
+    (of equally long ones the last in code-point order).
     """
     spark = docs.sparkSession
     known = (
@@ -274,9 +288,19 @@ def fit(docs: DataFrame, labels: DataFrame, model: np.ndarray, train_rows: int =
     def sign(col: pd.Series) -> pd.Series:
         return col.map(signature)
 
-    # The sample is bounded by train_rows, so its ids may be broadcast.
-    signed = texts.join(F.broadcast(sample), "doc_id").withColumn("sign", sign("body"))
-    single = signed.groupBy("sign", "toxic").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "toxic").checkpoint()
+    @F.pandas_udf("boolean")
+    def same(col: pd.Series, heads: pd.Series) -> pd.Series:
+        return pd.Series([alike(x, y) for x, y in zip(col, heads, strict=True)], dtype=bool)
+
+    # The sample is bounded by train_rows, so its ids may be broadcast; its texts are written once.
+    drawn = texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "toxic").agg(F.max_by("body", F.struct(F.length("body"), "body")).alias("body"))
+    signed = written(drawn.select("*", sign("body").alias("sign")), "labelled")
+    # Rows that share a hash are near copies only if they are alike to the first of them.
+    heads = signed.groupBy("sign", "toxic").agg(F.min("doc_id").alias("head"))
+    first = signed.select(F.col("doc_id").alias("head"), F.col("body").alias("model_text"))
+    met = signed.join(heads, ["sign", "toxic"])
+    others = met.where("doc_id <> head").join(first, "head").where(~same("body", "model_text"))
+    rows = met.where("doc_id = head").select("body", "toxic").unionAll(others.select("body", "toxic"))
     shared = spark.sparkContext.broadcast(model)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -299,7 +323,6 @@ def fit(docs: DataFrame, labels: DataFrame, model: np.ndarray, train_rows: int =
         if seen:
             yield out()
 
-    rows = texts.join(F.broadcast(single), "doc_id").dropDuplicates(["doc_id"]).select("body", "toxic")
     found = rows.mapInArrow(count, "feature string, toxic long, n long").groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n"))
     found = written(found.where("n > 1 or feature in ('', ' ')"), "features")
     total = {r.feature: (r.toxic, r.n) for r in found.where("feature in ('', ' ')").collect()}

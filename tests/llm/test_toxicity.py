@@ -75,6 +75,24 @@ def test_held_out_accuracy_and_rows(spark):
     assert right >= 0.97 * len(held)
 
 
+def test_only_near_copies_count_once(spark):
+    rng = random.Random(3)
+    # A phrase whose hash is the least of every text that holds it.
+    phrase = min((" ".join(rng.choices(WORDS, k=5)) for _ in range(20_000)), key=lambda p: zlib.crc32(p.encode()))
+    text = lambda: " ".join(rng.choices(WORDS, k=30))
+    ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % 3 != 1][:80]
+    copied = text() + " idiot " + text()
+    docs = [(i, f"{text()} {phrase} idiot {text()}") for i in ids[:20]]  # they share the phrase and no more
+    docs += [(i, copied + (" end" if i % 2 else "")) for i in ids[20:40]]  # near copies of one text
+    docs += [(i, text()) for i in ids[40:]]
+    docs += [(ids[0], "short"), (ids[50], "")]  # a second text of an id
+    labels = spark.createDataFrame([(i, int(k < 40)) for k, i in enumerate(ids)], "doc_id long, toxic int")
+    share, usual, tree = tx.fit(spark.createDataFrame(docs, "doc_id long, text string").repartition(4), labels, model_of(WORDS + BAD * 3))
+    assert np.isclose(share, 21 / 61) and tree["idiot"] == (21, 21)
+    reader = tx.Restorer(model_of(WORDS + BAD * 3))
+    assert np.isclose(usual, np.mean([len(reader.words(d)) for _, d in [*docs[:21], *docs[40:80]]]))
+
+
 def test_empty_tables(spark):
     docs, labels, _ = data(spark)
     assert tx.toxicity(docs.limit(0), labels).count() == 0
