@@ -298,7 +298,7 @@ def fit(docs: DataFrame, labels: DataFrame, model: np.ndarray, train_rows: int =
     # Rows that share a hash are near copies only if they are alike to the first of them.
     heads = signed.groupBy("sign", "toxic").agg(F.min("doc_id").alias("head"))
     first = signed.select(F.col("doc_id").alias("head"), F.col("body").alias("model_text"))
-    met = signed.join(heads, ["sign", "toxic"])
+    met = signed.join(F.broadcast(heads), ["sign", "toxic"])  # three numbers a row, at most train_rows rows
     others = met.where("doc_id <> head").join(first, "head").where(~same("body", "model_text"))
     rows = met.where("doc_id = head").select("body", "toxic").unionAll(others.select("body", "toxic"))
     shared = spark.sparkContext.broadcast(model)
