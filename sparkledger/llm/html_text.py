@@ -1,17 +1,21 @@
 """Operator 1: main text of web pages by wrapper induction.
 
-For every host a wrapper is induced from up to SAMPLE pages that differ in content:
-their DOM trees are aligned with one another by simple tree matching (labels are tag and class;
-children are matched in order, most matched nodes win).  Nodes that are matched in almost
-all pages and always hold the same text are template; nodes whose text varies
-are slots.  A page's text is that of its slots inside the article: elements that by tag, role or
-class are menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles or
-reader comments are left out, and template nodes too.
+1. A page's blocks form a tree of slots, labelled by tag and names; siblings in a row that are built
+   alike share a slot.  What by tag, role or class is a menu, header, footer, sidebar, notice,
+   advert, form, script, style or reader comment is no part of it.
+2. Pages of a host whose main elements lie below the same labels have one layout.  One page of it
+   is the reference (any of at most REFERENCE_SLOTS slots, else the smallest), and every page is aligned with
+   it by simple tree matching (children are matched in order, most matched nodes win).
+3. Over all pages of the layout each slot is counted: a text that a slot holds on at least CONSTANT of
+   the pages is template, and a slot that looks like a menu on that share of them (``is_menu``), its text
+   varying, is one.  Pages of one signature, copies, count once; layouts with fewer than LEAST_PAGES
+   different pages have no wrapper.
+4. A page's text is that of its blocks without template texts and menu slots.  Blocks that match
+   nothing in the reference stay.
 
 Null and empty pages have empty text; a page without any article takes its main element,
-else the body.  Pages without a host share one wrapper-less group, as do hosts with
-fewer than LEAST_PAGES different pages.  Repeated rows give repeated results.  Whatever its
-size a page is read whole; only pages up to SAMPLE_CHARS serve as samples.
+else the body.  Pages without a host have no wrapper.  Repeated rows give repeated results.  Whatever its
+size a page is read whole.  Matching costs at most the slots of the page times those of the reference.
 """
 
 from __future__ import annotations
@@ -19,25 +23,31 @@ from __future__ import annotations
 import html
 import re
 import zlib
-from collections import Counter
 from collections.abc import Generator, Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 from hashlib import blake2b
 
-import pandas as pd
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_steps
+from .common import arrow_steps, written
 
-#: Pages a wrapper is induced from, and how long each may be.
-SAMPLE, SAMPLE_CHARS = 12, 60_000
-LEAST_PAGES = 4
-#: Keys that the pages of a host are dealt to.
-SALTS = 64
-#: Share of the sample in which a template node is matched with one text.
+#: Different pages that a wrapper takes at least, and the usual size of a reference.
+LEAST_PAGES, REFERENCE_SLOTS = 4, 256
+#: Keys that the pages of a layout are dealt to.
+SALTS = 16
+#: Share of a layout's pages that makes a text template, a slot a menu.
 CONSTANT = 0.8
+#: Share of a menu's text in links; longest item of a menu without links.
+LINKS, SHORT = 0.6, 25
+HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
+DIGITS = re.compile("[0-9]+")
+NUMBERS = pa.list_(pa.int32())
+FEATURES = (("grp", pa.int64()), ("sign", pa.int64()), ("size", pa.int64()), ("shape", pa.binary()), ("page_hash", pa.int64()), ("slots", NUMBERS), ("menus", NUMBERS), ("at", NUMBERS), ("texts", pa.list_(pa.int64())))
+COUNTS = (("grp", pa.int64()), ("slot", pa.int32()), ("txt", pa.int64()), ("sign", pa.int64()), ("menu", pa.int32()))
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)|</[^>]*(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"""(?:^|[\s"'/])(class|id|role|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]*))?""", re.I)
@@ -217,84 +227,127 @@ def main_node(root: Node) -> Node:
     return max(articles or mains or [root], key=text_size)
 
 
+# Layout: the tree of a page's blocks ----------------------------------------------------------
+
+
 @lru_cache(maxsize=50_000)
-def step(path: str, label: str) -> str:
-    """Path of an element: a hash of the labels from the article down to it, so that deep pages have short paths."""
-    return blake2b(f"{path}/{label}".encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()
+def label_hash(label: str) -> int:
+    """Label of a slot; numbers in names (``post-123``) count as one."""
+    return digest(DIGITS.sub("0", label))
+
+
+def digest(text: str) -> int:
+    return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
+class Slot:
+    """Position of blocks in a page: siblings in a row that are built alike share one."""
 
+    __slots__ = ("label", "tag", "children", "shape", "into", "number")
 
-def blocks(node: Node) -> list[tuple[str, str]]:
-    """(path, text) of every block with text, in page order."""
-    out: list[tuple[str, str]] = []
-    held: list[str] = []
+    def __init__(self, label: int | str, tag: str = ""):
+        self.label, self.tag, self.children, self.shape, self.into, self.number = label, tag, [], 0, None, -1
+
+
+@dataclass(slots=True)
+class Block:
+    slot: Slot
+    text: str
+    links: int  # code points inside links, without blanks
+    anchors: int
+
+
+def fold(kept: Slot, same: Slot) -> None:
+    """Every slot below ``same`` stands for its counterpart below ``kept``, which is built alike."""
+    stack = [(kept, same)]
+    while stack:
+        x, y = stack.pop()
+        y.into = x
+        stack += zip(x.children, y.children, strict=True)
 
-    def close(path: str) -> None:
+
+def layout(node: Node) -> tuple[Slot, list[Block]]:
+    """Slots below ``node``, numbered in page order, and its blocks with text."""
+    root = Slot(label_hash(node.label), node.tag)
+    path, out, held = [root], [], []
+    links = anchors = depth = 0
+
+    def close() -> None:
+        nonlocal links, anchors
         text = " ".join("".join(held).split())
         held.clear()
         if text:
-            out.append((path, text))
+            out.append(Block(path[-1], text, links, anchors))
+        links, anchors = 0, min(depth, 1)
 
-    paths = [step("", node.label)]
     for c, done in visit(node, True):
         if isinstance(c, str):
             held.append(c)
+            if depth:
+                links += sum(map(len, c.split()))
         elif c.tag in ("br", "wbr", "hr"):
             if not done:
                 held.append("" if c.tag == "wbr" else " ")
                 if c.tag == "hr":
-                    close(paths[-1])
+                    close()
+        elif c.tag == "a":
+            depth += -1 if done else 1
+            anchors += not done
         elif c.tag in BLOCKS:
-            close(paths[-1])
+            close()
             if done:
-                paths.pop()
+                slot = path.pop()
+                slot.shape = hash((slot.label, *(k.shape for k in slot.children)))
+                above = path[-1].children
+                if above and above[-1].shape == slot.shape:
+                    fold(above[-1], slot)
+                else:
+                    above.append(slot)
             else:
-                paths.append(step(paths[-1], c.label))
-    close(paths[0])
-    return out
-
-
-# Induction ---------------------------------------------------------------------------------
+                path.append(Slot(label_hash(c.label), c.tag))
+    close()
+    for number, (_, slot) in enumerate(walk(root)):
+        slot.number = number
+    for b in out:
+        while b.slot.into is not None:
+            b.slot = b.slot.into
+    return root, out
+
+
+def walk(root: Slot) -> Iterator[tuple[int, Slot]]:
+    """(depth, slot) in page order."""
+    stack = [(0, root)]
+    while stack:
+        depth, slot = stack.pop()
+        yield depth, slot
+        stack += ((depth + 1, c) for c in reversed(slot.children))
 
 
-class Tree:
-    """Block tree for matching: label, text of its own, block children, path."""
+def pack(root: Slot) -> bytes:
+    return np.array([(depth, slot.label) for depth, slot in walk(root)], np.int64).tobytes()
 
-    __slots__ = ("label", "text", "children", "path", "size")
 
-    def __init__(self, label: str, path: str):
-        self.label, self.path, self.text, self.children, self.size = label, path, "", [], 1
+def unpack(shape: bytes) -> Slot:
+    path: list[Slot] = []
+    for number, (depth, label) in enumerate(np.frombuffer(shape, np.int64).reshape(-1, 2).tolist()):
+        slot = Slot(label)
+        slot.number = number
+        del path[depth:]
+        if path:
+            path[-1].children.append(slot)
+        path.append(slot)
+    return path[0]
 
 
-def block_tree(node: Node) -> Tree:
-    root = Tree(node.label, step("", node.label))
-    open_trees: list[tuple[Tree, list[str]]] = [(root, [])]
+#: References come again page after page.
+reference_tree = lru_cache(maxsize=64)(unpack)
 
-    def close() -> Tree:
-        tree, held = open_trees.pop()
-        tree.text = " ".join("".join(held).split())
-        tree.size += sum(c.size for c in tree.children)
-        return tree
 
-    for c, done in visit(node, True):
-        tree, held = open_trees[-1]
-        if isinstance(c, str):
-            held.append(c)
-        elif c.tag == "br":
-            if not done:
-                held.append(" ")
-        elif c.tag in BLOCKS:
-            if done:
-                close()
-            else:
-                held.append(" ")
-                below = Tree(c.label, step(tree.path, c.label))
-                tree.children.append(below)
-                open_trees.append((below, []))
-    return close()
+# Induction ---------------------------------------------------------------------------------
 
 
-def match(a: Tree, b: Tree) -> tuple[int, list[tuple[Tree, Tree]]]:
-    """Simple tree matching: (matched nodes, pairs); equal texts break ties between matchings."""
+def match(a: Slot, b: Slot) -> tuple[int, list[tuple[Slot, Slot]]]:
+    """Simple tree matching: (matched nodes, pairs)."""
     result = None
     stack = [_match(a, b)]
     while stack:  # subtrees are matched as their parents ask for them
@@ -304,16 +357,15 @@ def match(a: Tree, b: Tree) -> tuple[int, list[tuple[Tree, Tree]]]:
         except StopIteration as end:
             stack.pop()
             result = end.value
-    return int(result[0]), result[1]
+    return result
 
 
-def _match(a: Tree, b: Tree) -> Generator[tuple[Tree, Tree], tuple[float, list], tuple[float, list]]:
+def _match(a: Slot, b: Slot) -> Generator[tuple[Slot, Slot], tuple[int, list], tuple[int, list]]:
     if a.label != b.label:
-        return 0.0, []
-    own = 1.0 + (1e-4 if a.text == b.text else 0.0)
+        return 0, []
     n, m = len(a.children), len(b.children)
-    best = [[0.0] * (m + 1) for _ in range(n + 1)]
-    found: dict[tuple[int, int], tuple[float, list]] = {}
+    best = [[0] * (m + 1) for _ in range(n + 1)]
+    found: dict[tuple[int, int], tuple[int, list]] = {}
     for i in range(1, n + 1):
         x = a.children[i - 1]
         row, above = best[i], best[i - 1]
@@ -321,9 +373,8 @@ def _match(a: Tree, b: Tree) -> Generator[tuple[Tree, Tree], tuple[float, list],
             y = b.children[j - 1]
             v = max(above[j], row[j - 1])
             if x.label == y.label:
-                if not x.children and not y.children:
-                    w = 1.0001 if x.text == y.text else 1.0
-                else:
+                w = 1
+                if x.children and y.children:
                     found[i, j] = yield x, y
                     w = found[i, j][0]
                 v = max(v, above[j - 1] + w)
@@ -337,24 +388,35 @@ def _match(a: Tree, b: Tree) -> Generator[tuple[Tree, Tree], tuple[float, list],
         else:
             pairs += found[i, j][1] if (i, j) in found else [(a.children[i - 1], b.children[j - 1])]
             i, j = i - 1, j - 1
-    return own + best[n][m], pairs
-
-
-def induce(pages: list[str]) -> list[str]:
-    """Template of a host as ``path \\0 text`` of the constant nodes."""
-    trees = [block_tree(main_node(parse(p))) for p in pages]
-    if len(trees) < LEAST_PAGES:
-        return []
-    trees.sort(key=lambda t: t.size)
-    first = trees[len(trees) // 2]  # a page of middle size to align the others with
-    same: Counter = Counter()
-    for other in trees:
-        if other is not first:
-            for a, b in match(first, other)[1]:
-                if a.text and a.text == b.text:
-                    same[a.path, a.text] += 1
-    least = CONSTANT * (len(trees) - 1)
-    return sorted(f"{path}\0{text}" for (path, text), n in same.items() if n >= least)
+    return 1 + best[n][m], pairs
+
+
+def numbers(root: Slot, reference: bytes) -> dict[int, int]:
+    """Slot of the reference for each slot of a page that is matched to one."""
+    return {x.number: y.number for x, y in match(root, reference_tree(reference))[1]}
+
+
+def is_menu(blocks: list[Block], in_article: bool) -> bool:
+    """The blocks of a slot look like a menu: several links that hold most of the text, or, in a page
+    without any article or main element, items that are all short and no sentences."""
+    tag = blocks[0].slot.tag
+    if tag in HEADINGS:
+        return False
+    chars = sum(len(b.text) - b.text.count(" ") for b in blocks)
+    if sum(b.anchors for b in blocks) >= 2 and sum(b.links for b in blocks) >= LINKS * chars:
+        return True
+    return not in_article and tag in ("li", "div", "td", "dd") and len(blocks) >= 3 and all(len(b.text) <= SHORT and b.text[-1] not in ".!?:;…" for b in blocks)
+
+
+def group_of(host: str, page: str, main: Node) -> int:
+    """Pages of a host whose main elements lie below the same labels have one wrapper; pages without a host have none."""
+    if not host:
+        return digest(f"\0{page}")
+    chain, at = [], main
+    while at is not None:
+        chain.append(label_hash(at.label))
+        at = at.parent
+    return digest(f"{host}\0{chain}")
 
 
 def signature(page: str | None) -> int:
@@ -365,52 +427,110 @@ def signature(page: str | None) -> int:
 
 
 def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, template): constant nodes of every host with enough different pages."""
-
-    @F.pandas_udf("long")
-    def sign(col: pd.Series) -> pd.Series:
-        return col.map(signature, na_action=None)
-
-    @F.pandas_udf("array<string>")
-    def learn(col: pd.Series) -> pd.Series:
-        return col.map(lambda pages: induce(list(pages)))
+    """(grp, shape, menus, constants): the reference of every layout of a host, its slots that are menus, and
+    the texts that are constant in a slot.  Every page counts; no page is gathered with another."""
 
-    host = host_of(F.col(url_col))
-    src = pages.select(host.alias("host"), F.col(html_col).alias("page")).where((F.col("host") != "") & (F.length("page") <= SAMPLE_CHARS))
-    signed = src.select("host", "page", sign("page").alias("sign"))
-    # One page for each of SAMPLE slots of a host, chosen before anything is gathered by host.
-    chosen = signed.groupBy("host", (F.col("sign") % SAMPLE).alias("slot")).agg(F.min_by("page", F.struct("sign", F.xxhash64("page"))).alias("page"))
-    held = chosen.groupBy("host").agg(F.array_sort(F.collect_list("page")).alias("pages")).where(F.size("pages") >= LEAST_PAGES)
-    return held.select("host", learn("pages").alias("template")).where(F.size("template") > 0)
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in arrow_steps(batches, "page"):
+            rows = []
+            for host, page in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist(), strict=True):
+                main = main_node(parse(page))
+                root, found = layout(main)
+                by_slot: dict[int, list[Block]] = {}
+                for b in found:
+                    by_slot.setdefault(b.slot.number, []).append(b)
+                menus = [n for n, held in by_slot.items() if is_menu(held, main.tag != "#")]
+                texts = sorted({(b.slot.number, digest(b.text)) for b in found})
+                shape = pack(root)
+                rows.append((group_of(host, page, main), signature(page), len(shape) // 16, shape, digest(page), sorted(by_slot), menus, [n for n, _ in texts], [t for _, t in texts]))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows, strict=True), FEATURES, strict=True)], names=[n for n, _ in FEATURES])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for r in batch.to_pylist():
+                to = numbers(unpack(r["shape"]), r["reference"])
+                menus = set(r["menus"])
+                rows += ((r["grp"], to[n], 0, r["sign"], int(n in menus)) for n in {0, *r["slots"]} if n in to)
+                rows += ((r["grp"], to[n], t or 1, r["sign"], 0) for n, t in zip(r["at"], r["texts"], strict=True) if n in to)
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows, strict=True), COUNTS, strict=True)], names=[n for n, _ in COUNTS])
+
+    src = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("page")).where((F.col("host") != "") & (F.length("page") > 0))
+    seen = written(src.mapInArrow(read, "grp long, sign long, size long, shape binary, page_hash long, slots array<int>, menus array<int>, at array<int>, texts array<long>"), "layouts")
+    # Any page of a usual size, else the smallest; chosen inside every task first.
+    order = F.struct(F.greatest("size", F.lit(REFERENCE_SLOTS)), "page_hash")
+    chosen = seen.groupBy("grp").agg(F.min_by("shape", order).alias("reference"), F.count("*").alias("n")).where(F.col("n") >= LEAST_PAGES)
+    spread = chosen.select("grp", "reference", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    dealt = seen.drop("size").withColumn("salt", F.pmod("page_hash", F.lit(SALTS)).cast("int"))
+    counted = dealt.join(spread, ["grp", "salt"]).mapInArrow(count, "grp long, slot int, txt long, sign long, menu int")
+    # Copies (pages of one signature) count once.
+    once = counted.groupBy("grp", "slot", "txt", "sign").agg(F.max("menu").alias("menu"))
+    sums = written(once.groupBy("grp", "slot", "txt").agg(F.count("*").alias("n"), F.sum("menu").alias("menu")).where(F.col("n") >= CONSTANT * LEAST_PAGES), "slots")
+    whole = sums.where("slot = 0 and txt = 0").where(F.col("n") >= LEAST_PAGES).select("grp", F.col("n").alias("pages"))
+    menus = sums.where("txt = 0").where((F.col("n") >= LEAST_PAGES) & (F.col("menu") >= CONSTANT * F.col("n")))
+    each = whole.select("grp", "pages", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    texts = sums.where("txt <> 0").withColumn("salt", F.pmod("txt", F.lit(SALTS)).cast("int")).join(each, ["grp", "salt"]).where(F.col("n") >= CONSTANT * F.col("pages"))
+    # At most the slots of the reference, and texts that nearly every page holds.
+    kept = menus.select("grp", "slot", "txt").unionAll(texts.select("grp", "slot", "txt")).groupBy("grp").agg(F.collect_list(F.struct("slot", "txt")).alias("drops"))
+    return kept.join(chosen.select("grp", "reference"), "grp")
 
 
 def host_of(url):
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)), F.lit(""))
 
 
-def main_text(page: str | None, template: frozenset[str] = frozenset()) -> str:
-    if not page:
-        return ""
-    found = blocks(main_node(parse(page)))
-    return "\n".join(text for path, text in found if f"{path}\0{text}" not in template)
+def keep(root: Slot, found: list[Block], reference: bytes | None, drops: list[tuple[int, int]]) -> str:
+    """Text of the blocks that a wrapper leaves; ``drops``: (slot, text hash), 0 for all texts of a slot."""
+    if reference is None:
+        return "\n".join(b.text for b in found)
+    gone, to = frozenset(drops), numbers(root, reference)
+
+    def stays(number: int, text: str) -> bool:
+        slot = to.get(number)
+        return slot is None or ((slot, 0) not in gone and (slot, digest(text) or 1) not in gone)
+
+    return "\n".join(b.text for b in found if stays(b.slot.number, b.text))
+
+
+def main_text(page: str | None) -> str:
+    """The text without a wrapper."""
+    return keep(*layout(main_node(parse(page))), None, []) if page else ""
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """The query: (page_id, url, text, n_chars) of every page."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = 0
         for piece in arrow_steps(batches, "page"):
-            texts, known = [], {}
-            for page, template in zip(piece.column(2).to_pylist(), piece.column(3).to_pylist(), strict=True):
-                key = tuple(template or ())
-                if key not in known:
-                    known[key] = frozenset(key)
-                texts.append(main_text(page, known[key]))
-            yield pa.RecordBatch.from_arrays([piece.column(0), piece.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
-
-    rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).alias("page"), host_of(F.col(url_col)).alias("host"))
-    # A host may hold a large share of all pages: its rows go to SALTS keys, its one wrapper to each of them.
-    rows = rows.withColumn("salt", F.pmod(F.xxhash64("page"), F.lit(SALTS)).cast("int"))
-    known = wrappers(pages, url_col, html_col).select("host", "template", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    joined = rows.join(known, ["host", "salt"], "left").select("page_id", "url", "page", "template")
-    return joined.mapInArrow(run, "page_id long, url string, text string, n_chars long")
+            grp, salt, shape, slots, texts = [], [], [], [], []
+            for host, page in zip(piece.column(2).to_pylist(), piece.column(3).to_pylist(), strict=True):
+                main = main_node(parse(page or ""))
+                root, found = layout(main)
+                grp.append(group_of(host, page or "", main))
+                salt.append(row % SALTS)
+                shape.append(pack(root))
+                slots.append([b.slot.number for b in found])
+                texts.append([b.text for b in found])
+                row += 1
+            columns = [piece.column(0), piece.column(1), pa.array(grp, pa.int64()), pa.array(salt, pa.int32()), pa.array(shape, pa.binary()), pa.array(slots, pa.list_(pa.int32())), pa.array(texts, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["page_id", "url", "grp", "salt", "shape", "slots", "texts"])
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = []
+            for r in batch.drop_columns(["page_id", "url"]).to_pylist():
+                found = [Block(Slot(0), t, 0, 0) for t in r["texts"]]
+                for b, n in zip(found, r["slots"], strict=True):
+                    b.slot.number = n
+                drops = [(d["slot"], d["txt"]) for d in r["drops"] or ()]
+                texts.append(keep(unpack(r["shape"]), found, r["reference"], drops))
+            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
+
+    rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("page"))
+    # A host may hold a large share of all pages: its rows go to SALTS keys, its one wrapper to each of them
+    # (and AQE may split further).  What travels is the text, not the page.
+    rows = rows.mapInArrow(read, "page_id long, url string, grp long, salt int, shape binary, slots array<int>, texts array<string>")
+    known = wrappers(pages, url_col, html_col).select("grp", "reference", "drops", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    return rows.join(known, ["grp", "salt"], "left").mapInArrow(clean, "page_id long, url string, text string, n_chars long")

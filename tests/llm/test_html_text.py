@@ -19,9 +19,9 @@ def test_main_text_of_a_messy_page():
     assert len(ht.main_text("<article>" + "<p>word</p>" * 20000)) == 5 * 20000 - 1
 
 
-def tree(label, *children, text=""):
-    t = ht.Tree(label, label)
-    t.text, t.children = text, list(children)
+def tree(label, *children):
+    t = ht.Slot(label)
+    t.children = list(children)
     return t
 
 
@@ -85,9 +85,10 @@ def test_deep_pages():
         text = ht.main_text(f"<{tag}>" * 20000 + "<p>deep words</p>" + f"</{name}>" * 20000)
         assert text == ("" if "menu" in tag else "deep words")
     deep = "<article>" + "<div>" * 8000 + "<p>x"
-    trees = [ht.block_tree(ht.main_node(ht.parse(deep + end))) for end in (" one", " two")]
+    trees = [ht.layout(ht.main_node(ht.parse(deep + end)))[0] for end in (" one", " two")]
     score, pairs = ht.match(*trees)
     assert score == len(pairs) == 8002
+    assert ht.numbers(trees[0], ht.pack(trees[1])) == {n: n for n in range(8002)}
     assert ht.main_text("<article><p>a" + "<b>" * 20000 + "b<p>c") == "ab\nc"
 
 
@@ -103,3 +104,78 @@ def test_pages_that_share_a_notice_still_make_a_wrapper(spark):
     rows = [(i, "http://n.example.org/", f"<article><div class=x>{notices[0]}</div>" + "".join(f"<p>{sentence()}</p>" for _ in range(4)) + "</article>") for i in range(500)]
     got = ht.extract(spark.createDataFrame(rows, "page_id long, url string, html string"))
     assert got.where(got.text.contains(notices[0])).count() == 0
+
+
+def test_slots_of_a_layout():
+    page = "<div id='post-17'><h1>t</h1><p>a<p>b</p><ul><li>x<li>y</ul><p>c</p><ul><li>z</ul><ul><li>v</ul></div>"
+    root, found = ht.layout(ht.main_node(ht.parse(page)))
+    by = {}
+    for b in found:
+        by.setdefault(b.slot.number, []).append(b.text)
+    assert list(by.values()) == [["t"], ["a", "b"], ["x", "y"], ["c"], ["z", "v"]]
+    other = ht.unpack(ht.pack(root))
+    assert [(d, s.label, s.number) for d, s in ht.walk(other)] == [(d, s.label, s.number) for d, s in ht.walk(root)]
+    again, _ = ht.layout(ht.main_node(ht.parse(page.replace("17", "204"))))
+    assert ht.pack(again) == ht.pack(root)
+
+
+def varied(n=60, host="v.example.org"):
+    """Pages without a telling tag or class whose menus hold other texts on every page."""
+    rng = random.Random(12)
+    words = "house river stone garden walks under every morning letter summer window".split()
+    some = lambda k: " ".join(rng.choice(words) for _ in range(k))
+    rows, want = [], {}
+    for i in range(n):
+        links = "".join(f"<li><a href=/{i}>{some(2)}</a>" for _ in range(rng.randint(3, 7)))
+        topics = "".join(f"<div>{some(1)}</div>" for _ in range(rng.randint(3, 5)))
+        line = " | ".join(f"<a href=/{i}>{some(1)}</a>" for _ in range(rng.randint(2, 5)))
+        body = [some(rng.randint(8, 30)) + "." for _ in range(rng.randint(1, 6))]
+        body[0] = f'See <a href="/x">{some(2)}</a> and <a href="/y">{some(1)}</a> for {body[0]}'
+        want[i] = "\n".join([f"About {i}", *(ht.main_text(f"<p>{b}") for b in body)])
+        paragraphs = "".join(f"<p>{b}</p>" for b in body)
+        rows.append((i, f"http://{host}/{i}", f"<body><div class=a1><ul>{links}</ul></div><div class=b7>{topics}</div><div class=c3><h1><a href=/{i}>About {i}</a></h1>{paragraphs}</div><div class=d2>{line}</div><div class=e5>All rights with us</div></body>"))
+    return rows, want
+
+
+def test_varying_menus_without_a_telling_name_go(spark):
+    rows, want = varied()
+    lone, _ = varied(3, "few.example.org")
+    df = spark.createDataFrame(rows + [(1000 + i, u, h) for i, u, h in lone], "page_id long, url string, html string").repartition(4)
+    got = {r.page_id: r.text for r in ht.extract(df).collect()}
+    assert {i: got[i] for i in want} == want
+    for i, _, page in lone:  # too few pages for a wrapper: nothing is dropped
+        assert got[1000 + i] == ht.main_text(page)
+
+
+def test_lists_of_an_article_stay(spark):
+    rng = random.Random(13)
+    rows = []
+    for i in range(40):
+        items = "".join(f"<li>{rng.choice(['salt', 'flour', 'milk', 'eggs'])} {rng.randint(1, 900)}" for _ in range(4))
+        rows.append((i, "http://r.example.org/", f"<article><h1>Cake {i}</h1><ul>{items}</ul><p>Mix <a href=a>all</a> {i} times.</p></article>"))
+    got = {r.page_id: r.text for r in ht.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: ht.main_text(h) for i, _, h in rows}
+
+
+def test_wrapper_counts_equal_brute_force(spark):
+    rows, _ = varied(30)
+    df = spark.createDataFrame(rows * 3, "page_id long, url string, html string").repartition(5)
+    found = ht.wrappers(df).collect()
+    assert len(found) == 1
+    reference, drops = bytes(found[0].reference), {(d.slot, d.txt) for d in found[0].drops}
+    hits, pages = {}, 0
+    for _, _, page in rows:
+        main = ht.main_node(ht.parse(page))
+        root, blocks = ht.layout(main)
+        to, pages = ht.numbers(root, reference), pages + 1
+        by = {}
+        for b in blocks:
+            by.setdefault(b.slot.number, []).append(b)
+        for n, held in by.items():
+            if n in to:
+                size, menu = hits.setdefault((to[n], 0), [0, 0])
+                hits[to[n], 0] = [size + 1, menu + ht.is_menu(held, main.tag != "#")]
+                for t in {ht.digest(b.text) for b in held}:
+                    hits.setdefault((to[n], t), [0, 0])[0] += 1
+    want = {k for k, (n, menu) in hits.items() if (k[1] == 0 and n >= ht.LEAST_PAGES and menu >= ht.CONSTANT * n) or (k[1] != 0 and n >= ht.CONSTANT * pages)}
+    assert drops == want and len(want) == 4
