@@ -8,6 +8,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkledger.functions import snake_case
 from sparkledger.operators import append
@@ -58,7 +59,7 @@ from sparkledger.schemas import (
     TABLE_SCHEMAS,
 )
 from sparkledger.session import ensure_checkpoint_dir
-from sparkledger.sources import FETCHED, SnapshotStore, landed_texts, list_tables, table_handle, unlisted_fields
+from sparkledger.sources import FETCHED, SnapshotStore, landed_texts, list_tables, read_array, table_handle, unlisted_fields
 from sparkledger.sources.bucketed import merged_buckets, write_bucketed
 from sparkledger.sources.store import PART
 
@@ -160,6 +161,21 @@ def q_reject_corrupt(spark, d):
     return kept.unionByName(stored.select(F.lit("stored").alias("reason"), F.lit(None).cast("string").alias("text"), "rows"))
 
 
+@register("array_payload", f"""
+WITH {SQL_LINES}
+SELECT symbol, date, volume, CASE WHEN volume % 2 = 0 THEN 'a "}} {{[' || symbol ELSE 'b' END AS note, 'n' AS inner_note FROM lines""")
+def q_array_payload(spark, d):
+    """Prices as JSON arrays, a file a task, with braces and quotes in strings and nested objects, read by byte ranges."""
+    folder = fresh_folder(spark)
+    rows = price_rows(spark, d).select("symbol", "date", "volume")
+    note = F.when(F.col("volume") % 2 == 0, F.concat(F.lit('a "} {['), "symbol")).otherwise("b")
+    text = F.to_json(F.struct("symbol", F.struct(F.struct(F.lit("n").alias("note")).alias("inner")).alias("more"), note.alias("note"), "date", "volume"))
+    rows.select(text.alias("value")).write.option("lineSep", ",\n").text(folder)
+    schema = T.StructType.fromDDL("symbol string, date string, volume bigint, note string, more struct<inner: struct<note: string>>")
+    found = read_array(spark, folder, schema)
+    return found.select("symbol", "date", "volume", "note", F.col("more.inner.note").alias("inner_note"))
+
+
 @register("reject_undated", f"""
 WITH {SQL_AMAP_CHART}, {SQL_LINES}
 SELECT symbol, CASE WHEN volume % 2 = 0 THEN 'soon' END AS date, volume, count(*) AS rows FROM (

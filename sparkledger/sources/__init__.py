@@ -1,5 +1,6 @@
 """Sources and sinks: stored tables, landing payloads, the snapshot store."""
 
+from sparkledger.sources.json_array import array_texts, read_array
 from sparkledger.sources.landing import (
     BROKEN,
     FETCHED,
@@ -31,8 +32,8 @@ from sparkledger.sources.tables import (
 )
 
 __all__ = [
-    "BROKEN", "CommitConflict", "FETCHED", "SnapshotStore", "describe_columns", "explode_series", "fan_out", "first_match",
-    "landed_texts", "list_tables", "newest_fetch", "newest_per_symbol", "parse_payload_column", "parse_records", "read_jdbc",
+    "BROKEN", "CommitConflict", "FETCHED", "SnapshotStore", "array_texts", "describe_columns", "explode_series", "fan_out", "first_match",
+    "landed_texts", "list_tables", "newest_fetch", "newest_per_symbol", "parse_payload_column", "parse_records", "read_array", "read_jdbc",
     "read_landed", "read_payload", "read_series", "read_table", "records_to_df", "screen", "since", "small_rows", "table_handle",
     "undated", "unlisted_fields",
 ]
