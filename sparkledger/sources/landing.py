@@ -83,7 +83,7 @@ def read_payload(spark: SparkSession, path: str, schema: T.StructType, json_line
     The schema (payload field names) is always given: nothing is inferred, and
     an empty folder yields zero rows with those columns.  A file holding one
     JSON array cannot be split between tasks, so large landings should be many
-    files, or JSON Lines (``json_lines=True``), which Spark splits by byte range.
+    files, JSON Lines (``json_lines=True``), or read by ``json_array.read_array``.
     """
     return read_landed(spark, path, schema, json_lines).where(F.col(BROKEN).isNull()).drop(BROKEN)
 
