@@ -414,8 +414,7 @@ class Ledger:
             lost["null_key"] = null_keys
         rejects, n_rejects = self._rejected(lost) if lost else (None, 0)
         if n_rejects:
-            rejects = rejects.join(self.store.rejects(table).select("reason", "hash"), ["reason", "hash"], "left_anti").dropDuplicates(["reason", "hash"])
-            rejects = rejects.select("as_of", "reason", "row", "hash")
+            rejects = self.store.new_rejects(table, rejects)
             rejects = rejects if rejects.limit(1).count() else None
         else:
             rejects = None

@@ -220,19 +220,26 @@ class SnapshotStore:
     def rejects(self, table: str) -> DataFrame:
         """(version, as_of, reason, row, hash): rows that commits could not store, each once, under
         the version that met it first.  Folders that no marker names (dead runs) do not count."""
-        empty = self.spark.createDataFrame([], f"version long, {_REJECT}")
+        named, rows = self._rejected(table)
+        # One row a version, broadcast: dealt out by folder, all rows of a commit would meet in one task.
+        versions = self.spark.createDataFrame(named, f"version long, {COMMIT} string")
+        first = rows.join(F.broadcast(versions), COMMIT).groupBy("reason", "hash", "row").agg(F.min(F.struct("version", "as_of")).alias("v"))
+        return first.select("v.version", "v.as_of", "reason", "row", "hash")
+
+    def new_rejects(self, table: str, rejects: DataFrame) -> DataFrame:
+        """Those of ``rejects`` (as_of, reason, row, hash) that no commit has, each once."""
+        known = self._rejected(table)[1].select("reason", "hash")
+        return rejects.join(known, ["reason", "hash"], "left_anti").dropDuplicates(["reason", "hash"]).select("as_of", "reason", "row", "hash")
+
+    def _rejected(self, table: str) -> tuple[list[tuple[int, str]], DataFrame]:
+        """(version, folder) of the commits with rejects, and the rows of those folders."""
+        schema = T.StructType([*T.StructType.fromDDL(_REJECT).fields, T.StructField(COMMIT, T.StringType())])
         markers = self._markers(table)
-        if markers is None:
-            return empty
-        named = markers.where("kind = 'rejects'").select("version", F.col("folder").alias(COMMIT)).collect()
+        named = [] if markers is None else [tuple(r) for r in markers.where("kind = 'rejects'").select("version", "folder").collect()]
         if not named:
-            return empty
-        schema = T.StructType([*T.StructType.fromDDL(_REJECT).fields, T.StructField(COMMIT, T.StringType())])
+            return [], self.spark.createDataFrame([], schema)
         base = f"{self.root}/{table}/_rejects"
-        rows = self.spark.read.schema(schema).option("basePath", base).parquet(*[f"{base}/{COMMIT}={r[COMMIT]}" for r in named])
-        versions = self.spark.createDataFrame([tuple(r) for r in named], f"version long, {COMMIT} string")
-        first = rows.join(versions, COMMIT).groupBy("reason", "hash", "row").agg(F.min(F.struct("version", "as_of")).alias("v"))
-        return first.select("v.version", "v.as_of", "reason", "row", "hash")
+        return named, self.spark.read.schema(schema).option("basePath", base).parquet(*[f"{base}/{COMMIT}={folder}" for _, folder in named])
 
     # -- housekeeping -----------------------------------------------------
     def compact(self, table: str) -> int:

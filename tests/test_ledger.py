@@ -177,6 +177,28 @@ def test_same_run_twice_same_rejects(spark, scratch):
     assert ledger.rejects("eod_price").count() == 4
 
 
+def test_rejects_of_a_commit_are_not_dealt_out_by_commit(spark, scratch):
+    store = SnapshotStore(spark, f"{scratch}/store")
+    lost = "as_of timestamp, reason string, row string, hash long"
+    at = [dt.datetime(2025, 1, d) for d in (1, 2)]
+    first = spark.createDataFrame([(at[0], "corrupt", f"r{i}", i) for i in range(50)], lost)
+    again = spark.createDataFrame([(at[1], "corrupt", f"r{i}", i) for i in range(40, 60)] * 2, lost)
+    assert store.new_rejects("eod_price", first).count() == 50
+    store.add_rejects("eod_price", first, 0)
+    new = store.new_rejects("eod_price", again)
+    assert rows(new, "row") == [(f"r{i}",) for i in range(50, 60)]
+    # A second commit that repeats rejects: each counts once, under the version that met it first.
+    store.add_rejects("eod_price", again, 1)
+    assert store.rejects("eod_price").where("version = 1").count() == 50
+    assert rows(store.rejects("eod_price").where("version = 2"), "as_of", "row") == [(at[1], f"r{i}") for i in range(50, 60)]
+    # All rejects of a commit share its folder; an exchange by it would bring them into one task.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if the rejects were many
+    try:
+        assert "hashpartitioning(_commit" not in plan(store.rejects("eod_price")) + plan(new)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_statement_without_a_period_is_rejected(spark, scratch):
     landing = f"{scratch}/landing"
     build_landing(landing)
