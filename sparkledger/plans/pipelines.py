@@ -159,6 +159,12 @@ def attach_asset_id(rows: DataFrame, amap: DataFrame, symbol: str = "symbol", ou
     return rows.join(m, on=symbol, how="inner").drop(symbol)
 
 
+def with_asset_id(rows: DataFrame, amap: DataFrame) -> DataFrame:
+    """``attach_asset_id`` that keeps the symbol.  Payload functions take it before they rank rows
+    by symbol: the map has one row a symbol, so no ranking changes, and rows it lacks are not dealt out again."""
+    return attach_asset_id(rows.withColumn("_symbol", F.col("symbol")), amap).withColumnRenamed("_symbol", "symbol")
+
+
 def unmapped(rows: DataFrame, amap: DataFrame, symbol: str = "symbol") -> DataFrame:
     """Rows whose symbol (null included) the map does not have: rejects."""
     return rows.join(amap.select(F.col("symbol").alias(symbol)), on=symbol, how="left_anti")
@@ -203,10 +209,10 @@ def asset_payload(search_rows: DataFrame, symbols: DataFrame | Sequence[str] | N
 # Equity profiles
 # ---------------------------------------------------------------------------
 def profile_payload(profile_rows: DataFrame, amap: DataFrame) -> DataFrame:
-    rows = newest_fetch(blank_to_null(profile_rows), ["symbol"])
+    rows = newest_fetch(with_asset_id(blank_to_null(profile_rows), amap), ["symbol"]).drop("symbol")
     if "ipo_date" in rows.columns:
         rows = rows.withColumn("ipo_date", lenient_date("ipo_date"))
-    return attach_asset_id(rows, amap)
+    return rows
 
 
 # ---------------------------------------------------------------------------
@@ -226,9 +232,8 @@ def future_placeholders(asset_ids: DataFrame, key: str = "asset_id", ts_type: st
 def typed_statement_rows(statement_rows: DataFrame, amap: DataFrame, limit: int = STATEMENT_PERIODS) -> DataFrame:
     """Statement payload -> newest fetch of each quarter, newest ``limit`` quarters per symbol, asset id,
     lenient year/date/timestamp parsing, ``date`` renamed ``end_date``."""
-    rows = newest_fetch(blank_to_null(statement_rows), ["symbol", "fiscal_year", "period"])
-    rows = newest_per_symbol(rows, limit, "date", tiebreak=["period"])
-    rows = attach_asset_id(rows, amap)
+    rows = newest_fetch(with_asset_id(blank_to_null(statement_rows), amap), ["symbol", "fiscal_year", "period"])
+    rows = newest_per_symbol(rows, limit, "date", tiebreak=["period"]).drop("symbol")
     return rows.withColumns({
         "fiscal_year": lenient_long("fiscal_year"),
         "end_date": lenient_date("date"),
@@ -267,9 +272,8 @@ def earning_payload(earning_rows: DataFrame, amap: DataFrame, periods: DataFrame
     ``report`` where a payload has several a day."""
     # Payload fields other than symbol and date break ties between same-day rows.
     tiebreak = sorted(c for c in earning_rows.columns if c not in ("symbol", "date", FETCHED))
-    rows = newest_fetch(blank_to_null(earning_rows), ["symbol", "date", *report])
-    rows = newest_per_symbol(rows, limit, "date", tiebreak=tiebreak)
-    rows = attach_asset_id(rows, amap)
+    rows = newest_fetch(with_asset_id(blank_to_null(earning_rows), amap), ["symbol", "date", *report])
+    rows = newest_per_symbol(rows, limit, "date", tiebreak=tiebreak).drop("symbol")
     rows = rows.withColumns({
         "ref_date": lenient_date("date"),
         "accepted_date": lenient_utc_timestamp("date"),
@@ -299,8 +303,8 @@ def reports_after(state: DataFrame, delta: DataFrame, report: Sequence[str] = ("
 # ---------------------------------------------------------------------------
 def price_payload(price_rows: DataFrame, amap: DataFrame, as_of: dt.date | dt.datetime,
                   days: int = PRICE_DAYS) -> DataFrame:
-    rows = newest_fetch(since(blank_to_null(price_rows), "date", as_of, days), ["symbol", "date"])
-    rows = attach_asset_id(rows, amap)
+    rows = with_asset_id(since(blank_to_null(price_rows), "date", as_of, days), amap)
+    rows = newest_fetch(rows, ["symbol", "date"]).drop("symbol")
     return rows.withColumn("end_date", lenient_date("date")).drop("date")
 
 

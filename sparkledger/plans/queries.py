@@ -1035,7 +1035,7 @@ PERIOD_COLS = ["asset_id", "fiscal_year", "period", "end_date", "filing_date", "
 
 def period_snapshot(spark: SparkSession, d: str) -> DataFrame:
     amap = fin_map(spark, d)
-    rows = statement_rows(spark, d)
+    rows = as_stored(statement_rows(spark, d))
     s1 = as_stored(apply_update(empty_table(spark, "reporting_period"),
                                 period_payload(rows.filter(F.col("date") < EARLIER), amap), PERIOD_KEYS, pk="id").snapshot)
     return apply_update(s1, period_payload(rows, amap), PERIOD_KEYS, pk="id").snapshot
@@ -1262,8 +1262,11 @@ er AS (SELECT symbol, date_text, report_id, eps_actual, revenue_actual FROM (
 SELECT reporting_period_id, ref_date, eps_actual, revenue_actual FROM aligned_r1""")
 def q_refetch_earning(spark, d):
     rows = earning_rows(spark, d)
-    revised = rows.filter(F.col("report_id") % 2 == 0).withColumn("eps_actual", F.col("eps_actual") + 0.5)
-    landed = fetched(rows, FETCH_1).unionByName(fetched(revised, FETCH_2))
+    # Both fetches in one pass: a row, and behind it its revision where the report has one.
+    fetches = F.array(*[F.struct(F.lit(when).cast("timestamp").alias(FETCHED), eps.alias("eps_actual"))
+                        for when, eps in ((FETCH_1, F.col("eps_actual")), (FETCH_2, F.col("eps_actual") + 0.5))])
+    fetches = F.when(F.col("report_id") % 2 == 0, fetches).otherwise(F.slice(fetches, 1, 1))
+    landed = rows.withColumn("fetch", F.explode(fetches)).select("symbol", "date", "report_id", "revenue_actual", "fetch.*")
     aligned, _ = earning_payload(landed, fin_map(spark, d), as_stored(period_snapshot(spark, d)), ALIGN_AS_OF, report=["report_id"])
     return aligned.select("reporting_period_id", "ref_date", "eps_actual", "revenue_actual")
 

@@ -7,7 +7,7 @@ import threading
 
 import pytest
 
-from sparkledger.plans.pipelines import Ledger
+from sparkledger.plans.pipelines import Ledger, earning_payload, price_payload, profile_payload, typed_statement_rows
 from sparkledger.schemas import PAYLOAD_SCHEMAS, TABLE_KEYS
 from sparkledger.sources import BROKEN, FETCHED, CommitConflict, SnapshotStore, landed_texts, read_landed, unlisted_fields
 from sparkledger.sources.bucketed import merged_buckets, write_bucketed
@@ -304,3 +304,19 @@ def test_bucketed_upsert_moves_the_payload_only(spark, scratch):
     assert sorted(r[0] for r in kept.where("val = 'n'").select("k").collect()) == [i * 3 for i in range(90, 110)]
     with pytest.raises(Exception, match="(?i)exists"):
         write_bucketed(stored, "bucketed_test_before", ["k"], 4, f"{scratch}/b3")
+
+
+def test_rows_without_an_asset_are_left_out_before_any_ranking(spark):
+    amap = spark.createDataFrame([("AAPL", 1)], "symbol string, id long")
+    statements = spark.createDataFrame([("AAPL", "2024-01-31", "2024", "Q1", None, None, 5), ("OTHER", "2024-01-31", "2024", "Q1", None, None, 6)],
+                                       "symbol string, date string, fiscal_year string, period string, filing_date string, accepted_date string, revenue long")
+    periods = spark.createDataFrame([(7, 1, dt.datetime(2024, 1, 31))], "id long, asset_id long, accepted_date timestamp")
+    days = statements.select("symbol", "date", "revenue")
+    typed = typed_statement_rows(statements, amap)
+    assert rows(typed, "asset_id", "fiscal_year", "revenue") == [(1, 2024, 5)] and "symbol" not in typed.columns
+    found = [typed, profile_payload(days, amap), price_payload(days, amap, dt.date(2024, 2, 1)),
+             earning_payload(days, amap, periods, dt.datetime(2024, 3, 1))[0]]
+    assert [rows(df, "revenue") for df in found] == [[(5,)]] * 4
+    for df in found[:3]:
+        p = plan(df)
+        assert "Join" in p and p.rindex("Window") < p.rindex("Join")  # plans read upwards
