@@ -246,12 +246,12 @@ def q_align_incremental(spark, d):
     """``pipe_earning`` with a second fetch of new reports alone: the older ones of the touched assets come from the state."""
     report = ["symbol", "date", "report_id"]
     amap, periods = fin_map(spark, d), as_stored(period_snapshot(spark, d))
-    rows = earning_rows(spark, d)
+    rows = as_stored(earning_rows(spark, d))
     early = F.col("date") < EARLIER
-    state = as_stored(rows.filter(early).withColumn(FETCHED, F.lit("2024-01-01 00:00:00").cast("timestamp")))
+    state = rows.filter(early).withColumn(FETCHED, F.lit("2024-01-01 00:00:00").cast("timestamp"))
     aligned, _ = earning_payload(rows.filter(early), amap, periods, ALIGN_AS_OF, report=["report_id"])
     stored = as_stored(apply_update(empty_table(spark, "earning"), aligned, ["reporting_period_id"]).snapshot)
-    delta = as_stored(rows.filter(~early))
+    delta = rows.filter(~early)
     current = as_stored(reports_after(state, delta, report))
     aligned, _ = earning_payload(current, amap, periods, ALIGN_AS_OF, report=["report_id"])
     return apply_update(stored, aligned, ["reporting_period_id"]).snapshot
