@@ -348,7 +348,7 @@ def q_update_all(spark, d):
     land(screener_rows(spark, d), landing, "screener")
     land(search_rows(spark, d), landing, "search")
     land(profile_rows(spark, d), landing, "profile")
-    statements = statement_rows(spark, d)
+    statements = as_stored(statement_rows(spark, d))
     land(statements, landing, "income_statement")
     land(statements.withColumn("total_assets", F.col("revenue")), landing, "balance_sheet_statement")
     land(statements.withColumn("free_cash_flow", F.col("net_income")), landing, "cash_flow_statement")

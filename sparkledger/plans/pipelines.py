@@ -379,15 +379,17 @@ class Ledger:
         each once, however often its fetch is read."""
         return self.store.rejects(table)
 
-    def _rejected(self, lost: dict[str, DataFrame]) -> tuple[DataFrame, int]:
+    def _rejected(self, table: str, lost: dict[str, DataFrame]) -> tuple[DataFrame | None, int]:
+        """(rejects that no commit of ``table`` has, each once, or None; number of all), in one pass."""
         rows = None
         for reason, df in lost.items():
             row = F.to_json(F.struct(*[F.col(c) for c in df.columns if c != FETCHED]))
             cells = df.select(F.lit(self.as_of.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp").alias("as_of"), F.lit(reason).alias("reason"), row.alias("row"))
             rows = cells if rows is None else rows.unionByName(cells)
-        seen = Observation("rejects")
-        rows = staged(rows.withColumn("hash", F.xxhash64("reason", "row")).observe(seen, F.count(F.lit(1)).alias("n")))
-        return rows, observed(seen, ["n"])["n"]
+        seen, kept = Observation("rejects"), Observation("new_rejects")
+        rows = rows.withColumn("hash", F.xxhash64("reason", "row")).observe(seen, F.count(F.lit(1)).alias("n"))
+        new = staged(self.store.new_rejects(table, rows).observe(kept, F.count(F.lit(1)).alias("n")))
+        return new if observed(kept, ["n"])["n"] else None, observed(seen, ["n"])["n"]
 
     def _amap(self, flag: str, symbols: Sequence[str] | None) -> DataFrame:
         return asset_map(self.store.read("asset"), self.store.read("asset_cat"), flag, ASSET_CAT, symbols)
@@ -406,22 +408,20 @@ class Ledger:
         compared = every if whole else [c for c in good.columns if c not in keys and c != pk]
         good = staged(good.withColumns({PART: part_of(table), ROW_HASH: row_hash(compared)}))
         touched = [r[0] for r in good.select(PART).distinct().collect()]  # at most the partitions of a table
-        stored = self.store.scan(table, base, touched)
-        have = stored.select(*keys, (F.col(ROW_HASH) if whole else row_hash(compared)).alias("_have"))
-        new = F.col("_have").isNull()
-        differs = new if insert_only else new | (F.col("_have") != F.col(ROW_HASH))
-        changed = staged(good.join(have, keys, "left").where(differs).withColumn("_new", new).drop("_have", ROW_HASH))
+        if {p for p, _ in self.store.entries(table, base)}.isdisjoint(touched):
+            changed = good.withColumn("_new", F.lit(True)).drop(ROW_HASH)  # nothing stored to compare with
+        else:
+            stored = self.store.scan(table, base, touched)
+            have = stored.select(*keys, (F.col(ROW_HASH) if whole else row_hash(compared)).alias("_have"))
+            new = F.col("_have").isNull()
+            differs = new if insert_only else new | (F.col("_have") != F.col(ROW_HASH))
+            changed = staged(good.join(have, keys, "left").where(differs).withColumn("_new", new).drop("_have", ROW_HASH))
         counts = {r[PART]: (r.inserted, r.updated) for r in changed.groupBy(PART).agg(
             F.count_if("_new").alias("inserted"), F.count_if(~F.col("_new")).alias("updated")).collect()}
         lost = dict(lost or {})
         if observed(metrics, ["rejects"])["rejects"]:
             lost["null_key"] = null_keys
-        rejects, n_rejects = self._rejected(lost) if lost else (None, 0)
-        if n_rejects:
-            rejects = self.store.new_rejects(table, rejects)
-            rejects = rejects if rejects.limit(1).count() else None
-        else:
-            rejects = None
+        rejects, n_rejects = self._rejected(table, lost) if lost else (None, 0)
         inserted, updated = (sum(c[i] for c in counts.values()) for i in (0, 1))
         version = base
         if counts:

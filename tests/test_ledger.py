@@ -7,6 +7,7 @@ import threading
 
 import pytest
 
+from sparkledger.plans import pipelines
 from sparkledger.plans.pipelines import Ledger, earning_payload, price_payload, profile_payload, typed_statement_rows
 from sparkledger.schemas import PAYLOAD_SCHEMAS, TABLE_KEYS
 from sparkledger.sources import BROKEN, FETCHED, CommitConflict, SnapshotStore, landed_texts, read_landed, unlisted_fields
@@ -320,3 +321,18 @@ def test_rows_without_an_asset_are_left_out_before_any_ranking(spark):
     for df in found[:3]:
         p = plan(df)
         assert "Join" in p and p.rindex("Window") < p.rindex("Join")  # plans read upwards
+
+
+def test_a_first_load_writes_rows_and_rejects_without_a_second_pass(spark, scratch, monkeypatch):
+    ledger, written, commits = with_assets(spark, scratch), [], []
+    stage, commit = pipelines.staged, ledger.store.commit
+    monkeypatch.setattr(pipelines, "staged", lambda df: written.append(df.columns) or stage(df))
+    monkeypatch.setattr(ledger.store, "commit", lambda table, df, **more: commits.append(plan(more["rejects"])) or commit(table, df, **more))
+    fetch = prices(spark, ("AAPL", "2024-03-01", 1.0, 1), ("NONE", "2024-03-01", 2.0, 2), ("NONE", "2024-03-01", 2.0, 2))
+    out = ledger.update_eod_price(payload=fetch)
+    assert (out["inserted"], out["rejects"], out["version"]) == (1, 2, 1)
+    # The landed rows, the prepared rows and the new rejects; the commit reads those instead of deriving them again.
+    assert len(written) == 3 and "Exchange" not in commits[0]
+    assert ledger.rejects("eod_price").count() == 1
+    out = ledger.update_eod_price(payload=fetch)
+    assert (out["inserted"], out["updated"], out["rejects"], out["version"]) == (0, 0, 2, 1)
