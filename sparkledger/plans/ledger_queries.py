@@ -58,7 +58,7 @@ from sparkledger.schemas import (
     STATEMENT_PERIODS,
     TABLE_SCHEMAS,
 )
-from sparkledger.session import ensure_checkpoint_dir
+from sparkledger.session import ensure_checkpoint_dir, scratch
 from sparkledger.sources import FETCHED, SnapshotStore, landed_texts, list_tables, read_array, table_handle, unlisted_fields
 from sparkledger.sources.bucketed import merged_buckets, write_bucketed
 from sparkledger.sources.store import PART
@@ -71,10 +71,10 @@ def fresh_folder(spark: SparkSession) -> str:
 
 
 def land(df: DataFrame, folder: str, endpoint: str) -> None:
-    """Write payload rows as JSON Lines under the payload's field names, as one fetch
+    """Write payload rows as JSON Lines (gzip) under the payload's field names, as one fetch
     (its files are not written at one moment)."""
     named = {snake_case(f.name): f.name for f in PAYLOAD_SCHEMAS[endpoint].fields}
-    df.select(*[F.col(c).alias(named[c]) for c in df.columns if c in named]).write.json(f"{folder}/{endpoint}/fetched_at=2002-01-01")
+    df.select(*[F.col(c).alias(named[c]) for c in df.columns if c in named]).write.option("compression", "gzip").json(f"{folder}/{endpoint}/fetched_at=2002-01-01")
 
 
 def customers_ledger(spark: SparkSession, d: str, as_of: dt.datetime) -> Ledger:
@@ -345,15 +345,16 @@ def q_update_all(spark, d):
     """The published tables of the ledger after a run of all updates over a landing built from the tables."""
     root = fresh_folder(spark)
     landing = f"{root}/landing"
+    with scratch(spark):  # the largest first, while nothing else lies there
+        land(earning_rows(spark, d).filter("date <> ''").groupBy("symbol", "date").agg(F.sum("eps_actual").alias("eps_actual")), landing, "earnings")
+        land(price_rows(spark, d), landing, "historical_price")
+        statements = as_stored(statement_rows(spark, d))
+        land(statements, landing, "income_statement")
+        land(statements.withColumn("total_assets", F.col("revenue")), landing, "balance_sheet_statement")
+        land(statements.withColumn("free_cash_flow", F.col("net_income")), landing, "cash_flow_statement")
     land(screener_rows(spark, d), landing, "screener")
     land(search_rows(spark, d), landing, "search")
     land(profile_rows(spark, d), landing, "profile")
-    statements = as_stored(statement_rows(spark, d))
-    land(statements, landing, "income_statement")
-    land(statements.withColumn("total_assets", F.col("revenue")), landing, "balance_sheet_statement")
-    land(statements.withColumn("free_cash_flow", F.col("net_income")), landing, "cash_flow_statement")
-    land(earning_rows(spark, d).filter("date <> ''").groupBy("symbol", "date").agg(F.sum("eps_actual").alias("eps_actual")), landing, "earnings")
-    land(price_rows(spark, d), landing, "historical_price")
     docs = series_documents(spark, d)
     docs.withColumn("Results", F.struct(F.transform("Results.series", lambda s: F.struct(
         F.when(s["seriesID"] == "1-URGENT", CPI_SERIES_ID).otherwise(s["seriesID"]).alias("seriesID"), s["data"].alias("data"))).alias("series"))).write.json(f"{landing}/cpi")

@@ -16,8 +16,9 @@ repeated exactly.
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -66,7 +67,7 @@ from sparkledger.schemas import (
     TABLE_KEYS,
     TABLES_WITH_ID,
 )
-from sparkledger.session import staged
+from sparkledger.session import discard, scratch, staged, staging
 from sparkledger.sources import (
     BROKEN,
     FETCHED,
@@ -283,17 +284,18 @@ def earning_payload(earning_rows: DataFrame, amap: DataFrame, periods: DataFrame
                         observation=observation, small_groups=True)
 
 
-def reports_after(state: DataFrame, delta: DataFrame, report: Sequence[str] = ("symbol", "date")) -> DataFrame:
+def reports_after(state: DataFrame | None, delta: DataFrame, report: Sequence[str] = ("symbol", "date")) -> DataFrame:
     """All known reports of the symbols in ``delta``, the newest fetch of each report.
 
     Alignment ranks all reports of an asset, so a new report needs the older ones: ``state`` keeps them
-    (with their fetch time), and nothing but the touched symbols is read of it."""
-    touched = delta.select("symbol").where("symbol is not null").distinct()
-    known = state.join(touched, "symbol", "left_semi")
+    (with their fetch time), and nothing but the touched symbols is read of it.  None: no report of theirs is known."""
     seen = delta if FETCHED in delta.columns else delta.withColumn(FETCHED, F.lit(None).cast("timestamp"))
     # A batch without fetch times is newer than what is stored.
     seen = seen.withColumn(FETCHED, F.coalesce(FETCHED, F.lit("9999-01-01 00:00:00").cast("timestamp")))
-    every = known.unionByName(seen, allowMissingColumns=True)
+    every = seen
+    if state is not None:
+        touched = delta.select("symbol").where("symbol is not null").distinct()
+        every = state.join(touched, "symbol", "left_semi").unionByName(seen, allowMissingColumns=True)
     order = [(FETCHED, "desc_nulls_last")] + [(c, "asc_nulls_last") for c in sorted(every.columns) if c not in report and c != FETCHED]
     return keep_first(every, list(report), order)
 
@@ -318,6 +320,32 @@ STATEMENT_TABLES = {
 }
 
 
+#: Stored assets up to which the map from symbols to ids (some 80 bytes a row) goes to every task.
+BROADCAST_ASSETS = 100_000
+#: Landing folders that a step of a run reads.
+STEP_ENDPOINTS = {
+    "cpi": ["cpi"],
+    "asset": ["search", "screener"],
+    "equity_profile": ["profile"],
+    "reporting_period": ["income_statement"],
+    **{table: [endpoint] for table, endpoint in STATEMENT_TABLES.items()},
+    "earning": ["earnings"],
+    "eod_price": ["historical_price"],
+}
+
+
+def tidy(update: Callable) -> Callable:
+    """An update in a ``scratch``: its intermediate tables and shuffle files go with it, so a run needs
+    the room of its largest step, not of all of them."""
+
+    @functools.wraps(update)
+    def run(self, *args, **kwargs):
+        with scratch(self.spark):
+            return update(self, *args, **kwargs)
+
+    return run
+
+
 def merge_changed(stored: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Stored rows with the columns of ``updates`` (unique on ``keys``) in place of their own, nulls
     included; no key is added."""
@@ -353,23 +381,34 @@ class Ledger:
         self.landing = landing.rstrip("/")
         self.as_of = as_of
         self.json_lines = json_lines
-        self._read_once: dict[str, DataFrame] | None = None
+        self._read_once: dict[str, tuple[DataFrame, list[str]]] | None = None
 
     def _landed(self, endpoint: str, given: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
         """(rows, broken texts) of ``endpoint``, or of ``given`` rows (e.g. one micro-batch of
         new files from the streaming runner).  JSON is parsed once: what follows reads
-        the parsed rows, and a run of all updates reads each endpoint once."""
+        the parsed rows, and a run of all updates reads each endpoint once and keeps it to the last step that does."""
         if given is not None:
             landed = staged(given if BROKEN in given.columns else given.withColumn(BROKEN, F.lit(None).cast("string")))
         elif self._read_once is not None and endpoint in self._read_once:
-            landed = self._read_once[endpoint]
+            landed = self._read_once[endpoint][0]
         else:
             schema = SERIES_PAYLOAD_SCHEMA if endpoint == "cpi" else PAYLOAD_SCHEMAS[endpoint]
-            landed = staged(read_landed(self.spark, f"{self.landing}/{endpoint}", schema, self.json_lines))
-            if self._read_once is not None:
-                self._read_once[endpoint] = landed
+            records = read_landed(self.spark, f"{self.landing}/{endpoint}", schema, self.json_lines)
+            if self._read_once is None:
+                landed = staged(records)
+            else:
+                with staging() as made:
+                    landed = staged(records)
+                self._read_once[endpoint] = landed, made
         return landed.where(F.col(BROKEN).isNull()).drop(BROKEN), landed.where(F.col(BROKEN).isNotNull()).select(F.col(BROKEN).alias("text"))
 
+    def _forget(self, endpoints: Iterable[str]) -> None:
+        """Delete the parsed rows of endpoints that no later step reads."""
+        for endpoint in endpoints:
+            folders = self._read_once.pop(endpoint)[1]
+            if hasattr(self.spark, "_jvm"):  # not on Spark Connect, see ``scratch``
+                discard(self.spark, folders)
+
     def table(self, name: str) -> DataFrame:
         """A table as of the last finished run of all updates."""
         return self.store.read_published(name)
@@ -387,13 +426,21 @@ class Ledger:
             cells = df.select(F.lit(self.as_of.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp").alias("as_of"), F.lit(reason).alias("reason"), row.alias("row"))
             rows = cells if rows is None else rows.unionByName(cells)
         seen, kept = Observation("rejects"), Observation("new_rejects")
-        rows = rows.withColumn("hash", F.xxhash64("reason", "row")).observe(seen, F.count(F.lit(1)).alias("n"))
-        new = staged(self.store.new_rejects(table, rows).observe(kept, F.count(F.lit(1)).alias("n")))
-        return new if observed(kept, ["n"])["n"] else None, observed(seen, ["n"])["n"]
+        new = self.store.new_rejects(table, rows.observe(seen, F.count(F.lit(1)).alias("n")))
+        new = staged(new.observe(kept, F.count(F.lit(1)).alias("n")))
+        if observed(kept, ["n"])["n"]:
+            return new, observed(seen, ["n"])["n"]
+        # Where none is new, Spark may drop the plan below its empty result, and the count of all with it.
+        return None, observed(seen, ["n"])["n"] or rows.count()
 
     def _amap(self, flag: str, symbols: Sequence[str] | None) -> DataFrame:
-        return asset_map(self.store.read("asset"), self.store.read("asset_cat"), flag, ASSET_CAT, symbols)
+        """The asset map, broadcast up to ``BROADCAST_ASSETS`` stored assets: a payload joined with it is then not dealt out,
+        as it is where the planner learns the size of the map from an exchange of both sides."""
+        assets = self.store.read("asset")
+        amap = asset_map(assets, self.store.read("asset_cat"), flag, ASSET_CAT, symbols)
+        return F.broadcast(amap) if assets.count() <= BROADCAST_ASSETS else amap
 
+    @tidy
     def _update(self, table: str, payload: DataFrame, insert_only: bool = False, keys: Sequence[str] | None = None,
                 lost: dict[str, DataFrame] | None = None) -> dict[str, int]:
         """Bring new and differing rows of a payload into the table.
@@ -442,6 +489,7 @@ class Ledger:
         """Rows of symbols outside the map; with a list of symbols the others were not asked for."""
         return {"unmapped": unmapped(rows, amap)} if symbols is None else {}
 
+    @tidy
     def update_cpi(self, num_years: int = CPI_YEARS, series_ids: Sequence[str] = (CPI_SERIES_ID,),
                    keys: Sequence[str] | None = None, documents: DataFrame | None = None) -> dict[str, int]:
         """``documents``: nested series documents to use instead of the landing folder."""
@@ -450,6 +498,7 @@ class Ledger:
         series = newest_fetch(explode_series(docs), ["series_id", "year", "month"])
         return self._update("cpi", cpi_payload(series, year_range(self.as_of, num_years), series_ids), keys=keys, lost={"corrupt": broken})
 
+    @tidy
     def update_asset(self, symbols: DataFrame | Sequence[str] | None = None, payload: DataFrame | None = None,
                      min_mkt_cap: float = SCREEN_MIN_MKT_CAP, limit: int = SCREEN_LIMIT,
                      country: str = SCREEN_COUNTRY) -> dict[str, int]:
@@ -467,16 +516,19 @@ class Ledger:
             wanted = list(symbols)
         return self._update("asset", asset_payload(hits, wanted, cat_id), insert_only=True, lost={"corrupt": broken})
 
+    @tidy
     def update_equity_profile(self, symbols: Sequence[str] | None = None,
                               payload: DataFrame | None = None) -> dict[str, int]:
         (rows, broken), amap = self._landed("profile", payload), self._amap("has_financials", symbols)
         return self._update("equity_profile", profile_payload(rows, amap), lost={"corrupt": broken, **self._unmapped(rows, amap, symbols)})
 
+    @tidy
     def update_reporting_period(self, symbols: Sequence[str] | None = None, payload: DataFrame | None = None,
                                 limit: int = STATEMENT_PERIODS) -> dict[str, int]:
         (rows, broken), amap = self._landed("income_statement", payload), self._amap("has_financials", symbols)
         return self._update("reporting_period", period_payload(rows, amap, limit), lost={"corrupt": broken, **self._unmapped(rows, amap, symbols)})
 
+    @tidy
     def update_statement(self, table: str, symbols: Sequence[str] | None = None, payload: DataFrame | None = None,
                          limit: int = STATEMENT_PERIODS) -> dict[str, int]:
         (rows, broken), amap = self._landed(STATEMENT_TABLES[table], payload), self._amap("has_financials", symbols)
@@ -485,6 +537,7 @@ class Ledger:
         lost = {"corrupt": broken, "no_period": without_period(typed, periods), **self._unmapped(rows, amap, symbols)}
         return self._update(table, to_period_id(typed, periods), lost=lost)
 
+    @tidy
     def update_earning(self, symbols: Sequence[str] | None = None, payload: DataFrame | None = None,
                        limit: int = EARNING_ROWS) -> dict[str, int]:
         """Alignment ranks an asset's reports among themselves.  The reports known so far are kept in the
@@ -493,8 +546,9 @@ class Ledger:
         (rows, broken), amap = self._landed("earnings", payload), self._amap("has_financials", symbols)
         keyed = blank_to_null(rows).where("symbol is not null and date is not null")
         touched = [r[0] for r in keyed.select(part_of("earning_report").alias(PART)).distinct().collect()]
+        stored = {p for p, _ in self.store.entries("earning_report", self.store.version("earning_report"))}
         known = self.store.read("earning_report", parts=touched).withColumnRenamed("fetched_at", FETCHED)
-        reports = staged(reports_after(known, keyed))
+        reports = staged(reports_after(None if stored.isdisjoint(touched) else known, keyed))
         self._update("earning_report", reports.withColumnRenamed(FETCHED, "fetched_at"))
         every = reports.unionByName(blank_to_null(rows).where("symbol is null or date is null"), allowMissingColumns=True)
         aligned, unaligned = earning_payload(every, amap, self.store.read("reporting_period"), self.as_of, observation=seen, limit=limit)
@@ -502,6 +556,7 @@ class Ledger:
         out["unaligned"] = observed(seen, ["unaligned"])["unaligned"]
         return out
 
+    @tidy
     def update_eod_price(self, symbols: Sequence[str] | None = None, payload: DataFrame | None = None,
                          days: int = PRICE_DAYS) -> dict[str, int]:
         (rows, broken), amap = self._landed("historical_price", payload), self._amap("has_chart", symbols)
@@ -527,7 +582,10 @@ class Ledger:
                     continue
                 out[name] = step()
                 self.store.finish_step(run, self.as_of, ",".join(sorted(symbols or ())), name, json.dumps(out[name]))
+                later = {e for step_name in list(steps)[len(out):] for e in STEP_ENDPOINTS[step_name]}
+                self._forget(e for e in list(self._read_once) if e not in later)
         finally:
+            self._forget(list(self._read_once))
             self._read_once = None
         self.store.publish({name: out[name]["version"] for name in steps})
         self.store.finish_step(run, self.as_of, ",".join(sorted(symbols or ())), PUBLISHED, "{}")

@@ -10,6 +10,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -81,6 +84,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+#: Folders that ``staged`` has written inside the innermost ``staging``; none outside of one.
+_STAGED: ContextVar[list[str] | None] = ContextVar("staged", default=None)
+#: Shuffle files of a query go when it ends, not when the driver happens to collect its garbage.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def staged(df):
     """Write ``df`` once as a Parquet table below the checkpoint folder and read it back.
 
@@ -89,5 +98,43 @@ def staged(df):
     re-run tasks, and later reads prune columns and push filters.
     """
     path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/staged-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    made = _STAGED.get()
+    if made is not None:
+        made.append(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staging() -> Iterator[list[str]]:
+    """The list of the folders that ``staged`` writes inside (not those of a ``staging`` within)."""
+    made: list[str] = []
+    token = _STAGED.set(made)
+    try:
+        yield made
+    finally:
+        _STAGED.reset(token)
+
+
+def discard(spark: SparkSession, folders: Sequence[str]) -> None:
+    """Delete folders, on any file system that Spark reaches."""
+    jvm = spark.sparkContext._jvm
+    for folder in folders:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Work that leaves nothing behind: what ``staged`` writes inside is deleted at the end, and the shuffle
+    files of a query when it ends.  Frames made inside must not be read after it.  (On Spark Connect the
+    file systems are not at hand: there the folders stay.)"""
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    with staging() as made:
+        try:
+            yield
+        finally:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+            if hasattr(spark, "_jvm"):
+                discard(spark, made)
